@@ -29,7 +29,7 @@ BASE = (
 _ASSIGN = re.compile(BASE[0][1])
 # for these two, leftmost runs that are long enough are the long ones of all leftmost runs
 _ACCESS, _HEX = re.compile(r"AKIA[A-Z0-9]{16,}"), re.compile(r"[0-9a-f]{24,}")
-_RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _DIGIT = re.compile(r"[0-9]")
 
 #: Alphabets from narrow to wide.

@@ -7,7 +7,6 @@ between labelled toxic and other texts; a logistic regression on these values gi
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -26,39 +25,51 @@ MEMO = 300_000
 
 
 class Features:
-    """Column ids of texts; n-grams of a word are hashed once per worker."""
+    """Column ids of texts; n-grams of a word are hashed once per worker, new words of a batch together."""
 
     def __init__(self):
         self.memo: dict[bytes, np.ndarray] = {}
 
-    def of_word(self, word: bytes) -> np.ndarray:
-        s = b" " + word + b" "
-        x = np.frombuffer(s, np.uint8).astype(np.uint64)
-        parts = []
-        for n in SIZES:
-            if len(x) < n:
+    def learn(self, words: list[bytes]) -> None:
+        """Columns of words: n-grams of the word with a space on either side, none across words."""
+        buf = np.frombuffer(b"".join([b" " + w + b" " for w in words]), np.uint8).astype(np.uint64)
+        lens = np.fromiter(map(len, words), np.int64, len(words)) + 2
+        word = np.repeat(np.arange(len(words), dtype=np.int32), lens)
+        cols, owner = [], []
+        h = np.full(len(buf), 1469598103934665603, np.uint64)
+        for n in range(1, max(SIZES) + 1):
+            h = (h[: len(buf) - n + 1] ^ buf[n - 1 :]) * np.uint64(1099511628211)
+            if n not in SIZES:
                 continue
-            h = np.full(len(x) - n + 1, 1469598103934665603 + n, np.uint64)
-            for k in range(n):
-                h = (h ^ x[k : len(x) - n + 1 + k]) * np.uint64(1099511628211)
-            h ^= h >> np.uint64(29)
-            parts.append(((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)).astype(np.int32))
-        return np.unique(np.concatenate(parts)) if parts else np.array([zlib.crc32(s) & ((1 << BITS) - 1)], np.int32)
-
-    def of_text(self, text: bytes | None) -> np.ndarray:
-        memo, parts = self.memo, []
-        for w in set((text or b"").lower().split()):
-            got = memo.get(w)
-            if got is None:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                memo[w] = got = self.of_word(w)
-            parts.append(got)
-        if not parts:
-            return np.array([], np.int32)
-        mark = np.zeros(1 << BITS, np.bool_)
-        mark[np.concatenate(parts)] = True
-        return np.flatnonzero(mark).astype(np.int32)
+            inside = word[: len(h)] == word[n - 1 :]
+            mixed = (h ^ (h >> np.uint64(29)) ^ np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
+            cols.append((mixed[inside] >> np.uint64(64 - BITS)).astype(np.int32))
+            owner.append(word[: len(h)][inside])
+        cols, owner = np.concatenate(cols), np.concatenate(owner)
+        cols = cols[np.argsort(owner, kind="stable")]
+        ends = np.bincount(owner, minlength=len(words)).cumsum().tolist()
+        at = 0
+        for w, end in zip(words, ends, strict=True):
+            self.memo[w] = cols[at:end].copy()
+            at = end
+
+    def of_texts(self, texts: list[bytes | None], chunk: int = 128) -> list[np.ndarray]:
+        out, memo = [], self.memo
+        for at in range(0, len(texts), chunk):
+            words = [set((t or b"").lower().split()) for t in texts[at : at + chunk]]
+            new = [w for w in set().union(*words) if w not in memo]
+            if len(memo) + len(new) > MEMO:
+                memo.clear()
+                new = list(set().union(*words))
+            if new:
+                self.learn(new)
+            out += [unique(np.concatenate([memo[w] for w in own])) if own else np.array([], np.int32) for own in words]
+        return out
+
+
+def unique(x: np.ndarray) -> np.ndarray:
+    x.sort()
+    return x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
 
 
 @lru_cache(maxsize=1)
@@ -79,7 +90,7 @@ class Model:
 def fit(texts: list[bytes | None], labels: list[int], prior: float | None = None, rounds: int = 60, l2: float = 1.0, smooth: float = 1.0) -> Model:
     """Fit on labelled texts. ``prior``: the share of toxic rows where scores are used, if the sample's differs."""
     size, feats = 1 << BITS, Features()
-    rows = [feats.of_text(t) for t in texts]
+    rows = feats.of_texts(texts)
     y = np.asarray(labels, np.float64)
     if not len(rows) or y.min() == y.max():
         p = min(max(y.mean() if len(rows) else prior or 0.0, 1e-6), 1 - 1e-6)
@@ -99,7 +110,6 @@ def fit(texts: list[bytes | None], labels: list[int], prior: float | None = None
     norm = np.bincount(of_row, value**2, minlength=len(rows)).max() or 1.0
     step = 4 / (norm * 0.05 + l2)
     w, b, vw, vb = np.zeros(size), float(np.log(y.mean() / (1 - y.mean()))), np.zeros(size), 0.0
-    grad2 = np.full(size, 1e-8)
     for _ in range(rounds):
         lw, lb = w + 0.9 * vw, b + 0.9 * vb
         z = lb + np.bincount(of_row, value * lw[cols], minlength=len(rows))
@@ -109,7 +119,6 @@ def fit(texts: list[bytes | None], labels: list[int], prior: float | None = None
         vw = 0.9 * vw - step * g
         vb = 0.9 * vb - 0.5 * gb
         w, b = w + vw, b + vb
-    del grad2
     if prior is not None:
         prior = min(max(prior, 1e-6), 1 - 1e-6)
         b += float(np.log(prior / (1 - prior)) - np.log(y.mean() / (1 - y.mean())))
@@ -143,7 +152,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text"
 
     def make():
         m, feats = Model(*shared.value), features()
-        return lambda texts: {"score": [m.score(feats.of_text(t)) for t in texts]}
+        return lambda texts: {"score": [m.score(x) for x in feats.of_texts(texts)]}
 
     return map_texts(docs, keep, text_col, "score double", make)
 
