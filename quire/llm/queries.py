@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.llm import license_scan
 from quire.llm.common import table
 
 
@@ -14,6 +15,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm.license_scan import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quire.llm.secrets import find_secrets
 
@@ -61,11 +68,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op4_secrets, op5_packing, op7_decontamination, op9_ogg, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_license_scan, op4_secrets, op5_packing, op7_decontamination, op9_ogg, op10_toxicity)}
 
 _W = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_license_scan": license_scan.brute_force_sql()}
 
 SQL["op7_decontamination"] = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_W}') AS w FROM documents),
