@@ -49,6 +49,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm.ppm import language_model_scores
+
+    return language_model_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quire.llm.decontaminate import decontaminate
 
@@ -68,7 +74,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_license_scan, op4_secrets, op5_packing, op7_decontamination, op9_ogg, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_license_scan, op4_secrets, op5_packing, op6_ppm_scoring, op7_decontamination, op9_ogg, op10_toxicity)}
 
 _W = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
