@@ -62,6 +62,12 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm.langid import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op9_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quire.llm.ogg import media_digests
 
@@ -74,7 +80,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_license_scan, op4_secrets, op5_packing, op6_ppm_scoring, op7_decontamination, op9_ogg, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_license_scan, op4_secrets, op5_packing, op6_ppm_scoring, op7_decontamination, op8_language_id, op9_ogg, op10_toxicity)}
 
 _W = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
