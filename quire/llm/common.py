@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.session import cut_lineage
+from quire.session import checkpoint_dir, cut_lineage
 
-__all__ = ["bucket_of", "cut_lineage", "map_texts", "table"]
+__all__ = ["bucket_of", "cut_lineage", "map_texts", "materialise", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +23,13 @@ def bucket_of(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % n
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/quire-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def map_texts(df: DataFrame, keep: list[str], text: str, schema: str, make: Callable[[], Callable[[list], dict[str, list]]]) -> DataFrame:
     """Apply a batch function over one text column, keeping the columns ``keep``.
 

@@ -15,7 +15,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import map_texts
+from quire.llm.common import cut_lineage, map_texts
 
 WINDOW = 10
 #: Bytes of pattern text that one broadcast may hold; more patterns are searched in several passes.
@@ -108,76 +108,81 @@ def item_shards(benchmark: DataFrame, item_col: str, text_col: str, shard_bytes:
     yield shard
 
 
-def decontaminate(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    item_col: str = "item_id",
-    item_text_col: str = "text",
-    window: int = WINDOW,
-    shard_bytes: int = SHARD_BYTES,
-) -> DataFrame:
-    """Per document: ``n_words``, ``n_hit``, ``n_items``, ``items`` (sorted as strings), ``contaminated``.
+def find_hits(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """``keep`` and ``hits``: a struct of ``n_words``, ``spans`` (word ranges of occurrences, by start) and ``items`` (sorted as strings).
 
-    A window is ``window`` consecutive item words, or all of a shorter item; document words inside
-    an occurrence are hit. Null and wordless texts have no words and are never contaminated; null
-    items match nothing; an item without an id still marks words but isn't named. Repeated rows come
-    back as given. The pattern set is broadcast in shards of bounded size; with several shards the
-    documents are read once for each and the hit ranges are united, with the same result.
+    The pattern set is broadcast in shards of bounded size. With several, the documents are read once
+    for each and the ranges united, with the same result.
     """
     shards = list(map(docs.sparkSession.sparkContext.broadcast, item_shards(benchmark, item_col, item_text_col, shard_bytes)))
     if len(shards) == 1:
-        return _finish(_scan_shard(docs, shards[0], [id_col], text_col, window), id_col)
-    keyed = docs.select(F.monotonically_increasing_id().alias("__row"), id_col, text_col)
-    scans = [_scan_shard(keyed, shard, ["__row", id_col], text_col, window) for shard in shards]
+        return _scan_shard(docs, shards[0], keep, text_col, window)
+    keyed = cut_lineage(docs.select(*dict.fromkeys([*keep, text_col])).withColumn("__row", F.monotonically_increasing_id()))
+    scans = [_scan_shard(keyed, shard, ["__row"], text_col, window) for shard in shards]
     whole = (
         reduce(DataFrame.unionByName, scans)
         .groupBy("__row")
         .agg(
-            F.first(id_col).alias(id_col),
-            F.max("n_words").alias("n_words"),
-            F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+            F.struct(
+                F.max("hits.n_words").alias("n_words"),
+                F.array_sort(F.flatten(F.collect_list("hits.spans"))).alias("spans"),
+                F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits.items")))).alias("items"),
+            ).alias("hits")
         )
     )
-    return _finish(whole, id_col)
-
-
-def _scan_shard(docs: DataFrame, shard: Broadcast, keep: list[str], text_col: str, window: int) -> DataFrame:
-    def make():
-        ids = [item for item, _ in shard.value]
-        engines = [WuManber(p) for _, p in sorted(patterns_of([(i, t) for i, (_, t) in enumerate(shard.value)], window).items())]
-
-        def apply(texts):
-            got = [scan(t, engines) for t in texts]
-            return {
-                "n_words": [g[0] for g in got],
-                "spans": [[{"from": s, "to": t} for s, t in g[1]] for g in got],
-                "items": [sorted({ids[i] for i in g[2] if ids[i] is not None}) for g in got],
-            }
+    return keyed.select(*keep, "__row").join(whole, "__row").drop("__row")
 
-        return apply
-
-    return map_texts(docs, keep, text_col, "n_words bigint, spans array<struct<from:bigint,to:bigint>>, items array<string>", make)
 
+def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """Per document: ``n_words``, ``n_hit``, ``n_items``, ``items`` (sorted as strings), ``contaminated``.
 
-def _finish(df: DataFrame, id_col: str) -> DataFrame:
-    # ranges are sorted by their start: words that an earlier range hasn't counted yet
+    A window is ten consecutive item words, or all of a shorter item; document words inside an
+    occurrence are hit. Null and wordless texts have no words and are never contaminated; null items
+    match nothing; an item without an id marks words but isn't named. Repeated rows come back as
+    given, null ids too; an empty table on either side gives no rows or no hits.
+    """
+    hits = find_hits(docs, benchmark, [id_col], text_col, **options)
+    # ranges go by their start: count the words that no earlier range has reached
     hit = F.aggregate(
-        "spans",
+        "hits.spans",
         F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("end")),
         lambda acc, s: F.struct(
             (acc["n"] + F.greatest(F.lit(0), s["to"] - F.greatest(acc["end"], s["from"]))).alias("n"), F.greatest(acc["end"], s["to"]).alias("end")
         ),
         lambda acc: acc["n"],
     )
-    return df.select(
+    return hits.select(
         id_col,
-        "n_words",
+        "hits.n_words",
         hit.alias("n_hit"),
-        F.size("items").cast("bigint").alias("n_items"),
-        "items",
-        (F.size("spans") > 0).alias("contaminated"),
+        F.size("hits.items").cast("bigint").alias("n_items"),
+        "hits.items",
+        (F.size("hits.spans") > 0).alias("contaminated"),
     )
 
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` in which no benchmark window occurs, all columns as they were."""
+    names = docs.columns
+    slots = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    clean = find_hits(slots, benchmark, slots.columns, f"c{names.index(text_col)}", **options).where(F.size("hits.spans") == 0)
+    return clean.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)))
+
+
+def _scan_shard(docs: DataFrame, shard: Broadcast, keep: list[str], text_col: str, window: int) -> DataFrame:
+    def make():
+        ids = [item for item, _ in shard.value]
+        engines = [WuManber(p) for _, p in sorted(patterns_of([(i, t) for i, (_, t) in enumerate(shard.value)], window).items())]
+
+        def apply(texts):
+            got = [scan(t, engines) for t in texts]
+            return {
+                "hits": [
+                    {"n_words": n, "spans": [{"from": s, "to": t} for s, t in spans], "items": sorted({ids[i] for i in items if ids[i] is not None})}
+                    for n, spans, items in got
+                ]
+            }
+
+        return apply
+
+    return map_texts(docs, keep, text_col, "hits struct<n_words:bigint,spans:array<struct<from:bigint,to:bigint>>,items:array<string>>", make)

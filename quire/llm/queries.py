@@ -21,6 +21,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm.line_templates import dedup_lines
+
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quire.llm.secrets import find_secrets
 
@@ -80,7 +86,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_license_scan, op4_secrets, op5_packing, op6_ppm_scoring, op7_decontamination, op8_language_id, op9_ogg, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_license_scan, op3_line_dedup, op4_secrets, op5_packing, op6_ppm_scoring, op7_decontamination, op8_language_id, op9_ogg, op10_toxicity)}
 
 _W = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 

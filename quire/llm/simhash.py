@@ -13,9 +13,11 @@ a centre has at most 65 different fingerprints around it, and they form a star.
 
 from __future__ import annotations
 
+from collections import Counter
 from itertools import accumulate
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -107,3 +109,90 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_fp = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
     return fps.join(of_fp, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+#: Independent word fingerprints of a text when near copies are sought, and what makes two texts near.
+FINGERPRINTS, NEAR_WIDTH, NEAR = 4, 5, 0.8
+_MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
+
+
+def word_fingerprints(text: bytes | None) -> list[int]:
+    """``FINGERPRINTS`` fingerprints over the distinct words, weighted by the logarithm of their counts."""
+    counts = Counter((text or b"").lower().split())
+    if not counts:
+        return [0] * FINGERPRINTS
+    h = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in counts), np.uint64, len(counts))
+    mixed = h[:, None] * np.array(_MIX, np.uint64)[None, :]
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xFF51AFD7ED558CCD)
+    mixed ^= mixed >> np.uint64(29)
+    bits = np.unpackbits(mixed.view(np.uint8).reshape(len(h), -1), axis=1, bitorder="little")
+    weight = np.log1p(np.fromiter(counts.values(), np.float32, len(counts)))
+    on = weight @ bits > weight.sum() / 2
+    return np.packbits(on, bitorder="little").view(np.int64).tolist()
+
+
+def shingle_set(text: bytes | None) -> bytes:
+    """Sorted 32-bit hashes of the text's different five-word runs."""
+    runs = {xxhash.xxh32_intdigest(r) for r in shingles(text or b"", NEAR_WIDTH)}
+    return np.sort(np.fromiter(runs, "<u4", len(runs))).tobytes()
+
+
+def similarity(a: bytes, b: bytes) -> float:
+    """Jaccard similarity of two shingle sets; two empty ones are equal."""
+    x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
+    if not len(x) and not len(y):
+        return 1.0
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both)
+
+
+def near_links(classes: DataFrame) -> DataFrame:
+    """Candidate edges ``a``, ``b`` between texts (``t``, ``fps``) of which some fingerprint differs in 2 bits at most.
+
+    Texts with one fingerprint link to a representative of theirs, chosen anew for every fingerprint
+    position, and representatives link as their fingerprints do: edges stay in proportion to texts.
+    """
+    each = classes.select("t", F.posexplode("fps").alias("p", "fp"))
+    rep = each.groupBy("p", "fp").agg(F.min_by("t", F.xxhash64("p", "t")).alias("rep"))
+    rep = cut_lineage(rep)
+    same = each.join(rep, ["p", "fp"]).select(F.col("t").alias("a"), F.col("rep").alias("b"))
+    out = same
+    for p in range(FINGERPRINTS):
+        own = rep.where(F.col("p") == p)
+        left, right = own.select(F.col("fp").alias("a"), F.col("rep").alias("x")), own.select(F.col("fp").alias("b"), F.col("rep").alias("y"))
+        out = out.unionByName(links(own).join(left, "a").join(right, "b").select(F.col("x").alias("a"), F.col("y").alias("b")))
+    return out.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def verified(edges: DataFrame, texts: DataFrame) -> DataFrame:
+    """The edges whose texts (``t``, ``text``) have five-word shingles of similarity ``NEAR`` or more."""
+    nodes = edges.select(F.explode(F.array("a", "b")).alias("t")).distinct()
+    own = texts.join(nodes, "t", "left_semi").dropDuplicates(["t"])
+    sets = cut_lineage(map_texts(own, ["t"], "text", "s binary", lambda: lambda ts: {"s": [shingle_set(t) for t in ts]}))
+    pairs = edges.join(sets.select(F.col("t").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("t").alias("b"), F.col("s").alias("sb")), "b")
+
+    def run(batches):
+        for batch in batches:
+            keep = [similarity(x, y) >= NEAR for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of every group of near copies: the one with the smallest id, all columns as they were.
+
+    Groups are connected by equal texts and by candidates of the covering tables whose five-word
+    shingles are similar enough. Null and empty texts are one group. Rows with null ids come last, and
+    of rows with equal id and text one stays.
+    """
+    keyed = docs.withColumn("__t", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    make = lambda: lambda ts: {"fps": [word_fingerprints(t) for t in ts]}
+    found = map_texts(keyed.select(F.col("__t").alias("t"), F.col(id_col).alias("id"), text_col), ["t", "id"], text_col, "fps array<bigint>", make)
+    found = cut_lineage(found.groupBy("t").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("least"), F.any_value("fps").alias("fps")))
+    edges = cut_lineage(near_links(found.select("t", "fps")))
+    roots = connected_components(verified(edges, keyed.select(F.col("__t").alias("t"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))))
+    rooted = found.join(roots, found["t"] == roots["node"], "left").select("t", "least", F.coalesce("root", "t").alias("root"))
+    keep = rooted.groupBy("root").agg(F.min(F.struct("least", "t")).alias("k")).select(F.col("k.t").alias("__t"), F.col("k.least.id").alias("__id"))
+    same = (keyed["__t"] == keep["__t"]) & keyed[id_col].eqNullSafe(keep["__id"])
+    return keyed.join(keep, same, "left_semi").dropDuplicates(["__t", id_col]).select(*docs.columns)

@@ -157,6 +157,15 @@ def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text"
     return map_texts(docs, keep, text_col, "score double", make)
 
 
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, all columns as they were."""
+    model = train(docs, labels, learnable(id_col), id_col, text_col)
+    names = docs.columns
+    slots = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    clean = score(slots, model, slots.columns, f"c{names.index(text_col)}").where(F.col("score") < threshold)
+    return clean.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)))
+
+
 def learnable(id_col: str = "doc_id"):
     """Rows whose labels may be used: crc32 of the id modulo 4 is not 2."""
     return bucket_of(F.col(id_col), 4) != 2
