@@ -125,6 +125,8 @@ def fit(texts: list[str], langs: list[str], epochs: int = 4, rate: float = 0.03,
     """Maximum likelihood by Adam over batches of sequences of ``SEQUENCE`` words."""
     labels = sorted(set(langs))
     size, k, rng = 1 << BITS, len(labels), np.random.default_rng(seed)
+    if not k:
+        return Crf([], np.zeros((size, 0), np.float32), {}, np.zeros((0, 0), np.float32), np.zeros(0, np.float32), np.zeros((0, 0)))
     words, y = stitch([words_of(t) for t in texts], [labels.index(x) for x in langs], rng)
     index: dict[str, int] = {}
     ids = np.array([index.setdefault(w, len(index)) for w in words], np.int64)
@@ -135,7 +137,6 @@ def fit(texts: list[str], langs: list[str], epochs: int = 4, rate: float = 0.03,
     names = list(index)
     lexicon = {names[i]: share[i].astype(np.float32) for i in frequent}
     lex = np.zeros((len(index), k), np.float32)
-    # half of the time a word is shown without its entry, so that affixes and n-grams carry unknown words
     lex[frequent] = share[frequent]
     crf = Crf(labels, np.zeros((size, k), np.float32), lexicon, np.zeros((k, k), np.float32), np.zeros(k, np.float32), np.zeros((k, k)))
     if k < 2 or not len(ids):
@@ -157,6 +158,7 @@ def fit(texts: list[str], langs: list[str], epochs: int = 4, rate: float = 0.03,
             inv = inv.reshape(s.shape)
             pos = np.repeat(starts[uniq], counts[uniq]) + np.arange(counts[uniq].sum()) - np.repeat(np.cumsum(counts[uniq]) - counts[uniq], counts[uniq])
             feat = cols[pos]
+            # half of the time a word goes without its entry, so that affixes and n-grams carry unknown words
             entry = lex[uniq] * (rng.random((len(uniq), 1)) < 0.5)
             e = np.add.reduceat(crf.weights[feat], np.cumsum(counts[uniq]) - counts[uniq], axis=0) + entry @ crf.lexicon_weights + crf.bias
             err, dtrans = _gradients(e[inv], t, crf.transitions)

@@ -28,7 +28,7 @@ END_ID = 1
 MEMO = 1_000_000
 
 _TAIL = b".,;:!?"
-_LETTERS = re.compile("[a-zA-ZÀ-ÖØ-öø-ɏ]+")
+_LETTERS = re.compile("[a-zA-ZÀ-ÖØ-öø-įı-ɏ]+")  # but for the dotted capital I, whose lower case is two letters
 # the byte-level alphabet: printable bytes stand for themselves, others follow from U+0100 on
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_SYMBOL = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}

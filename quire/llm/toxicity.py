@@ -27,8 +27,9 @@ MEMO = 300_000
 class Features:
     """Column ids of texts; n-grams of a word are hashed once per worker, new words of a batch together."""
 
-    def __init__(self):
+    def __init__(self, limit: int = MEMO):
         self.memo: dict[bytes, np.ndarray] = {}
+        self.limit = limit
 
     def learn(self, words: list[bytes]) -> None:
         """Columns of words: n-grams of the word with a space on either side, none across words."""
@@ -58,7 +59,7 @@ class Features:
         for at in range(0, len(texts), chunk):
             words = [set((t or b"").lower().split()) for t in texts[at : at + chunk]]
             new = [w for w in set().union(*words) if w not in memo]
-            if len(memo) + len(new) > MEMO:
+            if len(memo) + len(new) > self.limit:
                 memo.clear()
                 new = list(set().union(*words))
             if new:
@@ -87,37 +88,56 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -60, 60))))
 
 
-def fit(texts: list[bytes | None], labels: list[int], prior: float | None = None, rounds: int = 60, l2: float = 1.0, smooth: float = 1.0) -> Model:
-    """Fit on labelled texts. ``prior``: the share of toxic rows where scores are used, if the sample's differs."""
-    size, feats = 1 << BITS, Features()
-    rows = feats.of_texts(texts)
+def blocks_of(texts: list[bytes | None], size: int = 250) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Columns of ``size`` texts at a time, one after the other, and how many each text has."""
+    feats, out = Features(30_000), []
+    for at in range(0, len(texts), size):
+        rows = feats.of_texts(texts[at : at + size])
+        out.append((np.concatenate(rows), np.array([len(r) for r in rows])))
+    return out
+
+
+def sums(x: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """Sums of consecutive stretches, empty ones included."""
+    return np.diff(np.concatenate(([0.0], np.cumsum(x, dtype=np.float64)))[np.concatenate(([0], np.cumsum(lens)))])
+
+
+def fit(texts: list[bytes | None], labels: list[int], prior: float | None = None, rounds: int = 100, l2: float = 1.0, smooth: float = 1.0) -> Model:
+    """Fit on labelled texts. ``prior``: the share of toxic rows where scores are used, if the sample's differs.
+
+    The design matrix is kept as column ids by block of rows; values and gradients exist for one block
+    at a time, so the fit holds 4 bytes per feature of a text.
+    """
+    size = 1 << BITS
     y = np.asarray(labels, np.float64)
-    if not len(rows) or y.min() == y.max():
-        p = min(max(y.mean() if len(rows) else prior or 0.0, 1e-6), 1 - 1e-6)
+    if not len(y) or y.min() == y.max():
+        p = min(max(y.mean() if len(y) else prior or 0.0, 1e-6), 1 - 1e-6)
         return Model(np.zeros(size, np.float32), float(np.log(p / (1 - p))))
-    lens = np.array([len(r) for r in rows])
-    cols = np.concatenate(rows)
-    of_row = np.repeat(np.arange(len(rows), dtype=np.int32), lens)
-    toxic = y[of_row] > 0
-    p = smooth + np.bincount(cols[toxic], minlength=size)
-    q = smooth + np.bincount(cols[~toxic], minlength=size)
+    blocks, at, p, q = blocks_of(texts), 0, np.full(size, smooth), np.full(size, smooth)
+    for cols, lens in blocks:
+        toxic = np.repeat(y[at : at + len(lens)] > 0, lens)
+        p += np.bincount(cols[toxic], minlength=size)
+        q += np.bincount(cols[~toxic], minlength=size)
+        at += len(lens)
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
     ratio[(p + q) <= 2 * smooth + 2] = 0.0  # seen once or twice: no evidence
-    value = ratio[cols]
-    keep = value != 0
-    cols, of_row, value = cols[keep], of_row[keep], value[keep]
-    # logistic regression by Nesterov's method; the step is from the largest row norm
-    norm = np.bincount(of_row, value**2, minlength=len(rows)).max() or 1.0
+    known = ratio != 0
+    blocks = [(cols[known[cols]], sums(known[cols], lens).astype(np.int64)) for cols, lens in blocks]
+    # logistic regression by Nesterov's method; the step follows from the largest row norm
+    norm = max(float(sums(ratio[cols] ** 2, lens).max(initial=0.0)) for cols, lens in blocks) or 1.0
     step = 4 / (norm * 0.05 + l2)
     w, b, vw, vb = np.zeros(size), float(np.log(y.mean() / (1 - y.mean()))), np.zeros(size), 0.0
     for _ in range(rounds):
-        lw, lb = w + 0.9 * vw, b + 0.9 * vb
-        z = lb + np.bincount(of_row, value * lw[cols], minlength=len(rows))
-        err = 1 / (1 + np.exp(-np.clip(z, -60, 60))) - y
-        g = np.bincount(cols, value * err[of_row], minlength=size) / len(rows) + l2 / len(rows) * lw
-        gb = float(err.mean())
-        vw = 0.9 * vw - step * g
-        vb = 0.9 * vb - 0.5 * gb
+        lw, lb, at, total = w + 0.9 * vw, b + 0.9 * vb, 0, 0.0
+        scaled, g = lw * ratio, np.zeros(size)
+        for cols, lens in blocks:
+            z = lb + sums(scaled[cols], lens)
+            err = 1 / (1 + np.exp(-np.clip(z, -60, 60))) - y[at : at + len(lens)]
+            g += np.bincount(cols, np.repeat(err, lens), minlength=size)
+            total += float(err.sum())
+            at += len(lens)
+        vw = 0.9 * vw - step * (g * ratio + l2 * lw) / len(y)
+        vb = 0.9 * vb - 0.5 * total / len(y)
         w, b = w + vw, b + vb
     if prior is not None:
         prior = min(max(prior, 1e-6), 1 - 1e-6)
@@ -136,7 +156,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn, id_col: str, text_c
     ids = one.where(share < wanted).limit(3 * sample)
     text = F.col(text_col).cast("string")
     rows = docs.select(id_col, text.alias("t")).where(F.length("t") <= SAMPLE_CHARS).join(F.broadcast(ids), id_col).dropDuplicates([id_col]).select("t", "y").collect()
-    rows.sort(key=lambda r: (r["y"], r["t"]))
+    rows.sort(key=lambda r: (r["y"], r["t"]))  # the fit doesn't depend on the order of arrival
     return [r["t"].encode() for r in rows], [r["y"] for r in rows], n.get(1, 0) / sum(n.values())
 
 
