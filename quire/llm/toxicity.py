@@ -178,11 +178,16 @@ def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text"
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, all columns as they were."""
+    """The rows of ``docs`` that score below ``threshold``, all columns as they were.
+
+    A null, empty or blank text has nothing to reject it for and stays, however high the share of toxic labels.
+    """
     model = train(docs, labels, learnable(id_col), id_col, text_col)
     names = docs.columns
     slots = docs.toDF(*(f"c{i}" for i in range(len(names))))
-    clean = score(slots, model, slots.columns, f"c{names.index(text_col)}").where(F.col("score") < threshold)
+    text = f"c{names.index(text_col)}"
+    wordless = ~F.coalesce(F.col(text).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    clean = score(slots, model, slots.columns, text).where((F.col("score") < threshold) | wordless)
     return clean.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)))
 
 
