@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.operators import evaluation, layout, lines, provenance, records, stratify, vocabulary
+from quire.plans import enrich
+from quire.sources import markup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -230,19 +232,27 @@ def run_merge_stats(spark, sf_dir):
     return provenance.merge_runs(stages).withColumn("seconds", F.round("seconds", 4))
 
 
+#: Words of a passage's start by which it is found in documents.
+KEY_WORDS = 5
+
+
 def _matches(spark, sf_dir):
     """ASCII documents next to the benchmark passages that they contain, compared over the passage's length."""
     docs = table(spark, sf_dir, "documents").where(~F.col("text").rlike(r"[^\x00-\x7F]")).select("doc_id", "source", F.col("text").alias("d"))
     items = table(spark, sf_dir, "benchmark").where(~F.col("text").rlike(r"[^\x00-\x7F]")).select("item_id", F.col("text").alias("b"))
-    # the first line of a passage is a line of its document: an equi-join on lines instead of containment of all pairs
-    d = docs.select("*", F.explode(F.array_distinct(F.split("d", "\n"))).alias("line"))
-    found = d.join(items.withColumn("line", F.substring_index("b", "\n", 1)), "line")
-    return found.select("doc_id", "source", "item_id", F.substr("b", F.lit(1), F.lit(90)).alias("ref"), F.expr("substr(d, locate(line, d) + 3, 90)").alias("hyp"))
+    # the first words of a passage stand in its document: an equi-join on runs of words instead of containment of all pairs
+    # words are exploded one by one: inside a lambda the text would be split again for every place
+    near = Window.partitionBy("doc_id").orderBy("at").rowsBetween(0, KEY_WORDS - 1)
+    one = docs.select("doc_id", F.posexplode(F.split("d", " ")).alias("at", "w")).withColumn("run", F.collect_list("w").over(near)).where(F.size("run") == KEY_WORDS)
+    hits = one.select("doc_id", F.array_join("run", " ").alias("key")).distinct().join(items.withColumn("key", F.substring_index("b", " ", KEY_WORDS)), "key")
+    found = docs.join(hits, "doc_id")  # texts meet the few hits only
+    return found.select("doc_id", "source", "item_id", F.substr("b", F.lit(1), F.lit(90)).alias("ref"), F.expr("substr(d, locate(' ' || key || ' ', ' ' || d || ' ') + 3, 90)").alias("hyp"))
 
 
 _MATCH = r"""
-m AS (SELECT doc_id, source, item_id, substr(b.text, 1, 90) AS ref, substr(d.text, instr(d.text, split_part(b.text, chr(10), 1)) + 3, 90) AS hyp FROM documents d JOIN benchmark b
-  ON list_contains(string_split(d.text, chr(10)), split_part(b.text, chr(10), 1)) WHERE NOT regexp_matches(d.text, '[^\x00-\x7F]') AND NOT regexp_matches(b.text, '[^\x00-\x7F]')),
+k AS (SELECT item_id, text AS b, array_to_string(string_split(text, ' ')[1:5], ' ') AS key FROM benchmark WHERE NOT regexp_matches(text, '[^\x00-\x7F]') AND len(string_split(text, ' ')) >= 5),
+m AS (SELECT doc_id, source, item_id, substr(b, 1, 90) AS ref, substr(text, instr(' ' || text || ' ', ' ' || key || ' ') + 3, 90) AS hyp FROM documents d JOIN k
+  ON contains(' ' || text || ' ', ' ' || key || ' ') WHERE NOT regexp_matches(text, '[^\x00-\x7F]')),
 n AS (SELECT doc_id, source, item_id, trim(regexp_replace(ref, '\s+', ' ', 'g')) AS ref, trim(regexp_replace(hyp, '\s+', ' ', 'g')) AS hyp FROM m)"""
 
 
@@ -535,3 +545,56 @@ SELECT page_id, CASE WHEN regexp_matches(lower(name), '(\.teitok\.xml|\.alto\.xm
 def canonical_doc_id(spark, sf_dir):
     suffix = F.when(F.col("page_id") % 4 == 0, ".alto.xml").when(F.col("page_id") % 4 == 1, "-7.part.txt").when(F.col("page_id") % 4 == 2, ".other.bin").otherwise("")
     return table(spark, sf_dir, "pages").select("page_id", T.canonical_doc_id(F.concat("url", suffix)).alias("doc"))
+
+
+# predictions ----------------------------------------------------------------------------------
+
+_REPLY = """CASE event_type WHEN 'click' THEN '{"keywords":["a' || k || '","b"],"keywords_en":["c"],"category":"Metals","confidence":0.' || k || '}'
+  WHEN 'purchase' THEN '{"keywords":["a"],"keywords_en":["b"],"category":"No category","confidence":"1.' || k || '"}' WHEN 'view' THEN '{"keywords":["a"],"category":"Places","confidence":-' || k || '}'
+  WHEN 'signup' THEN '{"keywords":[],"category":"Nowhere","confidence":0.5}' ELSE '{"keywords":["a' || k END"""
+
+
+@query(
+    f"""WITH r AS (SELECT event_id, {_REPLY} AS reply FROM (SELECT *, json_extract_string(props, '$.k') AS k FROM events)),
+p AS (SELECT event_id, CASE WHEN json_valid(reply) THEN reply END AS j FROM r),
+v AS (SELECT event_id, json_extract_string(j, '$.category') AS category, least(1.0, greatest(0.0, TRY_CAST(json_extract_string(j, '$.confidence') AS DOUBLE))) AS confidence,
+  CASE WHEN json_extract_string(j, '$.category') = 'No category' THEN '' ELSE coalesce(array_to_string(json_extract_string(j, '$.keywords[*]'), ','), '') END AS keywords FROM p)
+SELECT event_id, CASE WHEN category IS NULL THEN 'no valid JSON' WHEN category NOT IN ('Metals', 'Places', 'No category') THEN 'unknown category' END AS error,
+  CASE WHEN category IS NOT NULL THEN category END AS category, CASE WHEN category IS NOT NULL THEN round(confidence, 6) END AS confidence, CASE WHEN category IS NOT NULL THEN keywords END AS keywords FROM v"""
+)
+def lenient_json_validate(spark, sf_dir):
+    replies = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k")).select("event_id", F.expr(_REPLY).alias("reply"))
+    out = enrich.validate(replies, enrich.vocabulary_categories(spark, ["Metals", "Places"]))
+    known = F.col("category").isNotNull()
+    return out.select("event_id", "error", "category", F.when(known, F.round("confidence", 6)).alias("confidence"), F.when(known, F.array_join("keywords", ",")).alias("keywords"))
+
+
+#: Terms of the lexical predictor, with their English forms and themes.
+_LEXICON = (("that", "THAT", "Pronouns"), ("with", "WITH", "Particles"), ("this", "THIS", "Pronouns"), ("from", "FROM", "Particles"), ("tion", "TION", "Endings"), ("menton", "MENTON", "Endings"), ("then", "THEN", "Particles"))
+
+
+@query(
+    f"""WITH {_LINES},
+e AS (SELECT *, CASE WHEN quality_score < 0.4 THEN 'Trash' WHEN quality_score < 0.7 AND categ <> 'Trash' THEN 'Noisy' ELSE categ END AS c FROM lines),
+k AS (SELECT file, row_idx, lower(text) AS t FROM e WHERE length(text) > 0 AND c NOT IN ('Empty', 'Trash') AND (c = 'Non-text' OR length(text) >= 3)
+  AND (c <> 'Non-text' OR (length(text) >= 8 AND length(regexp_replace(text, '[^\\p{{L}}]', '', 'g')) / length(text) >= 0.4))),
+v(term, en) AS (VALUES {", ".join(f"('{t}', '{e}')" for t, e, _ in _LEXICON)}),
+h AS (SELECT file, row_idx, list(term ORDER BY -length(term), term) AS terms, list(en ORDER BY -length(term), term) AS ens FROM k JOIN v ON contains(t, term) GROUP BY file, row_idx)
+SELECT file, CAST(row_idx AS INT) AS row_idx, coalesce(array_to_string(terms[1:5], ','), '') AS keywords, coalesce(array_to_string(ens[1:5], ','), '') AS keywords_en, coalesce(terms[1], 'No category') AS category,
+  CASE WHEN terms IS NULL THEN 0.0::DOUBLE ELSE round(least(1.0, 0.5 + 0.1 * len(terms[1:5])), 6)::DOUBLE END AS confidence FROM k LEFT JOIN h USING (file, row_idx)"""
+)
+def enrich_lines_lexical(spark, sf_dir):
+    categories = enrich.vocabulary_categories(spark, [t for t, _, _ in _LEXICON])
+    found, _ = enrich.enrich_lines(_lines(spark, sf_dir), enrich.LexicalPredictor(list(_LEXICON)), categories)
+    return found.select("file", "row_idx", F.array_join("keywords", ",").alias("keywords"), F.array_join("keywords_en", ",").alias("keywords_en"), "category", F.round("confidence", 6).alias("confidence"))
+
+
+@query(
+    r"""WITH b AS (SELECT page_id, regexp_extract_all(html, '(?is)<(?:h[1-6]|p|li)(?: [^>]*)?>.*?</(?:h[1-6]|p|li)>') AS parts FROM pages),
+r AS (SELECT page_id, unnest(range(0, len(parts))) AS row_idx, unnest(parts) AS part FROM b),
+t AS (SELECT *, lower(regexp_extract(part, '^<(\w+)', 1)) AS tag, regexp_replace(part, '<[^>]*>', ' ', 'g') AS x FROM r)
+SELECT page_id, CAST(row_idx AS INT) AS row_idx, CASE WHEN tag = 'p' THEN 'paragraph' WHEN tag = 'li' THEN 'item' ELSE 'heading' END AS kind, CASE WHEN tag LIKE 'h%' THEN CAST(substr(tag, 2) AS INT) END AS level,
+  trim(regexp_replace(replace(replace(replace(replace(replace(replace(x, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '[ \t\r\n]+', ' ', 'g')) AS text FROM t"""
+)
+def html_rows(spark, sf_dir):
+    return markup.html_rows(table(spark, sf_dir, "pages"), ["page_id"])

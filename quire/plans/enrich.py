@@ -15,6 +15,7 @@ from typing import Protocol
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from quire.functions.text import approx_tokens
 from quire.operators import lines as L
@@ -60,7 +61,7 @@ class RetryingPredictor:
 
 def predict(df: DataFrame, predictor: Predictor, prompt: str = "context") -> DataFrame:
     """``df`` with ``reply``; the predictor sees one partition's prompts in order."""
-    schema = df.schema.add("reply", "string")
+    schema = StructType([*df.schema.fields, StructField("reply", StringType())])  # add() would change df's own schema
     names = [*df.columns, "reply"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -243,6 +243,29 @@ def test_config_layers_and_offload(spark):
     assert one(spark, gb, f=20.0) == 0 and one(spark, gb, f=140.0) == math.ceil(140 - (48 * 0.9 - 4) + 2) and one(spark, gb, f=900.0) is None
 
 
+def test_lexical_enrichment_stops_nowhere_and_keeps_the_frame(spark):
+    from quire.plans import enrich
+
+    rows = [("f", 0, 1, 1, "Heading", 0.9, "Title"), ("f", 1, 1, 2, "Clear", 0.9, "an old grave mound"), ("f", 2, 1, 3, "Trash", 0.1, "#"), ("f", 3, 1, 4, "Clear", 0.9, "nothing here")]
+    df = frame(spark, rows, "file string, row_idx int, page_num int, line_num int, categ string, quality_score double, text string")
+    predictor = enrich.LexicalPredictor([("grave", "GRAVE", "Burials"), ("mound", "MOUND", "Burials"), ("old", "OLD", "Other")])
+    records_, status = enrich.enrich_lines(df, predictor, enrich.vocabulary_categories(spark, ["grave", "mound", "old"]))
+    got = {r["row_idx"]: (r["keywords"], r["category"]) for r in records_.collect()}
+    assert got == {0: ([], enrich.META), 1: (["grave", "mound", "old"], "grave"), 3: ([], enrich.META)}
+    assert status.first()["skipped"] == 1 and not status.first()["aborted"]
+    before = df.columns
+    enrich.predict(df, predictor, "text")
+    assert df.columns == before
+
+
+def test_html_rows(spark):
+    from quire.sources import markup
+
+    page = "<h2 class='a'>One &amp; <b>two</b></h2>\n<p>x\n y<br>z</p><pre>no</pre><ul><li>item</li></ul>"
+    got = [tuple(r) for r in markup.html_rows(frame(spark, [(1, page), (2, None), (3, "")], "page_id int, html string"), ["page_id"]).orderBy("row_idx").collect()]
+    assert got == [(1, 0, "heading", 2, "One & two"), (1, 1, "paragraph", None, "x y z"), (1, 2, "item", None, "item")]
+
+
 def test_markdown_table(spark):
     df = frame(spark, [([["a|b", "c"], ["d"]],)], "rows array<array<string>>")
     assert df.select(layout.markdown_table(F.col("rows"), F.lit(2)).alias("t")).first()["t"] == "| a\\|b | c |\n|---|---|\n| d |  |"
