@@ -13,7 +13,7 @@ a centre has at most 65 different fingerprints around it, and they form a star.
 
 from __future__ import annotations
 
-from collections import Counter
+import math
 from itertools import accumulate
 
 import numpy as np
@@ -111,64 +111,60 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(of_fp, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Independent word fingerprints of a text when near copies are sought, and what makes two texts near.
-FINGERPRINTS, NEAR_WIDTH, NEAR = 4, 5, 0.8
-_MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
-
-
-def word_fingerprints(text: bytes | None) -> list[int]:
-    """``FINGERPRINTS`` fingerprints over the distinct words, weighted by the logarithm of their counts."""
-    counts = Counter((text or b"").lower().split())
-    if not counts:
-        return [0] * FINGERPRINTS
-    h = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in counts), np.uint64, len(counts))
-    mixed = h[:, None] * np.array(_MIX, np.uint64)[None, :]
-    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xFF51AFD7ED558CCD)
-    mixed ^= mixed >> np.uint64(29)
-    bits = np.unpackbits(mixed.view(np.uint8).reshape(len(h), -1), axis=1, bitorder="little")
-    weight = np.log1p(np.fromiter(counts.values(), np.float32, len(counts)))
-    on = weight @ bits > weight.sum() / 2
-    return np.packbits(on, bitorder="little").view(np.int64).tolist()
+#: Words of a shingle and the Jaccard similarity of shingle sets that makes two texts near.
+NEAR_WIDTH, NEAR = 5, 0.8
+#: Pairs of a shingle's texts, in proportion to the texts, from which it is sorted last; how often that is tried, and for how many shingles.
+CROWDED, ORDERS, LATE = 16, 3, 1_000_000
 
 
 def shingle_set(text: bytes | None) -> bytes:
-    """Sorted 32-bit hashes of the text's different five-word runs."""
-    runs = {xxhash.xxh32_intdigest(r) for r in shingles(text or b"", NEAR_WIDTH)}
-    return np.sort(np.fromiter(runs, "<u4", len(runs))).tobytes()
+    """Sorted 64-bit hashes of the text's different five-word runs; of all words if there are fewer."""
+    words = (text or b"").lower().split()
+    if not words:
+        return b""
+    h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    width = min(NEAR_WIDTH, len(words))
+    n = len(words) - width + 1
+    runs = np.full(n, width, np.uint64)
+    for k in range(width):
+        runs = (runs ^ h[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
+        runs ^= runs >> np.uint64(29)
+    return np.unique(runs * np.uint64(0xFF51AFD7ED558CCD)).astype("<u8").tobytes()
 
 
 def similarity(a: bytes, b: bytes) -> float:
     """Jaccard similarity of two shingle sets; two empty ones are equal."""
-    x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
+    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
     if not len(x) and not len(y):
         return 1.0
     both = len(np.intersect1d(x, y, assume_unique=True))
     return both / (len(x) + len(y) - both)
 
 
-def near_links(classes: DataFrame) -> DataFrame:
-    """Candidate edges ``a``, ``b`` between texts (``t``, ``fps``) of which some fingerprint differs in 2 bits at most.
+def prefix(s: bytes, late: np.ndarray) -> np.ndarray:
+    """The first shingles of a set, ``late`` ones last: sets of similarity ``NEAR`` share one of theirs.
 
-    Texts with one fingerprint link to a representative of theirs, chosen anew for every fingerprint
-    position, and representatives link as their fingerprints do: edges stay in proportion to texts.
+    Such sets share at least ``NEAR`` of either, so not all of the shared ones lie behind the prefix,
+    whatever the order. A set without shingles gets 0.
     """
-    each = classes.select("t", F.posexplode("fps").alias("p", "fp"))
-    rep = each.groupBy("p", "fp").agg(F.min_by("t", F.xxhash64("p", "t")).alias("rep"))
-    rep = cut_lineage(rep)
-    same = each.join(rep, ["p", "fp"]).select(F.col("t").alias("a"), F.col("rep").alias("b"))
-    out = same
-    for p in range(FINGERPRINTS):
-        own = rep.where(F.col("p") == p)
-        left, right = own.select(F.col("fp").alias("a"), F.col("rep").alias("x")), own.select(F.col("fp").alias("b"), F.col("rep").alias("y"))
-        out = out.unionByName(links(own).join(left, "a").join(right, "b").select(F.col("x").alias("a"), F.col("y").alias("b")))
-    return out.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-
-
-def verified(edges: DataFrame, texts: DataFrame) -> DataFrame:
-    """The edges whose texts (``t``, ``text``) have five-word shingles of similarity ``NEAR`` or more."""
-    nodes = edges.select(F.explode(F.array("a", "b")).alias("t")).distinct()
-    own = texts.join(nodes, "t", "left_semi").dropDuplicates(["t"])
-    sets = cut_lineage(map_texts(own, ["t"], "text", "s binary", lambda: lambda ts: {"s": [shingle_set(t) for t in ts]}))
+    x = np.frombuffer(s, "<u8")
+    if not len(x):
+        return np.zeros(1, np.int64)
+    if len(late):
+        last = np.isin(x, late)
+        x = np.concatenate([x[~last], x[last]])
+    return x[: len(x) - math.ceil(NEAR * len(x) - 1e-9) + 1].view(np.int64)
+
+
+def signatures(sets: list[bytes], late: np.ndarray) -> dict[str, list | pa.Array]:
+    """``size`` and ``prefix`` of shingle sets."""
+    runs = [prefix(s, late) for s in sets]
+    offsets = np.cumsum([0, *map(len, runs)]).astype(np.int32)
+    return {"size": [len(s) // 8 for s in sets], "prefix": pa.ListArray.from_arrays(offsets, np.concatenate(runs) if runs else pa.array([], pa.int64()))}
+
+
+def verified(edges: DataFrame, sets: DataFrame) -> DataFrame:
+    """The edges whose shingle sets (``t``, ``s``) have similarity ``NEAR`` or more."""
     pairs = edges.join(sets.select(F.col("t").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("t").alias("b"), F.col("s").alias("sb")), "b")
 
     def run(batches):
@@ -179,19 +175,93 @@ def verified(edges: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
 
 
+def _shared(rows: DataFrame) -> DataFrame:
+    return rows.join(rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"), "key")
+
+
+def _stars(named: DataFrame) -> DataFrame:
+    """Each text of a shingle with the least text of its size class, if their groups differ."""
+    sized = named.withColumn("class", F.floor(F.log(F.greatest(F.col("size"), F.lit(1))) / -math.log(NEAR)))
+    least = sized.groupBy("key", "class").agg(F.min(F.struct("t", "label")).alias("least"))
+    return sized.join(least, ["key", "class"]).where("label <> least.label").select(F.col("t").alias("a"), F.col("least.t").alias("b")).distinct()
+
+
+def _pairs(named: DataFrame, mixed: DataFrame) -> DataFrame:
+    """All pairs of texts of a shingle in different groups that sizes and places allow to be near."""
+    left = named.join(mixed.select("key"), "key")
+    right = left.select("key", *(F.col(c).alias(f"{c}2") for c in ("t", "size", "i", "label")))
+    least, most = F.least("size", "size2"), F.greatest("size", "size2")
+    room = F.least(F.col("size") - F.col("i"), F.col("size2") - F.col("i2"))
+    fits = (least >= NEAR * most - 1e-6) & ((room >= NEAR / (1 + NEAR) * (F.col("size") + F.col("size2")) - 1e-6) | (most == 0))
+    return left.join(right, "key").where("t > t2 and label <> label2").where(fits).select(F.col("t").alias("a"), F.col("t2").alias("b")).distinct()
+
+
+def near_edges(classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Edges ``a``, ``b`` that connect all texts whose shingle sets have similarity ``NEAR`` or more.
+
+    ``classes``: each different text's ``t``, ``size`` and ``prefix``; ``texts``: ``t`` and ``text``.
+    Texts that share no shingle of their prefixes are never near. Of a shared shingle, every text is
+    compared with one of them first, and only those found near become one group; then all pairs of
+    different groups are compared, so a pair is left out only if it is connected already.
+
+    A shingle that many groups have would make many pairs. It goes to the end of the order in which
+    prefixes are taken, and the texts that had it in their prefix get a new one. Other texts' prefixes
+    stay as they are, so one order holds for all, and any order finds every pair.
+    """
+    rows = cut_lineage(_shared(classes.select("t", "size", F.posexplode("prefix").alias("i", "key"))))
+    own = texts.join(rows.select("t").distinct(), "t", "left_semi").dropDuplicates(["t"])
+    sets = cut_lineage(map_texts(own, ["t"], "text", "s binary", lambda: lambda ts: {"s": [shingle_set(t) for t in ts]}))
+    edges = classes.sparkSession.createDataFrame([], "a bigint, b bigint")
+    groups, late = connected_components(edges), np.zeros(0, np.uint64)
+    label = F.coalesce("root", "t").alias("label")
+    for order in range(ORDERS + 1):
+        named = rows.join(groups, rows["t"] == groups["node"], "left").select("t", "size", "i", "key", label)
+        edges = cut_lineage(edges.unionByName(verified(cut_lineage(_stars(named)), sets)))
+        groups = connected_components(edges)
+        named = cut_lineage(rows.join(groups, rows["t"] == groups["node"], "left").select("t", "size", "i", "key", label))
+        in_group = named.groupBy("key", "label").agg(F.count("*").alias("m"))
+        mixed = in_group.groupBy("key").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("within")).withColumn("cross", (F.col("m") * F.col("m") - F.col("within")) / 2)
+        mixed = cut_lineage(mixed.where("cross > 0"))
+        crowded = mixed.where(F.col("cross") > CROWDED * F.col("m")).orderBy(F.desc("cross"), "key").select("key").limit(LATE)
+        hot = np.array([r["key"] for r in crowded.collect()], np.int64).view(np.uint64) if order < ORDERS else late[:0]
+        hot = np.setdiff1d(hot, late)
+        if not len(hot):
+            break
+        late = np.union1d(late, hot)
+        again = cut_lineage(rows.join(F.broadcast(crowded), "key", "left_semi").select("t").distinct())
+        make = lambda late=late: lambda ss: signatures(ss, late)
+        anew = sets.join(again, "t", "left_semi").select("t", F.col("s"))
+        anew = map_sets(anew, make).select("t", "size", F.posexplode("prefix").alias("i", "key"))
+        rows = cut_lineage(_shared(rows.join(again, "t", "left_anti").select("t", "size", "i", "key").unionByName(anew)))
+    return edges.unionByName(verified(cut_lineage(_pairs(named, mixed)), sets))
+
+
+def map_sets(sets: DataFrame, make) -> DataFrame:
+    """``t``, ``size`` and ``prefix`` of shingle sets (``t``, ``s``)."""
+
+    def run(batches):
+        apply = make()
+        for batch in batches:
+            got = apply(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got["size"], pa.int32()), got["prefix"]], names=["t", "size", "prefix"])
+
+    return sets.mapInArrow(run, "t bigint, size int, prefix array<bigint>")
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of every group of near copies: the one with the smallest id, all columns as they were.
 
-    Groups are connected by equal texts and by candidates of the covering tables whose five-word
-    shingles are similar enough. Null and empty texts are one group. Rows with null ids come last, and
-    of rows with equal id and text one stays.
+    Groups are connected by equal texts and by all pairs whose five-word shingles have a Jaccard
+    similarity of ``NEAR`` or more. Null and wordless texts are one group. Rows with null ids come last,
+    and of rows with equal id and text one stays.
     """
     keyed = docs.withColumn("__t", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    make = lambda: lambda ts: {"fps": [word_fingerprints(t) for t in ts]}
-    found = map_texts(keyed.select(F.col("__t").alias("t"), F.col(id_col).alias("id"), text_col), ["t", "id"], text_col, "fps array<bigint>", make)
-    found = cut_lineage(found.groupBy("t").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("least"), F.any_value("fps").alias("fps")))
-    edges = cut_lineage(near_links(found.select("t", "fps")))
-    roots = connected_components(verified(edges, keyed.select(F.col("__t").alias("t"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))))
+    make = lambda: lambda ts: signatures([shingle_set(t) for t in ts], np.zeros(0, np.uint64))
+    found = map_texts(keyed.select(F.col("__t").alias("t"), F.col(id_col).alias("id"), text_col), ["t", "id"], text_col, "size int, prefix array<bigint>", make)
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("least")
+    found = cut_lineage(found.groupBy("t").agg(least, F.any_value("size").alias("size"), F.any_value("prefix").alias("prefix")))
+    edges = near_edges(found.select("t", "size", "prefix"), keyed.select(F.col("__t").alias("t"), F.coalesce(F.col(text_col), F.lit("")).alias("text")))
+    roots = connected_components(edges)
     rooted = found.join(roots, found["t"] == roots["node"], "left").select("t", "least", F.coalesce("root", "t").alias("root"))
     keep = rooted.groupBy("root").agg(F.min(F.struct("least", "t")).alias("k")).select(F.col("k.t").alias("__t"), F.col("k.least.id").alias("__id"))
     same = (keyed["__t"] == keep["__t"]) & keyed[id_col].eqNullSafe(keep["__id"])

@@ -110,3 +110,23 @@ def test_near_copies_go_and_others_stay(spark):
     assert out.columns == ["doc_id", "text", "t"]
     assert sorted(r["doc_id"] for r in out.collect()) == [*range(12), 200]
     assert S.similarity(S.shingle_set(texts[0].encode()), S.shingle_set(" ".join(edited).encode())) >= 0.8
+
+
+def test_near_copy_groups_under_a_dissimilar_hub_are_found(spark):
+    rng = random.Random(3)
+    fresh = iter(range(10**6))
+
+    def words(n):
+        return [f"u{next(fresh)}" for _ in range(n)]
+
+    shared = words(100)  # every text is half boilerplate: none is near another for it alone
+    rows, groups = [], 40
+    for g in range(groups):
+        body = words(100)
+        for k in range(2):
+            own = list(body)
+            own[rng.randrange(100)] = f"edit{k}"
+            rows.append((2 * g + k, " ".join(shared + own)))
+    rows += [(1000 + k, " ".join(shared + words(100))) for k in range(20)]
+    got = sorted(r["doc_id"] for r in S.drop_near_duplicates(frame(spark, rows, "doc_id bigint, text string")).collect())
+    assert got == [2 * g for g in range(groups)] + [1000 + k for k in range(20)]
