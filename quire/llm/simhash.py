@@ -115,6 +115,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 NEAR_WIDTH, NEAR = 5, 0.8
 #: Pairs of a shingle's texts, in proportion to the texts, from which it is sorted last; how often that is tried, and for how many shingles.
 CROWDED, ORDERS, LATE = 16, 3, 1_000_000
+#: 64-bit words of the parity marks by which most pairs are ruled out, and rows that a worker takes at a time.
+MARKS, SLICE = 16, 500
 
 
 def shingle_set(text: bytes | None) -> bytes:
@@ -156,21 +158,60 @@ def prefix(s: bytes, late: np.ndarray) -> np.ndarray:
     return x[: len(x) - math.ceil(NEAR * len(x) - 1e-9) + 1].view(np.int64)
 
 
-def signatures(sets: list[bytes], late: np.ndarray) -> dict[str, list | pa.Array]:
+def signatures(sets, late: np.ndarray) -> dict[str, list | pa.Array]:
     """``size`` and ``prefix`` of shingle sets."""
-    runs = [prefix(s, late) for s in sets]
+    sizes, runs = [], []
+    for s in sets:
+        sizes.append(len(s) // 8)
+        runs.append(prefix(s, late).copy())
     offsets = np.cumsum([0, *map(len, runs)]).astype(np.int32)
-    return {"size": [len(s) // 8 for s in sets], "prefix": pa.ListArray.from_arrays(offsets, np.concatenate(runs) if runs else pa.array([], pa.int64()))}
+    return {"size": pa.array(sizes, pa.int32()), "prefix": pa.ListArray.from_arrays(offsets, np.concatenate(runs))}
+
+
+def marks(s: bytes) -> list[int]:
+    """``MARKS`` times 64 bits, each telling if an odd number of shingles falls to it: sets differ in at least as many shingles as bits."""
+    odd = np.bincount((np.frombuffer(s, "<u8") & np.uint64(64 * MARKS - 1)).astype(np.int64), minlength=64 * MARKS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).tolist()
+
+
+def map_slices(df: DataFrame, keep: list[str], col: str, schema: str, apply) -> DataFrame:
+    """``keep`` and the columns that ``apply`` makes of the bytes in ``col``, few rows at a time to spare the workers' memory."""
+    whole = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keep).schema), schema])
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                got = apply(part.column(len(keep)).to_pylist())
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(keep))), *got.values()], names=[*keep, *got])
+
+    return df.select(*keep, F.col(col).cast("binary")).mapInArrow(run, whole)
+
+
+def _sets(texts: list[bytes]) -> dict[str, pa.Array]:
+    made = [shingle_set(t) for t in texts]
+    return {"s": pa.array(made, pa.binary()), "size": pa.array([len(s) // 8 for s in made], pa.int32()), "marks": pa.array([marks(s) for s in made], pa.list_(pa.int64()))}
+
+
+def may_be_near(edges: DataFrame, sets: DataFrame) -> DataFrame:
+    """The edges whose sets' sizes and ``marks`` don't rule out similarity ``NEAR``; no set is moved."""
+    ends = [sets.select(F.col("t").alias(x), F.col("size").alias(f"size_{x}"), F.col("marks").alias(f"marks_{x}")) for x in "ab"]
+    both = edges.join(ends[0], "a").join(ends[1], "b")
+    apart = sum((F.bit_count(F.get("marks_a", F.lit(i)).bitwiseXOR(F.get("marks_b", F.lit(i)))) for i in range(MARKS)), F.lit(0))
+    return both.where(apart <= (1 - NEAR) / (1 + NEAR) * (F.col("size_a") + F.col("size_b")) + 1e-6).select("a", "b")
 
 
 def verified(edges: DataFrame, sets: DataFrame) -> DataFrame:
-    """The edges whose shingle sets (``t``, ``s``) have similarity ``NEAR`` or more."""
+    """The edges whose shingle sets (``t``, ``s``, ``size``, ``marks``) have similarity ``NEAR`` or more."""
+    edges = cut_lineage(may_be_near(edges, sets))
     pairs = edges.join(sets.select(F.col("t").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("t").alias("b"), F.col("s").alias("sb")), "b")
 
     def run(batches):
         for batch in batches:
-            keep = [similarity(x, y) >= NEAR for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                keep = [similarity(x, y) >= NEAR for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
+                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
 
@@ -210,7 +251,7 @@ def near_edges(classes: DataFrame, texts: DataFrame) -> DataFrame:
     """
     rows = cut_lineage(_shared(classes.select("t", "size", F.posexplode("prefix").alias("i", "key"))))
     own = texts.join(rows.select("t").distinct(), "t", "left_semi").dropDuplicates(["t"])
-    sets = cut_lineage(map_texts(own, ["t"], "text", "s binary", lambda: lambda ts: {"s": [shingle_set(t) for t in ts]}))
+    sets = cut_lineage(map_slices(own, ["t"], "text", "s binary, size int, marks array<bigint>", _sets))
     edges = classes.sparkSession.createDataFrame([], "a bigint, b bigint")
     groups, late = connected_components(edges), np.zeros(0, np.uint64)
     label = F.coalesce("root", "t").alias("label")
@@ -229,25 +270,12 @@ def near_edges(classes: DataFrame, texts: DataFrame) -> DataFrame:
             break
         late = np.union1d(late, hot)
         again = cut_lineage(rows.join(F.broadcast(crowded), "key", "left_semi").select("t").distinct())
-        make = lambda late=late: lambda ss: signatures(ss, late)
-        anew = sets.join(again, "t", "left_semi").select("t", F.col("s"))
-        anew = map_sets(anew, make).select("t", "size", F.posexplode("prefix").alias("i", "key"))
+        resign = lambda ss, late=late: signatures(ss, late)
+        anew = map_slices(sets.join(again, "t", "left_semi"), ["t"], "s", "size int, prefix array<bigint>", resign).select("t", "size", F.posexplode("prefix").alias("i", "key"))
         rows = cut_lineage(_shared(rows.join(again, "t", "left_anti").select("t", "size", "i", "key").unionByName(anew)))
     return edges.unionByName(verified(cut_lineage(_pairs(named, mixed)), sets))
 
 
-def map_sets(sets: DataFrame, make) -> DataFrame:
-    """``t``, ``size`` and ``prefix`` of shingle sets (``t``, ``s``)."""
-
-    def run(batches):
-        apply = make()
-        for batch in batches:
-            got = apply(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got["size"], pa.int32()), got["prefix"]], names=["t", "size", "prefix"])
-
-    return sets.mapInArrow(run, "t bigint, size int, prefix array<bigint>")
-
-
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of every group of near copies: the one with the smallest id, all columns as they were.
 
@@ -256,8 +284,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     and of rows with equal id and text one stays.
     """
     keyed = docs.withColumn("__t", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    make = lambda: lambda ts: signatures([shingle_set(t) for t in ts], np.zeros(0, np.uint64))
-    found = map_texts(keyed.select(F.col("__t").alias("t"), F.col(id_col).alias("id"), text_col), ["t", "id"], text_col, "size int, prefix array<bigint>", make)
+    sign = lambda ts: signatures(map(shingle_set, ts), np.zeros(0, np.uint64))
+    found = map_slices(keyed.select(F.col("__t").alias("t"), F.col(id_col).alias("id"), text_col), ["t", "id"], text_col, "size int, prefix array<bigint>", sign)
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("least")
     found = cut_lineage(found.groupBy("t").agg(least, F.any_value("size").alias("size"), F.any_value("prefix").alias("prefix")))
     edges = near_edges(found.select("t", "size", "prefix"), keyed.select(F.col("__t").alias("t"), F.coalesce(F.col(text_col), F.lit("")).alias("text")))

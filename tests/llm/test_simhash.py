@@ -130,3 +130,30 @@ def test_near_copy_groups_under_a_dissimilar_hub_are_found(spark):
     rows += [(1000 + k, " ".join(shared + words(100))) for k in range(20)]
     got = sorted(r["doc_id"] for r in S.drop_near_duplicates(frame(spark, rows, "doc_id bigint, text string")).collect())
     assert got == [2 * g for g in range(groups)] + [1000 + k for k in range(20)]
+
+
+def test_replaced_stretches_equal_brute_force_jaccard(spark):
+    rng = random.Random(21)
+    vocab = [f"v{i}" for i in range(5000)]
+    rows = []
+    for g in range(40):
+        base = rng.choices(vocab, k=400)
+        rows.append((3 * g, base))
+        stretch = list(base)
+        k, at = rng.choice([16, 32, 36, 60]), rng.randrange(300)
+        stretch[at : at + k] = rng.choices(vocab, k=k)
+        rows.append((3 * g + 1, stretch))
+        spread = list(base)
+        for i in rng.sample(range(400), rng.choice([6, 8, 12])):
+            spread[i] = rng.choice(vocab)
+        rows.append((3 * g + 2, spread))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for _, w in rows]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if root[i] != root[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+    want = sorted({rows[r][0] for r in root})
+    assert 45 < len(want) < 110  # both kinds of pairs are there
+    got = sorted(r["doc_id"] for r in S.drop_near_duplicates(frame(spark, [(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")).collect())
+    assert got == want
