@@ -1,10 +1,22 @@
 """Line dedup with a log-template tree, in DataFrame functions.
 
-The tree has a fixed depth: a line goes by its number of tokens, then by its first ``LEAD`` tokens,
-tokens with a digit counting as variable from the start. Inside a leaf, a template keeps at every
-position the token that most lines have there; lines that agree with it at ``SIMILAR`` of the
-positions belong to it, and its differing positions are variable fields. Lines that don't belong get
-a second template the same way, and after ``ROUNDS`` templates are their own.
+Units are lines, and beside them the sentences of lines that have several. The tree has a fixed
+depth: a line goes by its number of tokens, then by its first ``LEAD`` tokens, tokens with a digit
+counting as variable from the start. A line of ``n`` tokens may differ from a template of its leaf at
+``d = n - ceil(SIMILAR n)`` positions. So the tokens behind the leading ones are cut into ``d + 1``
+segments: lines that differ at ``d`` positions or fewer agree on one of them. Lines that share no
+segment with another line of their leaf, and lines of fewer than ``SHORT`` tokens, are templates of
+their own; all others form groups, at first
+one in each leaf:
+
+* A group's template has at every position the token that most lines have (of equals the largest).
+* Lines that fit it at ``SIMILAR`` of the positions belong to it; its other positions are fields.
+* The rest is split by its token at the position with the fewest different tokens (at least two; of
+  equals the first), and every part is a group again, until it is a single line.
+
+There is no limit on templates. Every round either ends a line or splits its group, and a group is
+never brought together: counting is by (group, position, token). Sentences take no part in the tree,
+as theirs would be as large as the text; they recur as they are, digits aside.
 
 A template that recurs across documents is dropped from all of them but the first (smallest id). So
 the corpus keeps one instance of everything it said.
@@ -12,116 +24,226 @@ the corpus keeps one instance of everything it said.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut_lineage
+from quire.llm.common import cut_lineage, materialise
 
-LEAD, SIMILAR, ROUNDS = 3, 0.85, 2
-#: Documents that make a template recurring; lines of fewer than SHORT tokens need more of them.
+LEAD, SIMILAR = 3, 0.85
+#: Documents that make a template recurring; lines of fewer than SHORT tokens need more of them, such sentences never go.
 MIN_DOCS, SHORT, SHORT_MIN_DOCS = 2, 8, 10
 VARIABLE = "<*>"
-#: Bits of the filter that keeps lines of single-line leaves out of the second pass.
-BITMAP = 23
+#: Bits of the filters that keep rows without a partner out of an exchange.
+BITMAP = 25
+#: Sentences in one line at most, as places are numbered.
+_LINE = 1 << 32
+
+
+def masked(text: Column) -> Column:
+    """The text with single spaces, none at line ends, and a mark for every token that has an ASCII digit.
+
+    What ends a sentence is kept behind a mark, so the masked line has the sentences of the line.
+    """
+    has = lambda *parts: functools.reduce(lambda a, b: a | b, (F.contains(text, F.lit(p)) for p in parts))
+    ragged = has("  ", "\t", "\x0b", "\x0c", "\r", " \n", "\n ") | F.startswith(text, F.lit(" ")) | F.endswith(text, F.lit(" "))
+    neat = F.trim(F.regexp_replace(F.regexp_replace(text, r"[\x09\x0B-\x0D\x20]+", " "), " ?\n ?", "\n"))
+    # a match starts where a token starts and steps back over its last marks only
+    mark = lambda x: F.regexp_replace(x, r"(?<![^ \n])[^ \n0-9]*+[0-9](?:[^ \n]*[^ \n.!?])?+", VARIABLE)
+    return F.when(text.rlike("[0-9]"), mark(F.when(ragged, neat).otherwise(text))).when(ragged, neat).otherwise(text)
 
 
-def masked(line: Column) -> Column:
-    """The line with single spaces and with a mark for every token that has an ASCII digit."""
-    ragged = line.rlike(r"[\x09-\x0D]|\x20\x20")
-    trimmed = F.trim(F.when(ragged, F.regexp_replace(line, r"[\x09-\x0D\x20]+", " ")).otherwise(line))
-    # a match starts where a token starts and never steps back
-    return F.when(trimmed.rlike("[0-9]"), F.regexp_replace(trimmed, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", VARIABLE)).otherwise(trimmed)
+def sentences(line: Column) -> Column:
+    return F.split(line, r"(?<=[.!?])[\x20\x09-\x0D]+")
 
 
-def row_key(id_col: str, text_col: str) -> Column:
+def row_key(id_col: str, text_col: str) -> list[Column]:
     """128 bits of a row's id and text, so that no plan depends on the order in which rows are read."""
     whole = (F.col(id_col).cast("string"), F.col(text_col).cast("string"))
-    return F.struct(F.xxhash64(*whole).alias("h1"), F.xxhash64(F.lit(1), *whole).alias("h2"))
+    return [F.xxhash64(*whole).alias("r1"), F.xxhash64(F.lit(1), *whole).alias("r2")]
 
 
-def parse(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per line with a token: ``row``, ``id``, ``pos``, ``line`` (masked), ``n`` tokens, ``leaf``, ``sig``."""
+def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Masked lines, empty ones included, by row and place."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    lines = docs.select(row_key(id_col, text_col).alias("row"), F.col(id_col).alias("id"), F.posexplode(F.split(text, "\n")).alias("pos", "raw"))
-    # a filter on the masked line would be moved below the projection and mask every line twice
-    m = lines.where(F.col("raw").rlike(r"[^\x09-\x0D\x20]")).select("row", "id", "pos", masked(F.col("raw")).alias("line"))
-    n = (F.length("line") - F.length(F.replace(F.col("line"), F.lit(" "), F.lit(""))) + 1).alias("n")
-    return m.select("row", "id", "pos", "line", n).select("*", F.xxhash64("n", F.substring_index("line", " ", LEAD)).alias("leaf"), F.xxhash64("n", "line").alias("sig"))
+    rows = docs.select(*row_key(id_col, text_col), F.col(id_col).alias("id"), masked(text).alias("text"))
+    return rows.select("r1", "r2", "id", F.posexplode(F.split("text", "\n")).alias("i", "line"))
+
+
+def _described(lines: DataFrame, keep: list[str], leaf: Column) -> DataFrame:
+    """``keep``, ``line``, its tokens ``n``, its identity ``s1``, ``s2`` and ``leaf``."""
+    n = (F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(" "), F.lit(""))) + 1).alias("n")
+    told = lines.where("line <> ''").select(*keep, "line", n)
+    return told.select("*", F.xxhash64("n", "line").alias("s1"), F.xxhash64(F.lit(1), "n", "line").alias("s2"), leaf.alias("leaf"))
+
+
+def _leaf() -> Column:
+    return F.xxhash64("n", F.substring_index("line", " ", LEAD))
+
+
+def parse(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per unit with a token: ``r1``, ``r2``, ``id``, ``at`` (line, and sentence from 1 or 0 for the line), ``n``, ``leaf``, ``s1``, ``s2``.
+
+    ``leaf`` is null for sentences and for short lines.
+    """
+    lines, line = _lines(docs, id_col, text_col), F.col("line")
+    several = functools.reduce(lambda a, b: a | b, (F.contains(line, F.lit(p)) for p in (". ", "! ", "? ")))
+    parts = F.when(several, F.concat(F.array(line), F.split(line, "(?<=[.!?]) "))).otherwise(F.array(line))
+    units = lines.select("r1", "r2", "id", "i", F.posexplode(parts).alias("j", "line"))
+    units = units.select("r1", "r2", "id", (F.col("i").cast("bigint") * _LINE + F.col("j")).alias("at"), (F.col("j") == 0).alias("whole"), "line")
+    leaf = F.when(F.col("whole") & (F.col("n") >= SHORT), _leaf())
+    return _described(units, ["r1", "r2", "id", "at", "whole"], leaf).where(F.col("whole") | (F.col("n") >= SHORT)).drop("whole", "line")
+
+
+def line_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``leaf``, ``s1``, ``s2`` and ``line`` of the lines that aren't short."""
+    return _described(_lines(docs, id_col, text_col).select("line"), [], _leaf()).where(F.col("n") >= SHORT).select("leaf", "s1", "s2", "line")
 
 
-def in_bitmap(keys: DataFrame, key: str, rows: DataFrame) -> DataFrame:
-    """The ``rows`` whose ``key`` may be among ``keys``, by a bitmap of ``2^BITMAP`` hash bits.
+def in_bitmap(keys: DataFrame, key: str, rows: DataFrame, within: bool = True) -> DataFrame:
+    """The ``rows`` whose ``key`` may be among ``keys``, by a bitmap of ``2^BITMAP`` hash bits; else the ones that can't be.
 
     The bitmap is at most ``2^(BITMAP-15)`` rows of 4 KB and is broadcast; it lets no wanted row go
-    and spares most of the others the exchange of the exact join that follows.
+    and spares most of the others the exchange of the exact join that follows. With more keys than
+    bits it spares fewer, and the exact join gives the same result.
     """
-    slot = F.col(key).bitwiseAND(F.lit((1 << BITMAP) - 1))
-    page, bit = F.shiftright(slot, 15).cast("int"), slot.bitwiseAND(F.lit(32767))
-    maps = keys.groupBy(page.alias("__page")).agg(F.bitmap_construct_agg(bit).alias("__bits"))
-    byte = F.conv(F.hex(F.substr("__bits", F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    is_set = F.expr("1") == F.getbit(byte.cast("bigint"), bit.bitwiseAND(F.lit(7)).cast("int"))
-    return rows.withColumn("__page", page).join(F.broadcast(maps), "__page").where(is_set).drop("__page", "__bits")
+    slot = lambda c: F.col(c).bitwiseAND(F.lit((1 << BITMAP) - 1))
+    page, bit = lambda c: F.shiftright(slot(c), 15).cast("int"), lambda c: slot(c).bitwiseAND(F.lit(32767))
+    maps = keys.select(F.col(key).alias("__key")).groupBy(page("__key").alias("__page")).agg(F.bitmap_construct_agg(bit("__key")).alias("__bits"))
+    byte = F.conv(F.hex(F.substr("__bits", F.shiftright(bit(key), 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.expr("1") == F.getbit(byte.cast("bigint"), bit(key).bitwiseAND(F.lit(7)).cast("int"))
+    met = rows.withColumn("__page", page(key)).join(F.broadcast(maps), "__page", "inner" if within else "left")
+    return met.where(is_set if within else ~F.coalesce(is_set, F.lit(False))).drop("__page", "__bits")
+
+
+def with_partner(lines: DataFrame) -> DataFrame:
+    """The distinct lines (``leaf``, ``s1``, ``s2``, ``line``) that share a segment with another one of their leaf."""
+    tokens = F.split("line", " ")
+    n = F.size("t")
+    parts = n - F.ceil(SIMILAR * n - 1e-9).cast("int") + 1
+    edge = lambda s: LEAD + F.floor(s * (n - LEAD) / F.col("parts")).cast("int")
+    node = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda s: F.xxhash64("leaf", s, F.array_join(F.slice("t", edge(s) + 1, edge(s + 1) - edge(s)), " ")))
+    nodes = lines.select("leaf", "s1", "s2", tokens.alias("t")).withColumn("parts", parts).select("s1", "s2", F.explode(node).alias("node"))
+    shared = nodes.groupBy("node").agg(F.count("*").alias("m")).where("m > 1").select("node")
+    met = nodes.join(shared, "node").select("s1", "s2").distinct()
+    return lines.join(met, ["s1", "s2"], "left_semi")
 
 
 def leaf_templates(lines: DataFrame, weights: DataFrame) -> DataFrame:
-    """``sig`` and ``template`` of all lines that joined a template of their leaf.
+    """``s1``, ``s2`` and ``template`` of all lines that joined a template of their leaf.
 
-    ``lines``: leaf, sig and masked line, of leaves with several different lines; ``weights``: rows
-    of each sig. Counting is by (leaf, position, token); no leaf's lines are brought together.
+    ``lines``: ``leaf``, ``s1``, ``s2`` and masked ``line``, each once; ``weights``: ``c`` of each.
     """
-    left = cut_lineage(lines.groupBy("leaf", "sig").agg(F.first("line").alias("line")).join(weights, "sig"))
-    out = None
-    for k in range(ROUNDS):
-        tokens = left.select("leaf", "n", F.posexplode(F.split("line", " ")).alias("pos", "token"))
-        best = tokens.groupBy("leaf", "pos", "token").agg(F.sum("n").alias("n")).groupBy("leaf", "pos").agg(F.max(F.struct("n", "token")).alias("b"))
-        template = best.groupBy("leaf").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "b.token"))), lambda x: x["token"]).alias("tokens"))
+    left = lines.join(weights, ["s1", "s2"]).select("s1", "s2", "line", "c", F.col("leaf").alias("g"))
+    left, out, k = cut_lineage(left), None, 0
+    while not left.isEmpty():
+        votes = left.select("g", "c", F.posexplode(F.split("line", " ")).alias("p", "token")).groupBy("g", "p", "token").agg(F.sum("c").alias("c"))
+        places = votes.groupBy("g", "p").agg(F.max(F.struct("c", "token")).alias("b"), F.count("*").alias("kinds"))
+        mode = F.transform(F.array_sort(F.collect_list(F.struct("p", "b.token"))), lambda x: x["token"]).alias("mode")
+        fewest = F.min(F.when(F.col("kinds") > 1, F.struct("kinds", "p"))).getField("p").alias("p")
+        groups = places.groupBy("g").agg(mode, fewest)
         own = F.split("line", " ")
-        same = F.size(F.filter(F.zip_with(own, F.col("tokens"), lambda a, b: a == b), lambda x: x))
-        judged = left.join(template, "leaf").select("leaf", "sig", "line", "n", (same >= F.lit(SIMILAR) * F.size("tokens")).alias("fits"))
-        judged = cut_lineage(judged)
-        got = judged.where("fits").select("sig", F.xxhash64(F.lit(k), "leaf").alias("template"))
+        same = F.size(F.filter(F.zip_with(own, F.col("mode"), lambda a, b: a == b), lambda x: x))
+        fits = (same >= F.ceil(SIMILAR * F.size("mode") - 1e-9)).alias("fits")
+        part = F.xxhash64("g", "p", F.get(own, F.col("p"))).alias("part")
+        judged = cut_lineage(left.join(groups, "g").select("s1", "s2", "line", "c", "g", fits, part))
+        got = judged.where("fits").select("s1", "s2", F.xxhash64(F.lit(k), "g").alias("template"))
         out = got if out is None else out.unionByName(got)
-        left = judged.where("not fits").drop("fits")
-    return out
-
-
-def recurring(parsed: DataFrame) -> DataFrame:
-    """``row`` and ``dropped``: positions of lines of recurring templates, outside their first document."""
-    lines = cut_lineage(parsed.select("row", "id", "pos", "n", "leaf", "sig"))
-    sigs = lines.groupBy("leaf", "sig").agg(F.count("*").alias("n"))
-    several = sigs.groupBy("leaf").agg(F.count("*").alias("m")).where("m > 1").select("leaf")
-    several = cut_lineage(several)
-    # an inner join, as several has each leaf once: a semi-join would be moved below the filter
-    text = in_bitmap(several, "leaf", parsed.select("leaf", "sig", "line")).join(several, "leaf")
-    joined = leaf_templates(text, sigs.select("sig", "n"))
-    named = lines.join(joined, "sig", "left").select("row", "id", "pos", "n", F.coalesce("template", "sig").alias("template"))
-    named = cut_lineage(named)
-    by_doc = named.groupBy("template", "row").agg(F.first("id").alias("id"), F.max("n").alias("n"))
-    stats = by_doc.groupBy("template").agg(F.count("*").alias("docs"), F.max("n").alias("n"), F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first"))
-    needed = F.when(F.col("n") >= SHORT, F.lit(MIN_DOCS)).otherwise(F.lit(SHORT_MIN_DOCS))
-    drop = stats.where(F.col("docs") >= needed).select("template", F.col("first.row").alias("keeper"))
-    drop = cut_lineage(drop)  # a join of its own, so that Spark may split a template that many documents share
-    return named.join(drop, "template").where("row <> keeper").groupBy("row").agg(F.collect_set("pos").alias("dropped"))
-
-
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs``, the text without its dropped lines, and ``n_lines``, ``n_dropped``.
+        rest = judged.where("not fits")
+        several = rest.groupBy("part").agg(F.count("*").alias("m")).where("m > 1").select("part")
+        left = cut_lineage(rest.join(several, "part").select("s1", "s2", "line", "c", F.col("part").alias("g")))
+        k += 1
+    return out if out is not None else left.select("s1", "s2", F.col("g").alias("template"))
+
+
+def _spread(df: DataFrame, *by: str) -> DataFrame:
+    """Per ``by``: rows ``c``, least and largest id ``lo``, ``hi``, and those of the hashes of rows without one, ``hlo``, ``hhi``."""
+    return df.groupBy(*by).agg(
+        F.sum("c").alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("hlo").alias("hlo"), F.max("hhi").alias("hhi"), F.max("short").alias("short"), F.max("leaf").alias("leaf")
+    )
+
+
+_TWO_DOCUMENTS = "lo <> hi or hlo <> hhi or (lo is not null and hlo is not null)"
+
+
+def recurring(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``r1``, ``r2`` and ``dropped``: places of units of recurring templates, outside their first document."""
+    units = materialise(parse(docs, id_col, text_col).withColumn("short", F.col("n") < SHORT).drop("n"))
+    nameless = F.when(F.col("id").isNull(), F.col("r1"))
+    each = units.select("s1", "s2", "short", "leaf", F.lit(1).alias("c"), F.col("id").alias("lo"), F.col("id").alias("hi"), nameless.alias("hlo"), nameless.alias("hhi"))
+    sigs = materialise(_spread(each, "s1", "s2"))
+    several = cut_lineage(sigs.where("leaf is not null").groupBy("leaf").agg(F.count("*").alias("m")).where("m > 1").select("leaf"))
+    # lines are made distinct before they meet the leaves, so a leaf's share of the rows doesn't matter
+    texts = in_bitmap(several, "leaf", line_texts(docs, id_col, text_col)).groupBy("leaf", "s1", "s2").agg(F.first("line").alias("line"))
+    texts = materialise(with_partner(cut_lineage(texts.join(several, "leaf"))))
+    weights = in_bitmap(texts, "s1", sigs.select("s1", "s2", "c"))
+    joined = cut_lineage(leaf_templates(texts, weights))
+    # templates of several lines, then units that are their own
+    met = in_bitmap(joined, "s1", sigs).join(joined, ["s1", "s2"])
+    several_lines = _spread(met, "template").where(_TWO_DOCUMENTS).select("template", "lo", "hlo")
+    alone = sigs.where(_TWO_DOCUMENTS).where(f"not short or c >= {SHORT_MIN_DOCS}").join(joined, ["s1", "s2"], "left_anti")
+    drop = joined.join(several_lines, "template").select("s1", "s2", "lo", "hlo", F.lit(False).alias("short"))
+    drop = cut_lineage(drop.unionByName(alone.select("s1", "s2", "lo", "hlo", "short")))
+    few = drop.where("short")
+    counted = in_bitmap(few, "s1", units.where("short")).join(few.select("s1", "s2"), ["s1", "s2"]).select("s1", "s2", "id", nameless.alias("h")).distinct()
+    many = counted.groupBy("s1", "s2").agg(F.count("*").alias("docs")).where(F.col("docs") >= SHORT_MIN_DOCS).select("s1", "s2")
+    drop = cut_lineage(drop.where("not short").unionByName(few.join(many, ["s1", "s2"])).select("s1", "s2", "lo", "hlo"))
+    # a join of its own, so that Spark may split a template that many documents share
+    found = in_bitmap(drop, "s1", units.select("r1", "r2", "id", "at", "s1", "s2")).join(drop, ["s1", "s2"])
+    later = F.when(F.col("lo").isNotNull(), F.col("id").isNull() | (F.col("id") != F.col("lo"))).otherwise(F.col("r1") != F.col("hlo"))
+    return cut_lineage(found.where(later).groupBy("r1", "r2").agg(F.collect_set("at").alias("dropped")))
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = True) -> DataFrame:
+    """All columns of ``docs``, the text without its dropped lines and sentences; with ``counts`` also
+    ``n_lines`` and ``n_dropped`` (lines that went as a whole or sentence by sentence), ``n_cut`` (sentences
+    that went from lines of which something stays).
 
     Lines end at newline characters; a line without tokens is never dropped. Null texts stay null and
-    have no lines; texts without dropped lines stay as they are. Rows of equal id and text are one
-    document and come back alike; the first document is the one with the smallest id (null ids last),
-    ties going by a hash of the text. An empty table gives an empty result. ``n_lines`` and ``n_dropped`` replace columns of that name.
+    have no lines; texts without dropped lines stay as they are. Of a line that loses sentences the
+    others are joined by a space. Rows of an equal id are one document, rows without an id are one for
+    each text; the first document is the one with the smallest id (none: by a hash of the text). A
+    template of one line of fewer than ``SHORT`` tokens recurs in ``SHORT_MIN_DOCS`` documents, any other
+    in ``MIN_DOCS``. An empty table gives an empty result. No column of ``docs`` is lost: where it has
+    one of the three names, the new one gets underscores.
     """
-    found = recurring(parse(docs, id_col, text_col)).withColumnRenamed("row", "__row")
-    rows = docs.withColumn("__row", row_key(id_col, text_col))
-    both = rows.join(found, "__row", "left").drop("__row")
-    lines = F.split(F.col(text_col), "\n")
-    kept = F.filter(lines, lambda _, i: ~F.array_contains("dropped", i))
-    n_dropped = F.coalesce(F.size("dropped"), F.lit(0))
-    return both.withColumns(
-        {
-            "n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("bigint"),
-            "n_dropped": F.when(F.col("dropped").isNull(), 0).otherwise(n_dropped).cast("bigint"),
-            text_col: F.when(F.col("dropped").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")),
+    names = docs.columns
+    slots = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    sid, text = (f"c{names.index(c)}" for c in (id_col, text_col))
+    found = recurring(slots, sid, text)
+    r1, r2 = row_key(sid, text)
+    rows = slots.withColumns({"r1": r1, "r2": r2})
+    # documents that certainly keep all their lines are not moved
+    whole = in_bitmap(found, "r1", rows, within=False).withColumn("dropped", F.lit(None).cast("array<bigint>"))
+    both = in_bitmap(found, "r1", rows).join(found, ["r1", "r2"], "left").unionByName(whole)
+    lines = F.split(F.col(text), "\n")
+    gone = lambda i, j: F.array_contains("dropped", i.cast("bigint") * _LINE + j)
+
+    def left_of(line, i):
+        cut = F.filter(sentences(F.regexp_replace(line, r"[\x20\x09-\x0D]+$", "")), lambda _, j: ~gone(i, j + 1))
+        touched = F.exists("dropped", lambda at: (at >= i.cast("bigint") * _LINE) & (at < (i.cast("bigint") + 1) * _LINE))
+        # null: nothing stays
+        return F.when(~touched, line).when(~gone(i, F.lit(0)) & (F.size(cut) > 0), F.array_join(cut, " "))
+
+    left = F.when(F.col("dropped").isNotNull(), F.transform(lines, left_of))
+    judged = both.withColumn("left", left)
+    stays = F.filter("left", lambda x: x.isNotNull())
+    out = {text: F.when(F.col("dropped").isNull(), F.col(text)).otherwise(F.array_join(stays, "\n"))}
+    if counts:
+        n_gone = F.coalesce(F.size("left") - F.size(stays), F.lit(0)).cast("bigint")
+        in_gone = lambda at: F.get(F.col("left"), F.floor(at / _LINE).cast("int")).isNull()
+        n_cut = F.size(F.filter("dropped", lambda at: ~in_gone(at)))
+        out |= {
+            "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("bigint"),
+            "n_dropped": F.when(F.col("dropped").isNull(), 0).otherwise(n_gone).cast("bigint"),
+            "n_cut": F.when(F.col("dropped").isNull(), 0).otherwise(n_cut).cast("bigint"),
         }
-    ).drop("dropped")
+    done = judged.withColumns(out)
+    new = []
+    for c in ("n_lines", "n_dropped", "n_cut") if counts else ():
+        name = c
+        while name in names:
+            name += "_"
+        new.append(F.col(c).alias(name))
+    return done.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(names)), *new)

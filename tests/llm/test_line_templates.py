@@ -1,3 +1,8 @@
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
 from quire.llm import line_templates as L
 from tests.conftest import frame
 
@@ -13,14 +18,106 @@ DOCS = [
     (7, "unique words that nobody repeats anywhere else today"),
     (7, "unique words that nobody repeats anywhere else today"),
 ]
+SCHEMA = "doc_id bigint, text string"
+SPACE = r"[\x20\x09-\x0D]+"
 
 
 def texts(df):
     return sorted(((r["doc_id"] if r["doc_id"] is not None else -1, r["text"], r["n_lines"], r["n_dropped"]) for r in df.collect()), key=str)
 
 
+def plain_mask(unit):
+    def one(token):
+        if not re.search("[0-9]", token):
+            return token
+        end = re.search(r"[.!?]*$", token[re.search("[0-9]", token).end() :])[0]
+        return "<*>" + end
+
+    return tuple(one(t) for t in re.split(SPACE, unit) if t)
+
+
+def plain_tree(lines):
+    """Template of every line (a tuple of tokens), by the definition, one leaf and one round after the other."""
+    leaves, name = defaultdict(Counter), {}
+    for tokens, c in lines.items():
+        if len(tokens) >= L.SHORT:
+            leaves[len(tokens), tokens[: L.LEAD]][tokens] += c
+    for leaf, members in leaves.items():
+        n = leaf[0]
+        parts = n - math.ceil(L.SIMILAR * n - 1e-9) + 1
+        cuts = [L.LEAD + s * (n - L.LEAD) // parts for s in range(parts + 1)]
+        sharing = defaultdict(set)
+        for t in members:
+            for s in range(parts):
+                sharing[s, t[cuts[s] : cuts[s + 1]]].add(t)
+        groups = [{t for own in sharing.values() if len(own) > 1 for t in own}]
+        while groups:
+            group = groups.pop()
+            if not group:
+                continue
+            votes = [Counter() for _ in range(n)]
+            for t in group:
+                for p, token in enumerate(t):
+                    votes[p][token] += members[t]
+            mode = tuple(max(v, key=lambda x: (v[x], x.encode())) for v in votes)
+            fits = {t for t in group if sum(a == b for a, b in zip(t, mode)) >= math.ceil(L.SIMILAR * n - 1e-9)}
+            for t in fits:
+                name[t] = (leaf, frozenset(group), mode)
+            if group - fits:
+                p = min((p for p in range(n) if len(votes[p]) > 1), key=lambda p: (len(votes[p]), p))
+                rest = defaultdict(set)
+                for t in group - fits:
+                    rest[t[p]].add(t)
+                groups += [own for own in rest.values() if len(own) > 1]
+    return name
+
+
+def plain_dedup(rows):
+    """Text by row, from (id, text) with ids that aren't null."""
+    units, lines = [], Counter()
+    for row, (i, text) in enumerate(rows):
+        for k, raw in enumerate((text or "").split("\n")):
+            tokens = plain_mask(raw)
+            if not tokens:
+                continue
+            lines[tokens] += 1
+            units.append((row, i, k, 0, tokens))
+            cut = re.split(r"(?<=[.!?])" + SPACE, raw.strip(" \t\x0b\x0c\r"))
+            if len(cut) > 1:
+                units += [(row, i, k, j + 1, plain_mask(s)) for j, s in enumerate(cut) if len(plain_mask(s)) >= L.SHORT]
+    weights = lines.copy()
+    for *_, j, tokens in units:
+        if j:
+            weights[tokens] += 1
+    weights = {t: c for t, c in weights.items() if t in lines}
+    tree = plain_tree(weights)
+    docs = defaultdict(set)
+    for _, i, _, _, tokens in units:
+        docs[tree.get(tokens, tokens)].add(i)
+    gone = defaultdict(set)
+    for row, i, k, j, tokens in units:
+        own = docs[tree.get(tokens, tokens)]
+        if len(own) >= (L.MIN_DOCS if len(tokens) >= L.SHORT else L.SHORT_MIN_DOCS) and i != min(own):
+            gone[row].add((k, j))
+    out = []
+    for row, (i, text) in enumerate(rows):
+        if not gone[row]:
+            out.append((i, text))
+            continue
+        kept = []
+        for k, raw in enumerate(text.split("\n")):
+            mine = {j for kk, j in gone[row] if kk == k}
+            if not mine:
+                kept.append(raw)
+            elif 0 not in mine:
+                left = [s for j, s in enumerate(re.split(r"(?<=[.!?])" + SPACE, raw.rstrip(" \t\x0b\x0c\r"))) if j + 1 not in mine]
+                kept += [" ".join(left)] if left else []
+        out.append((i, "\n".join(kept)))
+    return sorted(out, key=str)
+
+
 def test_recurring_templates_go_but_for_the_first_document(spark):
-    got = texts(L.dedup_lines(frame(spark, DOCS, "doc_id bigint, text string")))
+    got = texts(L.dedup_lines(frame(spark, DOCS, SCHEMA)))
     assert got == sorted(
         [
             (1, DOCS[0][1], 3, 0),
@@ -37,18 +134,76 @@ def test_recurring_templates_go_but_for_the_first_document(spark):
     )
 
 
+def test_equals_a_brute_force_tree_on_random_corpora(spark):
+    rng = random.Random(4)
+    vocab = [f"w{c}" for c in "abcdefghijklmnop"] + ["été", "x9.", "17", "end."]
+    for seed in range(3):
+        shapes = [rng.choices(vocab, k=n) for n in (7, 8, 9, 12, 14, 14, 20, 33) for _ in range(2)]
+        rows = []
+        for i in range(60):
+            lines = []
+            for _ in range(rng.randint(0, 5)):
+                shape = list(rng.choice(shapes))
+                for _ in range(rng.choice([0, 0, 1, 2, 3, 6])):
+                    shape[rng.randrange(len(shape))] = rng.choice(vocab)
+                lines.append(rng.choice([" ", " ", "  ", "\t"]).join(shape) + rng.choice(["", "", " ", ". And " + " ".join(rng.choice(shapes)) + "."]))
+            rows.append((i, "\n".join(lines)))
+        got = L.dedup_lines(frame(spark, rows, SCHEMA).repartition(3)).select("doc_id", "text").collect()
+        assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == plain_dedup(rows)
+
+
+def test_planted_families_are_found(spark):
+    rng = random.Random(8)
+    words = [f"v{i}".translate(str.maketrans("0123456789", "abcdefghij")) for i in range(4000)]
+    rows, planted = [], set()
+    # three interleaved families of one leaf with a word-valued field, and many leaves of one family each
+    heads = [["notice", "of", "the"] + rng.choices(words, k=9) for _ in range(3)] + [rng.choices(words, k=rng.randint(8, 30)) for _ in range(60)]
+    for f, head in enumerate(heads):
+        for k in range(6):
+            line = list(head)
+            line[5] = rng.choice(words)
+            rows.append((1000 * f + k, " ".join(rng.choices(words, k=14)) + "\n" + " ".join(line)))
+            if k:
+                planted.add(1000 * f + k)
+    got = {r["doc_id"]: r["n_dropped"] for r in L.dedup_lines(frame(spark, rows, SCHEMA)).collect()}
+    found = {i for i, n in got.items() if n}
+    assert found <= planted and len(found) >= 0.9 * len(planted)  # here 1.0
+    assert max(got.values()) == 1
+
+
+def test_passages_inside_lines_go(spark):
+    passage = "The first of it says eight words or more. And so does the second one of all these! Short one. The third has its number 17. and then there comes the very end of it."
+    rows = [(1, f"before it stands this. {passage} after it"), (2, f"elsewhere\nother words come before. {passage.replace('17', '23')}  Then some words follow"), (3, passage)]
+    got = {r["doc_id"]: (r["text"], r["n_dropped"], r["n_cut"]) for r in L.dedup_lines(frame(spark, rows, SCHEMA)).collect()}
+    assert got[1] == (rows[0][1], 0, 0)
+    assert got[2] == ("elsewhere\nother words come before. Short one. The third has its number 23. Then some words follow", 0, 3)
+    assert got[3] == ("Short one. The third has its number 17.", 0, 3)
+
+
 def test_short_lines_need_more_documents(spark):
-    few = frame(spark, [(i, "read more here") for i in range(9)], "doc_id bigint, text string")
-    many = frame(spark, [(i, "read more here") for i in range(10)], "doc_id bigint, text string")
+    few = frame(spark, [(i, "read more here") for i in range(9)] + [(0, "read more here\nread more here")], SCHEMA)
+    many = frame(spark, [(i, "read more here") for i in range(10)], SCHEMA)
     assert {r["n_dropped"] for r in L.dedup_lines(few).collect()} == {0}
     assert sorted(r["n_dropped"] for r in L.dedup_lines(many).collect()) == [0] + [1] * 9
 
 
-def test_empty_table_and_extra_columns(spark):
+def test_empty_table_and_clashing_columns(spark):
     out = L.dedup_lines(frame(spark, [], "doc_id bigint, text string, n int"))
-    assert out.collect() == [] and set(out.columns) == {"doc_id", "text", "n", "n_lines", "n_dropped"}
-    kept = L.dedup_lines(frame(spark, [(1, "a", 5, "x")], "doc_id bigint, text string, pos int, template string"))
-    assert kept.select("pos", "template").collect()[0] == (5, "x")
+    assert out.collect() == [] and set(out.columns) == {"doc_id", "text", "n", "n_lines", "n_dropped", "n_cut"}
+    clash = "dropped string, n_dropped bigint, n_lines bigint, left int, r1 bigint, line int, g int, template string, __page int"
+    rows = [(i, LONG, "x", 100 + i, 200, 1, 2, 3, 4, "t", 5) for i in range(2)]
+    kept = L.dedup_lines(frame(spark, rows, f"doc_id bigint, text string, {clash}")).orderBy("doc_id").collect()
+    assert [tuple(r)[2:11] for r in kept] == [r[2:] for r in rows]
+    assert [(r["text"], r["n_lines_"], r["n_dropped_"]) for r in kept] == [(LONG, 1, 0), ("", 1, 1)]
+    plain = L.dedup_lines(frame(spark, rows, f"doc_id bigint, text string, {clash}"), counts=False)
+    assert plain.columns == ["doc_id", "text", *(c.split()[0] for c in clash.split(", "))]
+
+
+def test_long_lines_and_texts(spark):
+    one, many = "word " * 200_000, "\n".join(f"line of its own {'abcdefghij'[i % 10] * (i // 10 + 1)} is here as well" for i in range(2000))
+    rows = [(1, one), (2, one), (3, many), (4, many + "\nand one more line that stands alone here")]
+    got = {r["doc_id"]: (len(r["text"]), r["n_dropped"]) for r in L.dedup_lines(frame(spark, rows, SCHEMA)).collect()}
+    assert got == {1: (len(one), 0), 2: (0, 1), 3: (len(many), 0), 4: (40, 2000)}
 
 
 def test_bitmap_filter_keeps_every_wanted_row(spark):
@@ -56,3 +211,4 @@ def test_bitmap_filter_keeps_every_wanted_row(spark):
     rows = spark.range(-500, 500).selectExpr("id", "xxhash64(id) as leaf")
     got = {r["id"] for r in L.in_bitmap(keys, "leaf", rows).collect()}
     assert got >= set(range(-500, 500, 7)) and len(got) < 200
+    assert {r["id"] for r in L.in_bitmap(keys, "leaf", rows, within=False).collect()} == set(range(-500, 500)) - got
