@@ -6,16 +6,16 @@ counting as variable from the start. A line of ``n`` tokens may differ from a te
 ``d = n - ceil(SIMILAR n)`` positions. So the tokens behind the leading ones are cut into ``d + 1``
 segments: lines that differ at ``d`` positions or fewer agree on one of them. Lines that share no
 segment with another line of their leaf, and lines of fewer than ``SHORT`` tokens, are templates of
-their own; all others form groups, at first
-one in each leaf:
+their own; all others form groups, at first one in each leaf:
 
 * A group's template has at every position the token that most lines have (of equals the largest).
 * Lines that fit it at ``SIMILAR`` of the positions belong to it; its other positions are fields.
 * The rest is split by its token at the position with the fewest different tokens (at least two; of
-  equals the first), and every part is a group again, until it is a single line.
+  equals the first), and every part is a group again, until it is a single line. From round to round
+  the positions are twice as many, so the rounds are few: 2 + log2 of the longest line at most.
 
-There is no limit on templates. Every round either ends a line or splits its group, and a group is
-never brought together: counting is by (group, position, token). Sentences take no part in the tree,
+There is no limit on templates, and a group is never brought together: counting is by (group,
+position, token). Sentences take no part in the tree,
 as theirs would be as large as the text; they recur as they are, digits aside.
 
 A template that recurs across documents is dropped from all of them but the first (smallest id). So
@@ -37,6 +37,8 @@ MIN_DOCS, SHORT, SHORT_MIN_DOCS = 2, 8, 10
 VARIABLE = "<*>"
 #: Bits of the filters that keep rows without a partner out of an exchange.
 BITMAP = 25
+#: Rows of a partition of what few lines have left, and the least number of its partitions.
+ROWS, PARTITIONS = 5000, 8
 #: Sentences in one line at most, as places are numbered.
 _LINE = 1 << 32
 
@@ -117,6 +119,13 @@ def in_bitmap(keys: DataFrame, key: str, rows: DataFrame, within: bool = True) -
     return met.where(is_set if within else ~F.coalesce(is_set, F.lit(False))).drop("__page", "__bits")
 
 
+def compact(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` without its lineage and its rows; in fewer partitions if it has few rows, so that later exchanges don't have many empty tasks."""
+    df = cut_lineage(df)
+    rows = df.count()
+    return df.coalesce(max(PARTITIONS, rows // ROWS)), rows
+
+
 def with_partner(lines: DataFrame) -> DataFrame:
     """The distinct lines (``leaf``, ``s1``, ``s2``, ``line``) that share a segment with another one of their leaf."""
     tokens = F.split("line", " ")
@@ -135,24 +144,26 @@ def leaf_templates(lines: DataFrame, weights: DataFrame) -> DataFrame:
 
     ``lines``: ``leaf``, ``s1``, ``s2`` and masked ``line``, each once; ``weights``: ``c`` of each.
     """
-    left = lines.join(weights, ["s1", "s2"]).select("s1", "s2", "line", "c", F.col("leaf").alias("g"))
-    left, out, k = cut_lineage(left), None, 0
-    while not left.isEmpty():
-        votes = left.select("g", "c", F.posexplode(F.split("line", " ")).alias("p", "token")).groupBy("g", "p", "token").agg(F.sum("c").alias("c"))
-        places = votes.groupBy("g", "p").agg(F.max(F.struct("c", "token")).alias("b"), F.count("*").alias("kinds"))
+    left, n = compact(lines.join(weights, ["s1", "s2"]).select("s1", "s2", "line", "c", F.col("leaf").alias("g")))
+    out, k = None, 0
+    while n:
+        few = max(PARTITIONS, n // ROWS)
+        votes = left.select("g", "c", F.posexplode(F.split("line", " ")).alias("p", "token")).groupBy("g", "p", "token").agg(F.sum("c").alias("c")).coalesce(4 * few)
+        places = votes.groupBy("g", "p").agg(F.max(F.struct("c", "token")).alias("b"), F.count("*").alias("kinds")).coalesce(few)
         mode = F.transform(F.array_sort(F.collect_list(F.struct("p", "b.token"))), lambda x: x["token"]).alias("mode")
-        fewest = F.min(F.when(F.col("kinds") > 1, F.struct("kinds", "p"))).getField("p").alias("p")
-        groups = places.groupBy("g").agg(mode, fewest)
+        fewest = F.array_sort(F.collect_list(F.when(F.col("kinds") > 1, F.struct("kinds", "p"))))
+        at = F.transform(F.slice(fewest, 1, 1 << k), lambda x: x["p"]).alias("at")
+        groups = places.groupBy("g").agg(mode, at)
         own = F.split("line", " ")
         same = F.size(F.filter(F.zip_with(own, F.col("mode"), lambda a, b: a == b), lambda x: x))
         fits = (same >= F.ceil(SIMILAR * F.size("mode") - 1e-9)).alias("fits")
-        part = F.xxhash64("g", "p", F.get(own, F.col("p"))).alias("part")
-        judged = cut_lineage(left.join(groups, "g").select("s1", "s2", "line", "c", "g", fits, part))
+        part = F.xxhash64("g", F.transform("at", lambda p: F.get(own, p))).alias("part")
+        judged = cut_lineage(left.join(groups, "g").select("s1", "s2", "line", "c", "g", fits, part).coalesce(few))
         got = judged.where("fits").select("s1", "s2", F.xxhash64(F.lit(k), "g").alias("template"))
         out = got if out is None else out.unionByName(got)
         rest = judged.where("not fits")
         several = rest.groupBy("part").agg(F.count("*").alias("m")).where("m > 1").select("part")
-        left = cut_lineage(rest.join(several, "part").select("s1", "s2", "line", "c", F.col("part").alias("g")))
+        left, n = compact(rest.join(several, "part").select("s1", "s2", "line", "c", F.col("part").alias("g")))
         k += 1
     return out if out is not None else left.select("s1", "s2", F.col("g").alias("template"))
 
@@ -173,22 +184,23 @@ def recurring(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     nameless = F.when(F.col("id").isNull(), F.col("r1"))
     each = units.select("s1", "s2", "short", "leaf", F.lit(1).alias("c"), F.col("id").alias("lo"), F.col("id").alias("hi"), nameless.alias("hlo"), nameless.alias("hhi"))
     sigs = materialise(_spread(each, "s1", "s2"))
-    several = cut_lineage(sigs.where("leaf is not null").groupBy("leaf").agg(F.count("*").alias("m")).where("m > 1").select("leaf"))
+    several, _ = compact(sigs.where("leaf is not null").groupBy("leaf").agg(F.count("*").alias("m")).where("m > 1").select("leaf"))
     # lines are made distinct before they meet the leaves, so a leaf's share of the rows doesn't matter
     texts = in_bitmap(several, "leaf", line_texts(docs, id_col, text_col)).groupBy("leaf", "s1", "s2").agg(F.first("line").alias("line"))
-    texts = materialise(with_partner(cut_lineage(texts.join(several, "leaf"))))
+    texts, _ = compact(texts.join(several, "leaf"))
+    texts, _ = compact(with_partner(texts))
     weights = in_bitmap(texts, "s1", sigs.select("s1", "s2", "c"))
-    joined = cut_lineage(leaf_templates(texts, weights))
+    joined, _ = compact(leaf_templates(texts, weights))
     # templates of several lines, then units that are their own
     met = in_bitmap(joined, "s1", sigs).join(joined, ["s1", "s2"])
     several_lines = _spread(met, "template").where(_TWO_DOCUMENTS).select("template", "lo", "hlo")
     alone = sigs.where(_TWO_DOCUMENTS).where(f"not short or c >= {SHORT_MIN_DOCS}").join(joined, ["s1", "s2"], "left_anti")
     drop = joined.join(several_lines, "template").select("s1", "s2", "lo", "hlo", F.lit(False).alias("short"))
-    drop = cut_lineage(drop.unionByName(alone.select("s1", "s2", "lo", "hlo", "short")))
+    drop, _ = compact(drop.unionByName(alone.select("s1", "s2", "lo", "hlo", "short")))
     few = drop.where("short")
     counted = in_bitmap(few, "s1", units.where("short")).join(few.select("s1", "s2"), ["s1", "s2"]).select("s1", "s2", "id", nameless.alias("h")).distinct()
     many = counted.groupBy("s1", "s2").agg(F.count("*").alias("docs")).where(F.col("docs") >= SHORT_MIN_DOCS).select("s1", "s2")
-    drop = cut_lineage(drop.where("not short").unionByName(few.join(many, ["s1", "s2"])).select("s1", "s2", "lo", "hlo"))
+    drop, _ = compact(drop.where("not short").unionByName(few.join(many, ["s1", "s2"])).select("s1", "s2", "lo", "hlo"))
     # a join of its own, so that Spark may split a template that many documents share
     found = in_bitmap(drop, "s1", units.select("r1", "r2", "id", "at", "s1", "s2")).join(drop, ["s1", "s2"])
     later = F.when(F.col("lo").isNotNull(), F.col("id").isNull() | (F.col("id") != F.col("lo"))).otherwise(F.col("r1") != F.col("hlo"))

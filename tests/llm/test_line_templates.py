@@ -50,9 +50,9 @@ def plain_tree(lines):
         for t in members:
             for s in range(parts):
                 sharing[s, t[cuts[s] : cuts[s + 1]]].add(t)
-        groups = [{t for own in sharing.values() if len(own) > 1 for t in own}]
+        groups = [({t for own in sharing.values() if len(own) > 1 for t in own}, 1)]
         while groups:
-            group = groups.pop()
+            group, width = groups.pop()
             if not group:
                 continue
             votes = [Counter() for _ in range(n)]
@@ -64,11 +64,11 @@ def plain_tree(lines):
             for t in fits:
                 name[t] = (leaf, frozenset(group), mode)
             if group - fits:
-                p = min((p for p in range(n) if len(votes[p]) > 1), key=lambda p: (len(votes[p]), p))
+                at = sorted((p for p in range(n) if len(votes[p]) > 1), key=lambda p: (len(votes[p]), p))[:width]
                 rest = defaultdict(set)
                 for t in group - fits:
-                    rest[t[p]].add(t)
-                groups += [own for own in rest.values() if len(own) > 1]
+                    rest[tuple(t[p] for p in at)].add(t)
+                groups += [(own, 2 * width) for own in rest.values() if len(own) > 1]
     return name
 
 
