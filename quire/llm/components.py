@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut_lineage
+from quire.llm.common import compact
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
@@ -21,7 +21,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         .select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
         .distinct()
     )
-    e = cut_lineage(e)
+    e, rows = compact(e)
+    if not rows:
+        return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
     seen = None
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -29,7 +31,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct("a", "m"), F.struct(F.col("b").alias("a"), "m"))).alias("e"))
-        e = cut_lineage(small.select(F.col("e.a").alias("a"), F.col("e.m").alias("b")).where("a <> b").distinct())
+        e, _ = compact(small.select(F.col("e.a").alias("a"), F.col("e.m").alias("b")).where("a <> b").distinct())
         now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("h")).first()
         if seen == (now["n"], now["h"]):
             return e.select(F.col("a").alias("node"), F.col("b").alias("root"))

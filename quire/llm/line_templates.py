@@ -29,16 +29,12 @@ import functools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut_lineage, materialise
+from quire.llm.common import PARTITIONS, ROWS, compact, cut_lineage, in_bitmap, materialise
 
 LEAD, SIMILAR = 3, 0.85
 #: Documents that make a template recurring; lines of fewer than SHORT tokens need more of them, such sentences never go.
 MIN_DOCS, SHORT, SHORT_MIN_DOCS = 2, 8, 10
 VARIABLE = "<*>"
-#: Bits of the filters that keep rows without a partner out of an exchange.
-BITMAP = 25
-#: Rows of a partition of what few lines have left, and the least number of its partitions.
-ROWS, PARTITIONS = 5000, 8
 #: Sentences in one line at most, as places are numbered.
 _LINE = 1 << 32
 
@@ -103,29 +99,6 @@ def line_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return _described(_lines(docs, id_col, text_col).select("line"), [], _leaf()).where(F.col("n") >= SHORT).select("leaf", "s1", "s2", "line")
 
 
-def in_bitmap(keys: DataFrame, key: str, rows: DataFrame, within: bool = True) -> DataFrame:
-    """The ``rows`` whose ``key`` may be among ``keys``, by a bitmap of ``2^BITMAP`` hash bits; else the ones that can't be.
-
-    The bitmap is at most ``2^(BITMAP-15)`` rows of 4 KB and is broadcast; it lets no wanted row go
-    and spares most of the others the exchange of the exact join that follows. With more keys than
-    bits it spares fewer, and the exact join gives the same result.
-    """
-    slot = lambda c: F.col(c).bitwiseAND(F.lit((1 << BITMAP) - 1))
-    page, bit = lambda c: F.shiftright(slot(c), 15).cast("int"), lambda c: slot(c).bitwiseAND(F.lit(32767))
-    maps = keys.select(F.col(key).alias("__key")).groupBy(page("__key").alias("__page")).agg(F.bitmap_construct_agg(bit("__key")).alias("__bits"))
-    byte = F.conv(F.hex(F.substr("__bits", F.shiftright(bit(key), 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    is_set = F.expr("1") == F.getbit(byte.cast("bigint"), bit(key).bitwiseAND(F.lit(7)).cast("int"))
-    met = rows.withColumn("__page", page(key)).join(F.broadcast(maps), "__page", "inner" if within else "left")
-    return met.where(is_set if within else ~F.coalesce(is_set, F.lit(False))).drop("__page", "__bits")
-
-
-def compact(df: DataFrame) -> tuple[DataFrame, int]:
-    """``df`` without its lineage and its rows; in fewer partitions if it has few rows, so that later exchanges don't have many empty tasks."""
-    df = cut_lineage(df)
-    rows = df.count()
-    return df.coalesce(max(PARTITIONS, rows // ROWS)), rows
-
-
 def with_partner(lines: DataFrame) -> DataFrame:
     """The distinct lines (``leaf``, ``s1``, ``s2``, ``line``) that share a segment with another one of their leaf."""
     tokens = F.split("line", " ")

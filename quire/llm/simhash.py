@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut_lineage, map_texts
+from quire.llm.common import compact, cut_lineage, in_bitmap, map_texts, materialise
 from quire.llm.components import connected_components
 
 BITS = 64
@@ -113,11 +113,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 #: Words of a shingle and the Jaccard similarity of shingle sets that makes two texts near.
 NEAR_WIDTH, NEAR = 5, 0.8
-#: Pairs of a shingle's texts, in proportion to the texts, from which it is sorted last; how often that is tried, and for how many shingles.
-CROWDED, ORDERS, LATE = 16, 3, 1_000_000
+#: Bands beside the covering tables, and least hashes of a band: a pair of similarity NEAR has no band in common once in 14,000 times.
+BANDS, DEPTH = 24, 5
+#: Pairs of different groups, in proportion to a bucket's texts, up to which a bucket is compared as it is.
+CROWDED = 16
 #: 64-bit words of the parity marks by which most pairs are ruled out, and rows that a worker takes at a time.
 MARKS, SLICE = 16, 500
 
+_MULTIPLIERS = np.array([xxhash.xxh64_intdigest(b"band", k) | 1 for k in range(BANDS * DEPTH)], np.uint64)
+_MASKS = np.array(covering_masks(), np.uint64)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = x * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
+
 
 def shingle_set(text: bytes | None) -> bytes:
     """Sorted 64-bit hashes of the text's different five-word runs; of all words if there are fewer."""
@@ -129,8 +139,7 @@ def shingle_set(text: bytes | None) -> bytes:
     n = len(words) - width + 1
     runs = np.full(n, width, np.uint64)
     for k in range(width):
-        runs = (runs ^ h[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
-        runs ^= runs >> np.uint64(29)
+        runs = _mix(runs ^ h[k : k + n])
     return np.unique(runs * np.uint64(0xFF51AFD7ED558CCD)).astype("<u8").tobytes()
 
 
@@ -143,29 +152,19 @@ def similarity(a: bytes, b: bytes) -> float:
     return both / (len(x) + len(y) - both)
 
 
-def prefix(s: bytes, late: np.ndarray) -> np.ndarray:
-    """The first shingles of a set, ``late`` ones last: sets of similarity ``NEAR`` share one of theirs.
-
-    Such sets share at least ``NEAR`` of either, so not all of the shared ones lie behind the prefix,
-    whatever the order. A set without shingles gets 0.
-    """
+def bucket_keys(s: bytes) -> np.ndarray:
+    """A set's keys: its fingerprint in each covering table, then its bands of least hashes. A set without shingles has zeros."""
     x = np.frombuffer(s, "<u8")
     if not len(x):
-        return np.zeros(1, np.int64)
-    if len(late):
-        last = np.isin(x, late)
-        x = np.concatenate([x[~last], x[last]])
-    return x[: len(x) - math.ceil(NEAR * len(x) - 1e-9) + 1].view(np.int64)
-
-
-def signatures(sets, late: np.ndarray) -> dict[str, list | pa.Array]:
-    """``size`` and ``prefix`` of shingle sets."""
-    sizes, runs = [], []
-    for s in sets:
-        sizes.append(len(s) // 8)
-        runs.append(prefix(s, late).copy())
-    offsets = np.cumsum([0, *map(len, runs)]).astype(np.int32)
-    return {"size": pa.array(sizes, pa.int32()), "prefix": pa.ListArray.from_arrays(offsets, np.concatenate(runs))}
+        return np.zeros(len(_MASKS) + BANDS, np.int64)
+    tables = np.uint64(majority(x) % (1 << 64)) & _MASKS
+    least = np.full(BANDS * DEPTH, (1 << 64) - 1, np.uint64)
+    for at in range(0, len(x), 1024):
+        np.minimum(least, _mix(x[at : at + 1024, None] * _MULTIPLIERS).min(axis=0), out=least)
+    bands = np.zeros(BANDS, np.uint64)
+    for column in least.reshape(BANDS, DEPTH).T:
+        bands = _mix(bands ^ column)
+    return np.concatenate([tables, bands]).view(np.int64)
 
 
 def marks(s: bytes) -> list[int]:
@@ -188,6 +187,11 @@ def map_slices(df: DataFrame, keep: list[str], col: str, schema: str, apply) ->
     return df.select(*keep, F.col(col).cast("binary")).mapInArrow(run, whole)
 
 
+def _signed(texts: list[bytes]) -> dict[str, pa.Array]:
+    made = [shingle_set(t) for t in texts]
+    return {"size": pa.array([len(s) // 8 for s in made], pa.int32()), "keys": pa.array([bucket_keys(s) for s in made], pa.list_(pa.int64()))}
+
+
 def _sets(texts: list[bytes]) -> dict[str, pa.Array]:
     made = [shingle_set(t) for t in texts]
     return {"s": pa.array(made, pa.binary()), "size": pa.array([len(s) // 8 for s in made], pa.int32()), "marks": pa.array([marks(s) for s in made], pa.list_(pa.int64()))}
@@ -203,7 +207,7 @@ def may_be_near(edges: DataFrame, sets: DataFrame) -> DataFrame:
 
 def verified(edges: DataFrame, sets: DataFrame) -> DataFrame:
     """The edges whose shingle sets (``t``, ``s``, ``size``, ``marks``) have similarity ``NEAR`` or more."""
-    edges = cut_lineage(may_be_near(edges, sets))
+    edges, _ = compact(may_be_near(edges, sets))
     pairs = edges.join(sets.select(F.col("t").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("t").alias("b"), F.col("s").alias("sb")), "b")
 
     def run(batches):
@@ -213,84 +217,104 @@ def verified(edges: DataFrame, sets: DataFrame) -> DataFrame:
                 keep = [similarity(x, y) >= NEAR for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
+    return pairs.select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    return rows.join(rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"), "key")
+    """The rows (``bucket``, ``t``, ...) that aren't alone in their bucket."""
+    several, _ = compact(rows.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select("bucket"))
+    return in_bitmap(several, "bucket", rows).join(several, "bucket")
 
 
 def _stars(named: DataFrame) -> DataFrame:
-    """Each text of a shingle with the least text of its size class, if their groups differ."""
+    """Each text of a bucket with the least text of its size class, if their groups differ."""
     sized = named.withColumn("class", F.floor(F.log(F.greatest(F.col("size"), F.lit(1))) / -math.log(NEAR)))
-    least = sized.groupBy("key", "class").agg(F.min(F.struct("t", "label")).alias("least"))
-    return sized.join(least, ["key", "class"]).where("label <> least.label").select(F.col("t").alias("a"), F.col("least.t").alias("b")).distinct()
+    least = sized.groupBy("bucket", "class").agg(F.min(F.struct("t", "label")).alias("least"))
+    return sized.join(least, ["bucket", "class"]).where("label <> least.label").select(F.col("t").alias("a"), F.col("least.t").alias("b")).distinct()
 
 
 def _pairs(named: DataFrame, mixed: DataFrame) -> DataFrame:
-    """All pairs of texts of a shingle in different groups that sizes and places allow to be near."""
-    left = named.join(mixed.select("key"), "key")
-    right = left.select("key", *(F.col(c).alias(f"{c}2") for c in ("t", "size", "i", "label")))
-    least, most = F.least("size", "size2"), F.greatest("size", "size2")
-    room = F.least(F.col("size") - F.col("i"), F.col("size2") - F.col("i2"))
-    fits = (least >= NEAR * most - 1e-6) & ((room >= NEAR / (1 + NEAR) * (F.col("size") + F.col("size2")) - 1e-6) | (most == 0))
-    return left.join(right, "key").where("t > t2 and label <> label2").where(fits).select(F.col("t").alias("a"), F.col("t2").alias("b")).distinct()
-
-
-def near_edges(classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Edges ``a``, ``b`` that connect all texts whose shingle sets have similarity ``NEAR`` or more.
-
-    ``classes``: each different text's ``t``, ``size`` and ``prefix``; ``texts``: ``t`` and ``text``.
-    Texts that share no shingle of their prefixes are never near. Of a shared shingle, every text is
-    compared with one of them first, and only those found near become one group; then all pairs of
-    different groups are compared, so a pair is left out only if it is connected already.
-
-    A shingle that many groups have would make many pairs. It goes to the end of the order in which
-    prefixes are taken, and the texts that had it in their prefix get a new one. Other texts' prefixes
-    stay as they are, so one order holds for all, and any order finds every pair.
+    """All pairs of texts of different groups in the buckets ``mixed``, if their sizes allow them to be near."""
+    left = named.join(mixed.select("bucket"), "bucket")
+    right = left.select("bucket", *(F.col(c).alias(f"{c}2") for c in ("t", "size", "label")))
+    fits = F.least("size", "size2") >= NEAR * F.greatest("size", "size2") - 1e-6
+    return left.join(right, "bucket").where("t > t2 and label <> label2").where(fits).select(F.col("t").alias("a"), F.col("t2").alias("b")).distinct()
+
+
+def near_edges(signed: DataFrame, texts: DataFrame) -> DataFrame:
+    """Verified edges ``a``, ``b`` between texts whose shingle sets have similarity ``NEAR`` or more.
+
+    ``signed``: each different text's ``t``, ``size`` and ``keys``; ``texts``: ``t`` and ``text``, each
+    once. Candidates share a bucket of a covering table or of a band. Every text of a bucket is first
+    compared with one of them, and those found near become groups. Then all pairs of different groups
+    are compared, so a pair is left out only if it is connected already. A bucket in which that would
+    be more than ``CROWDED`` pairs for each text is divided by a further table or band instead, until
+    none is crowded: texts that are near share several of the bands, others hardly ever two.
     """
-    rows = cut_lineage(_shared(classes.select("t", "size", F.posexplode("prefix").alias("i", "key"))))
-    own = texts.join(rows.select("t").distinct(), "t", "left_semi").dropDuplicates(["t"])
+    width = len(_MASKS) + BANDS
+    first = signed.select("t", "size", F.posexplode("keys").alias("i", "key")).select(F.xxhash64("i", "key").alias("bucket"), "t", "size", "i")
+    rows = materialise(_shared(first))
+    wanted, _ = compact(rows.select("t").distinct().withColumn("h", F.xxhash64("t")))
+    own = in_bitmap(wanted, "h", texts.withColumn("h", F.xxhash64("t"))).join(wanted.select("t"), "t", "left_semi")
     sets = cut_lineage(map_slices(own, ["t"], "text", "s binary, size int, marks array<bigint>", _sets))
-    edges = classes.sparkSession.createDataFrame([], "a bigint, b bigint")
-    groups, late = connected_components(edges), np.zeros(0, np.uint64)
+    edges = signed.sparkSession.createDataFrame([], "a binary, b binary")
+    groups = connected_components(edges)
     label = F.coalesce("root", "t").alias("label")
-    for order in range(ORDERS + 1):
-        named = rows.join(groups, rows["t"] == groups["node"], "left").select("t", "size", "i", "key", label)
-        edges = cut_lineage(edges.unionByName(verified(cut_lineage(_stars(named)), sets)))
+    while True:
+        named = rows.join(groups, rows["t"] == groups["node"], "left").select("bucket", "t", "size", "i", label)
+        stars, _ = compact(_stars(named))
+        edges = materialise(edges.unionByName(verified(stars, sets)))
+        groups = connected_components(edges)
+        named = cut_lineage(rows.join(groups, rows["t"] == groups["node"], "left").select("bucket", "t", "size", "i", label))
+        in_group = named.groupBy("bucket", "label").agg(F.count("*").alias("m"))
+        mixed = in_group.groupBy("bucket").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("within")).withColumn("cross", (F.col("m") * F.col("m") - F.col("within")) / 2)
+        mixed, some = compact(mixed.where("cross > 0").select("bucket", (F.col("cross") > CROWDED * F.col("m")).alias("crowded")))
+        if not some:
+            return edges
+        pairs, _ = compact(_pairs(named, mixed.where("not crowded")))
+        edges = materialise(edges.unionByName(verified(pairs, sets)))
+        crowded, some = compact(mixed.where("crowded").select("bucket"))
+        if not some:
+            return edges
         groups = connected_components(edges)
-        named = cut_lineage(rows.join(groups, rows["t"] == groups["node"], "left").select("t", "size", "i", "key", label))
-        in_group = named.groupBy("key", "label").agg(F.count("*").alias("m"))
-        mixed = in_group.groupBy("key").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("within")).withColumn("cross", (F.col("m") * F.col("m") - F.col("within")) / 2)
-        mixed = cut_lineage(mixed.where("cross > 0"))
-        crowded = mixed.where(F.col("cross") > CROWDED * F.col("m")).orderBy(F.desc("cross"), "key").select("key").limit(LATE)
-        hot = np.array([r["key"] for r in crowded.collect()], np.int64).view(np.uint64) if order < ORDERS else late[:0]
-        hot = np.setdiff1d(hot, late)
-        if not len(hot):
-            break
-        late = np.union1d(late, hot)
-        again = cut_lineage(rows.join(F.broadcast(crowded), "key", "left_semi").select("t").distinct())
-        resign = lambda ss, late=late: signatures(ss, late)
-        anew = map_slices(sets.join(again, "t", "left_semi"), ["t"], "s", "size int, prefix array<bigint>", resign).select("t", "size", F.posexplode("prefix").alias("i", "key"))
-        rows = cut_lineage(_shared(rows.join(again, "t", "left_anti").select("t", "size", "i", "key").unionByName(anew)))
-    return edges.unionByName(verified(cut_lineage(_pairs(named, mixed)), sets))
+        kept = named.join(crowded, "bucket").where(F.col("i") < width - 1).select("bucket", "t", "size", "i").join(signed.select("t", "keys"), "t")
+        further = F.transform(F.sequence(F.col("i") + 1, F.lit(width - 1)), lambda j: F.struct(F.xxhash64("bucket", j, F.get("keys", j)).alias("bucket"), j.alias("i")))
+        rows = materialise(_shared(kept.select("t", "size", F.explode(further).alias("f")).select("f.bucket", "t", "size", "f.i")))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of every group of near copies: the one with the smallest id, all columns as they were.
 
-    Groups are connected by equal texts and by all pairs whose five-word shingles have a Jaccard
-    similarity of ``NEAR`` or more. Null and wordless texts are one group. Rows with null ids come last,
-    and of rows with equal id and text one stays.
+    Groups are connected by equal texts and by the pairs whose five-word shingles have a Jaccard
+    similarity of ``NEAR`` or more, as ``near_edges`` finds them. Null and wordless texts are one group.
+    Rows with null ids come last, and of rows with equal id and text one stays.
     """
-    keyed = docs.withColumn("__t", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    sign = lambda ts: signatures(map(shingle_set, ts), np.zeros(0, np.uint64))
-    found = map_slices(keyed.select(F.col("__t").alias("t"), F.col(id_col).alias("id"), text_col), ["t", "id"], text_col, "size int, prefix array<bigint>", sign)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    slots = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    sid, stext = (F.col(f"c{docs.columns.index(c)}") for c in (id_col, text_col))
+    keyed = slots.withColumns({"text": stext.cast("string"), "id": sid}).withColumn("t", F.unhex(F.md5(text))).withColumn("h", F.xxhash64("t"))
+    found = map_slices(keyed.select("t", "id", text.alias("text")), ["t", "id"], "text", "size int, keys array<bigint>", _signed)
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("least")
-    found = cut_lineage(found.groupBy("t").agg(least, F.any_value("size").alias("size"), F.any_value("prefix").alias("prefix")))
-    edges = near_edges(found.select("t", "size", "prefix"), keyed.select(F.col("__t").alias("t"), F.coalesce(F.col(text_col), F.lit("")).alias("text")))
+    found = materialise(found.groupBy("t").agg(least, F.any_value("size").alias("size"), F.any_value("keys").alias("keys"), F.count("*").alias("n")))
+    # of equal texts the row with the least id stands for all; nothing else of them is moved
+    once = keyed.select("t", "h", "id", text.alias("text"))
+    copied, _ = compact(found.where("n > 1").select("t", "least.id", F.xxhash64("t").alias("h")))
+    alone = in_bitmap(copied, "h", once, within=False)
+    maybe = in_bitmap(copied, "h", once)
+    one = maybe.join(copied.select("t", F.col("id").alias("id2"), F.lit(True).alias("met")), "t", "left")
+    single = one.where(F.col("met").isNull() | F.col("id").eqNullSafe(F.col("id2"))).dropDuplicates(["t"])
+    texts = alone.select("t", "text").unionByName(single.select("t", "text"))
+    edges = near_edges(found.select("t", "size", "keys"), texts)
     roots = connected_components(edges)
-    rooted = found.join(roots, found["t"] == roots["node"], "left").select("t", "least", F.coalesce("root", "t").alias("root"))
-    keep = rooted.groupBy("root").agg(F.min(F.struct("least", "t")).alias("k")).select(F.col("k.t").alias("__t"), F.col("k.least.id").alias("__id"))
-    same = (keyed["__t"] == keep["__t"]) & keyed[id_col].eqNullSafe(keep["__id"])
-    return keyed.join(keep, same, "left_semi").dropDuplicates(["__t", id_col]).select(*docs.columns)
+    roots = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    rooted = found.select("t", "least", "n").join(roots, found["t"] == roots["node"], "left").select("t", "least", "n", F.coalesce("root", "t").alias("root"), F.col("root").isNotNull().alias("linked"))
+    touched = rooted.where("linked or n > 1")
+    keep = touched.groupBy("root").agg(F.min(F.struct("least", "t")).alias("k")).select(F.col("k.t").alias("t"), F.col("k.least.id").alias("kept"))
+    judged = touched.select("t", F.xxhash64("t").alias("h"), F.lit(True).alias("met")).join(keep.withColumn("keeper", F.lit(True)), "t", "left")
+    judged, _ = compact(judged)
+    # rows that certainly have no copy are not moved
+    whole = in_bitmap(judged, "h", keyed, within=False).select(*slots.columns)
+    rest = in_bitmap(judged, "h", keyed).join(judged.drop("h"), "t", "left")
+    copies = rest.where("keeper").where(F.col("id").eqNullSafe(F.col("kept"))).dropDuplicates(["t"])
+    out = whole.unionByName(rest.where("met is null").select(*slots.columns)).unionByName(copies.select(*slots.columns))
+    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))

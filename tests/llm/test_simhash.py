@@ -157,3 +157,29 @@ def test_replaced_stretches_equal_brute_force_jaccard(spark):
     assert 45 < len(want) < 110  # both kinds of pairs are there
     got = sorted(r["doc_id"] for r in S.drop_near_duplicates(frame(spark, [(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")).collect())
     assert got == want
+
+
+def test_crowded_buckets_are_divided_and_lose_no_group(spark, monkeypatch):
+    monkeypatch.setattr(S, "CROWDED", 2)
+    rng = random.Random(13)
+    fresh = iter(range(10**6))
+    words = lambda n: [f"u{next(fresh)}" for _ in range(n)]
+    shared, rows = words(150), []  # three quarters are boilerplate, so that texts that aren't near share bands
+    for g in range(12):
+        body = words(50)
+        for k in range(2):
+            own = list(body)
+            own[rng.randrange(50)] = f"edit{k}"
+            rows.append((2 * g + k, " ".join(shared + own)))
+    got = sorted(r["doc_id"] for r in S.drop_near_duplicates(frame(spark, rows, "doc_id bigint, text string")).collect())
+    assert got == [2 * g for g in range(12)]
+
+
+def test_clashing_columns_empty_tables_and_long_texts(spark):
+    schema = "doc_id bigint, text string, t int, h int, id int, n int, s string, keys int, least int"
+    assert S.drop_near_duplicates(frame(spark, [], schema)).collect() == []
+    long = " ".join(f"w{i}" for i in range(60_000))
+    rows = [(i, x, 1, 2, 3, 4, "s", 5, 6) for i, x in ((2, long), (1, long + " end"), (3, "x" * 300_000), (4, None), (5, "  "), (4, None))]
+    got = S.drop_near_duplicates(frame(spark, rows, schema))
+    assert got.columns == [c.split()[0] for c in schema.split(", ")]
+    assert sorted(tuple(r)[:1] + tuple(r)[2:] for r in got.collect()) == [(i, 1, 2, 3, 4, "s", 5, 6) for i in (1, 3, 4)]
