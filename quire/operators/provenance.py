@@ -71,9 +71,13 @@ def union_components(components: DataFrame, by: str, name: str = "name", license
     return norm.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
 
 
-def with_default_license(owners: DataFrame, effective: DataFrame, by: str, default: str = "MIT") -> DataFrame:
-    """All owners, those without components under ``default``."""
-    return owners.select(by).distinct().join(effective, by, "left").withColumn("effective_license", F.coalesce("effective_license", F.lit(default)))
+def with_default_license(owners: DataFrame, effective: DataFrame, by: str, default: str = "CC BY-NC 4.0") -> DataFrame:
+    """All owners, those without components under ``default`` and flagged by it."""
+    code = F.coalesce("effective_license", F.lit(default))
+    flags = {"is_non_commercial": code.isin(*NON_COMMERCIAL), "is_share_alike": code.isin(*SHARE_ALIKE)}
+    met = owners.select(by).distinct().join(effective, by, "left").withColumn("__none", F.col("effective_license").isNull())
+    met = met.withColumns({c: F.when(F.col("__none"), flags[c]).otherwise(F.col(c)) for c in flags if c in effective.columns} | {"effective_license": code})
+    return met.drop("__none")
 
 
 def run_statistics(events: DataFrame, by: str = "run_id") -> DataFrame:

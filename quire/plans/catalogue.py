@@ -237,44 +237,46 @@ KEY_WORDS = 5
 
 
 def _matches(spark, sf_dir):
-    """ASCII documents next to the benchmark passages that they contain, compared over the passage's length."""
-    docs = table(spark, sf_dir, "documents").where(~F.col("text").rlike(r"[^\x00-\x7F]")).select("doc_id", "source", F.col("text").alias("d"))
-    items = table(spark, sf_dir, "benchmark").where(~F.col("text").rlike(r"[^\x00-\x7F]")).select("item_id", F.col("text").alias("b"))
-    # the first words of a passage stand in its document: an equi-join on runs of words instead of containment of all pairs
-    # words are exploded one by one: inside a lambda the text would be split again for every place
-    near = Window.partitionBy("doc_id").orderBy("at").rowsBetween(0, KEY_WORDS - 1)
-    one = docs.select("doc_id", F.posexplode(F.split("d", " ")).alias("at", "w")).withColumn("run", F.collect_list("w").over(near)).where(F.size("run") == KEY_WORDS)
-    hits = one.select("doc_id", F.array_join("run", " ").alias("key")).distinct().join(items.withColumn("key", F.substring_index("b", " ", KEY_WORDS)), "key")
+    """Benchmark passages next to as many words of a document, at every place where the passage's first words stand."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("d"))
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("ref"))
+    items = items.withColumn("n", F.size(F.split("ref", " "))).where(F.col("n") >= KEY_WORDS).withColumn("key", F.substring_index("ref", " ", KEY_WORDS))
+    # the first words of a passage stand in its document: an equi-join on runs of words, made within the row
+    words = docs.select("doc_id", F.explode(F.array(F.split("d", " "))).alias("ws")).where(F.size("ws") >= KEY_WORDS)
+    runs = F.transform(F.sequence(F.lit(1), F.size("ws") - KEY_WORDS + 1), lambda i: F.array_join(F.slice("ws", i, KEY_WORDS), " "))
+    hits = words.select("doc_id", F.posexplode(runs).alias("place", "key")).join(items, "key").drop("key")
     found = docs.join(hits, "doc_id")  # texts meet the few hits only
-    return found.select("doc_id", "source", "item_id", F.substr("b", F.lit(1), F.lit(90)).alias("ref"), F.expr("substr(d, locate(' ' || key || ' ', ' ' || d || ' ') + 3, 90)").alias("hyp"))
+    hyp = F.array_join(F.slice(F.split("d", " "), F.col("place") + 1, F.col("n")), " ")
+    return found.select("doc_id", "item_id", "place", T.normalize_text(F.col("ref")).alias("ref"), T.normalize_text(hyp).alias("hyp"))
 
 
 _MATCH = r"""
-k AS (SELECT item_id, text AS b, array_to_string(string_split(text, ' ')[1:5], ' ') AS key FROM benchmark WHERE NOT regexp_matches(text, '[^\x00-\x7F]') AND len(string_split(text, ' ')) >= 5),
-m AS (SELECT doc_id, source, item_id, substr(b, 1, 90) AS ref, substr(text, instr(' ' || text || ' ', ' ' || key || ' ') + 3, 90) AS hyp FROM documents d JOIN k
-  ON contains(' ' || text || ' ', ' ' || key || ' ') WHERE NOT regexp_matches(text, '[^\x00-\x7F]')),
-n AS (SELECT doc_id, source, item_id, trim(regexp_replace(ref, '\s+', ' ', 'g')) AS ref, trim(regexp_replace(hyp, '\s+', ' ', 'g')) AS hyp FROM m)"""
+k AS (SELECT item_id, text AS b, string_split(text, ' ') AS bw, array_to_string(string_split(text, ' ')[1:5], ' ') AS key FROM benchmark WHERE len(string_split(text, ' ')) >= 5),
+g AS (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents)),
+m AS (SELECT doc_id, item_id, CAST(i - 1 AS INT) AS place, b AS ref, array_to_string(w[i:i + len(bw) - 1], ' ') AS hyp FROM g JOIN k ON array_to_string(w[i:i + 4], ' ') = key),
+n AS (SELECT doc_id, item_id, place, trim(regexp_replace(nfc_normalize(ref), '\s+', ' ', 'g')) AS ref, trim(regexp_replace(nfc_normalize(hyp), '\s+', ' ', 'g')) AS hyp FROM m),
+"""
+# the edit distance there is one of bytes: every different symbol of a pair becomes a byte
+_SYMBOLS = """c AS (SELECT *, list_distinct(list_concat(r, h)) AS v FROM w),
+p AS (SELECT doc_id, item_id, place, len(r) AS k, len(h) AS q, array_to_string(list_transform(r, lambda x: chr(CAST(list_position(v, x) AS INT))), '') AS a,
+  array_to_string(list_transform(h, lambda x: chr(CAST(list_position(v, x) AS INT))), '') AS b FROM c)"""
 
 
 @query(
-    f"""WITH {_MATCH} SELECT doc_id, item_id, CASE WHEN length(ref) = 0 THEN CASE WHEN length(hyp) = 0 THEN 0.0 ELSE 1.0 END ELSE levenshtein(ref, hyp) / length(ref) END AS cer,
-  coalesce(levenshtein(ref, hyp) / nullif(greatest(length(ref), length(hyp)), 0), 0.0) AS ned FROM n"""
+    f"""WITH {_MATCH} w AS (SELECT doc_id, item_id, place, string_split(ref, '') AS r, string_split(hyp, '') AS h FROM n), {_SYMBOLS}
+SELECT doc_id, item_id, place, levenshtein(a, b) / k AS cer, levenshtein(a, b) / greatest(k, q) AS ned FROM p"""
 )
 def cer_ned_pairs(spark, sf_dir):
-    ref, hyp = T.normalize_text(F.col("ref")), T.normalize_text(F.col("hyp"))
-    return _matches(spark, sf_dir).select("doc_id", "item_id", ref.alias("ref"), hyp.alias("hyp")).select("doc_id", "item_id", T.cer(F.col("ref"), F.col("hyp")).alias("cer"), T.ned(F.col("ref"), F.col("hyp")).alias("ned"))
+    ref, hyp = F.col("ref"), F.col("hyp")
+    return _matches(spark, sf_dir).select("doc_id", "item_id", "place", T.cer(ref, hyp).alias("cer"), T.ned(ref, hyp).alias("ned"))
 
 
 @query(
-    f"""WITH {_MATCH}, w AS (SELECT doc_id, item_id, string_split(ref, ' ') AS r, string_split(hyp, ' ') AS h FROM n),
-c AS (SELECT *, list_distinct(list_concat(r, h)) AS v FROM w),
-p AS (SELECT doc_id, item_id, len(r) AS k, array_to_string(list_transform(r, lambda x: chr(CAST(list_position(v, x) + 32 AS INT))), '') AS a,
-  array_to_string(list_transform(h, lambda x: chr(CAST(list_position(v, x) + 32 AS INT))), '') AS b FROM c)
-SELECT doc_id, item_id, levenshtein(a, b) / k AS wer FROM p"""
+    f"""WITH {_MATCH} w AS (SELECT doc_id, item_id, place, string_split(ref, ' ') AS r, string_split(hyp, ' ') AS h FROM n), {_SYMBOLS}
+SELECT doc_id, item_id, place, levenshtein(a, b) / k AS wer FROM p"""
 )
 def wer_pairs(spark, sf_dir):
-    normal = _matches(spark, sf_dir).select("doc_id", "item_id", T.normalize_text(F.col("ref")).alias("ref"), T.normalize_text(F.col("hyp")).alias("hyp"))
-    return normal.select("doc_id", "item_id", T.wer(F.col("ref"), F.col("hyp")).alias("wer"))
+    return _matches(spark, sf_dir).select("doc_id", "item_id", "place", T.wer(F.col("ref"), F.col("hyp")).alias("wer"))
 
 
 @query(
@@ -289,8 +291,9 @@ def corpus_scores(spark, sf_dir):
 
 
 @query(
-    """WITH g AS (SELECT conv_id, turn, CAST(length(w) AS VARCHAR) AS type, lower(w) AS t FROM (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS w FROM conversations WHERE role = 'user' AND NOT regexp_matches(text, '[^ -~]')) WHERE w <> ''),
-h AS (SELECT conv_id, turn - 1 AS turn, CAST(length(w) AS VARCHAR) AS type, lower(w) AS t FROM (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS w FROM conversations WHERE role = 'assistant' AND NOT regexp_matches(text, '[^ -~]')) WHERE w <> ''),
+    r"""WITH e AS (SELECT conv_id, turn, role, CAST(length(w) AS VARCHAR) AS type, trim(regexp_replace(lower(nfc_normalize(w)), '\s+', ' ', 'g')) AS t FROM (SELECT conv_id, turn, role, unnest(string_split(text, ' ')) AS w FROM conversations) WHERE w <> ''),
+g AS (SELECT conv_id, turn, type, t FROM e WHERE role = 'user'),
+h AS (SELECT conv_id, turn - 1 AS turn, type, t FROM e WHERE role = 'assistant'),
 gc AS (SELECT conv_id, turn, type, t, count(*) AS r FROM g GROUP BY ALL), hc AS (SELECT conv_id, turn, type, t, count(*) AS h FROM h GROUP BY ALL),
 b AS (SELECT conv_id, turn, sum(CASE WHEN r IS NOT NULL AND h IS NOT NULL THEN least(r, h) ELSE 0 END) AS tp, coalesce(sum(r), 0) AS n_ref, coalesce(sum(h), 0) AS n_hyp FROM gc FULL JOIN hc USING (conv_id, turn, type, t) GROUP BY 1, 2),
 k AS (SELECT * FROM b SEMI JOIN (SELECT DISTINCT conv_id, turn FROM g) USING (conv_id, turn)),
@@ -300,7 +303,7 @@ SELECT *, coalesce(tp / nullif(n_hyp, 0), 0.0) AS precision, coalesce(tp / nulli
   coalesce(2 * (tp / nullif(n_hyp, 0)) * (tp / nullif(n_ref, 0)) / nullif(tp / nullif(n_hyp, 0) + tp / nullif(n_ref, 0), 0), 0.0) AS f1 FROM s"""
 )
 def entity_prf_micro(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").where(~F.col("text").rlike("[^ -~]"))
+    turns = table(spark, sf_dir, "conversations")
 
     def words(role, shift):
         w = turns.where(F.col("role") == role).select("conv_id", (F.col("turn") - shift).alias("turn"), F.explode(F.split("text", " ")).alias("text"))

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quire.functions.text import normalize_text
+
 _BOX = "_HPOS DOUBLE, _VPOS DOUBLE, _WIDTH DOUBLE, _HEIGHT DOUBLE"
 ALTO_PAGE = f"""_ID STRING, _PHYSICAL_IMG_NR INT, _WIDTH DOUBLE, _HEIGHT DOUBLE, PrintSpace STRUCT<{_BOX.replace(" DOUBLE", ": DOUBLE")},
   TextBlock: ARRAY<STRUCT<_ID: STRING, TextLine: ARRAY<STRUCT<_ID: STRING, {_BOX.replace(" DOUBLE", ": DOUBLE")}, String: ARRAY<STRUCT<_CONTENT: STRING, {_BOX.replace(" DOUBLE", ": DOUBLE")}>>>>>>>"""
@@ -216,27 +218,41 @@ def read_image_sizes(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInPandas(run, "path string, width int, height int")
 
 
-def align_tokens(tokens: DataFrame, strings: DataFrame, chunk: int = 5000, slack: int = 1000) -> DataFrame:
-    """Boxes for tokens from recognised strings of the same document, by longest matching blocks of characters.
+def _stream(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``doc``, ``key``, the folded text's characters ``chars`` and the place ``at`` of the first one in its document."""
+    folded = F.regexp_replace(normalize_text(F.col(text), lowercase=True), r"\s+", "")
+    rows = df.select("doc", key, folded.alias("f")).where("f <> ''").select("doc", key, F.split("f", "").alias("chars"))
+    before = Window.partitionBy("doc").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumn("at", F.coalesce(F.sum(F.size("chars")).over(before), F.lit(0)))
+
+
+def _grams(stream: DataFrame, key: str, width: int, name: str) -> DataFrame:
+    """The runs of ``width`` characters that a document has once, and where."""
+    whole = stream.groupBy("doc").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "chars"))), lambda x: x["chars"])).alias("c"))
+    starts = F.when(F.size("c") >= width, F.sequence(F.lit(0), F.size("c") - width)).otherwise(F.array().cast("array<int>"))
+    gram = whole.select("doc", "c", F.explode(starts).alias(name)).select("doc", name, F.array_join(F.slice("c", F.col(name) + 1, width), "").alias("gram"))
+    return gram.groupBy("doc", "gram").agg(F.min(name).alias(name), F.count("*").alias("n")).where("n = 1").drop("n")
+
+
+def align_tokens(tokens: DataFrame, strings: DataFrame, width: int = 6, drift: int = 40) -> DataFrame:
+    """``tokens`` with the page and box of the recognised strings that they stand in; nulls where none is found.
 
-    ``tokens``: doc, tok, form; ``strings``: doc, seq, content, page_num and box. A document is one
-    group: alignment runs along it in chunks of characters with a window of ``slack`` on either side.
+    ``tokens``: doc, tok, form; ``strings``: doc, seq, content, page_num and box. Both sides are read as
+    streams of folded characters without spaces. Runs of ``width`` characters that occur once on either
+    side of a document are its anchors; one whose shift differs by more than ``drift`` from the median
+    of its neighbours is chance. From an anchor to the next of equal shift, characters stand for each
+    other place by place, misread ones too. Everything is an equi-join on the document and a place.
     """
-    from difflib import SequenceMatcher
-
-    def align(key, left, right):
-        left, right = left.sort_values("tok"), right.sort_values("seq")
-        a, owner_a = "".join(left["form"]), [i for i, f in enumerate(left["form"]) for _ in f]
-        b, owner_b = "".join(right["content"]), [i for i, c in enumerate(right["content"]) for _ in c]
-        met: dict[int, set[int]] = {}
-        for at in range(0, len(a), chunk):
-            lo, part = max(0, at - slack), a[at : at + chunk]
-            for m in SequenceMatcher(None, part, b[lo : at + chunk + slack], autojunk=False).get_matching_blocks():
-                for k in range(m.size):
-                    met.setdefault(owner_a[at + m.a + k], set()).add(owner_b[lo + m.b + k])
-        rows = [(key[0], int(left["tok"].iloc[i]), int(right["seq"].iloc[j])) for i, js in met.items() for j in js]
-        return pd.DataFrame(rows, columns=["doc", "tok", "seq"])
-
-    pairs = tokens.select("doc", "tok", "form").groupBy("doc").cogroup(strings.select("doc", "seq", "content").groupBy("doc")).applyInPandas(align, "doc string, tok bigint, seq bigint")
-    boxed = pairs.join(strings, ["doc", "seq"]).groupBy("doc", "tok").agg(F.min("page_num").alias("page_num"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
-    return tokens.join(boxed, ["doc", "tok"], "left")
+    left, right = _stream(tokens, "tok", "form"), _stream(strings, "seq", "content")
+    anchors = _grams(left, "tok", width, "pa").join(_grams(right, "seq", width, "pb"), ["doc", "gram"]).select("doc", "pa", (F.col("pb") - F.col("pa")).alias("shift"))
+    along = Window.partitionBy("doc").orderBy("pa")
+    usual = F.percentile_approx("shift", 0.5).over(along.rowsBetween(-10, 10))
+    sound = anchors.withColumn("usual", usual).where(F.abs(F.col("shift") - F.col("usual")) <= drift)
+    ends = sound.withColumn("next", F.when(F.lead("shift").over(along) == F.col("shift"), F.lead("pa").over(along)))
+    places = F.sequence("pa", F.greatest(F.col("pa") + width, F.coalesce("next", F.lit(0))) - 1)
+    met = ends.select("doc", "shift", F.explode(places).alias("p")).select("doc", "p", (F.col("p") + F.col("shift")).alias("q")).distinct()
+    own = lambda s, key, name: s.select("doc", key, F.explode(F.sequence(F.col("at"), F.col("at") + F.size("chars") - 1)).alias(name))
+    pairs = met.join(own(left, "tok", "p"), ["doc", "p"]).join(own(right, "seq", "q"), ["doc", "q"]).select("doc", "tok", "seq").distinct()
+    boxed = pairs.join(strings, ["doc", "seq"]).groupBy("doc", "tok")
+    box = boxed.agg(F.min("page_num").alias("page_num"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
+    return tokens.join(box, ["doc", "tok"], "left")

@@ -233,7 +233,9 @@ def test_effective_license(spark):
     assert got["u"] == ("homemade", False, False, ["x", "y"], ["homemade"])
     assert got["v"] == ("GPL-3.0", False, True, ["a"], [])
     none = provenance.with_default_license(frame(spark, [("w",)], "tool string"), eff, "tool").first()
-    assert none["effective_license"] == "MIT"
+    assert (none["effective_license"], none["is_non_commercial"], none["is_share_alike"]) == ("CC BY-NC 4.0", True, False)
+    met = {r["tool"]: r["effective_license"] for r in provenance.with_default_license(parts, eff, "tool").collect()}
+    assert met == {k: v[0] for k, v in got.items()}
 
 
 def test_config_layers_and_offload(spark):
