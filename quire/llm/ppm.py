@@ -1,15 +1,18 @@
-"""Language-model scoring by prediction by partial matching (PPM) over the bytes of tokens.
-
-A text is its lower-cased words and one end token. A word is coded byte by byte and closed by a
-space; the end token is a newline. The context of a byte is the bytes before it in the token, at most
-``ORDER`` of them, the space that opens the token being the first. The trie holds, for every context
-of 0..ORDER bytes, how often each byte followed in the training tokens. Escapes are estimated by
-method C (distinct followers), and bytes already refused by a longer context are excluded from the
-shorter ones, down to equal chances for the bytes that no context of order 0 has seen.
-
-A word's code length depends on the word alone, so it is computed once per distinct word of the
-corpus. Texts meet their words' values twice: the ``HOT`` most frequent words are broadcast (a bounded
-table), all others are joined.
+"""Language-model scoring by prediction by partial matching (PPM) over the bytes of texts.
+
+A text is its lower-cased words, a space behind each, and a newline as the end token. The context of a
+byte is the ``ORDER`` bytes before it, across words; in front of a text there are newlines. The trie
+holds, for every context of 0..ORDER bytes, how often each byte followed in the training texts. Escapes
+are estimated by method C (distinct followers), and bytes already refused by a longer context are
+excluded from the shorter ones, down to equal chances for the bytes that no context of order 0 has seen.
+
+A byte's code length depends on its gram, the context and the byte, alone. So grams are counted, each
+task adding up its own, and the trie is a table per order, made of the next longer one. Every distinct
+gram of the corpus gets its code length by equi-joins with these tables; the trie is never brought
+together. Texts meet the values of their grams and words twice: the ``HOT`` most frequent are broadcast
+(a bounded table), all others are joined.
+
+Code lengths are whole multiples of 2^-36, so sums don't depend on the order of their parts.
 """
 
 from __future__ import annotations
@@ -19,109 +22,45 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import bucket_of, cut_lineage, map_texts
+from quire.llm.common import bucket_of, map_texts, materialise
 
 ORDER = 5
 END = b"\n"
-#: Words in the broadcast table; trie entries in one broadcast shard; words counted before a flush.
-HOT, SHARD, FLUSH = 50_000, 2_000_000, 400_000
+#: Words and grams in the broadcast tables; words and grams counted before a flush; bytes of text taken at a time.
+HOT, HOT_GRAMS, FLUSH, CHUNK = 50_000, 2_000_000, 400_000, 1 << 20
+UNIT = 1 << 36
 
 
-def coded(word: bytes) -> bytes:
-    """The bytes that stand for a token, its opening space included."""
-    return b" \n" if word == END else b" " + word + b" "
+def coded(words: list[bytes]) -> bytes:
+    """The bytes that stand for a text, with the newlines in front of it."""
+    return END * ORDER + b"".join([w + b" " for w in words]) + END
 
 
-def grams(words: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of every coded byte: its token, the bytes available before it (at most ``order``) and, in one
-    integer, these bytes and itself (the most recent lowest)."""
-    buf = np.frombuffer(b"".join(map(coded, words)), np.uint8).astype(np.uint64)
-    lens = np.fromiter((2 if w == END else len(w) + 2 for w in words), np.int64, len(words))
-    token = np.repeat(np.arange(len(words)), lens)
-    start = np.repeat(np.cumsum(lens) - lens, lens)
-    pos = np.arange(len(buf)) - start
+def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Of every coded byte of several texts (``coded`` ones): context and byte in one integer, the most
+    recent lowest; and how many each text has."""
+    buf = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64)
+    lens = np.fromiter(map(len, texts), np.int64, len(texts))
     key = buf.copy()
-    for k in range(1, order + 1):
-        prev = np.zeros_like(buf)
-        prev[k:] = buf[:-k]
-        key |= np.where(pos >= k, prev, 0).astype(np.uint64) << np.uint64(8 * k)
-    coded_byte = pos > 0
-    return token[coded_byte], np.minimum(pos, order)[coded_byte], key[coded_byte]
-
-
-def _cut(key: np.ndarray, k: int) -> np.ndarray:
-    """The last ``k`` context bytes and the symbol."""
-    return key & np.uint64((1 << (8 * (k + 1))) - 1)
-
-
-class Trie:
-    """Counts by order: sorted (context, byte) keys, with totals per context."""
-
-    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]]):
-        self.keys, self.counts, self.contexts, self.total, self.distinct, self.refused = [], [], [], [], [], []
-        for k, (keys, counts) in enumerate(levels):
-            ctx = keys >> np.uint64(8)
-            contexts, first = np.unique(ctx, return_index=True)
-            ends = np.append(first[1:], len(keys))
-            sums = np.concatenate(([0], np.cumsum(counts, dtype=np.float64)))
-            self.keys.append(keys)
-            self.counts.append(counts.astype(np.float64))
-            self.contexts.append(contexts)
-            self.total.append(sums[ends] - sums[first])
-            self.distinct.append((ends - first).astype(np.float64))
-            if k:  # what excluding this context's bytes takes from the one that is a byte shorter
-                shorter = _cut(keys, k - 1)
-                at = np.searchsorted(self.keys[k - 1], shorter)
-                known = self.counts[k - 1][at]
-                sums = np.concatenate(([0], np.cumsum(known)))
-                self.refused.append(sums[ends] - sums[first])
-            else:
-                self.refused.append(np.zeros(len(contexts)))
-
-    @staticmethod
-    def find(table: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        """Positions in a sorted table, -1 where absent."""
-        if not len(table):
-            return np.full(len(wanted), -1)
-        at = np.minimum(np.searchsorted(table, wanted), len(table) - 1)
-        return np.where(table[at] == wanted, at, -1)
-
-    def log10(self, available: np.ndarray, key: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each byte after its context."""
-        out = np.zeros(len(key))
-        open_ = np.ones(len(key), bool)
-        gone, used = np.zeros(len(key)), np.zeros(len(key))  # counts and bytes excluded so far, within the next context
-        for k in range(len(self.keys) - 1, -1, -1):
-            rows = np.flatnonzero(open_ & (available >= k))
-            if not len(rows):
-                continue
-            gram = _cut(key[rows], k)
-            ctx = self.find(self.contexts[k], gram >> np.uint64(8))
-            rows, gram, ctx = rows[ctx >= 0], gram[ctx >= 0], ctx[ctx >= 0]
-            if not len(rows):
-                continue
-            left, fresh = self.total[k][ctx] - gone[rows], self.distinct[k][ctx] - used[rows]
-            at = self.find(self.keys[k], gram)
-            hit = at >= 0
-            out[rows[hit]] += np.log10(self.counts[k][at[hit]] / (left[hit] + fresh[hit]))
-            open_[rows[hit]] = False
-            miss = rows[~hit]
-            left, fresh = left[~hit], fresh[~hit]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                out[miss] += np.where(fresh > 0, np.log10(fresh / (left + fresh)), 0.0)
-            gone[miss], used[miss] = self.refused[k][ctx[~hit]], self.distinct[k][ctx[~hit]]
-        rest = np.flatnonzero(open_)
-        seen = self.distinct[0][0] if len(self.distinct[0]) else 0
-        out[rest] -= np.log10(256 - seen)
-        return out
-
-
-def shard_key(key: np.ndarray, available: np.ndarray) -> np.ndarray:
-    """The two bytes before a coded byte; 0 where there is just one."""
-    return np.where(available >= 2, (key >> np.uint64(8)) & np.uint64(0xFFFF), 0).astype(np.int64)
+    for k in range(1, ORDER + 1):
+        key[k:] |= buf[:-k] << (8 * k)
+    place = np.arange(len(buf)) - np.repeat(np.cumsum(lens) - lens, lens)
+    return key[place >= ORDER], lens - ORDER
+
+
+def chunks(texts: list[bytes]):
+    """Neighbouring texts of about ``CHUNK`` bytes together."""
+    at, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= CHUNK:
+            yield at, texts[at : i + 1]
+            at, size = i + 1, 0
+    if at < len(texts):
+        yield at, texts[at:]
 
 
 def count_tokens(docs: DataFrame, id_col: str, text_col: str, learn) -> DataFrame:
@@ -156,87 +95,100 @@ def count_tokens(docs: DataFrame, id_col: str, text_col: str, learn) -> DataFram
     return src.mapInArrow(run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def count_grams(words: DataFrame, order: int = ORDER) -> DataFrame:
-    """``k``, ``gram`` and ``n`` of the trie, from distinct words and their counts."""
+def count_grams(docs: DataFrame, text_col: str, learn: Column) -> DataFrame:
+    """``gram`` and ``c``: how often it stands in rows with ``learn``; grams of other rows too, with 0."""
+    src = docs.select(F.coalesce(learn, F.lit(False)).alias("learn"), F.col(text_col).cast("string").alias("t"))
 
     def run(batches):
+        held, size = [], 0
+
+        def merged():
+            g, c = (np.concatenate(x) for x in zip(*held))
+            u, inv = np.unique(g, return_inverse=True)
+            return u, np.bincount(inv, c, minlength=len(u)).astype(np.int64)
+
         for batch in batches:
-            ws, c = batch.column(0).to_pylist(), np.asarray(batch.column(1).to_numpy(zero_copy_only=False), np.float64)
-            keep = np.flatnonzero(c > 0)
-            if not len(keep):
-                continue
-            token, available, key = grams([ws[i] for i in keep], order)
-            weight = c[keep][token]
-            for k in range(order + 1):
-                rows = available >= k
-                if rows.any():
-                    g, inv = np.unique(_cut(key[rows], k), return_inverse=True)
-                    n = np.bincount(inv, weight[rows])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(g), k, np.int32)), pa.array(g.view(np.int64)), pa.array(n.astype(np.int64))], names=["k", "gram", "n"])
-
-    return words.select("word", "c").mapInArrow(run, "k int, gram bigint, n bigint").groupBy("k", "gram").agg(F.sum("n").alias("n"))
-
-
-def plan_shards(sizes: dict[int, int], limit: int) -> list[list[int]]:
-    """Group the two-byte contexts so that a shard has ``limit`` entries, or is a single one of at most 256^ORDER-1."""
-    out, size = [[]], 0
-    for key, n in sorted(sizes.items()):
-        if out[-1] and size + n > limit:
-            out.append([])
-            size = 0
-        out[-1].append(key)
-        size += n
-    return out
-
-
-def score_words(words: DataFrame, order: int = ORDER, shard: int = SHARD) -> DataFrame:
-    """``word``, ``c`` and ``lp``, the word's log10 probability under the trie of all counted words.
-
-    The trie is broadcast in shards by the two bytes before the coded one, as all longer contexts of
-    a byte share them (orders 0 and 1 go with each shard); a word's bytes are summed over the shards.
+            flags = batch.column(0).to_numpy(zero_copy_only=False).astype(np.float64)
+            texts = [coded((t or b"").lower().split()) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            for at, some in chunks(texts):
+                g, lens = grams(some)
+                u, inv = np.unique(g, return_inverse=True)
+                held.append((u, np.bincount(inv, np.repeat(flags[at : at + len(some)], lens), minlength=len(u))))
+                size += len(u)
+                if size > 10 * FLUSH:
+                    u, c = merged()
+                    held, size = [(u, c)], len(u)
+                    if size > 5 * FLUSH:
+                        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(c)], names=["gram", "c"])
+                        held, size = [], 0
+        if held:
+            u, c = merged()
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(c)], names=["gram", "c"])
+
+    return src.mapInArrow(run, "gram bigint, c bigint").groupBy("gram").agg(F.sum("c").alias("c"))
+
+
+def _cut(gram: Column, k: int) -> Column:
+    """The last ``k`` context bytes and the byte."""
+    return gram.bitwiseAND(F.lit((1 << (8 * (k + 1))) - 1))
+
+
+def tries(counted: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """By order: the counts ``gram``, ``n``, and the contexts ``ctx``, ``total``, ``distinct``, ``refused``.
+
+    ``refused``: what excluding the bytes that follow a context takes from the one that is a byte shorter.
     """
-    trie = cut_lineage(count_grams(words, order))
-    two = F.when(F.col("k") >= 2, F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF))).otherwise(F.lit(-1)).alias("two")
-    sizes = {r["two"]: r["count"] for r in trie.groupBy(two).count().collect()}  # at most 65,537 rows
-    sizes.pop(-1, None)
-    shards = plan_shards(sizes, shard)
-    first = [0, *(own[0] for own in shards[1:]), 1 << 16]
-    spark, parts = words.sparkSession, []
-    for low, end in zip(first, first[1:]):
-        rows = trie.where((F.col("k") < 2) | F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF)).between(low, end - 1)).toArrow()
-        ks, gs, ns = (rows.column(c).to_numpy() for c in ("k", "gram", "n"))
-        levels = []
-        for k in range(order + 1):
-            at = np.flatnonzero(ks == k)
-            g = gs[at].view(np.uint64)
-            by = np.argsort(g)
-            levels.append((g[by], ns[at][by]))
-        shared = spark.sparkContext.broadcast((levels, low, end))
-        parts.append(words.select("word", "c").mapInArrow(_scorer(shared), "word binary, c bigint, lp double"))
-    if len(parts) == 1:
-        return parts[0]
-    whole = parts[0]
-    for p in parts[1:]:
-        whole = whole.unionByName(p)
-    return whole.groupBy("word").agg(F.max("c").alias("c"), F.sum("lp").alias("lp"))
-
-
-def _scorer(shared):
-    def run(batches):
-        levels, low, end = shared.value
-        trie = Trie(levels)
-        for batch in batches:
-            ws = batch.column(0).to_pylist()
-            if not ws:
-                continue
-            token, available, key = grams(ws, len(levels) - 1)
-            own = shard_key(key, available)
-            rows = (own >= low) & (own < end)
-            token, available, key = token[rows], available[rows], key[rows]
-            lp = np.bincount(token, trie.log10(available, key), minlength=len(ws)) if len(token) else np.zeros(len(ws))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lp)], names=["word", "c", "lp"])
+    out, level = [], materialise(counted.where("c > 0").select("gram", F.col("c").alias("n")))
+    for k in range(ORDER, -1, -1):
+        below = materialise(level.groupBy(_cut(F.col("gram"), k - 1).alias("gram")).agg(F.sum("n").alias("n"))) if k else None
+        rows = level.withColumn("shorter", _cut(F.col("gram"), k - 1)) if k else level.withColumn("m", F.lit(0))
+        if k:
+            rows = rows.join(below.select(F.col("gram").alias("shorter"), F.col("n").alias("m")), "shorter")
+        contexts = rows.groupBy(F.shiftright("gram", 8).alias("ctx")).agg(F.sum("n").alias("total"), F.count("*").alias("distinct"), F.sum("m").alias("refused"))
+        out.append((level, materialise(contexts)))
+        level = below
+    return out[::-1]
+
 
-    return run
+def unit(x: Column) -> Column:
+    return F.round(x * UNIT).cast("bigint")
+
+
+def gram_values(counted: DataFrame) -> DataFrame:
+    """``gram``, ``c`` and ``q``: its code length under the trie of all grams with ``c > 0``, as log10 in units of 2^-36.
+
+    The tables of orders 0 and 1 and the contexts of order 2 have at most 65,536 rows and are broadcast.
+    """
+    levels = tries(counted)
+    seen = counted.where("c > 0").withColumn("ctx", F.shiftright("gram", 8)).join(levels[-1][1], "ctx")
+    seen = seen.select("gram", "c", unit(F.log10(F.col("c") / (F.col("total") + F.col("distinct")))).alias("q"))
+    zero = F.lit(0)
+    state = counted.where("c = 0").select("gram", F.lit(0.0).alias("lp"), F.lit(True).alias("open"), zero.cast("bigint").alias("gone"), zero.cast("bigint").alias("used"))
+    for k in range(ORDER, -1, -1):
+        counts, contexts = levels[k]
+        if k <= 2:
+            contexts = F.broadcast(contexts)
+        if k <= 1:
+            counts = F.broadcast(counts)
+        state = state.withColumn("ctx", F.shiftright(_cut(F.col("gram"), k), 8)).join(contexts, "ctx", "left")
+        if k < ORDER:  # its own gram was never counted
+            state = state.withColumn("cut", _cut(F.col("gram"), k)).join(counts.withColumnRenamed("gram", "cut"), "cut", "left")
+        else:
+            state = state.withColumn("n", F.lit(None).cast("bigint"))
+        known = F.col("open") & F.col("total").isNotNull()
+        left, fresh = F.col("total") - F.col("gone"), F.col("distinct") - F.col("used")
+        hit, miss = known & F.col("n").isNotNull(), known & F.col("n").isNull()
+        step = F.when(hit, F.log10(F.try_divide(F.col("n"), left + fresh))).when(miss & (fresh > 0), F.log10(F.try_divide(fresh, left + fresh))).otherwise(0.0)
+        state = state.select(
+            "gram",
+            (F.col("lp") + step).alias("lp"),
+            (F.col("open") & ~hit).alias("open"),
+            F.when(miss, F.col("refused")).otherwise(F.col("gone")).alias("gone"),
+            F.when(miss, F.col("distinct")).otherwise(F.col("used")).alias("used"),
+        )
+    # ``used`` is now the number of bytes that order 0 has seen
+    rest = F.when(F.col("open"), F.log10(256 - F.col("used"))).otherwise(0.0)
+    return seen.unionByName(state.select("gram", F.lit(0).cast("bigint").alias("c"), unit(F.col("lp") - rest).alias("q")))
 
 
 def frequent_from(words: DataFrame, limit: int) -> int:
@@ -252,7 +204,12 @@ def frequent_from(words: DataFrame, limit: int) -> int:
     return 1 << 62 if least is None else math.ceil(2 ** (least / 8) - 1e-9)
 
 
-def score_texts(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, hot: int = HOT, shard: int = SHARD) -> DataFrame:
+def _key(gram: Column) -> Column:
+    """A gram among words: no word has a newline."""
+    return F.unhex(F.concat(F.lit("0A"), F.lpad(F.hex(gram), 2 * ORDER + 2, "0")))
+
+
+def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, hot_grams: int = HOT_GRAMS) -> DataFrame:
     """``id_col``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` of every row.
 
     ``learn`` marks the rows to learn from (null: not). ``base_score`` is the add-half unigram model's
@@ -261,63 +218,93 @@ def score_texts(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str =
     and without any training row both models fall back to equal chances.
     """
     spark = docs.sparkSession
-    words = cut_lineage(count_tokens(docs, id_col, text_col, learn))
+    words = materialise(count_tokens(docs, id_col, text_col, learn))
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
-    known = cut_lineage(score_words(words, order, shard))
-    top = known.where(F.col("c") >= frequent_from(known, hot)).select("word", "c", "lp").toArrow().to_pydict()
-    low = np.log10(n + 0.5 * (v + 1))
-
-    def base(c):
-        return np.log10(np.asarray(c, np.float64) + 0.5) - low
-
-    shared = spark.sparkContext.broadcast({w: (i, c > 0) for i, (w, c) in enumerate(zip(top["word"], top["c"], strict=True))})
-    values = spark.sparkContext.broadcast((base(top["c"]), np.asarray(top["lp"], np.float64)))
+    low = math.log10(n + 0.5 * (v + 1))
+    words = words.select("word", "c", unit(F.log10(F.col("c") + 0.5) - low).alias("q"))
+    values = materialise(gram_values(materialise(count_grams(docs, text_col, learn))))
+    top = words.where(F.col("c") >= frequent_from(words, hot)).toArrow()
+    index = spark.sparkContext.broadcast({w: (q, c > 0) for w, c, q in zip(*(top.column(x).to_pylist() for x in ("word", "c", "q")), strict=True)})
+    top = values.where(F.col("c") >= frequent_from(values, hot_grams)).select("gram", "q").toArrow()
+    g, q = (top.column(x).to_numpy() for x in ("gram", "q"))
+    by = np.argsort(g)
+    table = spark.sparkContext.broadcast((g[by], q[by]))
 
     def make():
-        index, (logs, lps) = shared.value, values.value
+        known, (hot_g, hot_q) = index.value, table.value
 
-        def one(text):
-            counts = Counter((text or b"").lower().split())
+        def of_words(own):
+            counts = Counter(own)
             counts[END] += 1
-            at, times, rest, known = [], [], [], 0
+            seen = base = 0
+            rest = []
             for w, k in counts.items():
-                got = index.get(w)
+                got = known.get(w)
                 if got is None:
-                    rest.append((w, k))
+                    rest.append({"key": w, "k": k})
                 else:
-                    at.append(got[0])
-                    times.append(k)
-                    known += k * got[1]
-            t = np.asarray(times, np.float64)
-            return counts.total(), known, float(logs[at] @ t), float(lps[at] @ t), [{"word": w, "k": k} for w, k in rest]
-
-        return lambda texts: dict(zip(("n_tokens", "n_hot", "base_hot", "lp_hot", "rest"), map(list, zip(*map(one, texts))), strict=True)) if texts else {
-            k: [] for k in ("n_tokens", "n_hot", "base_hot", "lp_hot", "rest")
-        }
+                    base += k * got[0]
+                    seen += k * got[1]
+            return counts.total(), seen, base, rest
+
+        def of_grams(texts):
+            sums, rests = np.zeros(len(texts), np.int64), [[] for _ in texts]
+            for at, some in chunks(texts):
+                keys, lens = grams(some)
+                u, inv = np.unique(keys, return_inverse=True)
+                i = np.minimum(np.searchsorted(hot_g, u), max(len(hot_g) - 1, 0))
+                hit = hot_g[i] == u if len(hot_g) else np.zeros(len(u), bool)
+                value = np.where(hit, hot_q[i], 0) if len(hot_g) else np.zeros(len(u), np.int64)
+                owner = np.repeat(np.arange(at, at + len(some)), lens)
+                # no text of a chunk is empty: its end is coded
+                sums[at : at + len(some)] = np.add.reduceat(value[inv], np.cumsum(lens) - lens)
+                if not hit.all():
+                    cold = np.flatnonzero(~hit[inv])
+                    pairs, k = np.unique(np.stack([owner[cold], keys[cold]]), axis=1, return_counts=True)
+                    for d, gram, times in zip(pairs[0].tolist(), pairs[1].tolist(), k.tolist()):
+                        rests[d].append({"key": END + gram.to_bytes(ORDER + 1, "big"), "k": times})
+            return sums.tolist(), rests
+
+        def apply(texts):
+            split = [(t or b"").lower().split() for t in texts]
+            told = [of_words(w) for w in split]
+            sums, rests = of_grams([coded(w) for w in split])
+            return {
+                "n_tokens": [x[0] for x in told],
+                "n_hot": [x[1] for x in told],
+                "base_hot": [x[2] for x in told],
+                "lp_hot": sums,
+                "rest": [x[3] + r for x, r in zip(told, rests, strict=True)],
+            }
+
+        return apply
 
     keyed = docs.select(F.monotonically_increasing_id().alias("row"), id_col, text_col)
-    schema = "n_tokens bigint, n_hot bigint, base_hot double, lp_hot double, rest array<struct<word:binary,k:bigint>>"
+    schema = "n_tokens bigint, n_hot bigint, base_hot bigint, lp_hot bigint, rest array<struct<key:binary,k:bigint>>"
     sums = map_texts(keyed, ["row", id_col], text_col, schema, make)
-    head = F.struct(id_col, "n_tokens", "n_hot", "base_hot", "lp_hot")
-    # the first of a row's words carries its sums, so that they cross the exchange once
+    head = F.struct(F.col(id_col).alias("id"), "n_tokens", "n_hot", "base_hot", "lp_hot")
+    # the first of a row's entries carries its sums, so that they cross the exchange once
     places = sums.select("row", head.alias("head"), F.posexplode_outer("rest").alias("i", "r")).select(
-        "row", F.when(F.coalesce("i", F.lit(0)) == 0, F.col("head")).alias("head"), "r.word", "r.k"
+        "row", F.when(F.coalesce("i", F.lit(0)) == 0, F.col("head")).alias("head"), "r.key", "r.k"
+    )
+    none = F.lit(None).cast("bigint")
+    met = words.select(F.col("word").alias("key"), "c", F.col("q").alias("base"), none.alias("lp")).unionByName(
+        values.select(_key(F.col("gram")).alias("key"), none.alias("c"), none.alias("base"), F.col("q").alias("lp"))
     )
-    met = places.join(known, "word", "left")
-    whole = met.groupBy("row").agg(
+    whole = places.join(met, "key", "left").groupBy("row").agg(
         F.max("head").alias("h"),
         F.sum(F.when(F.col("c") > 0, F.col("k"))).alias("k"),
-        F.sum(F.col("k") * (F.log10(F.col("c") + 0.5) - float(low))).alias("base"),
+        F.sum(F.col("k") * F.col("base")).alias("base"),
         F.sum(F.col("k") * F.col("lp")).alias("lp"),
     )
     zero = F.lit(0)
     return whole.select(
-        f"h.{id_col}",
+        F.col("h.id").alias(id_col),
         "h.n_tokens",
         (F.col("h.n_hot") + F.coalesce("k", zero)).alias("n_known"),
         F.lit(n).cast("bigint").alias("train_tokens"),
-        (F.col("h.base_hot") + F.coalesce("base", zero)).alias("base_score"),
-        (F.col("h.lp_hot") + F.coalesce("lp", zero)).alias("score"),
+        ((F.col("h.base_hot") + F.coalesce("base", zero)) / UNIT).alias("base_score"),
+        ((F.col("h.lp_hot") + F.coalesce("lp", zero)) / UNIT).alias("score"),
     )
 
 

@@ -1,12 +1,16 @@
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from quire.llm import ppm
 from tests.conftest import frame
 
+_rng = random.Random(6)
+_VOCAB = ["the", "cat", "sat", "on", "mat", "ünïcode", "a", "bat", "hat", "ran", "to", "and", "then"]
 TEXTS = [
     (1, "the cat sat on the mat the end"),
     (2, "The bat and the cat\tran  to the hat"),
@@ -17,15 +21,24 @@ TEXTS = [
     (7, "x" * 3000 + " the cat"),
     (6, "the the the the"),
     (None, "cat"),
+    *((i, " ".join(_rng.choices(_VOCAB, k=30))) for i in range(10, 22)),
 ]
+SCHEMA = "doc_id bigint, text string"
 
 
-def naive_word(word, counts, order):
-    s = b" \n" if word == b"\n" else b" " + word + b" "
-    total = 0.0
-    for i in range(1, len(s)):
+def tokens(t):
+    return [*(t or "").encode().lower().split(), b"\n"]
+
+
+def stream(t):
+    return b"\n" * 5 + b"".join(w + b" " for w in tokens(t)[:-1]) + b"\n"
+
+
+def naive_text(t, counts):
+    s, total = stream(t), 0.0
+    for i in range(5, len(s)):
         refused = set()
-        for k in range(min(order, i), -1, -1):
+        for k in range(5, -1, -1):
             follow = counts.get(s[i - k : i])
             if follow is None:
                 continue
@@ -42,57 +55,64 @@ def naive_word(word, counts, order):
     return total
 
 
-def naive(texts, order):
-    def tokens(t):
-        return [*(t or "").encode().lower().split(), b"\n"]
-
+def naive(texts):
     train = [t for i, t in texts if i is not None and zlib.crc32(str(i).encode()) % 5 != 1]
     c = Counter(w for t in train for w in tokens(t))
     counts = defaultdict(Counter)
-    for w, n in c.items():
-        s = b" \n" if w == b"\n" else b" " + w + b" "
-        for i in range(1, len(s)):
-            for k in range(min(order, i) + 1):
-                counts[s[i - k : i]][s[i]] += n
+    for t in train:
+        s = stream(t)
+        for i in range(5, len(s)):
+            for k in range(6):
+                counts[s[i - k : i]][s[i]] += 1
     n, v = sum(c.values()), len(c)
     return sorted(
         (
             (i if i is not None else -1, len(tokens(t)), sum(w in c for w in tokens(t)), n),
             sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in tokens(t)),
-            sum(naive_word(w, counts, order) for w in tokens(t)),
+            naive_text(t, counts),
         )
         for i, t in texts
     )
 
 
-@pytest.mark.parametrize("order,hot,shard", [(5, 50_000, 4_000_000), (3, 2, 7), (0, 0, 1)])
-def test_scores_equal_the_definition(spark, order, hot, shard):
-    df = frame(spark, TEXTS, "doc_id bigint, text string")
-    got = ppm.score_texts(df, ppm.bucket_of(df["doc_id"], 5) != 1, order=order, hot=hot, shard=shard).collect()
+@pytest.mark.parametrize("hot,hot_grams,chunk", [(50_000, 2_000_000, 1 << 20), (2, 7, 50)])
+def test_scores_equal_the_definition(spark, monkeypatch, hot, hot_grams, chunk):
+    monkeypatch.setattr(ppm, "CHUNK", chunk)
+    df = frame(spark, TEXTS, SCHEMA).repartition(3)
+    got = ppm.score_texts(df, ppm.bucket_of(df["doc_id"], 5) != 1, hot=hot, hot_grams=hot_grams).collect()
+    same = {r["score"] for r in got if r["doc_id"] == 6}
+    assert len(same) == 1
     got = sorted(((r["doc_id"] if r["doc_id"] is not None else -1, r["n_tokens"], r["n_known"], r["train_tokens"]), r["base_score"], r["score"]) for r in got)
-    for a, b in zip(got, naive(TEXTS, order), strict=True):
+    for a, b in zip(got, naive(TEXTS), strict=True):
         assert a[0] == b[0]
-        assert a[1] == pytest.approx(b[1])
-        assert a[2] == pytest.approx(b[2])
-
-
-def test_empty_table(spark):
-    assert ppm.language_model_scores(frame(spark, [], "doc_id bigint, text string")).collect() == []
-
-
-def test_probabilities_of_a_context_add_up_to_one():
-    words = [b"abc", b"abd", b"b"]
-    counts = Counter()
-    levels = []
-    import numpy as np
-
-    token, available, key = ppm.grams(words, 2)
-    for k in range(3):
-        g, n = np.unique(ppm._cut(key[available >= k], k), return_counts=True)
-        levels.append((g, n))
-    trie = ppm.Trie(levels)
-    for context in (b" a", b"ab", b"zz", b"xb"):
-        ctx = np.uint64(context[0] << 16 | context[1] << 8)
-        keys = ctx | np.arange(256, dtype=np.uint64)
-        assert (10 ** trie.log10(np.full(256, 2), keys)).sum() == pytest.approx(1.0)
-    assert not counts
+        assert a[1] == pytest.approx(b[1], rel=1e-9)
+        assert a[2] == pytest.approx(b[2], rel=1e-9)
+
+
+def test_the_order_of_words_matters_and_fluent_text_is_likelier(spark):
+    phrase = "one two three four five six seven eight nine ten"
+    rows = [(i, phrase) for i in range(40)] + [(1000 + i, x) for i, x in enumerate((phrase, " ".join(reversed(phrase.split()))))]
+    df = frame(spark, rows, SCHEMA)
+    got = {r["doc_id"]: (r["base_score"], r["score"]) for r in ppm.score_texts(df, df["doc_id"] < 1000).collect()}
+    assert got[1000][0] == got[1001][0] and got[1000][1] > got[1001][1] + 5
+
+
+def test_clashing_columns_empty_table_and_nothing_to_learn_from(spark):
+    clash = "row int, id int, k int, c int, key string, rest int"
+    assert ppm.language_model_scores(frame(spark, [], f"{SCHEMA}, {clash}")).collect() == []
+    df = frame(spark, [(1, "ab", 1, 2, 3, 4, "k", 5)], f"{SCHEMA}, {clash}")
+    got = ppm.score_texts(df, df["doc_id"] > 5).first()
+    assert got["score"] == pytest.approx(-4 * math.log10(256)) and got["train_tokens"] == 0
+
+
+def test_probabilities_of_a_context_add_up_to_one(spark):
+    g, _ = ppm.grams([ppm.coded(t.split()) for t in (b"abc abd b", b"abc b", b"xb ab")])
+    known = Counter(g.tolist())
+    rows = list(known.items())
+    contexts = [b"\n\n\n\n\n", b"c abd", b"bc ab", b"zzzab", b"zzzzz"]
+    for c in contexts:
+        rows += [(x, 0) for x in (int.from_bytes(c + bytes([b]), "big") for b in range(256)) if x not in known]
+    got = {r["gram"]: r["q"] for r in ppm.gram_values(frame(spark, rows, "gram bigint, c bigint")).collect()}
+    for c in contexts:
+        assert sum(10 ** (got[int.from_bytes(c + bytes([b]), "big")] / ppm.UNIT) for b in range(256)) == pytest.approx(1.0)
+    assert len(got) == len(rows) and np.all(np.array(list(got.values())) <= 0)
