@@ -31,6 +31,8 @@ ORDER = 5
 END = b"\n"
 #: Words and grams in the broadcast tables; words and grams counted before a flush; bytes of text taken at a time.
 HOT, HOT_GRAMS, FLUSH, CHUNK = 50_000, 2_000_000, 400_000, 1 << 20
+#: Texts whose words and bytes a worker holds at a time.
+SLICE = 256
 UNIT = 1 << 36
 
 
@@ -109,18 +111,20 @@ def count_grams(docs: DataFrame, text_col: str, learn: Column) -> DataFrame:
 
         for batch in batches:
             flags = batch.column(0).to_numpy(zero_copy_only=False).astype(np.float64)
-            texts = [coded((t or b"").lower().split()) for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            for at, some in chunks(texts):
-                g, lens = grams(some)
-                u, inv = np.unique(g, return_inverse=True)
-                held.append((u, np.bincount(inv, np.repeat(flags[at : at + len(some)], lens), minlength=len(u))))
-                size += len(u)
-                if size > 10 * FLUSH:
-                    u, c = merged()
-                    held, size = [(u, c)], len(u)
-                    if size > 5 * FLUSH:
-                        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(c)], names=["gram", "c"])
-                        held, size = [], 0
+            for first in range(0, batch.num_rows, SLICE):  # few texts are held at a time
+                part = batch.column(1).slice(first, SLICE).cast(pa.binary()).to_pylist()
+                for at, some in chunks([coded((t or b"").lower().split()) for t in part]):
+                    g, lens = grams(some)
+                    u, inv = np.unique(g, return_inverse=True)
+                    at += first
+                    held.append((u, np.bincount(inv, np.repeat(flags[at : at + len(some)], lens), minlength=len(u))))
+                    size += len(u)
+                    if size > 10 * FLUSH:
+                        u, c = merged()
+                        held, size = [(u, c)], len(u)
+                        if size > 5 * FLUSH:
+                            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(c)], names=["gram", "c"])
+                            held, size = [], 0
         if held:
             u, c = merged()
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(c)], names=["gram", "c"])
@@ -266,16 +270,17 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
             return sums.tolist(), rests
 
         def apply(texts):
-            split = [(t or b"").lower().split() for t in texts]
-            told = [of_words(w) for w in split]
-            sums, rests = of_grams([coded(w) for w in split])
-            return {
-                "n_tokens": [x[0] for x in told],
-                "n_hot": [x[1] for x in told],
-                "base_hot": [x[2] for x in told],
-                "lp_hot": sums,
-                "rest": [x[3] + r for x, r in zip(told, rests, strict=True)],
-            }
+            out = {"n_tokens": [], "n_hot": [], "base_hot": [], "lp_hot": [], "rest": []}
+            for at in range(0, len(texts), SLICE):  # the words of few texts are held at a time
+                split = [(t or b"").lower().split() for t in texts[at : at + SLICE]]
+                told = [of_words(w) for w in split]
+                sums, rests = of_grams([coded(w) for w in split])
+                out["n_tokens"] += [x[0] for x in told]
+                out["n_hot"] += [x[1] for x in told]
+                out["base_hot"] += [x[2] for x in told]
+                out["lp_hot"] += sums
+                out["rest"] += [x[3] + r for x, r in zip(told, rests, strict=True)]
+            return out
 
         return apply
 
