@@ -20,8 +20,8 @@ from quire.llm.common import bucket_of, map_texts
 
 BITS = 16
 UNKNOWN = "und"
-#: Labelled rows of a language that the fit may use, and the longest text of these.
-SAMPLE, SAMPLE_CHARS = 250, 20_000
+#: Labelled rows of a language that the fit may use, characters of a longer one's passage, and languages (the most frequent).
+SAMPLE, SAMPLE_CHARS, LABELS = 250, 20_000, 256
 SEQUENCE, PASSAGE = 40, (4, 24)
 MEMO, BATCH_WORDS = 400_000, 150_000
 
@@ -233,15 +233,20 @@ class Labeller:
 
 
 def train(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Crf:
-    """Fit on a bounded sample: of each language about ``sample`` rows with ``learn``, by hash of the id."""
-    rows = docs.where(F.col(lang_col).isNotNull() & learn & (F.length(text_col) <= SAMPLE_CHARS)).select(
-        F.xxhash64(F.lit("language"), F.col(id_col).cast("string")).bitwiseAND(F.lit((1 << 30) - 1)).alias("h"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("t")
-    )
-    n = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    """Fit on a bounded sample: of each language about ``sample`` rows with ``learn``, by hash of the id.
+
+    Of a text of more than ``SAMPLE_CHARS`` characters the fit takes a passage, which starts where the hash says.
+    """
+    h = F.xxhash64(F.lit("language"), F.col(id_col).cast("string")).bitwiseAND(F.lit((1 << 30) - 1))
+    t = F.col(text_col).cast("string")
+    passage = F.substr(t, (F.pmod(h, F.greatest(F.length(t) - SAMPLE_CHARS + 1, F.lit(1))) + 1).cast("int"), F.lit(SAMPLE_CHARS))
+    rows = docs.where(F.col(lang_col).isNotNull() & learn & F.col(text_col).isNotNull()).select(h.alias("h"), F.col(lang_col).cast("string").alias("lang"), passage.alias("t"))
+    n = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LABELS).collect()}
     if not n:
         return fit([], [])
-    wanted = F.element_at(F.create_map(*(F.lit(x) for lang, c in n.items() for x in (lang, int(min(1.0, sample / c) * (1 << 30))))), F.col("lang"))
-    got = sorted((r["lang"], r["t"]) for r in rows.where(F.col("h") < wanted).limit(2 * sample * len(n)).collect())
+    wanted = F.try_element_at(F.create_map(*(F.lit(x) for lang, c in n.items() for x in (lang, int(min(1.0, sample / c) * (1 << 30))))), F.col("lang"))
+    # a total order, so that no run takes other rows
+    got = sorted((r["lang"], r["t"]) for r in rows.where(F.col("h") < wanted).orderBy("h", "lang", "t").limit(2 * sample * len(n)).collect())
     return fit([t for _, t in got], [lang for lang, _ in got])
 
 

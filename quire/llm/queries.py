@@ -28,7 +28,7 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quire.llm.secrets import find_secrets
+    from quire.llm.secrets import BASE, find_secrets
 
     def joined(spans, kinds=None):
         text = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
@@ -36,7 +36,9 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = find_secrets(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
-    order = F.array_sort(F.col("spans"))
+    kinds = F.array(*(F.lit(kind) for kind, *_ in BASE))
+    placed = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), ((F.array_position(kinds, s["kind"]) + len(BASE)) % (len(BASE) + 1)).alias("listed"), s["end"].alias("end"), s["kind"].alias("kind")))
+    order = F.array_sort(placed)  # by start, then kind as listed, the method's own kinds last
     return found.select(
         "doc_id",
         count("assign").alias("n_assign"),

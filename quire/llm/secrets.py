@@ -29,7 +29,8 @@ BASE = (
 _ASSIGN = re.compile(BASE[0][1])
 # for these two, leftmost runs that are long enough are the long ones of all leftmost runs
 _ACCESS, _HEX = re.compile(r"AKIA[A-Z0-9]{16,}"), re.compile(r"[0-9a-f]{24,}")
-_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+MIN_LENGTH = 16
+_RUN = re.compile(rf"[A-Za-z0-9+/_-]{{{MIN_LENGTH},}}={{0,2}}")
 _DIGIT = re.compile(r"[0-9]")
 
 #: Alphabets from narrow to wide.
@@ -50,7 +51,9 @@ TEXT_DIGITS = 0.05
 TEXT_SHARE = {"hex": 0.35, "hexupper": 0.35}
 #: Runs that a random source would give this rarely are refused.
 REFUSE = 1e-3
-MIN_LENGTH, BANDS, BINS = 16, (24, 32, 48, 96), 60
+#: Share of false discoveries that the step allows.
+Q = 0.05
+BANDS, BINS = (24, 32, 48, 96), 60
 
 
 def upper_tail(z: float) -> float:
@@ -88,11 +91,19 @@ def battery(run: str, encoding: int) -> tuple[float, float, float]:
     return uniform, runs, serial
 
 
+def fisher(ps: list[float]) -> float:
+    """The chance that independent chances are together as small as these (Fisher's method)."""
+    half = -sum(math.log(max(1e-300, p)) for p in ps)  # twice this is chi-squared with 2 degrees of freedom for each
+    return math.exp(-half) * sum(half**k / math.factorial(k) for k in range(len(ps)))
+
+
 def text_p(run: str, encoding: int, uniform: float) -> float:
     """Chance that ordinary text gives a run of this length this uniform, this digit-rich and this narrow.
 
     The uniformity score of text grows with the length, and its spread is that of the share of equal
-    pairs: between letters drawn once, and between texts. The three chances are multiplied.
+    pairs: between letters drawn once, and between texts. The chances are combined by Fisher's method.
+    Runs without a digit and runs of a wide alphabet are kinds of their own: they have no chance for
+    digits or for the alphabet, and those of their kind aren't combined with any.
     """
     _, _, _, size = _ALPHABETS[encoding]
     n = len(run)
@@ -105,22 +116,23 @@ def text_p(run: str, encoding: int, uniform: float) -> float:
         rich = upper_tail((digits - 0.5 - mu) / sd)
     else:
         rich = sum(math.comb(n, k) * TEXT_DIGITS**k * (1 - TEXT_DIGITS) ** (n - k) for k in range(digits, n + 1))
-    return upper_tail((mean - uniform) / spread) * min(1.0, rich) * TEXT_SHARE.get(ENCODINGS[encoding][0], 1.0) ** n
+    ps = [upper_tail((mean - uniform) / spread)]
+    ps += [rich] if digits else []
+    ps += [TEXT_SHARE[name] ** n] if (name := ENCODINGS[encoding][0]) in TEXT_SHARE else []
+    return fisher([min(1.0, p) for p in ps])
 
 
 def judge(run: str) -> tuple[int, float] | None:
     """Encoding and p against ordinary text, or None if the battery refuses the run as random.
 
     Long runs of one character class without digits, and runs with one or two different characters,
-    are refused by uniformity or runs; no length is exempt.
+    are refused by uniformity or runs; no length from ``MIN_LENGTH`` on is exempt.
     """
     k = encoding_of(run)
     if k < 0:
         return None
     uniform, runs, serial = battery(run, k)
-    fisher = -2 * sum(math.log(max(1e-300, p)) for p in (upper_tail(uniform), math.erfc(abs(runs) / math.sqrt(2)), math.erfc(abs(serial) / math.sqrt(2))))
-    half = fisher / 2  # chi-squared with 6 degrees of freedom
-    if math.exp(-half) * (1 + half + half * half / 2) < REFUSE:
+    if fisher([upper_tail(uniform), math.erfc(abs(runs) / math.sqrt(2)), math.erfc(abs(serial) / math.sqrt(2))]) < REFUSE:
         return None
     return k, text_p(run, k, uniform)
 
@@ -139,8 +151,8 @@ def candidates(text: str) -> list[dict]:
     out = []
     for m in _RUN.finditer(text):
         run = m[0]
-        if run.isdigit() or not _DIGIT.search(run):
-            continue  # numbers, and what has no digit at all, are words and counts as far as these tests can tell
+        if run.isdigit():
+            continue  # the null is text: what it tells of a number is only that it isn't text
         got = judge(run)
         if got:
             p = got[1]
@@ -185,7 +197,7 @@ def cutoffs(scanned: DataFrame, q: float) -> list[int]:
     return out
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: float = 0.01) -> DataFrame:
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: float = Q) -> DataFrame:
     """``id_col``, ``base`` and ``spans``: arrays of (start, end, kind), in code points, end exclusive.
 
     ``spans`` holds all base spans and the runs that the tests keep (kind ``random-<encoding>``).

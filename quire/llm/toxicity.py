@@ -18,10 +18,11 @@ from quire.llm.common import bucket_of, map_texts
 
 BITS = 18
 SIZES = (3, 4, 5)
-#: Labelled rows of either class that the fit may use, and the longest text of these.
-SAMPLE, SAMPLE_CHARS = 2000, 20_000
+#: Labelled rows of either class that the fit may use, and characters of a longer one's passage.
+SAMPLE, SAMPLE_CHARS = 2000, 200_000
 THRESHOLD = 0.3
-MEMO = 300_000
+#: Words, and bytes of words, whose columns a worker remembers.
+MEMO, MEMO_BYTES = 300_000, 4_000_000
 
 
 class Features:
@@ -29,7 +30,7 @@ class Features:
 
     def __init__(self, limit: int = MEMO):
         self.memo: dict[bytes, np.ndarray] = {}
-        self.limit = limit
+        self.limit, self.held = limit, 0
 
     def learn(self, words: list[bytes]) -> None:
         """Columns of words: n-grams of the word with a space on either side, none across words."""
@@ -52,6 +53,7 @@ class Features:
         at = 0
         for w, end in zip(words, ends, strict=True):
             self.memo[w] = cols[at:end].copy()
+            self.held += len(w)
             at = end
 
     def of_texts(self, texts: list[bytes | None], chunk: int = 128) -> list[np.ndarray]:
@@ -59,8 +61,9 @@ class Features:
         for at in range(0, len(texts), chunk):
             words = [set((t or b"").lower().split()) for t in texts[at : at + chunk]]
             new = [w for w in set().union(*words) if w not in memo]
-            if len(memo) + len(new) > self.limit:
+            if len(memo) + len(new) > self.limit or self.held > MEMO_BYTES:
                 memo.clear()
+                self.held = 0
                 new = list(set().union(*words))
             if new:
                 self.learn(new)
@@ -146,16 +149,22 @@ def fit(texts: list[bytes | None], labels: list[int], prior: float | None = None
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, learn, id_col: str, text_col: str, label_col: str, sample: int) -> tuple[list, list, float]:
-    """Texts, labels and the toxic share: at most about ``sample`` rows of either class, by hash of the id."""
+    """Texts, labels and the toxic share: at most about ``sample`` rows of either class, by hash of the id.
+
+    A text of more than ``SAMPLE_CHARS`` characters gives a passage, which starts where a hash of the id says.
+    """
     one = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & learn).groupBy(id_col).agg(F.max(label_col).cast("int").alias("y"))
     n = {r["y"]: r["count"] for r in one.groupBy("y").count().collect()}
     if not n:
         return [], [], 0.0
     share = F.xxhash64(F.lit("toxicity"), F.col(id_col).cast("string")).bitwiseAND(F.lit((1 << 30) - 1)) / float(1 << 30)
     wanted = F.when(F.col("y") == 1, F.lit(sample / n.get(1, 1))).otherwise(F.lit(sample / n.get(0, 1)))
-    ids = one.where(share < wanted).limit(3 * sample)
+    # total orders, so that no run takes other rows; of a repeated id the least text counts
+    ids = one.withColumn("share", share).where(F.col("share") < wanted).orderBy("share", id_col).limit(3 * sample).drop("share")
     text = F.col(text_col).cast("string")
-    rows = docs.select(id_col, text.alias("t")).where(F.length("t") <= SAMPLE_CHARS).join(F.broadcast(ids), id_col).dropDuplicates([id_col]).select("t", "y").collect()
+    place = F.pmod(F.xxhash64(F.lit("passage"), F.col(id_col).cast("string")), F.greatest(F.length(text) - SAMPLE_CHARS + 1, F.lit(1)))
+    passage = F.substr(text, (place + 1).cast("int"), F.lit(SAMPLE_CHARS))
+    rows = docs.where(text.isNotNull()).select(id_col, passage.alias("t")).join(F.broadcast(ids), id_col).groupBy(id_col).agg(F.min("t").alias("t"), F.max("y").alias("y")).collect()
     rows.sort(key=lambda r: (r["y"], r["t"]))  # the fit doesn't depend on the order of arrival
     return [r["t"].encode() for r in rows], [r["y"] for r in rows], n.get(1, 0) / sum(n.values())
 

@@ -182,3 +182,21 @@ def test_features_do_not_depend_on_the_batch():
     together = T.Features().of_texts(texts)
     alone = [T.Features(2).of_texts([t])[0] for t in texts]
     assert all(np.array_equal(a, b) for a, b in zip(together, alone, strict=True))
+
+
+def test_fit_samples_are_the_same_for_any_order_of_rows_and_take_long_texts(spark):
+    from quire.llm import langid, toxicity
+
+    words = {"aa": "uno dos tres casa perro", "bb": "one two three house dog"}
+    rows = [(i, " ".join((words[lang] + " ").split() * (30 if i % 3 else 9000)), lang) for i in range(60) for lang in (["aa", "bb"][i % 2],)]
+    rows += [(5, "repeated id with another text", "bb")]
+    docs = frame(spark, rows, "doc_id bigint, text string, lang string")
+    labels = frame(spark, [(i, int(i % 2)) for i in range(60)] + [(5, 0)], "doc_id bigint, toxic int")
+    seen = []
+    for df in (docs, docs.orderBy("text").repartition(5)):
+        learn = toxicity.learnable()
+        texts, y, _ = toxicity.training_rows(df, labels, learn, "doc_id", "text", "toxic", 20)
+        crf = langid.train(df, langid.bucket_of(df["doc_id"], 5) != 0, sample=10)
+        seen.append((texts, y, crf.weights.tobytes() if hasattr(crf, "weights") else crf.transitions.tobytes()))
+    assert seen[0] == seen[1]
+    assert any(len(t) > 100_000 for t in seen[0][0]) and max(map(len, seen[0][0])) <= toxicity.SAMPLE_CHARS

@@ -128,6 +128,22 @@ def test_random_keys_are_found_and_words_are_not(spark):
     assert X.find_secrets(frame(spark, [], "doc_id bigint, text string")).collect() == []
 
 
+def test_recall_and_false_discoveries_by_encoding(spark):
+    rng = random.Random(16)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    alphabets = {"letters": letters, "hexupper": "0123456789ABCDEF", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "base64": letters + "0123456789+/"}
+    shares = [8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.2, 0.8, 4.0, 2.4, 6.7, 7.5, 1.9, 0.1, 6.0, 6.3, 9.1, 2.8, 1.0, 2.4, 0.2, 2.0, 0.1]
+    prose = ["".join(rng.choices(letters[26:], shares, k=rng.choice([18, 26, 40, 60]))) for _ in range(3000)]
+    keys = [(name, "".join(rng.choices(a, k=n))) for name, a in alphabets.items() for n in (48, 64) for _ in range(40)]
+    rows = [(i, f"is {k} so") for i, (_, k) in enumerate(keys)] + [(10_000 + i, f"is {w} so") for i, w in enumerate(prose)]
+    got = {r["doc_id"]: {(s["start"], s["end"]) for s in r["spans"]} for r in X.find_secrets(frame(spark, rows, "doc_id bigint, text string")).collect()}
+    for name in alphabets:
+        own = [(3, 3 + len(k)) in got[i] for i, (n, k) in enumerate(keys) if n == name]
+        assert sum(own) >= 0.9 * len(own), (name, sum(own))
+    false = sum(bool(got[10_000 + i]) for i in range(len(prose)))
+    assert false <= 0.05 * len(keys), false
+
+
 # Ogg -------------------------------------------------------------------------------------------
 
 
