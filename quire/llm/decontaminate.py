@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from quire.llm.common import cut_lineage, map_texts
 
 WINDOW = 10
-#: Bytes of pattern text that one broadcast may hold; more patterns are searched in several passes.
-SHARD_BYTES = 32 << 20
+#: Bytes of pattern text that one broadcast may hold; more patterns are searched in several passes. A worker's tables are about a hundred times as large.
+SHARD_BYTES = 2 << 20
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
