@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,10 +29,13 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **conf:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the session; a local one is set only where none is configured."""
+    """The shared folder named by the session; a local one is set only where none is configured and all runs in one process."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quire-checkpoint-"))
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="quire-checkpoint-"))
     return sc.getCheckpointDir()
 
 
