@@ -15,6 +15,8 @@ __all__ = ["bucket_of", "compact", "cut_lineage", "in_bitmap", "map_texts", "mat
 
 #: Bits of the filters that keep rows without a partner out of an exchange.
 BITMAP = 25
+#: Texts that a worker takes at a time, whatever the size of an Arrow batch.
+TEXTS = 256
 #: Rows of a partition of what few lines have left, and the least number of its partitions.
 ROWS, PARTITIONS = 5000, 8
 
@@ -62,7 +64,8 @@ def map_texts(df: DataFrame, keep: list[str], text: str, schema: str, make: Call
     """Apply a batch function over one text column, keeping the columns ``keep``.
 
     ``make()`` runs once per task and returns a function from a list of UTF-8 ``bytes``
-    (None for null) to columns named in ``schema``. Only ``keep`` and ``text`` reach Python.
+    (None for null) to columns named in ``schema``. Only ``keep`` and ``text`` reach Python, and the
+    function gets ``TEXTS`` texts at most, so what it makes of them doesn't grow with the batch.
     """
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema]
     whole = ", ".join([*fields, schema]) if schema else ", ".join(fields)
@@ -72,9 +75,8 @@ def map_texts(df: DataFrame, keep: list[str], text: str, schema: str, make: Call
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = make()
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist()
-            got = apply(texts)
+        for batch in (whole.slice(at, TEXTS) for whole in batches for at in range(0, whole.num_rows, TEXTS)):
+            got = apply(batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist())
             arrays = [batch.column(i) for i in range(len(keep))]
             arrays += [got[n] if isinstance(got[n], (pa.Array, pa.ChunkedArray)) else pa.array(got[n], kinds[n]) for n in new]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *new])

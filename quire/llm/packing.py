@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 
 WINDOW = 2048
 END_ID = 1
-#: Entries of the memo of encoded chunks.
-MEMO = 1_000_000
+#: Chunks, and bytes of chunks and ids, that a worker remembers.
+MEMO, MEMO_BYTES = 200_000, 8_000_000
 
 _TAIL = b".,;:!?"
 _LETTERS = re.compile("[a-zA-ZÀ-ÖØ-öø-įı-ɏ]+")  # but for the dotted capital I, whose lower case is two letters
@@ -48,6 +48,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[bytes, bytes] = {}
+        self.held = 0
         for probe in ("It's 12 o'clock,\nél <|endoftext|> nächster\tTag 'll a", "FOO, Über?! öé:; foo.. ' x", "Ça été\x0bœuvre"):
             assert self.ids([probe.encode()])[0] == np.array(self.direct(probe), "<u4").tobytes(), "this tokenizer needs whole texts"
 
@@ -82,10 +83,11 @@ class Encoder:
             got = list(map(memo.get, chunks))
             if None in got:
                 missing = {c for c, g in zip(chunks, got, strict=True) if g is None}
-                if len(memo) + 3 * len(missing) > MEMO:
+                if len(memo) + 3 * len(missing) > MEMO or self.held > MEMO_BYTES:
                     memo.clear()
-                    missing = set(chunks)
+                    self.held, missing = 0, set(chunks)
                 self.learn(missing)
+                self.held += sum(len(c) + len(memo[c]) for c in missing)
                 got = [memo[c] for c in chunks]
             out.append(b"".join(got))
         return out
@@ -195,9 +197,9 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
 
         def read():
             for batch in batches:
-                keys, texts = batch.column(0), batch.column(1).cast(pa.binary()).to_pylist()
-                for at in range(0, len(texts), 256):
-                    for i, ids in enumerate(encode(texts[at : at + 256]), at):
+                keys, texts = batch.column(0), batch.column(1).cast(pa.binary())
+                for at in range(0, len(texts), 64):
+                    for i, ids in enumerate(encode(texts.slice(at, 64).to_pylist()), at):
                         yield keys[i], ids + end
 
         rows: list[tuple] = []
@@ -208,7 +210,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
 
         for key, ids, start, size, sequence, offset in pack_documents(read(), window):
             rows.append((key, start, size, zlib.crc32(ids[4 * start : 4 * (start + size)]), len(ids) // 4, base + sequence, offset))
-            if len(rows) >= 20_000:
+            if len(rows) >= 5000:
                 yield flush()
                 rows.clear()
         if rows:

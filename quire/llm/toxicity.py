@@ -22,7 +22,7 @@ SIZES = (3, 4, 5)
 SAMPLE, SAMPLE_CHARS = 2000, 200_000
 THRESHOLD = 0.3
 #: Words, and bytes of words, whose columns a worker remembers.
-MEMO, MEMO_BYTES = 300_000, 8_000_000
+MEMO, MEMO_BYTES = 120_000, 4_000_000
 
 
 class Features:
