@@ -101,6 +101,13 @@ def report(scores: list[dict], models: list[str]) -> str:
     return "\n".join(["| Model | Pages | CER (%) | WER (%) | NED |", "|---|---|---|---|---|", *rows, ""])
 
 
+def write_scores(scores: DataFrame, path: str, columns: list[str]) -> None:
+    """``columns`` in this order as one CSV file with a header, floats rounded to six places; scores are an aggregate of few rows."""
+    kinds = dict(scores.dtypes)
+    cols = [F.bround(c, 6).alias(c) if kinds[c] in ("double", "float") else F.col(c) for c in columns]
+    scores.select(*cols).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
 def compare_extractions(a: DataFrame, b: DataFrame, keys: list[str], edges: list[str], limit: float = 0.5) -> DataFrame:
     """Two extractions side by side: where a line is, and how far its box edges are apart at most."""
     left, right = a.select(*keys, *(F.col(e).alias(f"a_{e}") for e in edges), F.lit(True).alias("__a")), b.select(*keys, *(F.col(e).alias(f"b_{e}") for e in edges), F.lit(True).alias("__b"))

@@ -179,6 +179,45 @@ def render_prompt(terms: DataFrame) -> DataFrame:
     return lines.select("pos", F.concat(F.lit("## "), F.concat_ws(" / ", "theme", "sub"), F.lit(": "), F.col("body")).alias("line")).orderBy("pos")
 
 
+def excluded_themes(facets: DataFrame, other: str = "Other") -> DataFrame:
+    """Themes that stay out of prompts: ``in_prompt`` is false, null meaning true for all but ``other``.
+
+    Names that start with ``_`` are settings, not themes. ``other`` is left out too if undeclared.
+    """
+    shown = F.coalesce(F.col("in_prompt"), F.col("theme") != other)
+    themes = facets.where(~F.col("theme").startswith("_")).select("theme", shown.alias("shown"))
+    implicit = facets.sparkSession.createDataFrame([(other,)], "theme string").join(themes, "theme", "left_anti")
+    return themes.where(~F.col("shown")).select("theme").unionByName(implicit)
+
+
+def prompt_terms(nested: DataFrame, facets: DataFrame, meta: str, other: str = "Other") -> DataFrame:
+    """(pos, theme, sub, label) of the terms a prompt may show: ``meta`` first, then themes and terms in order."""
+    kept = nested.where(~F.col("theme").startswith("_")).join(excluded_themes(facets, other), "theme", "left_anti")
+    first = nested.sparkSession.createDataFrame([(0, 0, None, None, meta)], "theme_ord int, term_ord int, theme string, sub string, label string")
+    every = first.unionByName(kept.select("theme_ord", "term_ord", "theme", "sub", "label"))
+    pos = F.row_number().over(Window.orderBy("theme_ord", F.coalesce("theme", F.lit("")), "term_ord"))  # a vocabulary has thousands of terms
+    return every.select(pos.alias("pos"), "theme", "sub", "label")
+
+
+def rename_subs(terms: DataFrame, labels: DataFrame) -> DataFrame:
+    """``terms`` with ``sub`` renamed by ``labels`` (sub, sub_label), unchanged where there is no label."""
+    names = labels.groupBy("sub").agg(F.min("sub_label").alias("__l"))
+    return terms.join(names, "sub", "left").withColumn("sub", F.coalesce("__l", "sub")).select(*terms.columns)
+
+
+def term_pairs(terms: DataFrame, thesaurus: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(pairs, collisions) of terms with a label (``label``) and its English (``label_en``), one per folded label.
+
+    Roots (depth 1) of sources in ``thesaurus`` are headings and left out. Canonical order decides
+    which is kept; the others are reported as (label, kept_id, dropped_id).
+    """
+    root = F.coalesce(F.col("source").isin(*thesaurus) & (F.col("depth") == 1), F.lit(False))
+    usable = terms.withColumn("norm", fold_label(F.col("label"))).where("norm is not null and trim(label_en) <> ''").where(~root)
+    w = Window.partitionBy("norm").orderBy(*canonical_order())
+    ranked = usable.withColumn("__r", F.row_number().over(w)).withColumn("kept_id", F.first("source_id").over(w))
+    return ranked.where("__r = 1").select("label", "label_en", "source", "source_id"), ranked.where("__r > 1").select("label", "kept_id", F.col("source_id").alias("dropped_id"))
+
+
 def drift(old: DataFrame, new: DataFrame) -> DataFrame:
     """Rows that only one side has, with ``side``; empty if nothing changed."""
     return old.exceptAll(new).withColumn("side", F.lit("old")).unionByName(new.exceptAll(old).withColumn("side", F.lit("new")))
