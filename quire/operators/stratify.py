@@ -48,10 +48,11 @@ def _draw(seed: int, keys: list[str]) -> Column:
 def stratified_sample(tiered: DataFrame, n_pages: int = 200, seed: int = 42, keys: tuple[str, ...] = ("file", "page_num")) -> DataFrame:
     """Of every tier present ``max(1, n_pages // tiers)`` pages, or all it has."""
     keys = list(keys)
-    present = tiered.select("tier").distinct().agg(F.count("*").alias("__tiers"))
+    tiers = tiered.select("tier").distinct().count()
+    share = max(1, n_pages // max(1, tiers))
+    # a literal limit, so that Spark cuts every task's rows of a tier before the exchange
     rank = F.row_number().over(Window.partitionBy("tier").orderBy(_draw(seed, keys), *keys))
-    share = F.greatest(F.lit(1), F.floor(F.lit(n_pages) / F.greatest(F.lit(1), F.col("__tiers"))))
-    return tiered.withColumn("__rank", rank).crossJoin(F.broadcast(present)).where(F.col("__rank") <= share).drop("__rank", "__tiers")  # one row on the right
+    return tiered.withColumn("__rank", rank).where(F.col("__rank") <= share).drop("__rank")
 
 
 def assign_splits(sampled: DataFrame, train: float = 0.8, dev: float = 0.1, seed: int = 42, keys: tuple[str, ...] = ("file", "page_num")) -> DataFrame:
