@@ -126,3 +126,84 @@ def page_ordinals(pages: DataFrame) -> DataFrame:
     indexed = (F.count("page_index").over(doc) == n) & (F.size(F.collect_set("page_index").over(doc)) == n)
     key = F.when(numeric, F.col("page").try_cast("bigint")).when(indexed, F.col("page_index").cast("bigint")).otherwise(F.col("first_seen").cast("bigint"))
     return pages.withColumn("__key", key).withColumn("ordinal", F.row_number().over(doc.orderBy("__key", "first_seen", "page"))).drop("__key")
+
+
+def inherit_ids(derived: DataFrame, baseline: DataFrame, key: str = "path") -> DataFrame:
+    """Inputs with the id under which their record is kept, and ``note`` where that isn't the derived one.
+
+    ``derived``: (key, doc_id) from file names; ``baseline``: the same from the records handed over. A
+    baseline's id wins, as all its blocks are filed under it; without one the derived id counts.
+    """
+    known = baseline.where(F.coalesce("doc_id", F.lit("")) != "").groupBy(key).agg(F.min("doc_id").alias("__id"))
+    kept = F.coalesce("__id", "doc_id")
+    note = F.when(F.col("__id") != F.col("doc_id"), F.concat(F.lit("derived "), "doc_id", F.lit(", kept "), "__id"))
+    return derived.join(known, key, "left").withColumn("note", note).withColumn("had_baseline", F.col("__id").isNotNull()).withColumn("doc_id", kept).drop("__id")
+
+
+def replace_blocks(blocks: DataFrame, own: DataFrame, owners: dict[str, tuple[str, ...]], program: str) -> tuple[DataFrame, DataFrame]:
+    """(blocks, complaints): ``own`` blocks (doc_id, block, ...) take the place of those of the same name.
+
+    ``owners`` lists the programs that may write a block; others are let through with a complaint, as
+    a caller may be strict or not. Blocks without an entry belong to anyone.
+    """
+    allowed = F.lit(True)
+    for block, programs in owners.items():
+        allowed = allowed & ((F.col("block") != block) | F.lit(program in programs))
+    complaints = own.where(~allowed).select("doc_id", "block", F.concat(F.lit("not owned by "), F.lit(program)).alias("complaint"))
+    rest = blocks.join(own.select("doc_id", "block").distinct(), ["doc_id", "block"], "left_anti")
+    return rest.unionByName(own, allowMissingColumns=True), complaints
+
+
+def accrete(entries: DataFrame, by: tuple[str, ...] = ("doc_id", "kind", "key"), value: str = "value", ordinal: str = "ordinal") -> DataFrame:
+    """Sources, recipes and licence parts that stages add to a record: of equal keys the last one counts."""
+    return entries.groupBy(*by).agg(F.max_by(value, F.struct(ordinal, value)).alias(value))
+
+
+def contributors(stamps: DataFrame) -> DataFrame:
+    """One row per document, program and run with the blocks it wrote, in order of the first write, and its time.
+
+    ``stamps``: (doc_id, program, run_id, block, updated_at, ordinal).
+    """
+    first = stamps.groupBy("doc_id", "program", "run_id", "block").agg(F.min("ordinal").alias("o"), F.max("updated_at").alias("u"))
+    names = F.transform(F.array_sort(F.collect_list(F.struct("o", "block"))), lambda s: s["block"])
+    return first.groupBy("doc_id", "program", "run_id").agg(F.array_join(names, ",").alias("blocks"), F.max("u").alias("updated_at"))
+
+
+# The order of a record's keys; others follow in order of their names.
+RECORD_KEYS = (
+    "schema_version", "record_type", "doc_id", "source", "derived_from", "regenerable", "provenance", "assembled", "page_categories",
+    "pages", "content", "lines", "tables", "entities", "translations", "enrichment", "forms",
+)
+
+
+def record_json(blocks: DataFrame) -> DataFrame:
+    """(doc_id, record): every document's blocks (doc_id, block, body as JSON) as one JSON object in the order of keys.
+
+    Blocks whose body is null are left out; unknown ones are kept, last. Write it with ``.write.text``,
+    partitioned by ``doc_id``: Spark's committer leaves no half-written file.
+    """
+    place = F.array_position(F.array(*map(F.lit, RECORD_KEYS)), F.col("block"))
+    rank = F.when(place > 0, place).otherwise(len(RECORD_KEYS) + 1)
+    text = F.concat(F.to_json(F.array("block")).substr(F.lit(2), F.length(F.to_json(F.array("block"))) - 2), F.lit(":"), F.col("body"))
+    body = blocks.where((F.col("block") != "doc_id") & F.col("body").isNotNull()).select("doc_id", rank.alias("r"), "block", text.alias("t"))
+    own = F.concat(F.lit('"doc_id":'), F.to_json(F.array("doc_id")).substr(F.lit(2), F.length(F.to_json(F.array("doc_id"))) - 2))
+    ids = blocks.select("doc_id").distinct().select("doc_id", F.lit(RECORD_KEYS.index("doc_id") + 1).cast("bigint").alias("r"), F.lit("doc_id").alias("block"), own.alias("t"))
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("r", "block", "t"))), lambda p: p["t"])
+    return body.unionByName(ids).groupBy("doc_id").agg(F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}")).alias("record"))
+
+
+def digital_blocks(pages: DataFrame, lines: DataFrame) -> DataFrame:
+    """(doc_id, block, body): pages, lines and the whole text of converted documents as JSON blocks.
+
+    ``pages``: (doc_id, page, ordinal, ...), ``lines``: (doc_id, row_idx, page, text, ...); a block has
+    all further columns of its rows, nulls left out. Texts are joined by line breaks.
+    """
+
+    def rows(df: DataFrame, order: str, name: str) -> DataFrame:
+        row = F.struct(F.col(order).alias("__o"), F.to_json(F.struct(*(c for c in df.columns if c != "doc_id"))).alias("j"))
+        listed = F.transform(F.array_sort(F.collect_list(row)), lambda r: r["j"])
+        return df.groupBy("doc_id").agg(F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")).alias("body")).select("doc_id", F.lit(name).alias("block"), "body")
+
+    said = F.transform(F.array_sort(F.collect_list(F.struct("row_idx", "text"))), lambda r: r["text"])
+    text = lines.groupBy("doc_id").agg(F.array_join(said, "\n").alias("text")).select("doc_id", F.lit("content").alias("block"), F.to_json(F.struct("text")).alias("body"))
+    return rows(pages, "ordinal", "pages").unionByName(rows(lines, "row_idx", "lines")).unionByName(text)

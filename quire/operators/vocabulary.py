@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -221,3 +222,70 @@ def term_pairs(terms: DataFrame, thesaurus: tuple[str, ...] = ()) -> tuple[DataF
 def drift(old: DataFrame, new: DataFrame) -> DataFrame:
     """Rows that only one side has, with ``side``; empty if nothing changed."""
     return old.exceptAll(new).withColumn("side", F.lit("old")).unionByName(new.exceptAll(old).withColumn("side", F.lit("new")))
+
+
+def flat_rows(records: DataFrame) -> DataFrame:
+    """The columns of a flat vocabulary file in canonical order: lower-cased label, English, origin, place, sort."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    return records.orderBy(*canonical_order()).select(
+        F.lower("label").alias("source_lemma"),
+        text("label_en").alias("target_translation"),
+        "source",
+        "source_id",
+        text("uri").alias("uri"),
+        text("scheme").alias("scheme"),
+        text("sub").alias("sub"),
+        F.array_join(F.coalesce("broader", F.array().cast("array<string>")), " ").alias("broader"),
+        text("sort").alias("sort"),
+    )
+
+
+def glossary(records: DataFrame) -> DataFrame:
+    """(source_lemma, target_translation) of the terms that have an English label, in canonical order."""
+    usable = records.where(F.coalesce("label_en", F.lit("")) != "")
+    return usable.orderBy(*canonical_order()).select(F.lower("label").alias("source_lemma"), F.col("label_en").alias("target_translation"))
+
+
+def harvest_meta(records: DataFrame) -> DataFrame:
+    """Per source: records, those without an English label, and how many roots they hang from."""
+    return records.groupBy("source").agg(
+        F.count("*").alias("records"),
+        F.count_if(F.coalesce("label_en", F.lit("")) == "").alias("without_en"),
+        F.count_distinct("scheme").alias("roots"),
+    )
+
+
+def build_targets(records: DataFrame, place, authority: str = "authority", thesaurus: str = "thesaurus", other: str = "Other") -> dict[str, DataFrame]:
+    """Placed terms of three vocabularies: the authority's own, the thesaurus' own, and both.
+
+    ``place`` is a function from terms to placed terms. What the authority's labels leave in ``other``
+    is rescued by the thesaurus' themes; the thesaurus itself isn't. In the union the thesaurus'
+    term is kept of equal labels. A source without a record is an error, so that a failed harvest
+    never replaces a vocabulary.
+    """
+    have = {r["source"] for r in records.where(F.col("source").isin(authority, thesaurus)).select("source").distinct().collect()}
+    if have != {authority, thesaurus}:
+        raise ValueError(f"no record of {sorted({authority, thesaurus} - have)}")
+    own = {name: place(records.where(F.col("source") == name)) for name in (authority, thesaurus)}
+    known = own[thesaurus].where(F.col("theme") != other).select("label", "theme")
+    union = merge_sources(records, [thesaurus, authority]).where("rank = 1").drop("norm", "rank", "kept_source_id")
+    return {authority: rescue(own[authority], known, other), thesaurus: own[thesaurus], "union": rescue(place(union), known, other)}
+
+
+def load_nested(spark: SparkSession, path: str, old_themes: tuple[str, ...] = (), rebuild=None) -> DataFrame:
+    """A nested vocabulary that was written as Parquet.
+
+    If the path is missing, or holds nothing beside ``old_themes`` (a format given up), ``rebuild()``
+    makes it anew; without ``rebuild`` a missing vocabulary is an error, and an old one is too.
+    """
+    try:
+        found = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        if not found.where(~F.col("theme").isin(*old_themes) if old_themes else F.lit(True)).isEmpty():
+            return found
+    if rebuild is None:
+        raise FileNotFoundError(f"no usable vocabulary at {path}")
+    return rebuild()

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.operators import evaluation, layout, lines, provenance, records, stratify, vocabulary
+from quire.functions import values as V
+from quire.operators import cues, evaluation, layout, lines, provenance, records, stratify, vocabulary
 from quire.plans import enrich
 from quire.sources import markup
 
@@ -601,3 +603,135 @@ SELECT page_id, CAST(row_idx AS INT) AS row_idx, CASE WHEN tag = 'p' THEN 'parag
 )
 def html_rows(spark, sf_dir):
     return markup.html_rows(table(spark, sf_dir, "pages"), ["page_id"])
+
+
+# cues, keys, records and vocabulary files -------------------------------------------------------
+
+
+@query(
+    r"""SELECT p_partkey, '<!-- PAGE_BREAK: pg_' || p_size || ' -->' AS page,
+  '<!-- FONT: size=' || regexp_replace(printf('%.2f', p_size / 4.0), '\.?0+$', '') || 'pt' || CASE WHEN p_size % 3 = 0 THEN ', weight=700' ELSE '' END || ', family="' || p_brand || '" -->' AS font,
+  CASE WHEN p_size % 2 = 0 THEN '<div align="center">' || chr(10) || '**' || p_name || '**' || chr(10) || '</div>' ELSE '**' || p_name || '**' END AS title,
+  '<!-- LAYOUT_COLUMN: ' || (p_partkey % 2 + 1) || '_of_2 -->' AS col FROM part"""
+)
+def layout_cues(spark, sf_dir):
+    size = F.col("p_size")
+    return table(spark, sf_dir, "part").select(
+        "p_partkey",
+        cues.page_break(size).alias("page"),
+        cues.font(size / 4, F.when(size % 3 == 0, 700), F.col("p_brand")).alias("font"),
+        cues.aligned(cues.marked(F.col("p_name"), "bold"), F.when(size % 2 == 0, "center").otherwise("left")).alias("title"),
+        cues.column_of(F.col("p_partkey") % 2 + 1, F.lit(2)).alias("col"),
+    )
+
+
+@query(
+    """WITH w AS (SELECT doc_id, unnest(range(0, len(s))) AS row_idx, unnest(s) AS text FROM (SELECT doc_id, string_split(text, ' ') AS s FROM documents)),
+p AS (SELECT doc_id, row_idx, trim(text) AS text, row_idx // 120 AS block_num, row_idx // 40 % 3 AS par_num, row_idx % 10 * 50 AS x, row_idx // 10 * 12 AS y FROM w WHERE trim(text) <> '' AND row_idx % 11 <> 0)
+SELECT doc_id, block_num, par_num, string_agg(text, ' ' ORDER BY row_idx) AS text, CAST(round_even(min(x) * 0.24, 0) AS BIGINT) AS x0, CAST(round_even(min(y) * 0.24, 0) AS BIGINT) AS y0,
+  CAST(round_even(max(x + 40) * 0.24, 0) AS BIGINT) AS x1, CAST(round_even(max(y + 10) * 0.24, 0) AS BIGINT) AS y1 FROM p GROUP BY doc_id, block_num, par_num"""
+)
+def ocr_paragraphs(spark, sf_dir):
+    i = F.col("row_idx")
+    words = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", " ")).alias("row_idx", "text"))
+    words = words.select("*", F.floor(i / 120).alias("block_num"), F.floor(i / 40 % 3).alias("par_num"), F.when(i % 11 == 0, "-1").otherwise("90").alias("conf"))
+    words = words.select("*", (i % 10 * 50).alias("left"), (F.floor(i / 10) * 12).alias("top"), F.lit(40).alias("width"), F.lit(10).alias("height"))
+    return cues.ocr_paragraphs(words, ("doc_id",), 0.24).select("doc_id", "block_num", "par_num", "text", "x0", "y0", "x1", "y1")
+
+
+@query(
+    """SELECT l.l_orderkey, l.l_linenumber, p.p_partkey FROM lineitem l JOIN part p ON CAST(CAST(l.l_quantity AS BIGINT) AS VARCHAR) = CAST(p.p_size AS VARCHAR) AND l.l_partkey = p.p_partkey"""
+)
+def keys_of_mixed_types(spark, sf_dir):
+    """A floating-point column meets an integer one under one key."""
+    left = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"), V.key_text(F.col("l_quantity"), "double").alias("k"))
+    right = table(spark, sf_dir, "part").select("p_partkey", V.key_text(F.col("p_size"), "int").alias("k"))
+    return left.join(right, ["p_partkey", "k"]).select("l_orderkey", "l_linenumber", "p_partkey")
+
+
+@query(
+    """WITH f AS (SELECT user_id AS doc_id, event_type AS program, strftime(ts, '%Y-%m') AS run_id, 'b' || event_id % 5 AS block, min(event_id) AS o, max(strftime(ts, '%Y-%m-%dT%H:%M:%S')) AS u FROM events GROUP BY 1, 2, 3, 4)
+SELECT doc_id, program, run_id, string_agg(block, ',' ORDER BY o, block) AS blocks, max(u) AS updated_at FROM f GROUP BY 1, 2, 3"""
+)
+def record_contributors(spark, sf_dir):
+    stamps = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("doc_id"),
+        F.col("event_type").alias("program"),
+        F.date_format("ts", "yyyy-MM").alias("run_id"),
+        F.concat(F.lit("b"), F.col("event_id") % 5).alias("block"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("updated_at"),
+        F.col("event_id").alias("ordinal"),
+    )
+    return records.contributors(stamps)
+
+
+@query("""SELECT user_id AS doc_id, event_type AS kind, 'k' || event_id % 3 AS key, arg_max(value, event_id) AS value FROM events GROUP BY 1, 2, 3""")
+def record_accretion(spark, sf_dir):
+    entries = table(spark, sf_dir, "events").select(F.col("user_id").alias("doc_id"), F.col("event_type").alias("kind"), F.concat(F.lit("k"), F.col("event_id") % 3).alias("key"), "value", F.col("event_id").alias("ordinal"))
+    return records.accrete(entries)
+
+
+@query(
+    """SELECT o_orderkey AS doc_id, 'pages' AS block, o_orderstatus AS body FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_discount > 0.05)
+UNION ALL SELECT o_orderkey, 'lines', o_orderpriority FROM orders UNION ALL SELECT l_orderkey, 'pages', max(l_returnflag) FROM lineitem WHERE l_discount > 0.05 GROUP BY 1"""
+)
+def replace_own_blocks(spark, sf_dir):
+    orders, items = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem").where("l_discount > 0.05")
+    blocks = orders.select(F.col("o_orderkey").alias("doc_id"), F.explode(F.create_map(F.lit("pages"), "o_orderstatus", F.lit("lines"), "o_orderpriority")).alias("block", "body"))
+    own = items.groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.max("l_returnflag").alias("body")).select("doc_id", F.lit("pages").alias("block"), "body")
+    return records.replace_blocks(blocks, own, {"pages": ("alto",)}, "alto")[0]
+
+
+@query(
+    """SELECT o_orderkey AS doc_id, '{"doc_id":"' || o_orderkey || '","pages":' || o_shippriority || ',"lines":{"status":"' || o_orderstatus || '"},"extra":"' || o_orderpriority || '"}' AS record
+FROM (SELECT *, length(o_orderpriority) AS o_shippriority FROM orders)"""
+)
+def record_json(spark, sf_dir):
+    bodies = F.create_map(F.lit("extra"), F.concat(F.lit('"'), "o_orderpriority", F.lit('"')), F.lit("lines"), F.to_json(F.struct(F.col("o_orderstatus").alias("status"))), F.lit("pages"), F.length("o_orderpriority").cast("string"))
+    blocks = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("doc_id"), F.explode(bodies).alias("block", "body"))
+    return records.record_json(blocks).select(F.col("doc_id").cast("bigint").alias("doc_id"), "record")
+
+
+def _translated(spark, sf_dir):
+    """The terms with an English label for parts and none for the others."""
+    english = F.when(F.col("source") == "a", F.upper("label"))
+    none = F.lit(None).cast("string")
+    return _terms(spark, sf_dir).select("*", english.alias("label_en"), none.alias("uri"), F.lit(None).cast("array<string>").alias("broader"), F.lit(None).cast("int").alias("sort"))
+
+
+@query(f"WITH {_TERMS} SELECT source, count(*) AS records, count(*) FILTER (source <> 'a') AS without_en, count(DISTINCT scheme) AS roots FROM t GROUP BY source")
+def harvest_meta(spark, sf_dir):
+    return vocabulary.harvest_meta(_translated(spark, sf_dir))
+
+
+@query(f"WITH {_TERMS} SELECT lower(label) AS source_lemma, upper(label) AS target_translation FROM t WHERE source = 'a'")
+def glossary_terms(spark, sf_dir):
+    return vocabulary.glossary(_translated(spark, sf_dir))
+
+
+@query(
+    f"""WITH {_TERMS} SELECT lower(label) AS source_lemma, CASE WHEN source = 'a' THEN upper(label) ELSE '' END AS target_translation, source, source_id, '' AS uri, coalesce(scheme, '') AS scheme,
+coalesce(sub, '') AS sub, '' AS broader, '' AS sort FROM t"""
+)
+def flat_vocabulary(spark, sf_dir):
+    return vocabulary.flat_rows(_translated(spark, sf_dir))
+
+
+@query(
+    f"""WITH v(term, en) AS (VALUES {", ".join(f"('{t}', '{e}')" for t, e, _ in _LEXICON)}), i AS (SELECT doc_id, unnest(range(0, len(s))) AS pos, unnest(s) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)),
+h AS (SELECT doc_id, term, min(pos) AS pos FROM i JOIN v ON contains(lower(line), term) GROUP BY doc_id, term)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY term) - 1 AS INT) AS pos, CAST(h.pos AS VARCHAR) AS page, term AS category, en AS keywords_en, 0.5::DOUBLE AS confidence FROM h JOIN v USING (term)"""
+)
+def enrich_documents_lexical(spark, sf_dir):
+    """One reply per whole document: each term that occurs, with the first line that has it."""
+    lexicon = sorted((t, e) for t, e, _ in _LEXICON)
+
+    def reply(prompts):
+        for prompt in prompts:
+            rows = prompt.removeprefix("DOCUMENT:\n").lower().split("\n")
+            first = [(t, e, next((k for k, line in enumerate(rows) if t in line), None)) for t, e in lexicon]
+            yield json.dumps({"items": [{"locator": t, "page": str(k), "keywords": [t], "keywords_en": [e], "category": t, "confidence": 0.5} for t, e, k in first if k is not None]})
+
+    categories = enrich.vocabulary_categories(spark, [t for t, _ in lexicon])
+    items, _ = enrich.enrich_documents(table(spark, sf_dir, "documents"), reply, categories, "doc_id")
+    return items.select("doc_id", "pos", "page", "category", F.array_join("keywords_en", ",").alias("keywords_en"), "confidence")

@@ -19,6 +19,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from quire.functions.text import approx_tokens
 from quire.operators import lines as L
+from quire.operators.vocabulary import prompt_prefix, render_prompt
 
 META = "No category"
 
@@ -108,6 +109,50 @@ def enrich_lines(lines: DataFrame, predictor: Predictor, categories: DataFrame,
     return records, status
 
 
+ITEMS = "items ARRAY<STRUCT<locator: STRING, page: STRING, keywords: ARRAY<STRING>, keywords_en: ARRAY<STRING>, category: STRING, confidence: STRING>>"
+
+
+def document_prompt(text: Column) -> Column:
+    return F.concat(F.lit("DOCUMENT:\n"), text)
+
+
+def system_prompt(terms: DataFrame, header: str, budget: int, footer: str = "") -> tuple[str, list[str]]:
+    """(prompt, labels): the header, as many terms (pos, theme, sub, label) as the budget of tokens takes, the footer.
+
+    A dimension's worth of rows reaches the driver: no more than fit the budget.
+    """
+    shown = terms.withColumn("rendered", F.col("label"))
+    fit = prompt_prefix(shown, budget, len(header) + len(footer))
+    labels = [r["label"] for r in fit.orderBy("pos").select("label").collect()]
+    if not [t for t in labels if t != META]:
+        raise ValueError("no vocabulary term reached the prompt")
+    lines = [r["line"] for r in render_prompt(fit).collect()]
+    return "\n".join([p for p in (header, *lines, footer) if p]), labels
+
+
+def enrich_documents(docs: DataFrame, predictor: Predictor, categories: DataFrame, key: str = "file", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(items, status): one call per document and one row per located passage of its reply.
+
+    A reply that is no such JSON, or has an item without a locator, a known category or a confidence
+    between 0 and 1, makes the whole document ``aborted`` without an item. An empty list is a success.
+    """
+    known = categories.select(F.col("category").alias("__known")).distinct()
+    asked = predict(docs.select(key, document_prompt(F.coalesce(F.col(text), F.lit(""))).alias("__prompt")), predictor, "__prompt")
+    replies = asked.select(key, F.from_json("reply", ITEMS, {"allowUnquotedControlChars": "true"})["items"].alias("__items"))
+    every = replies.select(key, F.col("__items").isNull().alias("__broken"), F.posexplode_outer("__items").alias("pos", "i"))
+    met = every.join(known, every["i.category"] == known["__known"], "left")
+    is_meta, confidence = F.col("i.category") == META, F.col("i.confidence").try_cast("double")
+    usable = F.col("i.locator").isNotNull() & (F.col("__known").isNotNull() | is_meta) & confidence.between(0, 1)
+    bad = F.when(F.col("pos").isNull(), F.col("__broken")).otherwise(~F.coalesce(usable, F.lit(False)))
+    judged = met.select(key, "pos", "i", bad.alias("__bad"))
+    status = judged.groupBy(key).agg(F.bool_or("__bad").alias("aborted"), F.count("pos").alias("__n"))
+    status = status.select(key, F.when(F.col("aborted"), 0).otherwise(F.col("__n")).cast("bigint").alias("processed"), F.col("aborted").cast("int").alias("errors"), "aborted")
+    none = F.array().cast("array<string>")
+    words = lambda c: F.when(F.col("i.category") == META, none).otherwise(F.coalesce(F.col(f"i.{c}"), none)).alias(c)
+    items = judged.where("pos is not null").join(status.where("not aborted").select(key), key)
+    return items.select(key, "pos", "i.locator", "i.page", words("keywords"), words("keywords_en"), "i.category", F.col("i.confidence").cast("double").alias("confidence")), status
+
+
 def citation(doc: Column, page: Column) -> Column:
     """``[Source: id, Page n]`` where the page is known."""
     return F.when(page.isNotNull(), F.concat(F.lit("[Source: "), doc, F.lit(", Page "), page.cast("string"), F.lit("]")))
