@@ -65,6 +65,7 @@ class OaiReader(DataSourceReader):
             if not token:
                 return
             time.sleep(self.delay)
+        yield MAX_PAGES, None, None, f"more than {MAX_PAGES} pages"
 
 
 class OaiSource(DataSource):
