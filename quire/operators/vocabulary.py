@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import fold_label
+from quire.session import cut_lineage
 
 
 def canonical_order() -> list[Column]:
@@ -19,13 +20,15 @@ def flatten_tree(spark: SparkSession, edges: DataFrame, max_depth: int = 32) ->
     """(id, parent_id, label) rows to ``depth``, ``broader`` (ancestors, root first), ``scheme`` and ``sub``.
 
     One join per level, until a level is empty. ``scheme`` is the root's id; ``sub`` the label at
-    depth 2, inherited below. An id that is reached twice keeps its shallowest place, ties by path.
+    depth 2, inherited below. An id that is reached twice keeps its shallowest place, ties by path; an
+    edge back to an ancestor is left out. A tree of more than ``max_depth`` levels is an error.
     """
     level = edges.where("parent_id is null").select("id", "label", F.lit(1).alias("depth"), F.array().cast("array<string>").alias("broader"), F.col("id").cast("string").alias("scheme"), F.lit(None).cast("string").alias("sub"))
     child = edges.where("parent_id is not null").select(F.col("id").alias("c_id"), F.col("label").alias("c_label"), "parent_id")
     out = level
-    for depth in range(2, max_depth + 1):
-        level = level.join(child, level["id"] == child["parent_id"]).select(
+    for depth in range(2, max_depth + 2):
+        below = level.join(child, level["id"] == child["parent_id"]).where(~F.array_contains(F.concat("broader", F.array(F.col("id").cast("string"))), F.col("c_id").cast("string")))
+        level = below.select(
             F.col("c_id").alias("id"),
             F.col("c_label").alias("label"),
             F.lit(depth).alias("depth"),
@@ -33,8 +36,11 @@ def flatten_tree(spark: SparkSession, edges: DataFrame, max_depth: int = 32) ->
             "scheme",
             (F.col("c_label") if depth == 2 else F.col("sub")).alias("sub"),
         )
+        level = cut_lineage(level)  # else each level would run all joins above it again
         if level.isEmpty():
             break
+        if depth > max_depth:
+            raise ValueError(f"the tree is deeper than {max_depth} levels")
         out = out.unionByName(level)
     best = Window.partitionBy("id").orderBy("depth", F.array_join("broader", "/"))
     return out.withColumn("__r", F.row_number().over(best)).where("__r = 1").drop("__r")
@@ -59,6 +65,8 @@ def flatten_json(documents: DataFrame, json_col: str = "value", children: tuple[
         level = below(level, F.col("v"), F.try_variant_get("v", "$.id", "string"))
         if level.isEmpty():
             break
+    else:
+        raise ValueError(f"the thesaurus is deeper than {max_depth} levels")
     return out
 
 

@@ -110,3 +110,15 @@ def test_documents(spark):
     items, status = enrich.enrich_documents(docs, replies, frame(spark, [("house",)], "category string"))
     assert [(r["file"], r["pos"], r["page"], r["keywords"], r["confidence"]) for r in items.orderBy("pos").collect()] == [("good", 0, "iv", ["k"], 0.5), ("good", 1, "iv", [], 0.5)]
     assert {tuple(r) for r in status.collect()} == {("good", 2, 0, False), ("none", 0, 0, False), ("bad", 0, 1, True), ("text", 0, 1, True)}
+
+
+def test_deep_trees_are_refused_and_cycles_left_out(spark):
+    edges = frame(spark, [("1", None, "a"), ("2", "1", "b"), ("3", "2", "c"), ("2", "3", "b")], "id string, parent_id string, label string")
+    got = {r["id"]: (r["depth"], r["broader"], r["sub"]) for r in vocabulary.flatten_tree(spark, edges, 3).collect()}
+    assert got == {"1": (1, [], None), "2": (2, ["1"], "b"), "3": (3, ["1", "2"], "b")}
+    with pytest.raises(ValueError, match="deeper"):
+        vocabulary.flatten_tree(spark, edges, 2)
+    tree = frame(spark, [('{"id": "1", "children": [{"id": "2", "children": [{"id": "3"}]}]}',)], "value string")
+    assert vocabulary.flatten_json(tree, max_depth=3).count() == 3
+    with pytest.raises(ValueError, match="deeper"):
+        vocabulary.flatten_json(tree, max_depth=2)
