@@ -53,16 +53,33 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return key[place >= ORDER], lens - ORDER
 
 
-def chunks(texts: list[bytes]):
-    """Neighbouring texts of about ``CHUNK`` bytes together."""
-    at, size = 0, 0
+def pieces(texts: list[bytes]):
+    """(owners, pieces) of about ``CHUNK`` bytes of coded texts; a longer text is cut, each piece with the context in front of it."""
+    owners, held, size = [], [], 0
     for i, t in enumerate(texts):
-        size += len(t)
-        if size >= CHUNK:
-            yield at, texts[at : i + 1]
-            at, size = i + 1, 0
-    if at < len(texts):
-        yield at, texts[at:]
+        for at in range(0, len(t) - ORDER, CHUNK):
+            held.append(t[at : at + CHUNK + ORDER])
+            owners.append(i)
+            size += len(held[-1])
+            if size >= CHUNK:
+                yield np.array(owners), held
+                owners, held, size = [], [], 0
+    if held:
+        yield np.array(owners), held
+
+
+def entries(n: int, words: list[list[tuple[bytes, int]]], cold: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.ListArray:
+    """What is joined later, by text: its (word, times) and, from ``cold``, owners, grams and times; keys of grams as in ``_key``."""
+    gram = np.concatenate([np.zeros(0, np.int64), *(c[1] for c in cold)])
+    raw = np.full((len(gram), ORDER + 2), END[0], np.uint8)
+    raw[:, 1:] = gram.astype(">i8").view(np.uint8).reshape(-1, 8)[:, 7 - ORDER :]
+    starts = np.arange(len(gram) + 1, dtype=np.int32) * (ORDER + 2)
+    keys = pa.concat_arrays([pa.array([w for ws in words for w, _ in ws], pa.binary()), pa.Array.from_buffers(pa.binary(), len(gram), [None, pa.py_buffer(starts), pa.py_buffer(raw)])])
+    times = np.concatenate([np.array([k for ws in words for _, k in ws], np.int64), *(c[2] for c in cold)])
+    owner = np.concatenate([np.repeat(np.arange(n), [len(ws) for ws in words]), *(c[0] for c in cold)])
+    by = np.argsort(owner, kind="stable")
+    ends = np.searchsorted(owner[by], np.arange(n + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([keys.take(pa.array(by)), pa.array(times[by])], names=["key", "k"]))
 
 
 def count_tokens(docs: DataFrame, id_col: str, text_col: str, learn) -> DataFrame:
@@ -113,11 +130,10 @@ def count_grams(docs: DataFrame, text_col: str, learn: Column) -> DataFrame:
             flags = batch.column(0).to_numpy(zero_copy_only=False).astype(np.float64)
             for first in range(0, batch.num_rows, SLICE):  # few texts are held at a time
                 part = batch.column(1).slice(first, SLICE).cast(pa.binary()).to_pylist()
-                for at, some in chunks([coded((t or b"").lower().split()) for t in part]):
+                for owners, some in pieces([coded((t or b"").lower().split()) for t in part]):
                     g, lens = grams(some)
                     u, inv = np.unique(g, return_inverse=True)
-                    at += first
-                    held.append((u, np.bincount(inv, np.repeat(flags[at : at + len(some)], lens), minlength=len(u))))
+                    held.append((u, np.bincount(inv, np.repeat(flags[first + owners], lens), minlength=len(u))))
                     size += len(u)
                     if size > 10 * FLUSH:
                         u, c = merged()
@@ -245,42 +261,42 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
             for w, k in counts.items():
                 got = known.get(w)
                 if got is None:
-                    rest.append({"key": w, "k": k})
+                    rest.append((w, k))
                 else:
                     base += k * got[0]
                     seen += k * got[1]
             return counts.total(), seen, base, rest
 
         def of_grams(texts):
-            sums, rests = np.zeros(len(texts), np.int64), [[] for _ in texts]
-            for at, some in chunks(texts):
+            sums, cold = np.zeros(len(texts), np.int64), []
+            for owners, some in pieces(texts):
                 keys, lens = grams(some)
                 u, inv = np.unique(keys, return_inverse=True)
                 i = np.minimum(np.searchsorted(hot_g, u), max(len(hot_g) - 1, 0))
                 hit = hot_g[i] == u if len(hot_g) else np.zeros(len(u), bool)
                 value = np.where(hit, hot_q[i], 0) if len(hot_g) else np.zeros(len(u), np.int64)
-                owner = np.repeat(np.arange(at, at + len(some)), lens)
-                # no text of a chunk is empty: its end is coded
-                sums[at : at + len(some)] = np.add.reduceat(value[inv], np.cumsum(lens) - lens)
+                # no piece is empty: its text's end is coded
+                np.add.at(sums, owners, np.add.reduceat(value[inv], np.cumsum(lens) - lens))
                 if not hit.all():
-                    cold = np.flatnonzero(~hit[inv])
-                    pairs, k = np.unique(np.stack([owner[cold], keys[cold]]), axis=1, return_counts=True)
-                    for d, gram, times in zip(pairs[0].tolist(), pairs[1].tolist(), k.tolist()):
-                        rests[d].append({"key": END + gram.to_bytes(ORDER + 1, "big"), "k": times})
-            return sums.tolist(), rests
+                    at = np.flatnonzero(~hit[inv])
+                    code, times = np.unique(np.repeat(owners, lens)[at] * len(u) + inv[at], return_counts=True)
+                    cold.append((code // len(u), u[code % len(u)], times))
+            return sums, cold
 
         def apply(texts):
-            out = {"n_tokens": [], "n_hot": [], "base_hot": [], "lp_hot": [], "rest": []}
-            for at in range(0, len(texts), SLICE):  # the words of few texts are held at a time
-                split = [(t or b"").lower().split() for t in texts[at : at + SLICE]]
-                told = [of_words(w) for w in split]
-                sums, rests = of_grams([coded(w) for w in split])
-                out["n_tokens"] += [x[0] for x in told]
-                out["n_hot"] += [x[1] for x in told]
-                out["base_hot"] += [x[2] for x in told]
-                out["lp_hot"] += sums
-                out["rest"] += [x[3] + r for x, r in zip(told, rests, strict=True)]
-            return out
+            told, codes = [], []
+            for t in texts:  # the words of one text are held at a time
+                own = (t or b"").lower().split()
+                told.append(of_words(own))
+                codes.append(coded(own))
+            sums, cold = of_grams(codes)
+            return {
+                "n_tokens": [x[0] for x in told],
+                "n_hot": [x[1] for x in told],
+                "base_hot": [x[2] for x in told],
+                "lp_hot": sums.tolist(),
+                "rest": entries(len(texts), [x[3] for x in told], cold),
+            }
 
         return apply
 

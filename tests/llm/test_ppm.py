@@ -116,3 +116,19 @@ def test_probabilities_of_a_context_add_up_to_one(spark):
     for c in contexts:
         assert sum(10 ** (got[int.from_bytes(c + bytes([b]), "big")] / ppm.UNIT) for b in range(256)) == pytest.approx(1.0)
     assert len(got) == len(rows) and np.all(np.array(list(got.values())) <= 0)
+
+
+def test_pieces_of_long_texts_have_the_grams_of_the_whole(monkeypatch):
+    texts = [ppm.coded(t.split()) for t in (b"a long text that is cut into pieces of few bytes", b"", b"short", b"x" * 40)]
+    whole, lens = ppm.grams(texts)
+    want = sorted(zip(np.repeat(np.arange(len(texts)), lens).tolist(), whole.tolist()))
+    for size in (1, 7, 16, 1000):
+        monkeypatch.setattr(ppm, "CHUNK", size)
+        got = []
+        for owners, some in ppm.pieces(texts):
+            keys, lens = ppm.grams(some)
+            got += zip(np.repeat(owners, lens).tolist(), keys.tolist())
+        assert sorted(got) == want
+    listed = ppm.entries(3, [[(b"w", 2)], [], []], [(np.array([2, 0]), np.array([65, 0x0102030405FF]), np.array([3, 4]))]).to_pylist()
+    assert [[(e["key"], e["k"]) for e in x] for x in listed] == [[(b"w", 2), (b"\n\x01\x02\x03\x04\x05\xff", 4)], [], [(b"\n\0\0\0\0\0A", 3)]]
+    assert ppm.entries(1, [[]], []).to_pylist() == [[]]
