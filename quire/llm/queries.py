@@ -88,7 +88,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_license_scan, op3_line_dedup, op4_secrets, op5_packing, op6_ppm_scoring, op7_decontamination, op8_language_id, op9_ogg, op10_toxicity)}
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm.suffix_dedup import passage_digests
+
+    return passage_digests(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        *(op1_simhash, op2_license_scan, op3_line_dedup, op4_secrets, op5_packing, op6_ppm_scoring, op7_decontamination),
+        *(op8_language_id, op9_ogg, op10_toxicity, op11_suffix_dedup),
+    )
+}
 
 _W = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
