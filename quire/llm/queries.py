@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from quire.llm import license_scan
 from quire.llm.common import table
+from quire.llm.phrases import PHRASES_SQL
+from quire.llm.source_audit import AUDIT_SQL
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,17 +96,29 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_digests(table(spark, sf_dir, "documents"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm.phrases import mine_phrases
+
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm.source_audit import audit_sources
+
+    return audit_sources(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         *(op1_simhash, op2_license_scan, op3_line_dedup, op4_secrets, op5_packing, op6_ppm_scoring, op7_decontamination),
-        *(op8_language_id, op9_ogg, op10_toxicity, op11_suffix_dedup),
+        *(op8_language_id, op9_ogg, op10_toxicity, op11_suffix_dedup, op12_phrases, op13_source_audit),
     )
 }
 
 _W = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-SQL: dict[str, str] = {"op2_license_scan": license_scan.brute_force_sql()}
+SQL: dict[str, str] = {"op2_license_scan": license_scan.brute_force_sql(), "op12_phrases": PHRASES_SQL, "op13_source_audit": AUDIT_SQL}
 
 SQL["op7_decontamination"] = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_W}') AS w FROM documents),

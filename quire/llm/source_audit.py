@@ -24,7 +24,7 @@ BUFFER, LEAVES = 200_000, 300_000
 #: Leading bytes by which a trie is cut; ranges of more leaves are cut deeper.
 PREFIX, RANGE = 2, 200_000
 #: Counters of a block: terms times sources.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -137,7 +137,7 @@ def _walk(top: Node, above: bytes) -> Iterator[tuple[bytes, Node]]:
 
 #: A cut trie: leaves in byte order as prefix in common with the one before, length of the rest, the rest; documents, sources of each leaf, then their numbers in ``sources`` and counts.
 TRIE = "lang string, prefix binary, n bigint, common binary, size binary, rest binary, docs binary, width binary, source binary, count binary, sources array<string>"
-_KINDS = {"lang": pa.string(), "n": pa.int64(), "sources": pa.list_(pa.string()), "sums": pa.list_(pa.int64()), "all_n": pa.int64()}
+_KINDS = {"lang": pa.string(), "n": pa.int64(), "sources": pa.list_(pa.string()), "sums": pa.list_(pa.int64())}
 
 
 def _batch(rows: list[dict]) -> pa.RecordBatch:
@@ -242,13 +242,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def term_tries(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """The kept terms of every language as merged tries by prefix range (``TRIE``), with the ``sums`` of the counts by source and ``all_n``, the sum of all.
+    """The kept terms of every language as merged tries by prefix range (``TRIE``), with the ``sums`` of the counts by source.
 
     ``docs``: ``lang``, ``source`` and ``text`` (binary). Two rows with one prefix never are of one language.
     """
     cut = materialise(docs.select("lang", "source", "text").mapInArrow(_count, TRIE))
     large = cut.groupBy("lang", "prefix").agg(F.sum("n").alias("leaves")).where(F.col("leaves") > RANGE)
-    depth = F.lit(PREFIX) + F.ceil(F.log(F.lit(4.0), F.col("leaves") / RANGE)).cast("int")
+    depth = F.lit(PREFIX) + F.ceil(F.log(4.0, F.col("leaves") / RANGE)).cast("int")
     deep = cut_lineage(large.select("lang", "prefix", depth.alias("depth")))
     names = [f.split(" ")[0] for f in TRIE.split(", ")]
 
@@ -267,15 +267,14 @@ def term_tries(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
             trie.merge(other)
         kept = [(t, node.docs, node.counts) for t, node in trie if node.docs >= min_docs]
         if not kept:
-            return pa.Table.from_batches([], schema=_batch([encode("", b"", []) | {"sums": [], "all_n": 0}]).schema)
+            return pa.Table.from_batches([], schema=_batch([encode("", b"", []) | {"sums": []}]).schema)
         out = encode(table.column("lang")[0].as_py(), table.column("prefix")[0].as_py(), kept)
         sums: dict[str, int] = defaultdict(int)
         for _, _, counts in kept:
             _add_counts(sums, counts)
-        by_source = [sums[s] for s in out["sources"]]
-        return pa.Table.from_batches([_batch([out | {"sums": by_source, "all_n": sum(by_source)}])])
+        return pa.Table.from_batches([_batch([out | {"sums": [sums[s] for s in out["sources"]]}])])
 
-    return materialise(ranges.groupBy("lang", "prefix").applyInArrow(merge, f"{TRIE}, sums array<bigint>, all_n bigint"))
+    return materialise(ranges.groupBy("lang", "prefix").applyInArrow(merge, f"{TRIE}, sums array<bigint>"))
 
 
 # ---------------------------------------------------------------- divergence
