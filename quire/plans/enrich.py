@@ -20,8 +20,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from quire.functions.text import approx_tokens
 from quire.operators import lines as L
 from quire.operators.vocabulary import prompt_prefix, render_prompt
-
-META = "No category"
+from quire.plans.drive import META, category_set, drive_documents, drive_lines
 
 
 class Predictor(Protocol):
@@ -97,19 +96,13 @@ def validate(df: DataFrame, categories: DataFrame, reply: str = "reply", meta: s
 def enrich_lines(lines: DataFrame, predictor: Predictor, categories: DataFrame, p: L.LineFilter = L.LineFilter(), limit: int = 10) -> tuple[DataFrame, DataFrame]:
     """(records, status): enriched lines, and per file what was processed, skipped and whether it was cut off.
 
-    The windows see all lines, as lines that aren't kept still are context; the filter stands between
-    them and the predictor.
+    The windows see all lines, as lines that aren't kept still are context. Every wanted line is asked
+    for once, in the order of its file and not after the cut-off, however often the results are read.
     """
-    windowed = L.context_windows(L.quality_filter(lines, p))
-    kept = validate(predict(windowed.where("skip_reason is null").select("file", "row_idx", "page_num", "line_num", "categ", "quality_score", "text", "context"), predictor), categories)
-    attempts = kept.withColumn("status", F.when(F.col("error").isNull(), "ok").otherwise("error"))
-    skipped = windowed.where("skip_reason is not null").select("file", "row_idx", F.lit("skip").alias("status"))
-    status = L.run_status(attempts.select("file", "row_idx", "status").unionByName(skipped), limit)
-    records = L.abort_after_errors(attempts, limit).where("status = 'ok'").drop("status", "error_run", "reply", "context", "error")
-    return records, status
-
-
-ITEMS = "items ARRAY<STRUCT<locator: STRING, page: STRING, keywords: ARRAY<STRING>, keywords_en: ARRAY<STRING>, category: STRING, confidence: STRING>>"
+    windowed = L.context_windows(L.quality_filter(lines, p)).withColumn("wanted", F.col("skip_reason").isNull())
+    driven = drive_lines(windowed.select("file", "row_idx", "page_num", "line_num", "categ", "quality_score", "text", "context", "wanted"), predictor, category_set(categories), limit)
+    status = L.run_status(driven.select("file", "row_idx", "status"), limit)
+    return driven.where("status = 'ok'").drop("status", "context", "error", "wanted"), status
 
 
 def document_prompt(text: Column) -> Column:
@@ -131,26 +124,16 @@ def system_prompt(terms: DataFrame, header: str, budget: int, footer: str = "")
 
 
 def enrich_documents(docs: DataFrame, predictor: Predictor, categories: DataFrame, key: str = "file", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(items, status): one call per document and one row per located passage of its reply.
+    """(items, status): one call per document, one row per located passage of its reply, one status row per document.
 
     A reply that is no such JSON, or has an item without a locator, a known category or a confidence
     between 0 and 1, makes the whole document ``aborted`` without an item. An empty list is a success.
     """
-    known = categories.select(F.col("category").alias("__known")).distinct()
-    asked = predict(docs.select(key, document_prompt(F.coalesce(F.col(text), F.lit(""))).alias("__prompt")), predictor, "__prompt")
-    replies = asked.select(key, F.from_json("reply", ITEMS, {"allowUnquotedControlChars": "true"})["items"].alias("__items"))
-    every = replies.select(key, F.col("__items").isNull().alias("__broken"), F.posexplode_outer("__items").alias("pos", "i"))
-    met = every.join(known, every["i.category"] == known["__known"], "left")
-    is_meta, confidence = F.col("i.category") == META, F.col("i.confidence").try_cast("double")
-    usable = F.col("i.locator").isNotNull() & (F.col("__known").isNotNull() | is_meta) & confidence.between(0, 1)
-    bad = F.when(F.col("pos").isNull(), F.col("__broken")).otherwise(~F.coalesce(usable, F.lit(False)))
-    judged = met.select(key, "pos", "i", bad.alias("__bad"))
-    status = judged.groupBy(key).agg(F.bool_or("__bad").alias("aborted"), F.count("pos").alias("__n"))
-    status = status.select(key, F.when(F.col("aborted"), 0).otherwise(F.col("__n")).cast("bigint").alias("processed"), F.col("aborted").cast("int").alias("errors"), "aborted")
-    none = F.array().cast("array<string>")
-    words = lambda c: F.when(F.col("i.category") == META, none).otherwise(F.coalesce(F.col(f"i.{c}"), none)).alias(c)
-    items = judged.where("pos is not null").join(status.where("not aborted").select(key), key)
-    return items.select(key, "pos", "i.locator", "i.page", words("keywords"), words("keywords_en"), "i.category", F.col("i.confidence").cast("double").alias("confidence")), status
+    asked = docs.select(key, document_prompt(F.coalesce(F.col(text), F.lit(""))).alias("prompt"))
+    replies = drive_documents(asked, predictor, category_set(categories), key)
+    aborted = F.col("error").isNotNull()
+    status = replies.select(key, F.size("items").cast("bigint").alias("processed"), aborted.cast("int").alias("errors"), aborted.alias("aborted"))
+    return replies.select(key, F.posexplode("items").alias("pos", "i")).select(key, "pos", "i.*"), status
 
 
 def citation(doc: Column, page: Column) -> Column:
