@@ -8,7 +8,8 @@ terms give sums for every pair of sources, and the candidates of a source in the
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 from quire.llm.common import cut_lineage, materialise
 
 MIN_DOCS, TOP, SCALE = 10, 10, 1_000_000_000
-#: Counted pairs of source and term before they go into the trie, and leaves of a trie before it is sent.
-BUFFER, LEAVES = 200_000, 300_000
+#: Different terms, and terms of one language, that are held before they go into the trie; leaves of a trie before it is sent.
+BUFFER, TOKENS, LEAVES = 400_000, 4_000_000, 400_000
 #: Leading bytes by which a trie is cut; ranges of more leaves are cut deeper.
 PREFIX, RANGE = 2, 200_000
 #: Counters of a block: terms times sources.
@@ -47,7 +48,28 @@ class RadixTrie:
     """Byte strings with a document count and a counter per source; tries of disjoint documents can be merged."""
 
     def __init__(self):
-        self.root, self.leaves = Node(b""), 0
+        self.root = Node(b"")
+
+    @classmethod
+    def of_sorted(cls, leaves: Iterator[tuple[int, bytes, int, dict]]) -> RadixTrie:
+        """From ascending leaves as (bytes in common with the one before, the rest, documents, counts): no byte is compared."""
+        trie = cls()
+        path, depths = [trie.root], [0]
+        for common, rest, docs, counts in leaves:
+            while depths[-1] > common:
+                node = path.pop()
+                depths.pop()
+                if depths[-1] < common:
+                    path.append(_split(path[-1], node, common - depths[-1]))
+                    depths.append(common)
+            if rest:
+                node = Node(rest, docs, counts)
+                path[-1].children[rest[0]] = node
+                path.append(node)
+                depths.append(common + len(rest))
+            else:
+                path[-1].docs, path[-1].counts = docs, counts
+        return trie
 
     def add(self, term: bytes, docs: int, counts: dict) -> None:
         """Add to the leaf of ``term``, which is made if it isn't there; ``counts`` may be kept."""
@@ -56,16 +78,15 @@ class RadixTrie:
             child = node.children.get(rest[0])
             if child is None:
                 node.children[rest[0]] = Node(rest, docs, counts)
-                self.leaves += 1
                 return
             label = child.label
             if rest.startswith(label):
                 node, rest = child, rest[len(label) :]
             else:
-                node, rest = _split(node, child, _shared(label, rest)), rest[_shared(label, rest) :]
+                n = _shared(label, rest)
+                node, rest = _split(node, child, n), rest[n:]
         if node.counts is None:
             node.docs, node.counts = docs, counts
-            self.leaves += 1
         else:
             node.docs += docs
             _add_counts(node.counts, counts)
@@ -78,7 +99,6 @@ class RadixTrie:
             if theirs.counts is not None:
                 if mine.counts is None:
                     mine.docs, mine.counts = theirs.docs, theirs.counts
-                    self.leaves += 1
                 else:
                     mine.docs += theirs.docs
                     _add_counts(mine.counts, theirs.counts)
@@ -86,25 +106,38 @@ class RadixTrie:
                 a = mine.children.get(first)
                 if a is None:
                     mine.children[first] = b
-                    self.leaves += sum(1 for _ in _walk(b, b""))
                     continue
-                n = _shared(a.label, b.label)
-                if n < len(a.label):
-                    a = _split(mine, a, n)
-                if n < len(b.label):
-                    b.label, upper = b.label[n:], Node(b.label[:n])
-                    upper.children[b.label[0]] = b
-                    b = upper
+                if a.label != b.label:
+                    n = _shared(a.label, b.label)
+                    if n < len(a.label):
+                        a = _split(mine, a, n)
+                    if n < len(b.label):
+                        b.label, upper = b.label[n:], Node(b.label[:n])
+                        upper.children[b.label[0]] = b
+                        b = upper
                 waiting.append((a, b))
 
-    def __iter__(self) -> Iterator[tuple[bytes, Node]]:
-        """Leaves in byte order, which is the order of their UTF-8 texts."""
-        return _walk(self.root, b"")
+    def __iter__(self) -> Iterator[tuple[int, bytes, Node]]:
+        """(bytes in common with the leaf before, bytes, leaf) in byte order, which is the order of their UTF-8 texts."""
+        waiting, common = [(self.root, b"")], 0
+        while waiting:
+            node, path = waiting.pop()
+            common = min(common, len(path))
+            path += node.label
+            if node.counts is not None:
+                yield common, path, node
+                common = len(path)
+            if node.children:
+                waiting += [(node.children[b], path) for b in sorted(node.children, reverse=True)]
 
 
 def _shared(a: bytes, b: bytes) -> int:
-    n = min(len(a), len(b))
-    return next((i for i in range(n) if a[i] != b[i]), n)
+    n = 0
+    for x, y in zip(a, b):
+        if x != y:
+            break
+        n += 1
+    return n
 
 
 def _split(parent: Node, child: Node, n: int) -> Node:
@@ -121,17 +154,6 @@ def _add_counts(into: dict, counts: dict) -> None:
         into[source] = into.get(source, 0) + n
 
 
-def _walk(top: Node, above: bytes) -> Iterator[tuple[bytes, Node]]:
-    waiting = [(top, above)]
-    while waiting:
-        node, path = waiting.pop()
-        path += node.label
-        if node.counts is not None:
-            yield path, node
-        if node.children:
-            waiting += [(node.children[b], path) for b in sorted(node.children, reverse=True)]
-
-
 # ---------------------------------------------------------------- rows
 
 
@@ -144,40 +166,45 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], _KINDS.get(k, pa.binary())) for k in rows[0]], names=list(rows[0]))
 
 
-def encode(lang: str, prefix: bytes, leaves: list[tuple[bytes, int, dict]]) -> dict:
-    """A row of ``TRIE`` for leaves in byte order."""
-    common, rest, last, numbers = [], [], b"", {}
-    for term, _, _ in leaves:
-        n = _shared(last, term)
-        common.append(n)
-        rest.append(term[n:])
-        last = term
-    source = [numbers.setdefault(s, len(numbers)) for _, _, counts in leaves for s in counts]
+def encode(lang: str, prefix: bytes, leaves: list[tuple[int, bytes, int, dict]]) -> dict:
+    """A row of ``TRIE`` for leaves in byte order: (bytes in common with the one before, bytes, documents, counts)."""
+    common = [c for c, *_ in leaves]
+    common[:1] = [0] * len(common[:1])
+    rest = [term[c:] for c, (_, term, _, _) in zip(common, leaves)]
+    numbers: dict[str, int] = {}
+    source = [numbers.setdefault(s, len(numbers)) for *_, counts in leaves for s in counts]
     u4, i8 = (lambda x: np.array(x, np.uint32).tobytes()), (lambda x: np.array(x, np.int64).tobytes())
-    out = {"lang": lang, "prefix": prefix, "n": len(leaves), "common": u4(common), "size": u4([len(r) for r in rest]), "rest": b"".join(rest), "docs": i8([d for _, d, _ in leaves])}
-    out |= {"width": u4([len(c) for _, _, c in leaves]), "source": u4(source), "count": i8([n for _, _, c in leaves for n in c.values()]), "sources": list(numbers)}
-    return out
+    out = {"lang": lang, "prefix": prefix, "n": len(leaves), "common": u4(common), "size": u4(list(map(len, rest))), "rest": b"".join(rest), "docs": i8([d for _, _, d, _ in leaves])}
+    return out | {"width": u4([len(c) for *_, c in leaves]), "source": u4(source), "count": i8([n for *_, c in leaves for n in c.values()]), "sources": list(numbers)}
 
 
-def decode(row: dict) -> Iterator[tuple[bytes, int, dict]]:
-    common, size, width = (np.frombuffer(row[k], np.uint32).tolist() for k in ("common", "size", "width"))
-    docs, source, count = np.frombuffer(row["docs"], np.int64).tolist(), np.frombuffer(row["source"], np.uint32).tolist(), np.frombuffer(row["count"], np.int64).tolist()
-    names, last, at, place = row["sources"], b"", 0, 0
+def coded(row: dict) -> Iterator[tuple[int, bytes, int, dict]]:
+    """(bytes in common with the leaf before, the rest, documents, counts) of a row."""
+    common, size, width, source = (np.frombuffer(row[k], np.uint32).tolist() for k in ("common", "size", "width", "source"))
+    docs, count = (np.frombuffer(row[k], np.int64).tolist() for k in ("docs", "count"))
+    named, rest, at, place = [row["sources"][i] for i in source], row["rest"], 0, 0
     for keep, n, d, w in zip(common, size, docs, width):
-        last = last[:keep] + row["rest"][at : at + n]
+        yield keep, rest[at : at + n], d, dict(zip(named[place : place + w], count[place : place + w]))
         at += n
-        yield last, d, {names[source[i]]: count[i] for i in range(place, place + w)}
         place += w
 
 
-def _ranges(lang: str, leaves: Iterator[tuple[bytes, int, dict]], depth: int) -> Iterator[dict]:
+def decode(row: dict) -> Iterator[tuple[int, bytes, int, dict]]:
+    """As ``coded``, with the whole bytes."""
+    last = b""
+    for keep, rest, docs, counts in coded(row):
+        last = last[:keep] + rest
+        yield keep, last, docs, counts
+
+
+def _ranges(lang: str, leaves: Iterator[tuple[int, bytes, int, dict]], depth: int) -> Iterator[dict]:
     """Rows of leaves with the same first ``depth`` bytes."""
     prefix, held = None, []
     for leaf in leaves:
-        if leaf[0][:depth] != prefix:
+        if leaf[1][:depth] != prefix:
             if held:
                 yield encode(lang, prefix, held)
-            prefix, held = leaf[0][:depth], []
+            prefix, held = leaf[1][:depth], []
         held.append(leaf)
     if held:
         yield encode(lang, prefix, held)
@@ -200,41 +227,87 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(i, 1).to_pylist()[0]
 
 
+class _Numbers(dict):
+    def __missing__(self, key):
+        self[key] = n = len(self)
+        return n
+
+
+class _Texts:
+    """Texts of one language until they go into its trie: term numbers in order, and the length and source of every text."""
+
+    def __init__(self):
+        self.terms, self.sources, self.ids, self.sizes, self.source = _Numbers(), _Numbers(), array("I"), [], []
+
+    def add(self, source: str, terms: list[bytes]) -> None:
+        self.ids.extend(map(self.terms.__getitem__, terms))
+        self.sizes.append(len(terms))
+        self.source.append(self.sources[source])
+
+    def trie(self) -> RadixTrie:
+        ids, sizes = np.frombuffer(self.ids, np.uint32).astype(np.int64), np.array(self.sizes)
+        pairs, count = np.unique(ids * len(self.sources) + np.repeat(np.array(self.source, np.int64), sizes), return_counts=True)
+        docs = np.unique(ids * len(sizes) + np.repeat(np.arange(len(sizes)), sizes)) // max(1, len(sizes))
+        n = len(self.terms)
+        ends = np.searchsorted(pairs // max(1, len(self.sources)), np.arange(n + 1)).tolist()
+        names, count = list(self.sources), count.tolist()
+        named, docs = [names[k] for k in (pairs % max(1, len(names))).tolist()], np.bincount(docs, minlength=n).tolist()
+
+        def leaves():
+            terms = sorted(self.terms)
+            for term, common in zip(terms, _common_prefixes(terms)):
+                i = self.terms[term]
+                a, b = ends[i], ends[i + 1]
+                yield common, term[common:], docs[i], {named[a]: count[a]} if b - a == 1 else dict(zip(named[a:b], count[a:b]))
+
+        return RadixTrie.of_sorted(leaves())
+
+
+def _common_prefixes(terms: list[bytes], width: int = 24) -> list[int]:
+    """How many bytes each of ascending terms, none of which has a byte 0, has in common with the one before."""
+    if not terms:
+        return []
+    heads = np.array(terms, f"S{width}").view(np.uint8).reshape(len(terms), width)
+    same = (heads[1:] == heads[:-1]) & (heads[1:] != 0)
+    common = [0, *np.where(same.all(axis=1), width, same.argmin(axis=1)).tolist()]
+    for i in np.flatnonzero(same.all(axis=1)) + 1:
+        common[i] = _shared(terms[i - 1], terms[i])
+    return common
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Tries of a partition, cut at prefixes."""
     tries: dict[str, RadixTrie] = defaultdict(RadixTrie)
-    counted: dict[tuple[str, str], Counter] = defaultdict(Counter)
-    documents: dict[str, Counter] = defaultdict(Counter)
+    texts: dict[str, _Texts] = defaultdict(_Texts)
 
     def store():
-        for (lang, source), terms in counted.items():
-            docs = documents.get(lang, {})
-            for term, n in terms.items():
-                tries[lang].add(term, docs.pop(term, 0), {source: n})
-        counted.clear()
-        documents.clear()
+        for lang, held in texts.items():
+            tries[lang].merge(held.trie())
+        texts.clear()
 
     def send():
         for lang, trie in tries.items():
-            yield from _ranges(lang, ((t, node.docs, node.counts) for t, node in trie), PREFIX)
+            yield from _ranges(lang, ((common, term, node.docs, node.counts) for common, term, node in trie), PREFIX)
         tries.clear()
 
     def run():
-        new = 0
+        held = stored = 0
         for batch in batches:
             langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for i in range(batch.num_rows):
+                here = texts[langs[i]]
+                held -= len(here.terms)
                 terms = terms_of(batch.column(2)[i].as_py())
-                here = counted[langs[i], sources[i]]
-                new -= len(here)
-                here.update(terms)
-                new += len(here)
-                documents[langs[i]].update(set(terms))
-                if new >= BUFFER:
+                here.add(sources[i], terms)
+                held += len(here.terms)
+                tokens = len(here.ids)
+                if held >= BUFFER or tokens >= TOKENS:
+                    stored += held
+                    held = 0
                     store()
-                    new = 0
-                    if sum(t.leaves for t in tries.values()) >= LEAVES:
+                    if stored >= LEAVES:
                         yield from send()
+                        stored = 0
         store()
         yield from send()
 
@@ -261,16 +334,18 @@ def term_tries(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     def merge(table: pa.Table) -> pa.Table:
         trie = RadixTrie()
         for row in _rows(table.to_batches()):
-            other = RadixTrie()
-            for term, n, counts in decode(row):
-                other.add(term, n, counts)
-            trie.merge(other)
-        kept = [(t, node.docs, node.counts) for t, node in trie if node.docs >= min_docs]
+            trie.merge(RadixTrie.of_sorted(coded(row)))
+        kept, common = [], 0
+        for shared, term, node in trie:
+            common = min(common, shared)
+            if node.docs >= min_docs:
+                kept.append((common, term, node.docs, node.counts))
+                common = len(term)
         if not kept:
             return pa.Table.from_batches([], schema=_batch([encode("", b"", []) | {"sums": []}]).schema)
         out = encode(table.column("lang")[0].as_py(), table.column("prefix")[0].as_py(), kept)
         sums: dict[str, int] = defaultdict(int)
-        for _, _, counts in kept:
+        for *_, counts in kept:
             _add_counts(sums, counts)
         return pa.Table.from_batches([_batch([out | {"sums": [sums[s] for s in out["sources"]]}])])
 
@@ -301,7 +376,7 @@ def _compare(totals: dict[str, tuple[list[str], list[int], int]]):
             width = np.frombuffer(row["width"], np.uint32).astype(np.int64)
             source = np.array([number[s] for s in row["sources"]], np.int64)[np.frombuffer(row["source"], np.uint32)]
             count, term = np.frombuffer(row["count"], np.int64), np.repeat(np.arange(len(width)), width)
-            texts = [t for t, _, _ in decode(row)]
+            texts = [t for _, t, _, _ in decode(row)]
             step = max(1, BLOCK // len(names))
             for a in range(0, len(texts), step):
                 b = min(len(texts), a + step)

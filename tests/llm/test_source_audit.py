@@ -48,7 +48,7 @@ def brute(rows, min_docs=10):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_agrees_with_the_definition(spark, seed, monkeypatch):
     if seed == 2:  # tries are sent often, and cut deep
-        for name, value in (("BUFFER", 30), ("LEAVES", 20), ("RANGE", 3), ("BLOCK", 8)):
+        for name, value in (("BUFFER", 30), ("TOKENS", 90), ("LEAVES", 50), ("RANGE", 3), ("BLOCK", 8)):
             monkeypatch.setattr(A, name, value)
     rows = corpus(seed)
     df = spark.createDataFrame([(*r, 7) for r in rows], "doc_id bigint, text string, lang string, source string, value int").repartition(4)
@@ -81,14 +81,13 @@ def test_merged_tries_hold_all_leaves():
         tries.append(trie)
     whole = A.RadixTrie()
     for trie in tries:
-        row = A.encode("l", b"", [(t, n.docs, n.counts) for t, n in trie])
-        other = A.RadixTrie()
-        for leaf in A.decode(row):
-            other.add(*leaf)
-        whole.merge(other)
-    leaves = [(t, n) for t, n in whole]
-    assert [t for t, _ in leaves] == sorted({t for t, _ in want}) and whole.leaves == len(leaves)
-    assert {(t, s): c for t, n in leaves for s, c in n.counts.items()} == want
+        row = A.encode("l", b"", [(c, t, n.docs, n.counts) for c, t, n in trie])
+        whole.merge(A.RadixTrie.of_sorted(A.coded(row)))
+    leaves = list(whole)
+    terms = [t for _, t, _ in leaves]
+    assert terms == sorted({t for t, _ in want})
+    assert [c for c, _, _ in leaves] == [A._shared(a, b) for a, b in zip([b"", *terms], terms)]
+    assert {(t, s): c for _, t, n in leaves for s, c in n.counts.items()} == want
 
 
 def test_shares_are_exact_beyond_64_bits():
@@ -96,3 +95,9 @@ def test_shares_are_exact_beyond_64_bits():
 
     got = A.shares(np.array([0, 10**12, 3 * 10**12]), 5 * 10**12, 7)
     assert got.tolist() == [1 + 10**9 * (c + 2) // (5 * 10**12 + 14) for c in (0, 10**12, 3 * 10**12)]
+
+
+def test_common_prefixes_of_long_terms():
+    terms = sorted({b"a" * k + x for k in (1, 23, 24, 25, 60) for x in (b"", b"b", b"cc")})
+    assert A._common_prefixes(terms) == [A._shared(a, b) for a, b in zip([b"", *terms], terms)]
+    assert A._common_prefixes([]) == []
