@@ -53,7 +53,9 @@ TEXT_SHARE = {"hex": 0.35, "hexupper": 0.35}
 REFUSE = 1e-3
 #: Share of false discoveries that the step allows.
 Q = 0.05
-BANDS, BINS = (24, 32, 48, 96), 60
+BANDS = (24, 32, 48, 96)
+#: Tenths of a power of ten by which chances are counted, down to 1e-300: the step keeps a secret among any number of runs.
+BINS = 3000
 
 
 def upper_tail(z: float) -> float:
@@ -92,18 +94,19 @@ def battery(run: str, encoding: int) -> tuple[float, float, float]:
 
 
 def fisher(ps: list[float]) -> float:
-    """The chance that independent chances are together as small as these (Fisher's method)."""
+    """The logarithm of the chance that independent chances are together as small as these (Fisher's method)."""
     half = -sum(math.log(max(1e-300, p)) for p in ps)  # twice this is chi-squared with 2 degrees of freedom for each
-    return math.exp(-half) * sum(half**k / math.factorial(k) for k in range(len(ps)))
+    return math.log(sum(half**k / math.factorial(k) for k in range(len(ps)))) - half
 
 
 def text_p(run: str, encoding: int, uniform: float) -> float:
-    """Chance that ordinary text gives a run of this length this uniform, this digit-rich and this narrow.
+    """Logarithm of the chance that ordinary text gives a run of this length this uniform, this digit-rich and this narrow.
 
     The uniformity score of text grows with the length, and its spread is that of the share of equal
     pairs: between letters drawn once, and between texts. The chances are combined by Fisher's method.
     Runs without a digit and runs of a wide alphabet are kinds of their own: they have no chance for
-    digits or for the alphabet, and those of their kind aren't combined with any.
+    digits or for the alphabet, and those of their kind aren't combined with any. The chance for digits is
+    that among runs which have one.
     """
     _, _, _, size = _ALPHABETS[encoding]
     n = len(run)
@@ -117,13 +120,13 @@ def text_p(run: str, encoding: int, uniform: float) -> float:
     else:
         rich = sum(math.comb(n, k) * TEXT_DIGITS**k * (1 - TEXT_DIGITS) ** (n - k) for k in range(digits, n + 1))
     ps = [upper_tail((mean - uniform) / spread)]
-    ps += [rich] if digits else []
+    ps += [rich / (1 - (1 - TEXT_DIGITS) ** n)] if digits else []
     ps += [TEXT_SHARE[name] ** n] if (name := ENCODINGS[encoding][0]) in TEXT_SHARE else []
     return fisher([min(1.0, p) for p in ps])
 
 
 def judge(run: str) -> tuple[int, float] | None:
-    """Encoding and p against ordinary text, or None if the battery refuses the run as random.
+    """Encoding and the logarithm of p against ordinary text, or None if the battery refuses the run as random.
 
     Long runs of one character class without digits, and runs with one or two different characters,
     are refused by uniformity or runs; no length from ``MIN_LENGTH`` on is exempt.
@@ -132,11 +135,24 @@ def judge(run: str) -> tuple[int, float] | None:
     if k < 0:
         return None
     uniform, runs, serial = battery(run, k)
-    if fisher([upper_tail(uniform), math.erfc(abs(runs) / math.sqrt(2)), math.erfc(abs(serial) / math.sqrt(2))]) < REFUSE:
+    if fisher([upper_tail(uniform), math.erfc(abs(runs) / math.sqrt(2)), math.erfc(abs(serial) / math.sqrt(2))]) < math.log(REFUSE):
         return None
     return k, text_p(run, k, uniform)
 
 
+def bin_of(log_p: float) -> int:
+    """The bin of a chance: it is at most 10 to the minus a tenth of it."""
+    return min(BINS, max(0, int(-10 * log_p / math.log(10))))
+
+
+def least_bin(tested: int, counts: np.ndarray, q: float) -> int:
+    """The least bin that a Benjamini-Hochberg step at level ``q`` keeps among ``tested`` runs; one beyond all if none."""
+    above = counts[::-1].cumsum()[::-1]
+    bins = np.arange(len(counts))
+    kept = np.flatnonzero((above > 0) & (tested * 10.0 ** (-bins / 10) <= q * above))
+    return int(kept[0]) if len(kept) else len(counts)
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the base patterns, by start, then kind as listed."""
     found = [(m.start(), 0, m.end(), "assign") for m in _ASSIGN.finditer(text) if len(m[2]) >= 6] if "=" in text or ":" in text else []
@@ -155,8 +171,7 @@ def candidates(text: str) -> list[dict]:
             continue  # the null is text: what it tells of a number is only that it isn't text
         got = judge(run)
         if got:
-            p = got[1]
-            out.append({"start": m.start(), "end": m.end(), "enc": ENCODINGS[got[0]][0], "band": sum(len(run) >= b for b in BANDS), "bin": min(BINS, int(-10 * math.log10(max(p, 1e-30))))})
+            out.append({"start": m.start(), "end": m.end(), "enc": ENCODINGS[got[0]][0], "band": sum(len(run) >= b for b in BANDS), "bin": bin_of(got[1])})
     return out
 
 
@@ -189,12 +204,7 @@ def cutoffs(scanned: DataFrame, q: float) -> list[int]:
     counts = np.zeros((bands, BINS + 1))
     for band, bin_, n in hist:
         counts[band, bin_] = n
-    out = []
-    for b in range(bands):
-        above = counts[b, ::-1].cumsum()[::-1]
-        ok = [k for k in range(BINS + 1) if above[k] and (tested[b] or 0) * 10 ** (-k / 10) <= q * above[k]]
-        out.append(min(ok, default=BINS + 1))
-    return out
+    return [least_bin(tested[b] or 0, counts[b], q) for b in range(bands)]
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: float = Q) -> DataFrame:

@@ -1,7 +1,9 @@
+import math
 import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 
 from quire.llm import decontaminate as D
@@ -128,6 +130,41 @@ def test_random_keys_are_found_and_words_are_not(spark):
     assert X.find_secrets(frame(spark, [], "doc_id bigint, text string")).collect() == []
 
 
+def benjamini_hochberg(ps, q):
+    """The definition: how many of the least chances are kept."""
+    ps = sorted(ps)
+    return max((k + 1 for k, p in enumerate(ps) if p <= q * (k + 1) / len(ps)), default=0)
+
+
+def test_few_keys_among_very_many_runs_are_kept():
+    # sf tables hold few runs, so the counts are given: a band of a million tested runs, or of 10^8, and ten keys
+    for tested in (10**6, 10**8):
+        counts = np.zeros(X.BINS + 1)
+        keys = [X.bin_of(X.judge(k)[1]) for k in ("q7Rk2ZpX9vLm4TsW8yBn", "Zx81kQw0PvN5rT3mY7uJ", "9fK2Lm8Qw3Xz7Vb1Nc6R", "T4yU8iO2pA6sD0fG3hJ9", "mN5bV1cX7zL3kJ9hG2fD")] * 2
+        for k in keys:
+            counts[max(k, 150)] += 1
+        counts[:30] = tested / 10 ** (np.arange(30) / 10) / 5  # text: as rare as its chance says
+        least = X.least_bin(tested, counts, X.Q)
+        assert 30 <= least <= 150 and counts[least:].sum() == 10
+
+
+def test_the_step_equals_its_definition_and_bounds_false_discoveries():
+    rng = np.random.default_rng(11)
+    shares = []
+    for _ in range(150):
+        log_p = np.concatenate([np.log(rng.random(4000)), -rng.uniform(9, 90, rng.integers(0, 60))])
+        bins = np.array([X.bin_of(v) for v in log_p])
+        least = X.least_bin(len(bins), np.bincount(bins, minlength=X.BINS + 1), 0.05)
+        assert (bins >= least).sum() == benjamini_hochberg(10.0 ** (-bins / 10), 0.05)
+        shares.append((bins[:4000] >= least).sum() / max(1, (bins >= least).sum()))
+    assert np.mean(shares) <= 0.05 + 2 * np.std(shares) / len(shares) ** 0.5  # the step holds the mean share of false ones
+
+
+def test_chances_far_below_a_double_have_an_order():
+    assert X.fisher([1e-300] * 3) < X.fisher([1e-300] * 2) < X.fisher([1e-200]) < math.log(1e-199)
+    assert X.bin_of(-1e9) == X.BINS and X.bin_of(0.0) == 0 and X.bin_of(math.log(1e-30)) in (299, 300)
+
+
 def test_recall_and_false_discoveries_by_encoding(spark):
     rng = random.Random(16)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
