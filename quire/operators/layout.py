@@ -108,12 +108,12 @@ def markdown(lines: DataFrame, doc: str = "doc_id") -> DataFrame:
 def escape_cell(text: Column) -> Column:
     """Text for a Markdown table cell."""
     out = F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
-    return F.regexp_replace(out, r"\r?\n", "<br>")
+    return F.trim(F.regexp_replace(out, r"\r?\n", "<br>"))
 
 
 def markdown_table(rows: Column, width: Column) -> Column:
-    """A table from an array of rows, each an array of cells; short rows are filled up."""
-    line = lambda cells: F.concat(F.lit("| "), F.array_join(F.slice(F.concat(F.transform(cells, escape_cell), F.array_repeat(F.lit(""), width)), F.lit(1), width), " | "), F.lit(" |"))
-    rule = F.concat(F.lit("|"), F.array_join(F.array_repeat(F.lit("---|"), width), ""))
-    text = F.transform(rows, line)
-    return F.array_join(F.concat(F.slice(text, 1, 1), F.array(rule), F.slice(text, F.lit(2), F.greatest(F.lit(0), F.size(text) - 1))), "\n")
+    """A table from an array of rows, each an array of cells, the first as its head; short rows are filled up."""
+    line = lambda cells: F.concat(F.lit("| "), F.array_join(cells, " | "), F.lit(" |"))
+    full = F.transform(rows, lambda r: line(F.transform(F.slice(F.concat(r, F.array_repeat(F.lit(""), width)), F.lit(1), width), escape_cell)))
+    rule = line(F.array_repeat(F.lit("---"), width))
+    return F.array_join(F.concat(F.slice(full, 1, 1), F.array(rule), F.slice(full, F.lit(2), F.greatest(F.lit(0), F.size(full) - 1))), "\n")

@@ -270,7 +270,7 @@ def test_html_rows(spark):
 
 def test_markdown_table(spark):
     df = frame(spark, [([["a|b", "c"], ["d"]],)], "rows array<array<string>>")
-    assert df.select(layout.markdown_table(F.col("rows"), F.lit(2)).alias("t")).first()["t"] == "| a\\|b | c |\n|---|---|\n| d |  |"
+    assert df.select(layout.markdown_table(F.col("rows"), F.lit(2)).alias("t")).first()["t"] == "| a\\|b | c |\n| --- | --- |\n| d |  |"
 
 
 def test_scales_round_half_to_even(spark):
