@@ -29,7 +29,9 @@ from quire.llm.common import cut_lineage, materialise
 
 MIN_COUNT, WORDS, TOP = 100, 5, 2000
 #: Positions of a shard, and bytes of bitmaps that are joined at a time.
-SHARD, TILES = 3_000_000, 1 << 16
+SHARD, TILES = 2_000_000, 1 << 13
+#: Counts of a shard that are held before they are summed, as long as they are more than the sums.
+SUMMED = 500_000
 #: Counted phrases that meet in one bucket, about.
 BUCKET = 1_000_000
 
@@ -82,7 +84,7 @@ def extend(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             hit = np.flatnonzero(both)
             keys.append(phrase[mine][left[hit]].astype(np.uint64) << np.uint64(32) | phrase[right[hit]].astype(np.uint64))
             counts.append(np.bitwise_count(both[hit]).astype(np.int64))
-        if len(keys) > 32:
+        if sum(map(len, keys[1:])) > max(SUMMED, len(keys[0])):
             keys, counts = ([x] for x in _sum(np.concatenate(keys), np.concatenate(counts)))
     return _sum(np.concatenate(keys), np.concatenate(counts)) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
@@ -99,10 +101,12 @@ def next_ends(ends: np.ndarray, keys: np.ndarray, numbers: np.ndarray) -> np.nda
     out = np.full(len(ends), NONE)
     if len(keys) and len(ends) > 1:
         both = np.flatnonzero((ends[1:] != NONE) & (ends[:-1] != NONE)) + 1
-        key = ends[both - 1].astype(np.uint64) << np.uint64(32) | ends[both].astype(np.uint64)
-        place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        hit = keys[place] == key
-        out[both[hit]] = numbers[place[hit]]
+        for a in range(0, len(both), SUMMED):
+            at = both[a : a + SUMMED]
+            key = ends[at - 1].astype(np.uint64) << np.uint64(32) | ends[at].astype(np.uint64)
+            place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            hit = keys[place] == key
+            out[at[hit]] = numbers[place[hit]]
     return out
 
 

@@ -51,6 +51,7 @@ def test_agrees_with_the_definition(spark, seed, least, top, monkeypatch):
     if seed == 2:  # many shards, and bitmaps in many ranges
         monkeypatch.setattr(P, "SHARD", 90)
         monkeypatch.setattr(P, "TILES", 3)
+        monkeypatch.setattr(P, "SUMMED", 5)
     rows = corpus(seed)
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id bigint, text string, lang string, rank int, words string").repartition(3)
     assert sorted(map(tuple, P.mine_phrases(df, min_count=least, top=top).collect())) == brute(rows, least, top)
