@@ -1,9 +1,12 @@
 """How far the sources of a language differ in their terms, by mergeable radix tries.
 
 Partitions count terms in byte tries whose leaves have a counter per source and the number of
-documents. A trie travels as its leaves in byte order, front-coded, cut at prefixes; the tries of a
-prefix range are merged node by node. What is left, the kept terms, is walked in UTF-8 order: blocks of
-terms give sums for every pair of sources, and the candidates of a source in the order of ties.
+documents. There a trie is an array in preorder: its leaves in byte order, each with the depth at which
+it leaves the path of the one before and the bytes from there on. It is cut at prefixes; the tries of a
+prefix range become nodes and are merged node by node. What is left, the kept terms, is walked in
+UTF-8 order: blocks of terms give sums for every pair of sources, and the candidates of a source in the
+order of ties. Before nodes are made, sums of document counts by a hash sort out leaves that can't
+reach the least number of documents together.
 """
 
 from __future__ import annotations
@@ -11,6 +14,8 @@ from __future__ import annotations
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import repeat
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -20,10 +25,10 @@ from pyspark.sql import functions as F
 from quire.llm.common import cut_lineage, materialise
 
 MIN_DOCS, TOP, SCALE = 10, 10, 1_000_000_000
-#: Different terms, and terms of one language, that are held before they go into the trie; leaves of a trie before it is sent.
-BUFFER, TOKENS, LEAVES = 400_000, 4_000_000, 400_000
+#: Different terms, and terms of one language, that a trie is made of at a time.
+BUFFER, TOKENS = 400_000, 4_000_000
 #: Leading bytes by which a trie is cut; ranges of more leaves are cut deeper.
-PREFIX, RANGE = 2, 200_000
+PREFIX, RANGE = 2, 1_000_000
 #: Counters of a block: terms times sources.
 BLOCK = 1 << 18
 
@@ -157,8 +162,8 @@ def _add_counts(into: dict, counts: dict) -> None:
 # ---------------------------------------------------------------- rows
 
 
-#: A cut trie: leaves in byte order as prefix in common with the one before, length of the rest, the rest; documents, sources of each leaf, then their numbers in ``sources`` and counts.
-TRIE = "lang string, prefix binary, n bigint, common binary, size binary, rest binary, docs binary, width binary, source binary, count binary, sources array<string>"
+#: A cut trie: leaves in byte order as prefix in common with the one before, length of the rest, the rest; documents, sources of each leaf, then their numbers in ``sources`` and counts; ``check`` has a hash of each leaf.
+TRIE = "lang string, prefix binary, n bigint, check binary, common binary, size binary, rest binary, docs binary, width binary, source binary, count binary, sources array<string>"
 _KINDS = {"lang": pa.string(), "n": pa.int64(), "sources": pa.list_(pa.string()), "sums": pa.list_(pa.int64())}
 
 
@@ -174,17 +179,17 @@ def encode(lang: str, prefix: bytes, leaves: list[tuple[int, bytes, int, dict]])
     numbers: dict[str, int] = {}
     source = [numbers.setdefault(s, len(numbers)) for *_, counts in leaves for s in counts]
     u4, i8 = (lambda x: np.array(x, np.uint32).tobytes()), (lambda x: np.array(x, np.int64).tobytes())
-    out = {"lang": lang, "prefix": prefix, "n": len(leaves), "common": u4(common), "size": u4(list(map(len, rest))), "rest": b"".join(rest), "docs": i8([d for _, _, d, _ in leaves])}
+    out = {"lang": lang, "prefix": prefix, "n": len(leaves), "check": u4([crc32(term) for _, term, _, _ in leaves]), "common": u4(common), "size": u4(list(map(len, rest))), "rest": b"".join(rest), "docs": i8([d for _, _, d, _ in leaves])}
     return out | {"width": u4([len(c) for *_, c in leaves]), "source": u4(source), "count": i8([n for *_, c in leaves for n in c.values()]), "sources": list(numbers)}
 
 
-def coded(row: dict) -> Iterator[tuple[int, bytes, int, dict]]:
-    """(bytes in common with the leaf before, the rest, documents, counts) of a row."""
+def coded(row: dict, wanted: list[bool] | None = None) -> Iterator[tuple[int, bytes, int, dict | None]]:
+    """(bytes in common with the leaf before, the rest, documents, counts) of a row; no counts for leaves that aren't wanted."""
     common, size, width, source = (np.frombuffer(row[k], np.uint32).tolist() for k in ("common", "size", "width", "source"))
     docs, count = (np.frombuffer(row[k], np.int64).tolist() for k in ("docs", "count"))
-    named, rest, at, place = [row["sources"][i] for i in source], row["rest"], 0, 0
-    for keep, n, d, w in zip(common, size, docs, width):
-        yield keep, rest[at : at + n], d, dict(zip(named[place : place + w], count[place : place + w]))
+    names, rest, at, place = row["sources"], row["rest"], 0, 0
+    for keep, n, d, w, want in zip(common, size, docs, width, wanted or repeat(True)):
+        yield keep, rest[at : at + n], d, {names[source[i]]: count[i] for i in range(place, place + w)} if want else None
         at += n
         place += w
 
@@ -244,23 +249,35 @@ class _Texts:
         self.sizes.append(len(terms))
         self.source.append(self.sources[source])
 
-    def trie(self) -> RadixTrie:
-        ids, sizes = np.frombuffer(self.ids, np.uint32).astype(np.int64), np.array(self.sizes)
-        pairs, count = np.unique(ids * len(self.sources) + np.repeat(np.array(self.source, np.int64), sizes), return_counts=True)
-        docs = np.unique(ids * len(sizes) + np.repeat(np.arange(len(sizes)), sizes)) // max(1, len(sizes))
-        n = len(self.terms)
-        ends = np.searchsorted(pairs // max(1, len(self.sources)), np.arange(n + 1)).tolist()
-        names, count = list(self.sources), count.tolist()
-        named, docs = [names[k] for k in (pairs % max(1, len(names))).tolist()], np.bincount(docs, minlength=n).tolist()
-
-        def leaves():
-            terms = sorted(self.terms)
-            for term, common in zip(terms, _common_prefixes(terms)):
-                i = self.terms[term]
-                a, b = ends[i], ends[i + 1]
-                yield common, term[common:], docs[i], {named[a]: count[a]} if b - a == 1 else dict(zip(named[a:b], count[a:b]))
-
-        return RadixTrie.of_sorted(leaves())
+    def ranges(self, lang: str) -> Iterator[dict]:
+        """The trie of the texts in rows of ``TRIE``, cut where the first ``PREFIX`` bytes change."""
+        terms = sorted(self.terms)
+        if not terms:
+            return
+        ids, sizes, names = np.frombuffer(self.ids, np.uint32).astype(np.int64), np.array(self.sizes), list(self.sources)
+        pairs, count = np.unique(ids * len(names) + np.repeat(np.array(self.source, np.int64), sizes), return_counts=True)
+        docs = np.bincount(np.unique(ids * len(sizes) + np.repeat(np.arange(len(sizes)), sizes)) // len(sizes), minlength=len(terms))
+        order = np.fromiter(map(self.terms.__getitem__, terms), np.int64, len(terms))
+        ends = np.searchsorted(pairs // len(names), np.arange(len(terms) + 1))
+        width = np.diff(ends)[order]
+        at = np.repeat(ends[order] - np.cumsum(width) + width, width) + np.arange(len(pairs))
+        source, count = pairs[at] % len(names), count[at]
+
+        common, size = np.array(_common_prefixes(terms), np.int64), np.fromiter(map(len, terms), np.int64, len(terms))
+        first = np.flatnonzero(common < PREFIX)
+        common[first] = 0
+        text = np.frombuffer(b"".join(terms), np.uint8)
+        depth = np.arange(len(text)) - np.repeat(np.cumsum(size) - size, size)
+        rest = text[depth >= np.repeat(common, size)]
+        size -= common
+        check = np.fromiter(map(crc32, terms), np.uint32, len(terms))
+        bytes_at, pair_at = (np.concatenate(([0], np.cumsum(x))) for x in (size, width))
+        for a, b in zip(first.tolist(), [*first[1:].tolist(), len(terms)]):
+            out = {"lang": lang, "prefix": terms[a][:PREFIX], "n": b - a, "check": check[a:b].tobytes()}
+            out |= {k: x[a:b].astype(np.uint32).tobytes() for k, x in (("common", common), ("size", size))} | {"rest": rest[bytes_at[a] : bytes_at[b]].tobytes()}
+            out |= {"docs": docs[order[a:b]].astype(np.int64).tobytes(), "width": width[a:b].astype(np.uint32).tobytes()}
+            mine = slice(pair_at[a], pair_at[b])
+            yield out | {"source": source[mine].astype(np.uint32).tobytes(), "count": count[mine].astype(np.int64).tobytes(), "sources": names}
 
 
 def _common_prefixes(terms: list[bytes], width: int = 24) -> list[int]:
@@ -277,43 +294,52 @@ def _common_prefixes(terms: list[bytes], width: int = 24) -> list[int]:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Tries of a partition, cut at prefixes."""
-    tries: dict[str, RadixTrie] = defaultdict(RadixTrie)
     texts: dict[str, _Texts] = defaultdict(_Texts)
 
-    def store():
-        for lang, held in texts.items():
-            tries[lang].merge(held.trie())
-        texts.clear()
-
     def send():
-        for lang, trie in tries.items():
-            yield from _ranges(lang, ((common, term, node.docs, node.counts) for common, term, node in trie), PREFIX)
-        tries.clear()
+        for lang in list(texts):
+            yield from texts.pop(lang).ranges(lang)
 
     def run():
-        held = stored = 0
+        held = 0
         for batch in batches:
             langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for i in range(batch.num_rows):
                 here = texts[langs[i]]
                 held -= len(here.terms)
-                terms = terms_of(batch.column(2)[i].as_py())
-                here.add(sources[i], terms)
+                here.add(sources[i], terms_of(batch.column(2)[i].as_py()))
                 held += len(here.terms)
-                tokens = len(here.ids)
-                if held >= BUFFER or tokens >= TOKENS:
-                    stored += held
+                if held >= BUFFER or len(here.ids) >= TOKENS:
                     held = 0
-                    store()
-                    if stored >= LEAVES:
-                        yield from send()
-                        stored = 0
-        store()
+                    yield from send()
         yield from send()
 
     return _in_batches(run())
 
 
+def _hopeful(rows: list[dict], min_docs: int) -> Iterator[Iterator[tuple[int, bytes, int, dict]]]:
+    """The leaves of every row, as ``coded``, without those whose hash doesn't reach ``min_docs`` in all rows together."""
+    checks = [np.frombuffer(r["check"], np.uint32) for r in rows]
+    _, number = np.unique(np.concatenate(checks), return_inverse=True)
+    docs = np.bincount(number, weights=np.concatenate([np.frombuffer(r["docs"], np.int64) for r in rows]))
+    keep, at = docs[number] >= min_docs, 0
+
+    def leaves(row, mine):
+        last, common = b"", 0
+        for (shared, rest, docs, counts), wanted in zip(coded(row, mine), mine):
+            common = min(common, shared)
+            last = last[:shared] + rest
+            if wanted:
+                yield common, last[common:], docs, counts
+                common = len(last)
+
+    for row, check in zip(rows, checks):
+        mine = keep[at : at + len(check)].tolist()
+        at += len(check)
+        if any(mine):
+            yield leaves(row, mine)
+
+
 def term_tries(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """The kept terms of every language as merged tries by prefix range (``TRIE``), with the ``sums`` of the counts by source.
 
@@ -333,8 +359,8 @@ def term_tries(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
     def merge(table: pa.Table) -> pa.Table:
         trie = RadixTrie()
-        for row in _rows(table.to_batches()):
-            trie.merge(RadixTrie.of_sorted(coded(row)))
+        for leaves in _hopeful(table.to_pylist(), min_docs):
+            trie.merge(RadixTrie.of_sorted(leaves))
         kept, common = [], 0
         for shared, term, node in trie:
             common = min(common, shared)

@@ -48,7 +48,7 @@ def brute(rows, min_docs=10):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_agrees_with_the_definition(spark, seed, monkeypatch):
     if seed == 2:  # tries are sent often, and cut deep
-        for name, value in (("BUFFER", 30), ("TOKENS", 90), ("LEAVES", 50), ("RANGE", 3), ("BLOCK", 8)):
+        for name, value in (("BUFFER", 30), ("TOKENS", 90), ("RANGE", 3), ("BLOCK", 8)):
             monkeypatch.setattr(A, name, value)
     rows = corpus(seed)
     df = spark.createDataFrame([(*r, 7) for r in rows], "doc_id bigint, text string, lang string, source string, value int").repartition(4)
