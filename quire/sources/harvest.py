@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
+#: Pages of a list that are walked unless the option ``max_pages`` says otherwise; a longer list says so in its last row.
 MAX_PAGES = 500
 
 
@@ -49,10 +50,11 @@ def parse_page(xml: bytes) -> tuple[list[tuple[str | None, str]], str | None]:
 class OaiReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.url, self.prefix, self.delay = options["url"], options.get("prefix", "oai_dc"), float(options.get("delay", "0"))
+        self.max_pages = int(options.get("max_pages", MAX_PAGES))
 
     def read(self, partition) -> Iterator[tuple]:
         token, seen = None, set()
-        for page in range(1, MAX_PAGES + 1):
+        for page in range(1, self.max_pages + 1):
             try:
                 records, token = parse_page(fetch(self.url, page, token, self.prefix))
             except (OSError, ValueError, ET.ParseError) as e:
@@ -65,7 +67,7 @@ class OaiReader(DataSourceReader):
             if not token:
                 return
             time.sleep(self.delay)
-        yield MAX_PAGES, None, None, f"more than {MAX_PAGES} pages"
+        yield self.max_pages, None, None, f"more than {self.max_pages} pages"
 
 
 class OaiSource(DataSource):
