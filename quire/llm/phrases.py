@@ -53,10 +53,9 @@ class _Numbers(dict):
 # ---------------------------------------------------------------- bitmaps
 
 
-def bitmaps(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(byte, phrase, mask) of the bytes that have a bit set, by byte; ``ends`` has the phrase that ends at a position."""
-    at = np.flatnonzero(ends != NONE)
-    key = (at.astype(np.uint64) >> np.uint64(3) << np.uint64(32)) | ends[at].astype(np.uint64)
+def bitmaps(at: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(byte, phrase, mask) of the bytes that have a bit set, by byte; ``ends`` has the phrase that ends at each position ``at``."""
+    key = (at.astype(np.uint64) >> np.uint64(3) << np.uint64(32)) | ends.astype(np.uint64)
     order = np.argsort(key, kind="stable")
     key = key[order]
     heads = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
@@ -66,9 +65,9 @@ def bitmaps(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (key >> np.uint64(32)).astype(np.int64), (key & np.uint64(NONE)).astype(np.uint32), mask
 
 
-def extend(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def extend(at: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(phrase << 32 | phrase one word later, count) of all extensions of a shard, ascending."""
-    byte, phrase, mask = bitmaps(ends)
+    byte, phrase, mask = bitmaps(at, ends)
     size = int(byte[-1]) + 2 if len(byte) else 0
     first = np.concatenate(([0], np.cumsum(np.bincount(byte, minlength=size)))) if size else np.zeros(1, np.int64)
     keys, counts = [], []
@@ -76,10 +75,10 @@ def extend(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         mine = slice(*first[[a, min(a + TILES, size)]])
         for step, moved in ((0, mask[mine] << np.uint8(1)), (1, mask[mine] >> np.uint8(7))):
             some = np.flatnonzero(moved)
-            at = byte[mine][some] + step
-            width = first[at + 1] - first[at]
+            there = byte[mine][some] + step
+            width = first[there + 1] - first[there]
             left = np.repeat(some, width)
-            right = np.arange(len(left)) + np.repeat(first[at] - np.cumsum(width) + width, width)
+            right = np.arange(len(left)) + np.repeat(first[there] - np.cumsum(width) + width, width)
             both = moved[left] & mask[right]
             hit = np.flatnonzero(both)
             keys.append(phrase[mine][left[hit]].astype(np.uint64) << np.uint64(32) | phrase[right[hit]].astype(np.uint64))
@@ -96,18 +95,18 @@ def _sum(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[heads], np.add.reduceat(counts[order], heads) if len(heads) else counts
 
 
-def next_ends(ends: np.ndarray, keys: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    """Where the phrases end that ``keys`` (ascending) name, by their ``numbers``."""
-    out = np.full(len(ends), NONE)
-    if len(keys) and len(ends) > 1:
-        both = np.flatnonzero((ends[1:] != NONE) & (ends[:-1] != NONE)) + 1
-        for a in range(0, len(both), SUMMED):
-            at = both[a : a + SUMMED]
-            key = ends[at - 1].astype(np.uint64) << np.uint64(32) | ends[at].astype(np.uint64)
-            place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            hit = keys[place] == key
-            out[at[hit]] = numbers[place[hit]]
-    return out
+def next_ends(at: np.ndarray, ends: np.ndarray, keys: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the phrases end that ``keys`` (ascending) name, and their ``numbers``."""
+    places, found = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
+    both = np.flatnonzero(at[1:] == at[:-1] + 1) + 1 if len(keys) and len(at) > 1 else np.zeros(0, np.int64)
+    for a in range(0, len(both), SUMMED):
+        here = both[a : a + SUMMED]
+        key = ends[here - 1].astype(np.uint64) << np.uint64(32) | ends[here].astype(np.uint64)
+        place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        hit = keys[place] == key
+        places.append(at[here[hit]])
+        found.append(numbers[place[hit]])
+    return np.concatenate(places), np.concatenate(found)
 
 
 # ---------------------------------------------------------------- rows
@@ -177,7 +176,7 @@ def _count_phrases(buckets: int):
 
     def run(batches):
         for row in _rows(batches):
-            keys, counts = extend(np.frombuffer(row["ends"], np.uint32))
+            keys, counts = extend(*(np.frombuffer(row[k], np.uint32) for k in ("at", "ends")))
             bucket = ((keys ^ keys >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15) >> shift).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)) if len(order) else np.zeros(0, np.int64)
@@ -274,11 +273,12 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
 
     def word_ends(batches):
         for row in _rows(batches):
-            at = np.frombuffer(row["at"], np.uint32)
+            words = np.frombuffer(row["at"], np.uint32)
             keys, numbers = _numbered(row, starts, "lang", "bucket")
-            ids = np.full(int(at.max(initial=0)) + 1, NONE)
+            ids = np.full(int(words.max(initial=0)) + 1, NONE)
             ids[keys.astype(np.int64) + 1] = numbers
-            yield _batch(shard=[row["shard"]], ends=[ids[at].tobytes()])
+            at = np.flatnonzero(ids[words] != NONE)
+            yield _batch(shard=[row["shard"]], at=[at.astype(np.uint32).tobytes()], ends=[ids[words[at]].tobytes()])
 
     def word_rows(batches):
         for row in _rows(batches):
@@ -288,7 +288,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
     counts_none = F.array().cast("array<bigint>")
     words = found.where("shard is null").select("lang", "bucket", "words", "counts").mapInArrow(word_rows, "id bigint, lang string, word string, f bigint")
     level = materialise(words.select(F.lit(1).alias("size"), "id", "lang", F.array("word").alias("words"), "f", counts_none.alias("heads"), counts_none.alias("tails"), F.lit(None).cast("bigint").alias("a"), F.lit(None).cast("bigint").alias("b")))
-    state = shards.select("shard", "at").join(_replies(found, "lang"), "shard").mapInArrow(word_ends, "shard bigint, ends binary")
+    state = shards.select("shard", "at").join(_replies(found, "lang"), "shard").mapInArrow(word_ends, "shard bigint, at binary, ends binary")
     levels = [level]
     for size in range(2, max_words + 1):
         state = materialise(state)
@@ -297,7 +297,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
         starts = _start_of(found, ["bucket"])
         level = materialise(_name(found, starts, levels[-1], size))
         levels.append(level)
-        state = state.join(_replies(found), "shard").mapInArrow(_next_state(starts), "shard bigint, ends binary")
+        state = state.join(_replies(found), "shard").mapInArrow(_next_state(starts), "shard bigint, at binary, ends binary")
     every = levels[0]
     for level in levels[1:]:
         every = every.unionByName(level)
@@ -307,7 +307,8 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
 def _next_state(starts: dict[tuple, int]):
     def run(batches):
         for row in _rows(batches):
-            yield _batch(shard=[row["shard"]], ends=[next_ends(np.frombuffer(row["ends"], np.uint32), *_numbered(row, starts, "bucket")).tobytes()])
+            at, ends = next_ends(*(np.frombuffer(row[k], np.uint32) for k in ("at", "ends")), *_numbered(row, starts, "bucket"))
+            yield _batch(shard=[row["shard"]], at=[at.tobytes()], ends=[ends.tobytes()])
 
     return run
 

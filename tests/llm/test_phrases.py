@@ -74,13 +74,14 @@ def test_shifted_bitmaps_count_neighbours():
     r = np.random.default_rng(5)
     ends = r.integers(0, 6, 5000).astype(np.uint32)
     ends[r.integers(0, 5000, 900)] = P.NONE
-    keys, counts = P.extend(ends)
+    at = np.flatnonzero(ends != P.NONE).astype(np.uint32)
+    keys, counts = P.extend(at, ends[at])
     want = Counter((int(a), int(b)) for a, b in zip(ends, ends[1:]) if P.NONE not in (a, b))
     assert {(int(k) >> 32, int(k) & 0xFFFFFFFF): int(n) for k, n in zip(keys, counts)} == want
-    after = P.next_ends(ends, keys[:3], np.array([7, 8, 9], np.uint32))
-    for i in range(1, 5000):
-        key = (int(ends[i - 1]) << 32) | int(ends[i])
-        assert after[i] == ({int(k): v for k, v in zip(keys[:3], (7, 8, 9))}.get(key, P.NONE) if P.NONE not in (ends[i - 1], ends[i]) else P.NONE)
+    places, found = P.next_ends(at, ends[at], keys[:3], np.array([7, 8, 9], np.uint32))
+    named = {int(k): v for k, v in zip(keys[:3], (7, 8, 9))}
+    after = {i: named.get((int(ends[i - 1]) << 32) | int(ends[i])) for i in range(1, 5000) if P.NONE not in (ends[i - 1], ends[i])}
+    assert dict(zip(places.tolist(), found.tolist())) == {i: v for i, v in after.items() if v}
 
 
 def test_cuts_beyond_64_bits():
