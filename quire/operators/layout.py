@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 def paragraph_groups(lines: DataFrame, page: tuple[str, ...] = ("doc_id", "page"), factor: float = 1.8) -> DataFrame:
     """``group_id`` of positioned lines: a gap above ``factor`` times the page's low gap starts a new one.
 
-    The low gap is the element at a quarter of the sorted positive gaps. Pages with fewer than two
+    Lines are taken in reading order (``row_idx``), so the columns of a page stay apart; a line that
+    stands higher than the one before has no gap. The low gap is the element at a quarter of the sorted positive gaps. Pages with fewer than two
     positioned lines, and lines without a position, have no group.
     """
     keys = list(page)
-    order = Window.partitionBy(*keys).orderBy("y0", "row_idx")
+    order = Window.partitionBy(*keys).orderBy("row_idx")
     placed = lines.where("y0 is not null").withColumn("gap", F.greatest(F.lit(0.0), F.col("y0") - F.lag("y1").over(order)))
     gaps = F.array_sort(F.collect_list(F.when(F.col("gap") > 0, F.col("gap"))))
     base = placed.groupBy(*keys).agg(F.count("*").alias("__n"), gaps.alias("__g")).select(*keys, "__n", F.get("__g", F.expr("cast(size(__g) div 4 as int)")).alias("__low"))
@@ -24,9 +25,9 @@ def paragraph_groups(lines: DataFrame, page: tuple[str, ...] = ("doc_id", "page"
 
 
 def text_blocks(lines: DataFrame, page: tuple[str, ...] = ("doc_id", "page"), factor: float = 1.4, floor: float = 3.0, size_step: float = 1.5) -> DataFrame:
-    """``block_id``: a new block after a gap above max(factor x median height, floor), or with the font size."""
+    """``block_id``: a new block after a gap above max(factor x median height, floor), or with the font size; in reading order."""
     keys = list(page)
-    order = Window.partitionBy(*keys).orderBy("y0", "row_idx")
+    order = Window.partitionBy(*keys).orderBy("row_idx")
     median = F.median(F.col("y1") - F.col("y0")).over(Window.partitionBy(*keys))
     marked = lines.withColumn("__h", median).withColumn("__gap", F.col("y0") - F.lag("y1").over(order)).withColumn("__ds", F.abs(F.col("size") - F.lag("size").over(order)))
     new = F.coalesce((F.col("__gap") > F.greatest(F.lit(factor) * F.col("__h"), F.lit(floor))) | (F.col("__ds") >= size_step), F.lit(False))

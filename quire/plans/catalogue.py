@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.functions import values as V
-from quire.operators import cues, evaluation, layout, lines, provenance, records, stratify, vocabulary
+from quire.operators import cues, evaluation, layout, lines, provenance, records, run_log, schema_gate, stratify, teitok, vocabulary
 from quire.plans import enrich
+from quire.session import checkpoint_dir
 from quire.sources import markup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,7 +180,11 @@ def page_quality(spark, sf_dir):
     return layout.page_quality(rows, ("file", "page"))
 
 
-@query()
+@query(
+    f"""WITH {_LINES}, r AS (SELECT file, row_idx, page_num, categ, trim(text) AS t FROM lines WHERE quality_score >= 0.4 AND length(trim(text)) > 0),
+m AS (SELECT *, lag(page_num) OVER (PARTITION BY file ORDER BY row_idx) IS DISTINCT FROM page_num AS turns FROM r)
+SELECT file, string_agg(CASE WHEN turns THEN '<!-- page ' || page_num || ' -->' || chr(10) || chr(10) ELSE '' END || CASE WHEN categ IN ('Header', 'Heading') THEN '## ' ELSE '' END || t, chr(10) ORDER BY row_idx) AS markdown FROM m GROUP BY file"""
+)
 def markdown_render(spark, sf_dir):
     rows = layout.readable(_lines(spark, sf_dir).withColumnRenamed("page_num", "page").withColumn("group_id", F.lit(0)), 0.4)
     return layout.markdown(rows, "file")
@@ -501,17 +507,21 @@ _STACK = "PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l
 
 @query(
     f"""WITH l AS (SELECT l_orderkey AS doc_id, row_number() OVER ({_STACK}) AS row_idx, sum(l_quantity) OVER ({_STACK} ROWS UNBOUNDED PRECEDING) AS s, l_quantity, l_tax FROM lineitem),
-p AS (SELECT doc_id, row_idx, s - l_quantity + row_idx * 2 AS y0, s + row_idx * 2 - l_tax * 100 AS y1 FROM l),
-g AS (SELECT *, greatest(0.0, y0 - lag(y1) OVER (PARTITION BY doc_id ORDER BY y0, row_idx)) AS gap FROM p),
+p AS (SELECT doc_id, row_idx, s - l_quantity + row_idx * 2 - top AS y0, s + row_idx * 2 - l_tax * 100 - top AS y1
+  FROM (SELECT *, CASE WHEN row_idx > 3 THEN max(CASE WHEN row_idx = 3 THEN s END) OVER (PARTITION BY doc_id) + 6 ELSE 0 END AS top FROM l)),
+g AS (SELECT *, greatest(0.0, y0 - lag(y1) OVER (PARTITION BY doc_id ORDER BY row_idx)) AS gap FROM p),
 b AS (SELECT doc_id, count(*) AS n, list_sort(list(gap) FILTER (gap > 0)) AS gs FROM g GROUP BY doc_id),
-r AS (SELECT doc_id, row_idx, CAST(sum(CASE WHEN coalesce(gap > 1.8 * gs[len(gs) // 4 + 1], false) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY y0, row_idx ROWS UNBOUNDED PRECEDING) AS BIGINT) AS group_id FROM g JOIN b USING (doc_id) WHERE n >= 2)
+r AS (SELECT doc_id, row_idx, CAST(sum(CASE WHEN coalesce(gap > 1.8 * gs[len(gs) // 4 + 1], false) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY row_idx ROWS UNBOUNDED PRECEDING) AS BIGINT) AS group_id FROM g JOIN b USING (doc_id) WHERE n >= 2)
 SELECT doc_id, CAST(row_idx AS INT) AS row_idx, group_id FROM p LEFT JOIN r USING (doc_id, row_idx)"""
 )
 def paragraph_groups(spark, sf_dir):
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
     total = F.sum("l_quantity").over(w.rowsBetween(Window.unboundedPreceding, 0))
     stacked = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.row_number().over(w).alias("row_idx"), total.alias("s"), "l_quantity", "l_tax")
-    rows = stacked.select("doc_id", "row_idx", (F.col("s") - F.col("l_quantity") + F.col("row_idx") * 2).alias("y0"), (F.col("s") + F.col("row_idx") * 2 - F.col("l_tax") * 100).alias("y1"))
+    # the fourth line of an order and those after it are a second column, which begins at the top again
+    third = F.max(F.when(F.col("row_idx") == 3, F.col("s"))).over(Window.partitionBy("doc_id"))
+    stacked = stacked.withColumn("top", F.when(F.col("row_idx") > 3, third + 6).otherwise(0))
+    rows = stacked.select("doc_id", "row_idx", (F.col("s") - F.col("l_quantity") + F.col("row_idx") * 2 - F.col("top")).alias("y0"), (F.col("s") + F.col("row_idx") * 2 - F.col("l_tax") * 100 - F.col("top")).alias("y1"))
     return layout.paragraph_groups(rows, ("doc_id",)).select("doc_id", "row_idx", "group_id")
 
 
@@ -735,3 +745,123 @@ def enrich_documents_lexical(spark, sf_dir):
     categories = enrich.vocabulary_categories(spark, [t for t, _ in lexicon])
     items, _ = enrich.enrich_documents(table(spark, sf_dir, "documents"), reply, categories, "doc_id")
     return items.select("doc_id", "pos", "page", "category", F.array_join("keywords_en", ",").alias("keywords_en"), "confidence")
+
+
+# records, runs, markup ------------------------------------------------------------------------
+
+_SCHEMA = {
+    "type": "object",
+    "required": ["doc_id", "text", "summary"],
+    "properties": {
+        "doc_id": {"type": "string", "pattern": "^[0-9]+$"},
+        "lang": {"enum": ["de", "en", "fr"]},
+        "source": {"type": "object", "required": ["name"], "properties": {"name": {"type": "string", "pattern": "^src[0-9]$"}}, "additionalProperties": False},
+        "n_chars": {"type": "integer", "minimum": 100, "exclusiveMaximum": 9000},
+        "lines": {"type": "array", "maxItems": 40, "items": {"$ref": "#/$defs/line"}},
+    },
+    "$defs": {"line": {"type": "object", "required": ["text"], "properties": {"text": {"type": "string", "minLength": 3}, "n": {"type": "integer", "minimum": 1}}}},
+}
+
+
+@query(
+    r"""WITH d AS (SELECT doc_id, text, lang, source, n_chars, string_split(text, chr(10)) AS l FROM documents),
+v AS (SELECT doc_id, '$.summary:required' AS violation FROM d
+UNION ALL SELECT doc_id, '$.lang:enum' FROM d WHERE lang NOT IN ('de', 'en', 'fr')
+UNION ALL SELECT doc_id, '$.source.name:pattern' FROM d WHERE NOT regexp_matches(source, '^src[0-9]$')
+UNION ALL SELECT doc_id, '$.source.n:additionalProperties' FROM d WHERE n_chars % 2 = 0
+UNION ALL SELECT doc_id, '$.n_chars:minimum' FROM d WHERE n_chars < 100
+UNION ALL SELECT doc_id, '$.n_chars:exclusiveMaximum' FROM d WHERE n_chars >= 9000
+UNION ALL SELECT doc_id, '$.n_chars:type' FROM d WHERE n_chars % 5 = 0
+UNION ALL SELECT doc_id, '$.lines:maxItems' FROM d WHERE len(l) > 40
+UNION ALL SELECT doc_id, '$.lines[' || i - 1 || '].text:minLength' FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM d) WHERE length(l[i]) < 3
+UNION ALL SELECT doc_id, '$.lines[' || i - 1 || '].n:minimum' FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM d) WHERE length(l[i]) = 0)
+SELECT doc_id, violation FROM v"""
+)
+def schema_violations(spark, sf_dir):
+    """Documents as nested JSON records against a schema with references and nested arrays."""
+    docs = table(spark, sf_dir, "documents")
+    line = F.transform(F.split("text", "\n"), lambda t: F.struct(t.alias("text"), F.length(t).alias("n")))
+    source = F.when(F.col("n_chars") % 2 == 0, F.to_json(F.struct(F.col("source").alias("name"), F.lit(1).alias("n")))).otherwise(F.to_json(F.struct(F.col("source").alias("name"))))
+    n = F.when(F.col("n_chars") % 5 == 0, F.concat(F.col("n_chars").cast("string"), F.lit(".5"))).otherwise(F.col("n_chars").cast("string"))
+    quoted = F.to_json(F.struct(F.col("doc_id").cast("string").alias("doc_id"), "text", "lang", line.alias("lines")))
+    record = F.concat(F.substr(quoted, F.lit(1), F.length(quoted) - 1), F.lit(',"source":'), source, F.lit(',"n_chars":'), n, F.lit("}"))
+    broken = schema_gate.schema_violations(_SCHEMA, F.parse_json(record))
+    return docs.select("doc_id", F.explode(broken).alias("violation"))
+
+
+@query(
+    """WITH e AS (SELECT 'skip' AS kind, 'short' AS name, count(*) AS n FROM documents WHERE n_chars < 500
+UNION ALL SELECT 'output', lang, count(*) FROM documents WHERE n_chars >= 500 GROUP BY lang
+UNION ALL SELECT 'output', 'long', count(*) FROM documents WHERE n_chars >= 3000
+UNION ALL SELECT 'total', 'processed', count(*) FROM documents WHERE n_chars >= 500
+UNION ALL SELECT 'total', 'inputs', count(*) FROM documents)
+SELECT kind, name, n FROM e WHERE n > 0"""
+)
+def run_log_totals(spark, sf_dir):
+    """A run of one step for each language, broken off after the second and opened again, summed up from its events."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents")
+    long = F.col("n_chars") >= 500
+    log = run_log.RunLog(spark, f"{folder}/log", "catalogue", {"least": 500})
+    langs = sorted(r[0] for r in docs.select("lang").distinct().collect())
+    for k, lang in enumerate(langs):
+        log = run_log.RunLog.of_state(spark, log.state()) if k == 2 else log
+        for _ in range(1 + (k == 1)):  # the second is asked for twice and written once
+            log.write(lang, lambda lang=lang: docs.where(F.col("lang") == lang), f"{folder}/{lang}", {lang: long, "long": F.col("n_chars") >= 3000}, documents=long, skipped=~long, file="doc_id", reason=F.lit("short"))
+    events = log.own_events()
+    parts = events.where("kind in ('skip', 'output')").groupBy("kind", F.when(F.col("kind") == "skip", F.col("value")).otherwise(F.col("name")).alias("name")).agg(F.sum("n").alias("n"))
+    total = log.statistics().select(F.lit("total").alias("kind"), F.inline(F.array(F.struct(F.lit("processed").alias("name"), F.col("processed").alias("n")), F.struct(F.lit("inputs").alias("name"), F.col("inputs").alias("n")))))
+    return parts.unionByName(total).where("n > 0")
+
+
+_TOKENS = r"""l AS (SELECT doc_id, unnest(range(0, len(s))) AS sent, unnest(s) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)),
+t AS (SELECT doc_id, sent, list_filter(string_split(line, ' '), lambda w: w <> '') AS w FROM l),
+s AS (SELECT doc_id, sent, sent // 5 + 1 AS page, 'b' || sent // 2 AS block, w FROM t WHERE len(w) > 0),
+o AS (SELECT *, lag(page, 1, 0) OVER (PARTITION BY doc_id ORDER BY sent) AS before, lag(block) OVER (PARTITION BY doc_id ORDER BY sent) AS last FROM s)"""
+
+
+@query(
+    f"""WITH {_TOKENS} SELECT doc_id, CAST(sum(len(w)) AS BIGINT) AS n_tok, count(*) AS n_s, count(*) AS n_lb, count(*) FILTER (page <> before) AS n_pb, count(*) FILTER (page <> before OR block IS DISTINCT FROM last) AS n_div,
+  CAST(sum((len(w) + 3) // 4) AS BIGINT) AS n_name, CAST(sum(list_sum([length(x) for x in w])) AS BIGINT) AS n_form_chars FROM o GROUP BY doc_id"""
+)
+def teitok_documents(spark, sf_dir):
+    """Documents written as TEITOK XML and read back: a sentence a line, five to a page, a name of up to two words in every four."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), F.posexplode(F.split("text", "\n")).alias("sent", "line"))
+    words = F.filter(F.split("line", " "), lambda w: w != "")
+    k = F.col("tok") % 4
+    tokens = docs.select("doc", "sent", (F.floor(F.col("sent") / 5) + 1).cast("int").alias("page_num"), F.concat(F.lit("b"), F.floor(F.col("sent") / 2).cast("string")).alias("block_id"), F.concat(F.lit("l"), F.col("sent").cast("string")).alias("line_id"), F.posexplode(words).alias("tok", "form"))
+    xml = teitok.write_teitok(tokens.withColumn("ner", F.when(k == 0, "B-gu").when(k == 1, "I-gu").otherwise("O")))
+    n = lambda tag: F.regexp_count("xml", F.lit(f"<{tag}[ >]")).cast("bigint").alias(f"n_{tag}")
+    forms = F.regexp_extract_all("xml", F.lit("<tok[^>]*>([^<]*)</tok>"), F.lit(1))
+    plain = lambda f: F.replace(F.replace(F.replace(F.replace(f, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&quot;"), F.lit('"')), F.lit("&amp;"), F.lit("&"))
+    chars = F.aggregate(forms, F.lit(0).cast("bigint"), lambda a, f: a + F.length(plain(f)))
+    return xml.select(F.col("doc").alias("doc_id"), *map(n, ("tok", "s", "lb", "pb", "div", "name")), chars.alias("n_form_chars"))
+
+
+@query(
+    r"""WITH t AS (SELECT conv_id, turn, role, trim(regexp_replace(regexp_replace(text, '[^\x00-\x7F]', '#', 'g'), '\s+', ' ', 'g')) AS x FROM conversations),
+g AS (SELECT conv_id, turn, x AS ref FROM t WHERE role = 'user'), m AS (SELECT unnest(['assistant', 'none']) AS model),
+p AS (SELECT 'assistant' AS model, conv_id, turn - 1 AS turn, x AS hyp FROM t WHERE role = 'assistant'),
+s AS (SELECT m.model, CASE WHEN g.turn % 4 = 0 THEN 'early' ELSE 'late' END AS tier, ref, hyp FROM g CROSS JOIN m LEFT JOIN p ON p.model = m.model AND p.conv_id = g.conv_id AND p.turn = g.turn),
+d AS (SELECT model, tier, hyp IS NULL AS missing, levenshtein(ref, hyp) AS e, length(ref) AS r, length(hyp) AS h FROM s),
+c AS (SELECT model, tier, missing, CASE WHEN missing THEN NULL WHEN r = 0 THEN CASE WHEN h = 0 THEN 0.0 ELSE 1.0 END ELSE e / r END AS cer, CASE WHEN missing THEN NULL WHEN greatest(r, h) = 0 THEN 0.0 ELSE e / greatest(r, h) END AS ned FROM d),
+a AS (SELECT model, coalesce(tier, 'overall') AS tier, count(*) AS n_pages, avg(cer) AS cer, avg(ned) AS ned FROM c WHERE cer IS NOT NULL GROUP BY GROUPING SETS ((model, tier), (model))),
+n AS (SELECT model, count(*) FILTER (missing) AS n_missing FROM c GROUP BY model),
+o AS (SELECT model, tier FROM a UNION SELECT model, 'overall' FROM m)
+SELECT o.model, o.tier, coalesce(n_pages, 0) AS n_pages, round(cer, 9) AS cer, round(ned, 9) AS ned, CASE WHEN o.tier = 'overall' THEN coalesce(n_missing, 0) END AS n_missing
+FROM o LEFT JOIN a ON a.model = o.model AND a.tier = o.tier LEFT JOIN n ON n.model = o.model"""
+)
+def scored_pages(spark, sf_dir):
+    """Pages scored from their texts to the corpus: gold and predicted texts, a model without predictions, missing pages.
+
+    Letters beyond ASCII are one sign here, as the SQL engine counts distances in bytes.
+    """
+    sign = F.regexp_replace("text", r"[^\x00-\x7F]", "#").alias("text")
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("file"), "turn", "role", sign)
+    gold = turns.where("role = 'user'").select("file", F.col("turn").alias("page_num"), "text")
+    manifest = gold.select("file", "page_num", F.when(F.col("page_num") % 4 == 0, "early").otherwise("late").alias("tier"))
+    predicted = turns.where("role = 'assistant'").select(F.lit("assistant").alias("model"), "file", (F.col("turn") - 1).alias("page_num"), "text")
+    models = spark.createDataFrame([("assistant",), ("none",)], "model string")
+    scored = evaluation.score_pages(manifest, gold, predicted, models)
+    out = evaluation.with_idle_models(evaluation.corpus_scores(scored), models, scored)
+    return out.select("model", "tier", F.col("n_pages").cast("bigint").alias("n_pages"), F.round("cer", 9).alias("cer"), F.round("ned", 9).alias("ned"), "n_missing")
