@@ -14,6 +14,7 @@ import os
 import re
 import zlib
 from array import array
+from collections import deque
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -166,18 +167,37 @@ def pack_documents(docs: Iterator[tuple[object, bytes]], window: int = WINDOW) -
             full = packer.place((doc, ids, whole), n - whole)
             if full:
                 yield from emit(full)
-    queue = [(piece, size) for held in packer.rest() for piece, size in held]
-    left = sum(size for _, size in queue)
-    targets = [window] * (left // window) + powers(left % window)
-    current, room, targets = [], targets[0] if targets else 0, targets[1:]
-    for (doc, ids, start), size in queue:
-        while size:
+    # windows still open keep what they hold; the emptiest are taken apart to fill up the fullest
+    opened, spare = list(packer.rest()), deque()
+    at, end = 0, len(opened)
+    while at < end:
+        held = opened[at]
+        room = window - sum(size for _, size in held)
+        while room and (spare or end > at + 1):
+            if not spare:
+                end -= 1
+                spare.extend(opened[end])
+            (doc, ids, start), size = spare.popleft()
             take = min(size, room)
-            current.append(((doc, ids, start), take))
-            start, size, room = start + take, size - take, room - take
-            if not room:
-                yield from emit(current)
-                current, room, targets = [], targets[0] if targets else 0, targets[1:]
+            held.append(((doc, ids, start), take))
+            room -= take
+            if take < size:
+                spare.appendleft(((doc, ids, start + take), size - take))
+        at += 1
+        if room:
+            spare.extendleft(reversed(held))
+        else:
+            yield from emit(held)
+    for target in powers(sum(size for _, size in spare)):
+        held, room = [], target
+        while room:
+            (doc, ids, start), size = spare.popleft()
+            take = min(size, room)
+            held.append(((doc, ids, start), take))
+            room -= take
+            if take < size:
+                spare.appendleft(((doc, ids, start + take), size - take))
+        yield from emit(held)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = END_ID) -> DataFrame:

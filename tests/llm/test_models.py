@@ -68,6 +68,22 @@ def test_sum_of_squares_takes_the_cheapest_level():
         assert int((packer.count[1:16] ** 2).sum()) == min(map(cost, options))
 
 
+def test_open_windows_keep_what_was_placed_in_them():
+    r = random.Random(6)
+    docs = [(i, bytes(4 * r.randint(1, 99))) for i in range(700)]
+    packer = P.SumOfSquares(100)
+    placed = [full for d, ids in docs if (full := packer.place((d, ids, 0), len(ids) // 4))]
+    opened = list(packer.rest())
+    sequences = {}
+    for doc, _, _, _, sequence, _ in P.pack_documents(iter(docs), 100):
+        sequences.setdefault(sequence, []).append(doc)
+    got = [set(s) for s in sequences.values()]
+    assert all({p[0] for p, _ in held} in got for held in placed)  # as the level array filled them
+    kept = sum(any({p[0] for p, _ in held} <= s for s in got) for held in opened)
+    tokens = sum(size for held in opened for _, size in held)
+    assert kept >= tokens // 100 - 1  # no more are taken apart than their tokens demand
+
+
 def test_pack_rows(spark):
     rows = [(1, "a small text"), (2, None), (3, ""), (4, "long words " * 3000), (None, "x"), (1, "a small text")]
     df = frame(spark, rows, "doc_id bigint, text string")
