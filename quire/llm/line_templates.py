@@ -152,7 +152,10 @@ _TWO_DOCUMENTS = "lo <> hi or hlo <> hhi or (lo is not null and hlo is not null)
 
 
 def recurring(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``r1``, ``r2`` and ``dropped``: places of units of recurring templates, outside their first document."""
+    """``r1``, ``r2`` and ``dropped``: by line, in order, the units of it that are of recurring templates, outside their first document.
+
+    A unit is the ``line`` itself (0 in ``js``) or a sentence of it (from 1).
+    """
     units = materialise(parse(docs, id_col, text_col).withColumn("short", F.col("n") < SHORT).drop("n"))
     nameless = F.when(F.col("id").isNull(), F.col("r1"))
     each = units.select("s1", "s2", "short", "leaf", F.lit(1).alias("c"), F.col("id").alias("lo"), F.col("id").alias("hi"), nameless.alias("hlo"), nameless.alias("hhi"))
@@ -177,7 +180,9 @@ def recurring(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     # a join of its own, so that Spark may split a template that many documents share
     found = in_bitmap(drop, "s1", units.select("r1", "r2", "id", "at", "s1", "s2")).join(drop, ["s1", "s2"])
     later = F.when(F.col("lo").isNotNull(), F.col("id").isNull() | (F.col("id") != F.col("lo"))).otherwise(F.col("r1") != F.col("hlo"))
-    return cut_lineage(found.where(later).groupBy("r1", "r2").agg(F.collect_set("at").alias("dropped")))
+    line, j = F.floor(F.col("at") / _LINE).alias("line"), F.col("at") % _LINE
+    by_line = found.where(later).groupBy("r1", "r2", line).agg(F.collect_set(j).alias("js"))
+    return cut_lineage(by_line.groupBy("r1", "r2").agg(F.array_sort(F.collect_list(F.struct("line", "js"))).alias("dropped")))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = True) -> DataFrame:
@@ -200,27 +205,30 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     r1, r2 = row_key(sid, text)
     rows = slots.withColumns({"r1": r1, "r2": r2})
     # documents that certainly keep all their lines are not moved
-    whole = in_bitmap(found, "r1", rows, within=False).withColumn("dropped", F.lit(None).cast("array<bigint>"))
+    whole = in_bitmap(found, "r1", rows, within=False).withColumn("dropped", F.lit(None).cast(found.schema["dropped"].dataType))
     both = in_bitmap(found, "r1", rows).join(found, ["r1", "r2"], "left").unionByName(whole)
-    lines = F.split(F.col(text), "\n")
-    gone = lambda i, j: F.array_contains("dropped", i.cast("bigint") * _LINE + j)
+    both = both.withColumn("lines", F.split(F.col(text), "\n"))
 
-    def left_of(line, i):
-        cut = F.filter(sentences(F.regexp_replace(line, r"[\x20\x09-\x0D]+$", "")), lambda _, j: ~gone(i, j + 1))
-        touched = F.exists("dropped", lambda at: (at >= i.cast("bigint") * _LINE) & (at < (i.cast("bigint") + 1) * _LINE))
+    def edited(line, js):
+        cut = F.filter(sentences(F.regexp_replace(line, r"[\x20\x09-\x0D]+$", "")), lambda _, j: ~F.array_contains(js, (j + 1).cast("bigint")))
         # null: nothing stays
-        return F.when(~touched, line).when(~gone(i, F.lit(0)) & (F.size(cut) > 0), F.array_join(cut, " "))
-
-    left = F.when(F.col("dropped").isNotNull(), F.transform(lines, left_of))
+        return F.when(~F.array_contains(js, F.lit(0).cast("bigint")) & (F.size(cut) > 0), F.array_join(cut, " "))
+
+    # the stretches of lines between those that lose something are copied, so the work grows with the lines
+    number = lambda e: e["line"].cast("int")
+    after = lambda e: F.coalesce(number(e) + 1, F.lit(0))
+    piece = lambda e, t: F.concat(F.slice("lines", after(F.get("dropped", t - 1)) + 1, number(e) - after(F.get("dropped", t - 1))), F.array(edited(F.get("lines", number(e)), e["js"])))
+    last = after(F.element_at("dropped", -1))
+    tail = F.slice("lines", last + 1, F.size("lines") - last)
+    left = F.when(F.col("dropped").isNotNull(), F.concat(F.flatten(F.transform("dropped", piece)), tail))
     judged = both.withColumn("left", left)
     stays = F.filter("left", lambda x: x.isNotNull())
     out = {text: F.when(F.col("dropped").isNull(), F.col(text)).otherwise(F.array_join(stays, "\n"))}
     if counts:
         n_gone = F.coalesce(F.size("left") - F.size(stays), F.lit(0)).cast("bigint")
-        in_gone = lambda at: F.get(F.col("left"), F.floor(at / _LINE).cast("int")).isNull()
-        n_cut = F.size(F.filter("dropped", lambda at: ~in_gone(at)))
+        n_cut = F.aggregate("dropped", F.lit(0), lambda n, e: n + F.when(F.get("left", number(e)).isNull(), 0).otherwise(F.size(e["js"])))
         out |= {
-            "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("bigint"),
+            "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size("lines")).cast("bigint"),
             "n_dropped": F.when(F.col("dropped").isNull(), 0).otherwise(n_gone).cast("bigint"),
             "n_cut": F.when(F.col("dropped").isNull(), 0).otherwise(n_cut).cast("bigint"),
         }

@@ -212,3 +212,16 @@ def test_bitmap_filter_keeps_every_wanted_row(spark):
     got = {r["id"] for r in L.in_bitmap(keys, "leaf", rows).collect()}
     assert got >= set(range(-500, 500, 7)) and len(got) < 200
     assert {r["id"] for r in L.in_bitmap(keys, "leaf", rows, within=False).collect()} == set(range(-500, 500)) - got
+
+
+def test_long_documents_are_edited_in_time_that_grows_with_their_lines(spark):
+    import time
+
+    words = ["".join(chr(97 + (i * 7 + k * 3) % 26) for k in range(5)) + str(i) for i in range(12)]
+    line = lambda i: " ".join(f"{w}{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}" for w in words)
+    rows = [(k, "\n".join(["own words of text number %d only" % k, *map(line, range(12_000)), "tail"])) for k in (1, 2)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    start = time.time()
+    got = {r["doc_id"]: r for r in L.dedup_lines(df).collect()}
+    assert got[1]["text"] == rows[0][1] and got[2]["text"] == rows[1][1].split("\n")[0] + "\ntail" and got[2]["n_dropped"] == 12_000
+    assert time.time() - start < 100
