@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -76,13 +77,19 @@ class Stream:
     ended: bool = False
 
 
-def parse(data: bytes) -> dict[int, Stream]:
-    """Logical streams by serial number.
+class Streams(dict):
+    """Logical streams by serial number, and the damaged pages of the file, whose serial can't be trusted."""
+
+    bad_pages = 0
+
+
+def parse(data: bytes) -> Streams:
+    """Logical streams by serial number; a stream has a page at least that is whole.
 
     A page with a wrong checksum or a cut tail is skipped and counted; the packet that it would have
     continued is dropped, and parsing goes on at the next capture pattern.
     """
-    streams: dict[int, Stream] = {}
+    streams, damaged = Streams(), Counter()
     partial: dict[int, bytearray | None] = {}
     expected: dict[int, int] = {}
     at = data.find(b"OggS")
@@ -93,11 +100,11 @@ def parse(data: bytes) -> dict[int, Stream]:
         lacing = data[at + 27 : at + 27 + n]
         size = 27 + n + sum(lacing)
         page = data[at : at + size]
-        s = streams.setdefault(serial, Stream())
         if len(lacing) < n or len(page) < size or page_crc(page[:22] + b"\0\0\0\0" + page[26:]) != crc:
-            s.bad_pages += 1
+            damaged[serial] += 1
             at = data.find(b"OggS", at + 4)
             continue
+        s = streams.setdefault(serial, Stream())
         s.pages += 1
         s.gaps += seq != expected.get(serial, seq)
         lost = seq != expected.get(serial, seq)
@@ -120,13 +127,27 @@ def parse(data: bytes) -> dict[int, Stream]:
         partial[serial] = open_packet if lacing and lacing[-1] == 255 else None
         s.ended |= bool(kind & 4)
         at = data.find(b"OggS", at + size)
+    streams.bad_pages = sum(damaged.values())
+    for serial, s in streams.items():
+        s.bad_pages = damaged[serial]
     return streams
 
 
+_SAMPLES_HEAD = b"u8pcm\0\0\1"
+
+
+def rates(streams: Streams) -> dict[int, int | None]:
+    """Granules a second of every stream: its header's, else the only one that headers of the file give, as multiplexed streams share a clock."""
+    own = {n: struct.unpack_from("<I", s.packets[0], 8)[0] or None for n, s in streams.items() if s.packets and len(s.packets[0]) >= 20 and s.packets[0].startswith(_SAMPLES_HEAD)}
+    known = {r for r in own.values() if r}
+    shared = known.pop() if len(known) == 1 else None
+    return {n: own.get(n) or shared for n in streams}
+
+
 def store(payload: bytes, rate: int = RATE, packet: int = PACKET) -> bytes:
     """``payload`` as 8-bit samples and the marks of its packets, multiplexed into one Ogg file."""
     samples, marks = StreamWriter(SAMPLES), StreamWriter(MARKS)
-    samples.packet(b"u8pcm\0\0\1" + struct.pack("<IQ", rate, len(payload)), 0)
+    samples.packet(_SAMPLES_HEAD + struct.pack("<IQ", rate, len(payload)), 0)
     marks.packet(b"crc32\0\0\1" + struct.pack("<I", packet), 0)
     out = [samples.flush(), marks.flush()]
     for start in range(0, len(payload), packet):
@@ -141,14 +162,14 @@ def load(data: bytes) -> dict:
     """The samples read back, and what the container says about them."""
     streams = parse(data)
     s, m = streams.get(SAMPLES, Stream()), streams.get(MARKS, Stream())
-    rate = struct.unpack_from("<I", s.packets[0], 8)[0] if s.packets and len(s.packets[0]) >= 20 else RATE
+    rate = rates(streams).get(SAMPLES) or RATE
     body = s.packets[1:]
     ends = [g for g in s.granules if g >= 0]
     return {
         "payload": b"".join(body),
         "packets": len(body),
         "pages": sum(x.pages for x in streams.values()),
-        "bad_pages": sum(x.bad_pages for x in streams.values()),
+        "bad_pages": streams.bad_pages,
         "streams": len(streams),
         "marks_ok": [zlib.crc32(p).to_bytes(4, "little") for p in body] == m.packets[1:],
         "rate": rate,
@@ -187,7 +208,7 @@ def to_ogg(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFram
 
 def read_ogg(df: DataFrame, keep: list[str], media_col: str = "media") -> DataFrame:
     """``keep`` and, per file of ``media_col``, one row for each logical stream's packet:
-    ``serial``, ``packet_no``, ``granule`` (null inside a page run), ``ms``, ``packet``, ``stream_bad_pages``.
+    ``serial``, ``packet_no``, ``granule`` (null inside a page run), ``ms`` (by the stream's own rate; null if none is known), ``packet``, ``stream_bad_pages``.
 
     A null or foreign file has no packets; damaged pages are skipped and counted.
     """
@@ -199,13 +220,15 @@ def read_ogg(df: DataFrame, keep: list[str], media_col: str = "media") -> DataFr
         for batch in batches:
             at, cols = [], {k: [] for k in ("serial", "packet_no", "granule", "ms", "packet", "stream_bad_pages")}
             for i, data in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
-                for serial, s in sorted(parse(data or b"").items()):
+                streams = parse(data or b"")
+                clock = rates(streams)
+                for serial, s in sorted(streams.items()):
                     for no, (packet, granule) in enumerate(zip(s.packets, s.granules)):
                         at.append(i)
                         cols["serial"].append(serial)
                         cols["packet_no"].append(no)
                         cols["granule"].append(granule if granule >= 0 else None)
-                        cols["ms"].append(granule * 1000 // RATE if granule >= 0 else None)
+                        cols["ms"].append(granule * 1000 // clock[serial] if granule >= 0 and clock[serial] else None)
                         cols["packet"].append(packet)
                         cols["stream_bad_pages"].append(s.bad_pages)
             kinds = {"packet": pa.binary()}
@@ -245,8 +268,3 @@ def media_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     schema = "n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
     return map_texts(docs, [id_col], text_col, schema, make)
-
-
-def granule_time(granule: str = "granule", rate: int = RATE):
-    """Seconds of a granule position, as a column."""
-    return F.col(granule) / F.lit(rate)

@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 from collections import defaultdict
@@ -164,6 +165,43 @@ def test_languages_are_learned(spark):
 # toxicity ----------------------------------------------------------------------------------------
 
 
+def gram_column(gram):
+    """The column of one n-gram, byte by byte."""
+    h = 1469598103934665603
+    for b in gram:
+        h = (h ^ b) * 1099511628211 % 2**64
+    h = (h ^ h >> 29 ^ len(gram)) * 0x9E3779B97F4A7C15 % 2**64
+    return h >> 64 - T.BITS
+
+
+def grams(text):
+    words = {b" " + w + b" " for w in text.lower().split()}
+    return {w[i : i + n] for w in words for n in T.SIZES for i in range(len(w) - n + 1)}
+
+
+def test_features_ratios_and_regression_equal_a_plain_version():
+    r = random.Random(8)
+    words = ["".join(r.choices("abcdé", k=r.randint(1, 5))) for _ in range(40)]
+    texts = [" ".join(r.choices(words[: 25 if i % 3 else 40], k=r.randint(0, 12))).encode() for i in range(60)]
+    labels = [int(i % 3 == 0) for i in range(60)]
+    columns = [sorted({gram_column(g) for g in grams(t)}) for t in texts]
+    assert [x.tolist() for x in T.Features().of_texts(texts)] == columns
+    # log-count ratios of columns that more than two texts have
+    count = {c: [sum(c in x for x, y in zip(columns, labels) if y == k) for k in (0, 1)] for x in columns for c in x}
+    total = [2**T.BITS + sum(n[k] for n in count.values()) for k in (0, 1)]
+    ratio = {c: math.log((n[1] + 1) / total[1]) - math.log((n[0] + 1) / total[0]) for c, n in count.items() if sum(n) > 2}
+    model = T.fit(texts, labels, rounds=4000)
+    assert set(np.flatnonzero(model.weights)) <= set(ratio)
+    # at the least penalised loss the gradient vanishes; w is the weight over the ratio
+    w = {c: float(model.weights[c]) / v for c, v in ratio.items()}
+    score = [1 / (1 + math.exp(-(model.bias + sum(w[c] * ratio[c] for c in x if c in ratio)))) for x in columns]
+    assert all(abs(model.score(np.array(x, np.int64)) - p) < 1e-4 for x, p in zip(columns, score))
+    error = [p - y for p, y in zip(score, labels)]
+    assert abs(sum(error)) < 1e-2
+    for c, v in ratio.items():
+        assert abs(v * sum(e for e, x in zip(error, columns) if c in x) + w[c]) < 2e-2
+
+
 def test_toxic_words_are_learned_and_held_out_rows_are_caught(spark):
     rng = random.Random(7)
     plain = ["river", "stone", "walks", "green", "under", "seven", "lights", "paper"]

@@ -236,3 +236,15 @@ def test_media_digests(spark):
     assert O.media_digests(frame(spark, [], "doc_id bigint, text string")).collect() == []
     packets = O.read_ogg(O.to_ogg(frame(spark, rows, "doc_id bigint, text string"), ["doc_id"]), ["doc_id"])
     assert packets.where("doc_id = 4 and serial = 1 and packet_no > 0").count() == -(-140_032 // O.PACKET)
+
+
+def test_a_damaged_page_opens_no_stream_and_clocks_are_the_files_own(spark):
+    data = bytearray(O.store(O.payload_of(b"some text " * 40), rate=100))
+    at = data.index(b"OggS", 4)
+    data[at + 14 : at + 18] = (4711).to_bytes(4, "little")  # the serial of the marks' first page
+    streams = O.parse(bytes(data))
+    assert 4711 not in streams and streams.bad_pages == 1 and O.load(bytes(data))["bad_pages"] == 1
+    df = frame(spark, [(1, bytes(O.store(O.payload_of(b"x" * 200), rate=100))), (2, b"none"), (3, None)], "id int, media binary")
+    rows = O.read_ogg(df, ["id"]).where("granule is not null").collect()
+    assert rows and all(r["id"] == 1 and r["ms"] == r["granule"] * 10 for r in rows)
+    assert O.rates(O.Streams({5: O.Stream(packets=[b"foreign"])})) == {5: None}
