@@ -29,7 +29,7 @@ from quire.llm.common import cut_lineage, materialise
 
 MIN_COUNT, WORDS, TOP = 100, 5, 2000
 #: Positions of a shard, and bytes of bitmaps that are joined at a time.
-SHARD, TILES = 2_000_000, 1 << 13
+SHARD, TILES = 1_000_000, 1 << 13
 #: Counts of a shard that are held before they are summed, as long as they are more than the sums.
 SUMMED = 500_000
 #: Counted phrases that meet in one bucket, about.
