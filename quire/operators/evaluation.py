@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import cer, ned, normalize_text, wer
+from quire.operators.stratify import TIERS
 
 
 def score_pages(manifest: DataFrame, gold: DataFrame, predictions: DataFrame, models: DataFrame) -> DataFrame:
@@ -85,20 +86,47 @@ def with_idle_models(scores: DataFrame, models: DataFrame, scored: DataFrame) ->
     return both.join(missing, "model", "left").withColumn("n_missing", F.when(F.col("tier") == "overall", F.coalesce("n_missing", F.lit(0))))
 
 
-def report(scores: list[dict], models: list[str]) -> str:
-    """A Markdown table of the overall rows, best values bold; ``scores`` is a collected aggregate, a few rows."""
-    overall = {r["model"]: r for r in scores if r["tier"] == "overall"}
+#: Metrics of a report: title, column, factor, decimals, and whether more is better.
+METRICS = (("CER (%)", "cer", 100, 2, False), ("WER (%)", "wer", 100, 2, False), ("NED", "ned", 1, 3, False))
+ENTITY = ("Entity F1", "entity_f1", 1, 2, True)
 
-    def cell(model, key, scale, digits):
-        v = overall.get(model, {}).get(key)
-        if v is None:
-            return "–"
-        best = min(r[key] for r in overall.values() if r[key] is not None)
-        text = f"{v * scale:.{digits}f}"
-        return f"**{text}**" if v == best else text
 
-    rows = [f"| {m} | {overall.get(m, {}).get('n_pages') or 0} | {cell(m, 'cer', 100, 2)} | {cell(m, 'wer', 100, 2)} | {cell(m, 'ned', 1, 3)} |" for m in models]
-    return "\n".join(["| Model | Pages | CER (%) | WER (%) | NED |", "|---|---|---|---|---|", *rows, ""])
+def with_entities(scores: DataFrame, entities: DataFrame) -> DataFrame:
+    """Scores with the columns ``entity_*`` of ``entity_scores`` of the same model and tier."""
+    named = entities.select("model", "tier", *(F.col(c).alias(f"entity_{c}") for c in ("precision", "recall", "f1", "n_ref", "n_hyp")), "n_entity_pages")
+    return scores.join(named, ["model", "tier"], "left")
+
+
+def report(scores: list[dict], models: list[str], manifest: str = "", split: str = "all", missing_gold: int = 0) -> str:
+    """The comparison as Markdown: an overall table with the best values bold, a table by tier for each metric, notes on missing pages.
+
+    ``scores``: the rows of ``with_idle_models`` (and ``with_entities``), a collected aggregate of a few
+    rows. Tiers come in canonical order; the entity column is there if any model has a value.
+    """
+    cell_of = {(r["model"], r["tier"]): r for r in scores}
+    value = lambda model, tier, key: cell_of.get((model, tier), {}).get(key)
+    table = lambda head, rows: [f"| {' | '.join(head)} |", f"| {' | '.join('-' * max(3, len(h)) for h in head)} |", *(f"| {' | '.join(r)} |" for r in rows)]
+    shown = [*METRICS, *([ENTITY] if any(value(m, "overall", ENTITY[1]) is not None for m in models) else [])]
+    best = {}
+    for _, key, _, _, more in shown:
+        found = [v for m in models if (v := value(m, "overall", key)) is not None]
+        best[key] = (max if more else min)(found) if found else None
+
+    def text(v, factor, digits, top=None):
+        out = "–" if v is None else f"{v * factor:.{digits}f}"
+        return f"**{out}**" if v is not None and v == top else out
+
+    overall = []
+    for m in models:
+        leads = value(m, "overall", "cer") is not None and value(m, "overall", "cer") == best["cer"]
+        overall.append([f"**{m}**" if leads else m, str(value(m, "overall", "n_pages") or 0), *(text(value(m, "overall", key), factor, digits, best[key]) for _, key, factor, digits, _ in shown)])
+    lines = ["# Model comparison", "", f"Manifest: `{manifest}` · Split: `{split}` · Models: {len(models)}", "", "## Overall", "", *table(["Model", "Pages", *(t for t, *_ in shown)], overall)]
+    tiers = sorted({r["tier"] for r in scores} - {"overall"}, key=lambda t: (TIERS.index(t) if t in TIERS else len(TIERS), t)) + ["overall"]
+    for title, key, factor, digits, _ in METRICS:
+        lines += ["", f"## {title} by tier", "", *table(["Model", *tiers], [[m, *(text(value(m, t, key), factor, digits) for t in tiers)] for m in models])]
+    notes = [f"> {missing_gold} page(s) missing gold transcription — excluded for all models."] if missing_gold else []
+    notes += [f"> {m}: {n} page(s) missing prediction." for m in models if (n := value(m, "overall", "n_missing"))]
+    return "\n".join([*lines, *([""] if notes else []), *notes, ""])
 
 
 def write_scores(scores: DataFrame, path: str, columns: list[str]) -> None:

@@ -155,7 +155,12 @@ def test_scores_and_idle_models(spark):
     assert got["m", "clean"]["cer"] == pytest.approx(1 / 9) and got["m", "overall"]["cer"] == pytest.approx(1 / 18)
     assert got["idle", "overall"]["n_pages"] == 0 and got["idle", "overall"]["n_missing"] == 2 and got["m", "overall"]["n_missing"] == 0
     text = evaluation.report([r.asDict() for r in got.values()], ["m", "idle"])
-    assert "| m | 2 | **5.56** |" in text and "| idle | 0 | – |" in text
+    assert "| **m** | 2 | **5.56** |" in text and "| idle | 0 | – |" in text and "Entity" not in text
+    assert "## WER (%) by tier" in text and "| Model | clean | hard | overall |" in text and "| m | 11.11 | 0.00 | 5.56 |" in text and text.endswith("\n> idle: 2 page(s) missing prediction.\n")
+    entities = frame(spark, [("m", "overall", 1, 2, 4, 3, 0.25, 0.5, 1 / 3)], "model string, tier string, tp int, n_ref int, n_hyp int, n_entity_pages int, precision double, recall double, f1 double")
+    full = evaluation.with_entities(evaluation.with_idle_models(evaluation.corpus_scores(scored), models, scored), entities)
+    text = evaluation.report([r.asDict() for r in full.collect()], ["m", "idle"], "m.csv", "test", missing_gold=3)
+    assert "| Model | Pages | CER (%) | WER (%) | NED | Entity F1 |" in text and "| **0.33** |" in text and "> 3 page(s) missing gold" in text and "Manifest: `m.csv` · Split: `test`" in text
 
 
 def test_entity_scores(spark):
