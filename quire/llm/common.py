@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.session import checkpoint_dir, cut_lineage
+from quire.session import cut_lineage, discard, materialise
 
 __all__ = ["bucket_of", "compact", "cut_lineage", "discard", "in_bitmap", "map_texts", "materialise", "table"]
 
@@ -30,23 +29,6 @@ def bucket_of(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % n
 
 
-def materialise(df: DataFrame, codec: str = "snappy") -> DataFrame:
-    """Write ``df`` as Parquet into the shared checkpoint folder and read it back."""
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/quire-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
-    kept = df.sparkSession.read.parquet(path)
-    kept.materialised_at = path
-    return kept
-
-
-def discard(*frames: DataFrame) -> None:
-    """Delete what ``materialise`` has written for ``frames``, once nothing reads them any more."""
-    for df in frames:
-        spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(df.materialised_at)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def in_bitmap(keys: DataFrame, key: str, rows: DataFrame, within: bool = True) -> DataFrame:
     """The ``rows`` whose ``key`` may be among ``keys``, by a bitmap of ``2^BITMAP`` hash bits; else the ones that can't be.
 
