@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut_lineage, materialise
+from quire.llm.common import cut_lineage, discard, materialise
 
 MIN_COUNT, WORDS, TOP = 100, 5, 2000
 #: Positions of a shard, and bytes of bitmaps that are joined at a time.
@@ -44,6 +44,17 @@ def pieces_of(text: bytes | None) -> list[bytes]:
     return list(filter(None, (text or b"").translate(_FOLD).replace(b"\n", b" \n ").split(b" ")))
 
 
+def packed(at: np.ndarray) -> bytes:
+    """Ascending positions as a bit each."""
+    bits = np.zeros(int(at[-1]) + 1 if len(at) else 0, bool)
+    bits[at] = True
+    return np.packbits(bits).tobytes()
+
+
+def unpacked(bits: bytes) -> np.ndarray:
+    return np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8))).astype(np.uint32)
+
+
 class _Numbers(dict):
     def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self)
@@ -176,13 +187,13 @@ def _count_phrases(buckets: int):
 
     def run(batches):
         for row in _rows(batches):
-            keys, counts = extend(*(np.frombuffer(row[k], np.uint32) for k in ("at", "ends")))
+            keys, counts = extend(unpacked(row["at"]), np.frombuffer(row["ends"], np.uint32))
             bucket = ((keys ^ keys >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15) >> shift).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)) if len(order) else np.zeros(0, np.int64)
             parts = np.split(order, cuts[1:]) if len(cuts) else []
             if parts:
-                yield _batch(bucket=[int(bucket[p[0]]) for p in parts], shard=[row["shard"]] * len(parts), keys=[keys[p].tobytes() for p in parts], counts=[counts[p].tobytes() for p in parts])
+                yield _batch(bucket=[int(bucket[p[0]]) for p in parts], shard=[row["shard"]] * len(parts), keys=[keys[p].tobytes() for p in parts], counts=[counts[p].astype(np.uint32).tobytes() for p in parts])
 
     return run
 
@@ -205,7 +216,7 @@ def _frequent_words(least: int):
                 for k, v in (("lang", r["lang"]), ("bucket", r["bucket"]), ("shard", r["shard"]), ("words", None)):
                     out[k].append(v)
                 out["keys"].append(np.frombuffer(r["idx"], np.uint32)[here].astype(np.uint64).tobytes())
-                out["counts"].append(np.array([rank[r["words"][i]] for i in here], np.int64).tobytes())
+                out["counts"].append(np.array([rank[r["words"][i]] for i in here], np.uint32).tobytes())
         return pa.Table.from_batches([_batch(**out)])
 
     return merge
@@ -215,14 +226,14 @@ def _frequent_phrases(least: int):
     def merge(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         keys = [np.frombuffer(r["keys"], np.uint64) for r in rows]
-        every, total = _sum(np.concatenate(keys), np.concatenate([np.frombuffer(r["counts"], np.int64) for r in rows]))
+        every, total = _sum(np.concatenate(keys), np.concatenate([np.frombuffer(r["counts"], np.uint32).astype(np.int64) for r in rows]))
         often = every[total >= least]
         out = {"bucket": [rows[0]["bucket"]], "shard": [None], "keys": [often.tobytes()], "counts": [total[total >= least].tobytes()]}
         for r, mine in zip(rows, keys):
             place = np.minimum(np.searchsorted(often, mine), max(0, len(often) - 1))
             hit = often[place] == mine if len(often) else np.zeros(len(mine), bool)
             if hit.any():
-                for k, v in (("bucket", r["bucket"]), ("shard", r["shard"]), ("keys", mine[hit].tobytes()), ("counts", place[hit].astype(np.int64).tobytes())):
+                for k, v in (("bucket", r["bucket"]), ("shard", r["shard"]), ("keys", mine[hit].tobytes()), ("counts", place[hit].astype(np.uint32).tobytes())):
                     out[k].append(v)
         return pa.Table.from_batches([_batch(**out)])
 
@@ -247,7 +258,7 @@ def _replies(found: DataFrame, *more: str) -> DataFrame:
 def _numbered(row: dict, starts: dict[tuple, int], *by: str) -> tuple[np.ndarray, np.ndarray]:
     """A shard's frequent keys, ascending, and their numbers."""
     keys = np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in row["replies"]])
-    numbers = np.concatenate([np.frombuffer(r["counts"], np.int64) + starts[tuple(r[k] for k in by)] for r in row["replies"]])
+    numbers = np.concatenate([np.frombuffer(r["counts"], np.uint32).astype(np.int64) + starts[tuple(r[k] for k in by)] for r in row["replies"]])
     order = np.argsort(keys)
     return keys[order], numbers[order].astype(np.uint32)
 
@@ -262,7 +273,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
 
     ``docs``: ``lang`` and ``text`` (binary).
     """
-    shards = materialise(docs.select("lang", "text").mapInArrow(_shards, "shard bigint, lang string, n bigint, words array<binary>, counts binary, at binary"))
+    shards = materialise(docs.select("lang", "text").mapInArrow(_shards, "shard bigint, lang string, n bigint, words array<binary>, counts binary, at binary"), "zstd")
     totals = cut_lineage(shards.groupBy("lang").agg(F.sum("n").alias("n")))
     all_words = totals.agg(F.sum("n")).first()[0] or 0
     buckets = 1 << max(6, (all_words // BUCKET).bit_length())
@@ -278,7 +289,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
             ids = np.full(int(words.max(initial=0)) + 1, NONE)
             ids[keys.astype(np.int64) + 1] = numbers
             at = np.flatnonzero(ids[words] != NONE)
-            yield _batch(shard=[row["shard"]], at=[at.astype(np.uint32).tobytes()], ends=[ids[words[at]].tobytes()])
+            yield _batch(shard=[row["shard"]], at=[packed(at)], ends=[ids[words[at]].tobytes()])
 
     def word_rows(batches):
         for row in _rows(batches):
@@ -289,15 +300,18 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
     words = found.where("shard is null").select("lang", "bucket", "words", "counts").mapInArrow(word_rows, "id bigint, lang string, word string, f bigint")
     level = materialise(words.select(F.lit(1).alias("size"), "id", "lang", F.array("word").alias("words"), "f", counts_none.alias("heads"), counts_none.alias("tails"), F.lit(None).cast("bigint").alias("a"), F.lit(None).cast("bigint").alias("b")))
     state = shards.select("shard", "at").join(_replies(found, "lang"), "shard").mapInArrow(word_ends, "shard bigint, at binary, ends binary")
-    levels = [level]
+    levels, used = [level], (shards, found)
     for size in range(2, max_words + 1):
-        state = materialise(state)
+        state = materialise(state, "zstd")
+        discard(*used)
         counted = state.mapInArrow(_count_phrases(buckets), "bucket bigint, shard bigint, keys binary, counts binary")
         found = materialise(counted.groupBy("bucket").applyInArrow(_frequent_phrases(min_count), "bucket bigint, shard bigint, keys binary, counts binary"))
         starts = _start_of(found, ["bucket"])
         level = materialise(_name(found, starts, levels[-1], size))
         levels.append(level)
+        used = (state, found)
         state = state.join(_replies(found), "shard").mapInArrow(_next_state(starts), "shard bigint, at binary, ends binary")
+    discard(*used)
     every = levels[0]
     for level in levels[1:]:
         every = every.unionByName(level)
@@ -307,8 +321,8 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
 def _next_state(starts: dict[tuple, int]):
     def run(batches):
         for row in _rows(batches):
-            at, ends = next_ends(*(np.frombuffer(row[k], np.uint32) for k in ("at", "ends")), *_numbered(row, starts, "bucket"))
-            yield _batch(shard=[row["shard"]], at=[at.tobytes()], ends=[ends.tobytes()])
+            at, ends = next_ends(unpacked(row["at"]), np.frombuffer(row["ends"], np.uint32), *_numbered(row, starts, "bucket"))
+            yield _batch(shard=[row["shard"]], at=[packed(at)], ends=[ends.tobytes()])
 
     return run
 

@@ -87,3 +87,8 @@ def test_shifted_bitmaps_count_neighbours():
 def test_cuts_beyond_64_bits():
     assert P.lowest_cut(10**15, 10**17, [10**16, 10**15], [10**15, 10**16]) == (1000 * 10**15 * 10**17 // 10**32, 10**16, 10**16)
     assert P.lowest_cut(100, 1000, [200, 100], [100, 200]) == (2500, 200, 200)
+
+
+def test_positions_as_bits():
+    for at in ([], [0], [7, 8, 20], list(range(50))):
+        assert P.unpacked(P.packed(np.array(at, np.int64))).tolist() == at
