@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 
 WINDOW = 2048
 END_ID = 1
-#: Chunks, and bytes of chunks and ids, that a worker remembers.
+#: Chunks, and bytes of chunks and ids, of a generation of what a worker remembers; there are two.
 MEMO, MEMO_BYTES = 200_000, 8_000_000
 
 _TAIL = b".,;:!?"
@@ -49,6 +49,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}  # the generation before: what is still used comes back from it
         self.held = 0
         for probe in ("It's 12 o'clock,\nél <|endoftext|> nächster\tTag 'll a", "FOO, Über?! öé:; foo.. ' x", "Ça été\x0bœuvre"):
             assert self.ids([probe.encode()])[0] == np.array(self.direct(probe), "<u4").tobytes(), "this tokenizer needs whole texts"
@@ -64,7 +65,7 @@ class Encoder:
             if not _LETTERS.fullmatch(core.decode()):
                 slow.append(c)
                 continue
-            got = memo.get(core)
+            got = memo.get(core) or self.old.get(core)
             if got is None:
                 word = core.decode().lower()
                 symbols = word if word.isascii() else "".join([_BYTE_SYMBOL[b] for b in word.encode()])
@@ -78,16 +79,18 @@ class Encoder:
                 memo[c] = np.array(e.ids, "<u4").tobytes()
 
     def ids(self, texts: list[bytes | None]) -> list[bytes]:
-        out, memo = [], self.memo
+        out = []
         for text in texts:
-            chunks = (text or b"").split()
+            memo, chunks = self.memo, (text or b"").split()
             got = list(map(memo.get, chunks))
             if None in got:
                 missing = {c for c, g in zip(chunks, got, strict=True) if g is None}
                 if len(memo) + 3 * len(missing) > MEMO or self.held > MEMO_BYTES:
-                    memo.clear()
-                    self.held, missing = 0, set(chunks)
-                self.learn(missing)
+                    self.old, self.memo, self.held, missing = memo, {}, 0, set(chunks)
+                    memo = self.memo
+                back = {c: self.old[c] for c in missing if c in self.old}
+                memo.update(back)
+                self.learn(missing - back.keys())
                 self.held += sum(len(c) + len(memo[c]) for c in missing)
                 got = [memo[c] for c in chunks]
             out.append(b"".join(got))

@@ -69,6 +69,13 @@ def test_sum_of_squares_takes_the_cheapest_level():
         assert int((packer.count[1:16] ** 2).sum()) == min(map(cost, options))
 
 
+def test_a_small_memory_changes_no_id(monkeypatch):
+    monkeypatch.setattr(P, "MEMO", 12)
+    encoder = P.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["the cat, the dog; The end.", "a Dog! the cat", "x" * 50 + " the 12 cats' ends", "", "é the über, cat dog"] * 3
+    assert encoder.ids([t.encode() for t in texts]) == [np.array(encoder.direct(t), "<u4").tobytes() for t in texts]
+
+
 def test_open_windows_keep_what_was_placed_in_them():
     r = random.Random(6)
     docs = [(i, bytes(4 * r.randint(1, 99))) for i in range(700)]
