@@ -19,7 +19,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import compact, cut_lineage, in_bitmap, map_texts, materialise
@@ -117,6 +117,8 @@ NEAR_WIDTH, NEAR = 5, 0.8
 BANDS, DEPTH = 24, 5
 #: Pairs of different groups, in proportion to a bucket's texts, up to which a bucket is compared as it is.
 CROWDED = 16
+#: Bits of the slots by which shingles are counted to put rare ones first, and texts of a block of pairs.
+SLOTS, BLOCK = 18, 4096
 #: 64-bit words of the parity marks by which most pairs are ruled out, and rows that a worker takes at a time.
 MARKS, SLICE = 16, 500
 
@@ -197,12 +199,20 @@ def _sets(texts: list[bytes]) -> dict[str, pa.Array]:
     return {"s": pa.array(made, pa.binary()), "size": pa.array([len(s) // 8 for s in made], pa.int32()), "marks": pa.array([marks(s) for s in made], pa.list_(pa.int64()))}
 
 
+def _not_ruled_out() -> Column:
+    """Whether sizes and ``marks`` of the sets ``a`` and ``b`` allow similarity ``NEAR``."""
+    apart = sum((F.bit_count(F.get("marks_a", F.lit(i)).bitwiseXOR(F.get("marks_b", F.lit(i)))) for i in range(MARKS)), F.lit(0))
+    fits = F.least("size_a", "size_b") >= NEAR * F.greatest("size_a", "size_b") - 1e-6
+    return fits & (apart <= (1 - NEAR) / (1 + NEAR) * (F.col("size_a") + F.col("size_b")) + 1e-6)
+
+
+def _end(sets: DataFrame, x: str) -> DataFrame:
+    return sets.select(F.col("t").alias(x), F.col("size").alias(f"size_{x}"), F.col("marks").alias(f"marks_{x}"))
+
+
 def may_be_near(edges: DataFrame, sets: DataFrame) -> DataFrame:
     """The edges whose sets' sizes and ``marks`` don't rule out similarity ``NEAR``; no set is moved."""
-    ends = [sets.select(F.col("t").alias(x), F.col("size").alias(f"size_{x}"), F.col("marks").alias(f"marks_{x}")) for x in "ab"]
-    both = edges.join(ends[0], "a").join(ends[1], "b")
-    apart = sum((F.bit_count(F.get("marks_a", F.lit(i)).bitwiseXOR(F.get("marks_b", F.lit(i)))) for i in range(MARKS)), F.lit(0))
-    return both.where(apart <= (1 - NEAR) / (1 + NEAR) * (F.col("size_a") + F.col("size_b")) + 1e-6).select("a", "b")
+    return edges.join(_end(sets, "a"), "a").join(_end(sets, "b"), "b").where(_not_ruled_out()).select("a", "b")
 
 
 def verified(edges: DataFrame, sets: DataFrame) -> DataFrame:
@@ -241,18 +251,60 @@ def _pairs(named: DataFrame, mixed: DataFrame) -> DataFrame:
     return left.join(right, "bucket").where("t > t2 and label <> label2").where(fits).select(F.col("t").alias("a"), F.col("t2").alias("b")).distinct()
 
 
+def _prefixes(sets: DataFrame) -> DataFrame:
+    """``bucket``, ``t``, ``size``: each set's first shingles in one order of all shingles, so many that two near sets share one.
+
+    Of sets with similarity ``NEAR``, each has at least ``NEAR`` of its shingles in common with the other,
+    so the common one that comes first is within the first ``size - ceil(NEAR size) + 1`` of both. Any
+    order will do. Rare shingles come first, as few sets share them: by the count of a slot of ``SLOTS``, then by hash.
+    """
+    slot = lambda x: (x.view(np.uint64) >> np.uint64(64 - SLOTS)).astype(np.int64)
+
+    def tallied(texts):
+        at, m = np.unique(slot(np.frombuffer(b"".join(texts), "<i8")), return_counts=True)
+        return {"at": pa.array(at), "m": pa.array(m, pa.int64())}
+
+    counts = np.zeros(1 << SLOTS, np.int64)
+    found = map_slices(sets, [], "s", "at bigint, m bigint", tallied).groupBy("at").agg(F.sum("m").alias("m")).toArrow()
+    counts[found["at"].to_numpy()] = found["m"].to_numpy()
+    order = sets.sparkSession.sparkContext.broadcast(counts)
+
+    def first(s: bytes) -> np.ndarray:
+        x = np.frombuffer(s, "<i8")
+        return x[np.lexsort((x, order.value[slot(x)]))][: len(x) - math.ceil(NEAR * len(x) - 1e-6) + 1]
+
+    kept = map_slices(sets, ["t", "size"], "s", "first array<bigint>", lambda texts: {"first": pa.array([first(s) for s in texts], pa.list_(pa.int64()))})
+    return kept.select(F.explode("first").alias("bucket"), "t", "size")
+
+
+def _blocks(named: DataFrame, crowded: DataFrame, sets: DataFrame) -> DataFrame:
+    """As ``_pairs``, for buckets with any number of texts: these fall into blocks, and every two blocks meet in a task of their own.
+
+    What ``marks`` rule out is left out before it becomes a row.
+    """
+    parts = F.ceil(F.col("m") / BLOCK).cast("int")
+    rows = named.join(crowded.select("bucket", parts.alias("parts")), "bucket").select("bucket", "t", "label", "parts", F.pmod(F.xxhash64(F.lit(2), "t"), "parts").cast("int").alias("own"))
+    every = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    sides = []
+    for x, low, high in (("a", "own", "other"), ("b", "other", "own")):
+        side = every.where(f"{low} <= {high}").select("bucket", F.col(low).alias("low"), F.col(high).alias("high"), F.col("t").alias(x), F.col("label").alias(f"label_{x}"))
+        sides.append(side.join(_end(sets, x), x))
+    met = (F.col("low") < F.col("high")) | (F.col("a") > F.col("b"))
+    return sides[0].join(sides[1], ["bucket", "low", "high"]).where(met & (F.col("label_a") != F.col("label_b")) & _not_ruled_out()).select("a", "b").distinct()
+
+
 def near_edges(signed: DataFrame, texts: DataFrame) -> DataFrame:
     """Verified edges ``a``, ``b`` between texts whose shingle sets have similarity ``NEAR`` or more.
 
     ``signed``: each different text's ``t``, ``size`` and ``keys``; ``texts``: ``t`` and ``text``, each
     once. Candidates share a bucket of a covering table or of a band. Every text of a bucket is first
     compared with one of them, and those found near become groups. Then all pairs of different groups
-    are compared, so a pair is left out only if it is connected already. A bucket in which that would
-    be more than ``CROWDED`` pairs for each text is divided by a further table or band instead, until
-    none is crowded: texts that are near share several of the bands, others hardly ever two.
+    are compared, so a pair is left out only if it is connected already. The texts of buckets in which
+    that would be more than ``CROWDED`` pairs for each text are joined exactly instead, by the shingles
+    that two near sets must share (``_prefixes``); where one of these is crowded as well, all its pairs
+    are compared block by block.
     """
-    width = len(_MASKS) + BANDS
-    first = signed.select("t", "size", F.posexplode("keys").alias("i", "key")).select(F.xxhash64("i", "key").alias("bucket"), "t", "size", "i")
+    first = signed.select("t", "size", F.posexplode("keys").alias("i", "key")).select(F.xxhash64("i", "key").alias("bucket"), "t", "size")
     rows = materialise(_shared(first))
     wanted, _ = compact(rows.select("t").distinct().withColumn("h", F.xxhash64("t")))
     own = in_bitmap(wanted, "h", texts.withColumn("h", F.xxhash64("t"))).join(wanted.select("t"), "t", "left_semi")
@@ -260,26 +312,29 @@ def near_edges(signed: DataFrame, texts: DataFrame) -> DataFrame:
     edges = signed.sparkSession.createDataFrame([], "a binary, b binary")
     groups = connected_components(edges)
     label = F.coalesce("root", "t").alias("label")
-    while True:
-        named = rows.join(groups, rows["t"] == groups["node"], "left").select("bucket", "t", "size", "i", label)
+    for exact in (False, True):
+        named = rows.join(groups, rows["t"] == groups["node"], "left").select("bucket", "t", "size", label)
         stars, _ = compact(_stars(named))
         edges = materialise(edges.unionByName(verified(stars, sets)))
         groups = connected_components(edges)
-        named = cut_lineage(rows.join(groups, rows["t"] == groups["node"], "left").select("bucket", "t", "size", "i", label))
+        named = cut_lineage(rows.join(groups, rows["t"] == groups["node"], "left").select("bucket", "t", "size", label))
         in_group = named.groupBy("bucket", "label").agg(F.count("*").alias("m"))
         mixed = in_group.groupBy("bucket").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("within")).withColumn("cross", (F.col("m") * F.col("m") - F.col("within")) / 2)
-        mixed, some = compact(mixed.where("cross > 0").select("bucket", (F.col("cross") > CROWDED * F.col("m")).alias("crowded")))
+        mixed, some = compact(mixed.where("cross > 0").select("bucket", "m", (F.col("cross") > CROWDED * F.col("m")).alias("crowded")))
         if not some:
             return edges
-        pairs, _ = compact(_pairs(named, mixed.where("not crowded")))
+        crowded, full = compact(mixed.where("crowded").select("bucket", "m"))
+        pairs = _pairs(named, mixed.where("not crowded"))
+        if exact and full:
+            pairs = pairs.unionByName(_blocks(named, crowded, sets)).distinct()
+        pairs, _ = compact(pairs)
         edges = materialise(edges.unionByName(verified(pairs, sets)))
-        crowded, some = compact(mixed.where("crowded").select("bucket"))
-        if not some:
+        if exact or not full:
             return edges
         groups = connected_components(edges)
-        kept = named.join(crowded, "bucket").where(F.col("i") < width - 1).select("bucket", "t", "size", "i").join(signed.select("t", "keys"), "t")
-        further = F.transform(F.sequence(F.col("i") + 1, F.lit(width - 1)), lambda j: F.struct(F.xxhash64("bucket", j, F.get("keys", j)).alias("bucket"), j.alias("i")))
-        rows = materialise(_shared(kept.select("t", "size", F.explode(further).alias("f")).select("f.bucket", "t", "size", "f.i")))
+        rest, _ = compact(named.join(crowded.select("bucket"), "bucket").select("t").distinct())
+        rows = materialise(_shared(_prefixes(sets.join(rest, "t", "left_semi"))))
+    return edges
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -175,6 +175,31 @@ def test_crowded_buckets_are_divided_and_lose_no_group(spark, monkeypatch):
     assert got == [2 * g for g in range(12)]
 
 
+def test_pairs_that_share_one_crowded_band_alone_are_found(spark, monkeypatch):
+    monkeypatch.setattr(S, "CROWDED", 0)  # every bucket with two groups is crowded, those of single shingles too
+    monkeypatch.setattr(S, "BLOCK", 3, raising=False)
+    rng = random.Random(17)
+    fresh = iter(range(10**6))
+    words = lambda n: [f"u{next(fresh)}" for _ in range(n)]
+    shared, texts = words(255), []  # texts of different groups have a similarity of about 0.73
+    for _ in range(6):
+        base = shared + words(45)
+        for k in range(2):
+            own = list(base)
+            at = rng.randrange(10, 200)
+            own[at : at + 12] = words(12)
+            texts.append(" ".join(own).encode())
+    sets = [S.shingle_set(t) for t in texts]
+    want = {(i, j) for i in range(len(texts)) for j in range(i) if S.similarity(sets[i], sets[j]) >= 0.8}
+    assert want == {(2 * g + 1, 2 * g) for g in range(6)}
+    width = 7 + S.BANDS
+    keys = [[1000 * i + k for k in range(width - 1)] + [-1] for i in range(len(texts))]
+    name = lambda i: bytes([i])
+    signed = frame(spark, [(name(i), len(s) // 8, k) for i, (s, k) in enumerate(zip(sets, keys, strict=True))], "t binary, size int, keys array<bigint>")
+    edges = S.near_edges(signed, frame(spark, [(name(i), t.decode()) for i, t in enumerate(texts)], "t binary, text string")).collect()
+    assert {(max(r["a"][0], r["b"][0]), min(r["a"][0], r["b"][0])) for r in edges} == want
+
+
 def test_clashing_columns_empty_tables_and_long_texts(spark):
     schema = "doc_id bigint, text string, t int, h int, id int, n int, s string, keys int, least int"
     assert S.drop_near_duplicates(frame(spark, [], schema)).collect() == []
