@@ -21,9 +21,13 @@ def _get(value: Column, kind: str, path: str = "$") -> Column:
     return F.try_variant_get(value, path, kind)
 
 
-def _of_type(value: Column, kind: str) -> Column:
-    """Whether a value is of a JSON type; a number without a fraction is an integer."""
-    found = F.schema_of_variant(value)
+def _once(value: Column, then) -> Column:
+    """``then`` of a value that is computed once, however often ``then`` names it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _of_type(value: Column, found: Column, kind: str) -> Column:
+    """Whether a value with the schema ``found`` is of a JSON type; a number without a fraction is an integer."""
     if kind == "object":
         return found.startswith("OBJECT")
     if kind == "array":
@@ -57,20 +61,23 @@ class Compiler:
             return F.array().cast("array<string>") if schema else F.array(F.concat(path, F.lit(":false")))
         if unknown := set(schema) - ANNOTATIONS - CHECKED:
             raise ValueError(f"unknown keywords: {', '.join(sorted(unknown))}")
-        rules = [(self._rule(k, v, value), k) for k, v in schema.items() if k in CHECKED]
+        return _once(value, lambda v: _once(F.schema_of_variant(v), lambda found: self._check(schema, v, found, path, depth)))
+
+    def _check(self, schema: dict, value: Column, found: Column, path: Column, depth: int) -> Column:
+        rules = [(self._rule(k, v, value, found), k) for k, v in schema.items() if k in CHECKED]
         broken = F.array_compact(F.array(*(F.when(F.coalesce(bad, F.lit(False)), F.concat(path, F.lit(f":{name}"))) for bad, name in rules if bad is not None), F.lit(None).cast("string")))
-        inner = [found for k, v in schema.items() if k in CHECKED for found in self._inner(k, v, schema, value, path, depth + 1)]
+        inner = [part for k, v in schema.items() if k in CHECKED for part in self._inner(k, v, schema, value, found, path, depth + 1)]
         every = F.concat(broken, *inner) if inner else broken
         return F.when(value.isNull(), F.array().cast("array<string>")).otherwise(every)
 
-    def _rule(self, name: str, want, value: Column) -> Column | None:
+    def _rule(self, name: str, want, value: Column, found: Column) -> Column | None:
         """The condition under which a value breaks a rule that looks at it alone."""
         text, number = _get(value, "string"), _get(value, "double")
-        is_text, is_number = _of_type(value, "string"), _of_type(value, "number")
+        is_text, is_number = _of_type(value, found, "string"), _of_type(value, found, "number")
         items, entries = _get(value, "array<variant>"), _get(value, "map<string,variant>")
-        is_list, is_object = _of_type(value, "array"), _of_type(value, "object")
+        is_list, is_object = _of_type(value, found, "array"), _of_type(value, found, "object")
         if name == "type":
-            kinds = [_of_type(value, k) for k in ([want] if isinstance(want, str) else want)]
+            kinds = [_of_type(value, found, k) for k in ([want] if isinstance(want, str) else want)]
             fits = kinds[0]
             for k in kinds[1:]:
                 fits = fits | k
@@ -93,9 +100,9 @@ class Compiler:
         }
         return rules[name]() if name in rules else None
 
-    def _inner(self, name: str, want, schema: dict, value: Column, path: Column, depth: int):
+    def _inner(self, name: str, want, schema: dict, value: Column, found: Column, path: Column, depth: int):
         """Arrays of what the parts of a value break."""
-        is_object = _of_type(value, "object")
+        is_object = _of_type(value, found, "object")
         none = F.array().cast("array<string>")
         child = lambda key: _get(value, "variant", f"$[{json.dumps(key)}]")
         if name == "$ref":
@@ -112,7 +119,7 @@ class Compiler:
             yield F.when(is_object, F.flatten(each)).otherwise(none)
         elif name == "items":
             each = F.transform(_get(value, "array<variant>"), lambda x, i: self.check(want, x, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), depth))
-            yield F.when(_of_type(value, "array"), F.flatten(each)).otherwise(none)
+            yield F.when(_of_type(value, found, "array"), F.flatten(each)).otherwise(none)
         elif name == "allOf":
             for sub in want:
                 yield self.check(sub, value, path, depth)
@@ -134,7 +141,8 @@ def schema_violations(schema: dict | str, value: Column) -> Column:
     ``CHECKED`` are compiled; formats are notes, as by default.
     """
     schema = json.loads(schema) if isinstance(schema, str) else schema
-    return F.when(value.isNull(), F.array(F.lit("$:null"))).otherwise(Compiler(schema).check(schema, value, F.lit("$")))
+    compiler = Compiler(schema)
+    return _once(value, lambda v: F.when(v.isNull(), F.array(F.lit("$:null"))).otherwise(compiler.check(schema, v, F.lit("$"))))
 
 
 def gate(own: DataFrame, schema: dict | str, inherited: DataFrame | None = None, key: str = "doc_id", record: str = "record") -> tuple[DataFrame, DataFrame]:

@@ -62,3 +62,9 @@ def test_own_violations_refuse_and_inherited_ones_warn(spark):
 def test_what_cannot_be_checked_is_an_error(spark, schema):
     with pytest.raises(ValueError):
         G.schema_violations(schema, F.parse_json(F.lit("1")))
+
+
+def test_a_value_is_computed_once_for_all_its_rules(spark):
+    broken = G.schema_violations(SCHEMA, F.try_parse_json("record")).alias("v")
+    plan = frame(spark, [("{}",)], "record string").select(broken)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("parse_json") == 1
