@@ -103,7 +103,9 @@ def ocr_paragraphs(words: DataFrame, page: tuple[str, ...] = ("doc_id", "page"),
     """
     sure = F.coalesce(F.col("conf").try_cast("double"), F.lit(-1.0)) >= min_conf
     kept = words.withColumn("text", F.trim(F.coalesce("text", F.lit("")))).where((F.col("text") != "") & sure)
-    ordered = F.array_sort(F.collect_list(F.struct("row_idx", "text")))
+    # dealt out before they are grouped: grouping where they are read would sort, and spill, all words of a large file
+    kept = kept.select(*page, "block_num", "par_num", "row_idx", "text", "left", "top", "width", "height").repartition(*page, "block_num", "par_num")
+    ordered = F.sort_array(F.collect_list(F.struct("row_idx", "text")))
     edge = lambda c: F.bround(c * scale).cast("bigint")
     return kept.groupBy(*page, "block_num", "par_num").agg(
         F.min("row_idx").alias("row_idx"),

@@ -35,6 +35,13 @@ def test_ocr_paragraphs(spark):
     assert [(r["text"], r["x0"], r["y0"], r["x1"], r["y1"]) for r in got] == [("Hello again", 2, 5, 15, 12), ("End", 0, 15, 4, 20)]
 
 
+def test_words_are_dealt_out_before_they_are_grouped(spark):
+    df = frame(spark, [("d", 1, 0, 1, 1, "Hello", "96", 10, 10, 20, 5)], "doc_id string, page int, row_idx int, block_num int, par_num int, text string, conf string, left int, top int, width int, height int")
+    plan = cues.ocr_paragraphs(df)._jdf.queryExecution().executedPlan().toString()
+    aggregates, exchanges = [i for i, line in enumerate(plan.split("\n")) if "Aggregate" in line], [i for i, line in enumerate(plan.split("\n")) if "Exchange" in line]
+    assert len(exchanges) == 1 and max(aggregates) < exchanges[0]
+
+
 def test_cell_lines(spark):
     lines = frame(spark, [("d", 1, "g", "one"), ("d", 2, "g", "two"), ("d", 3, "h", "three")], "doc_id string, row_idx int, group_id string, text string")
     cells = frame(spark, [("d", 0, 0, 0, "g", None), ("d", 0, 0, 1, "g", [3]), ("d", 0, 1, 0, None, None), ("d", 0, 1, 1, "h", [])], "doc_id string, table_id int, row int, col int, group_id string, lines array<int>")
