@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quire.functions.values import entity_type, escape_xml
 from quire.operators.layout import scaled
@@ -40,7 +41,7 @@ def _box(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
 
 
 def _joined(entries: Column, field: str = "xml") -> Column:
-    return F.array_join(F.transform(F.array_sort(entries), lambda e: e[field]), "")
+    return F.array_join(F.transform(F.sort_array(entries), lambda e: e[field]), "")
 
 
 def sentence_places(tokens: DataFrame, key: str) -> DataFrame:
@@ -116,9 +117,8 @@ def write_teitok(tokens: DataFrame, pages: DataFrame | None = None, blocks: Data
     sentence belongs to the block of its first token with a box. Null forms are empty tokens; keys
     without tokens have no text.
     """
-    spark = tokens.sparkSession
-    kind = tokens.schema[key].dataType.simpleString()
-    none = lambda schema: spark.createDataFrame([], f"`{key}` {kind}, {schema}")
+    # Spark sees that these are empty and plans no join with them
+    none = lambda schema: tokens.select(key, *(F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schema))).where(F.lit(False))
     pages = _complete(none("page_num int") if pages is None else pages, PAGE)
     scale = pages.select(key, F.col("page_num").alias("page"), "sx", "sy", "dx", "dy", F.coalesce("extension", F.lit(".png")).alias("extension"))
     base = _complete(tokens, TOKEN)

@@ -50,6 +50,12 @@ def test_pages_without_boxes(spark):
     assert teitok.write_teitok(frame(spark, [], TOKENS)).collect() == []
 
 
+def test_what_is_not_given_is_not_joined(spark):
+    rows = frame(spark, [token("a", 0, 0, "x")], TOKENS).select("doc", "sent", "tok", "form")
+    plan = teitok.write_teitok(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 2
+
+
 def test_conllu_to_teitok_and_back(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "out").mkdir()
