@@ -15,7 +15,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut_lineage, map_texts
+from quire.llm.common import cut_lineage, keep_nothing, map_texts
 
 WINDOW = 10
 #: Bytes of pattern text that one broadcast may hold; more patterns are searched in several passes. A worker's tables are about a hundred times as large.
@@ -171,6 +171,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
 
 def _scan_shard(docs: DataFrame, shard: Broadcast, keep: list[str], text_col: str, window: int) -> DataFrame:
     def make():
+        keep_nothing()
         ids = [item for item, _ in shard.value]
         engines = [WuManber(p) for _, p in sorted(patterns_of([(i, t) for i, (_, t) in enumerate(shard.value)], window).items())]
 

@@ -16,13 +16,14 @@ import zlib
 from array import array
 from collections import deque
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from quire.llm.common import kept
+
 WINDOW = 2048
 END_ID = 1
 #: Chunks, and bytes of chunks and ids, of a generation of what a worker remembers; there are two.
@@ -97,10 +98,9 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One encoder for all tasks of a Python worker."""
-    return Encoder(path)
+    return kept(("packing", path), lambda: Encoder(path))
 
 
 class SumOfSquares:

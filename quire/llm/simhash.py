@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import compact, cut_lineage, in_bitmap, map_texts, materialise
+from quire.llm.common import compact, cut_lineage, in_bitmap, keep_nothing, map_texts, materialise
 from quire.llm.components import connected_components
 
 BITS = 64
@@ -180,6 +180,7 @@ def map_slices(df: DataFrame, keep: list[str], col: str, schema: str, apply) ->
     whole = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keep).schema), schema])
 
     def run(batches):
+        keep_nothing()
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
@@ -221,6 +222,7 @@ def verified(edges: DataFrame, sets: DataFrame) -> DataFrame:
     pairs = edges.join(sets.select(F.col("t").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("t").alias("b"), F.col("s").alias("sb")), "b")
 
     def run(batches):
+        keep_nothing()
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)

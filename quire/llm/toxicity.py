@@ -8,13 +8,12 @@ between labelled toxic and other texts; a logistic regression on these values gi
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import bucket_of, map_texts
+from quire.llm.common import bucket_of, kept, map_texts
 
 BITS = 18
 SIZES = (3, 4, 5)
@@ -29,7 +28,7 @@ class Features:
     """Column ids of texts; n-grams of a word are hashed once per worker, new words of a batch together."""
 
     def __init__(self, limit: int = MEMO):
-        self.memo: dict[bytes, np.ndarray] = {}
+        self.memo: dict[bytes, bytes] = {}  # 32-bit columns: an array of its own for every word would take twice the memory
         self.limit, self.held = limit, 0
 
     def learn(self, words: list[bytes]) -> None:
@@ -52,7 +51,7 @@ class Features:
         ends = np.bincount(owner, minlength=len(words)).cumsum().tolist()
         at = 0
         for w, end in zip(words, ends, strict=True):
-            self.memo[w] = cols[at:end].copy()
+            self.memo[w] = cols[at:end].tobytes()
             self.held += len(w)
             at = end
 
@@ -67,7 +66,7 @@ class Features:
                 new = list(set().union(*words))
             if new:
                 self.learn(new)
-            out += [unique(np.concatenate([memo[w] for w in own])) if own else np.array([], np.int32) for own in words]
+            out += [unique(np.frombuffer(b"".join([memo[w] for w in own]), np.int32).copy()) if own else np.array([], np.int32) for own in words]
         return out
 
 
@@ -76,9 +75,9 @@ def unique(x: np.ndarray) -> np.ndarray:
     return x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
 
 
-@lru_cache(maxsize=1)
 def features() -> Features:
-    return Features()
+    """Those of a Python worker."""
+    return kept("toxicity", Features)
 
 
 @dataclass

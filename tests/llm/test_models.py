@@ -261,3 +261,23 @@ def test_fit_samples_are_the_same_for_any_order_of_rows_and_take_long_texts(spar
         seen.append((texts, y, crf.weights.tobytes() if hasattr(crf, "weights") else crf.transitions.tobytes()))
     assert seen[0] == seen[1]
     assert any(len(t) > 100_000 for t in seen[0][0]) and max(map(len, seen[0][0])) <= toxicity.SAMPLE_CHARS
+
+
+def test_a_worker_keeps_what_one_operator_remembers_only():
+    from quire.llm.common import keep_nothing
+
+    first = T.features()
+    assert T.features() is first
+    e = P.encoder(PATH)
+    assert P.encoder(PATH) is e and T.features() is not first
+    keep_nothing()
+    assert P.encoder(PATH) is not e
+
+
+def test_a_kept_text_goes_to_python_once(spark):
+    from quire.llm.common import map_texts
+
+    docs = frame(spark, [(1, "a b"), (2, None), (3, "")], "doc_id bigint, text string")
+    got = map_texts(docs, ["doc_id", "text"], "text", "n int", lambda: lambda texts: {"n": [-1 if t is None else len(t) for t in texts]})
+    assert sorted(map(tuple, got.collect())) == [(1, "a b", 3), (2, None, -1), (3, "", 0)]
+    assert "__text" not in got._jdf.queryExecution().analyzed().toString()
