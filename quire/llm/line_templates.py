@@ -87,16 +87,28 @@ def parse(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
     lines, line = _lines(docs, id_col, text_col), F.col("line")
     several = functools.reduce(lambda a, b: a | b, (F.contains(line, F.lit(p)) for p in (". ", "! ", "? ")))
-    parts = F.when(several, F.concat(F.array(line), F.split(line, "(?<=[.!?]) "))).otherwise(F.array(line))
+    # a masked line has no line end, so one can stand for where a sentence ends; that is quicker than a pattern that looks back
+    ends = functools.reduce(lambda c, p: F.replace(c, F.lit(f"{p} "), F.lit(f"{p}\n")), ".!?", line)
+    parts = F.when(several, F.concat(F.array(line), F.split(ends, "\n"))).otherwise(F.array(line))
     units = lines.select("r1", "r2", "id", "i", F.posexplode(parts).alias("j", "line"))
     units = units.select("r1", "r2", "id", (F.col("i").cast("bigint") * _LINE + F.col("j")).alias("at"), (F.col("j") == 0).alias("whole"), "line")
     leaf = F.when(F.col("whole") & (F.col("n") >= SHORT), _leaf())
     return _described(units, ["r1", "r2", "id", "at", "whole"], leaf).where(F.col("whole") | (F.col("n") >= SHORT)).drop("whole", "line")
 
 
-def line_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``leaf``, ``s1``, ``s2`` and ``line`` of the lines that aren't short."""
-    return _described(_lines(docs, id_col, text_col).select("line"), [], _leaf()).where(F.col("n") >= SHORT).select("leaf", "s1", "s2", "line")
+def texts_at(placed: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``leaf``, ``s1``, ``s2`` and masked ``line`` of the lines at the places ``r1``, ``r2``, ``at``.
+
+    Masking leaves every line in its place and looks at no other line, so only these are masked.
+    """
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
+    rows = in_bitmap(placed, "r1", docs.select(*row_key(id_col, text_col), text))
+    lines = rows.select("r1", "r2", F.posexplode(F.split("text", "\n")).alias("i", "line"))
+    lines = lines.select("r1", "r2", (F.col("i").cast("bigint") * _LINE).alias("at"), "line")
+    key = F.xxhash64("r1", "at")
+    # repeated rows have their lines at the same places
+    found = in_bitmap(placed.withColumn("k", key), "k", lines.withColumn("k", key)).drop("k").dropDuplicates(["r1", "r2", "at"])
+    return found.join(placed, ["r1", "r2", "at"]).select("leaf", "s1", "s2", masked(F.col("line")).alias("line"))
 
 
 def with_partner(lines: DataFrame) -> DataFrame:
@@ -161,9 +173,11 @@ def recurring(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     each = units.select("s1", "s2", "short", "leaf", F.lit(1).alias("c"), F.col("id").alias("lo"), F.col("id").alias("hi"), nameless.alias("hlo"), nameless.alias("hhi"))
     sigs = materialise(_spread(each, "s1", "s2"))
     several, _ = compact(sigs.where("leaf is not null").groupBy("leaf").agg(F.count("*").alias("m")).where("m > 1").select("leaf"))
-    # lines are made distinct before they meet the leaves, so a leaf's share of the rows doesn't matter
-    texts = in_bitmap(several, "leaf", line_texts(docs, id_col, text_col)).groupBy("leaf", "s1", "s2").agg(F.first("line").alias("line"))
-    texts, _ = compact(texts.join(several, "leaf"))
+    # lines are made distinct before they meet the leaves, so a leaf's share of the rows doesn't matter; any place of a line will do
+    whole = in_bitmap(several, "leaf", units.where("leaf is not null").select("leaf", "s1", "s2", "r1", "r2", "at"))
+    placed = whole.groupBy("leaf", "s1", "s2").agg(F.first(F.struct("r1", "r2", "at")).alias("place"))
+    placed, _ = compact(placed.join(several, "leaf").select("leaf", "s1", "s2", "place.*"))
+    texts, _ = compact(texts_at(placed, docs, id_col, text_col))
     texts, _ = compact(with_partner(texts))
     weights = in_bitmap(texts, "s1", sigs.select("s1", "s2", "c"))
     joined, _ = compact(leaf_templates(texts, weights))

@@ -225,3 +225,18 @@ def test_long_documents_are_edited_in_time_that_grows_with_their_lines(spark):
     got = {r["doc_id"]: r for r in L.dedup_lines(df).collect()}
     assert got[1]["text"] == rows[0][1] and got[2]["text"] == rows[1][1].split("\n")[0] + "\ntail" and got[2]["n_dropped"] == 12_000
     assert time.time() - start < 100
+
+
+def test_lines_are_found_again_at_their_places(spark):
+    ragged = [
+        (8, f"  {LONG} 7x!\r\n\tlogged in from 10.0.0.1. at  noon! on monday by user 17? yes\n\n \x0b one two three four five six seven eight nine "),
+        (8, f"  {LONG} 7x!\r\n\tlogged in from 10.0.0.1. at  noon! on monday by user 17? yes\n\n \x0b one two three four five six seven eight nine "),
+    ]
+    docs = frame(spark, DOCS + ragged, SCHEMA)
+    units = L.parse(docs, "doc_id", "text").where("leaf is not null")
+    placed = units.select("leaf", "s1", "s2", "r1", "r2", "at").dropDuplicates(["r1", "r2", "at"])
+    found = L.texts_at(placed, docs, "doc_id", "text")
+    again = L._described(found.select("line", "leaf"), ["leaf"], L._leaf())
+    keys = lambda df: sorted(map(tuple, df.select("leaf", "s1", "s2").collect()))
+    assert keys(again.toDF("kept", "line", "n", "s1", "s2", "leaf")) == keys(placed)
+    assert placed.count() == 11
