@@ -18,7 +18,6 @@ Code lengths are whole multiples of 2^-36, so sums don't depend on the order of
 from __future__ import annotations
 
 import math
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -30,17 +29,68 @@ from quire.llm.common import bucket_of, map_texts, materialise
 ORDER = 5
 END = b"\n"
 #: Words and grams in the broadcast tables; words and grams counted before a flush; bytes of text taken at a time.
-HOT, HOT_GRAMS, FLUSH, CHUNK = 50_000, 2_000_000, 400_000, 1 << 20
+HOT, HOT_GRAMS, FLUSH, CHUNK = 250_000, 2_000_000, 400_000, 1 << 20
 #: Texts whose words and bytes a worker holds at a time.
 SLICE = 256
 UNIT = 1 << 36
 
 
 def coded(words: list[bytes]) -> bytes:
-    """The bytes that stand for a text, with the newlines in front of it."""
+    """The bytes that stand for a text, with the newlines in front of it: what ``prepared`` makes of many texts at once."""
     return END * ORDER + b"".join([w + b" " for w in words]) + END
 
 
+#: Lower case, and a space for all that parts words.
+_FOLD = bytes(range(256)).lower().translate(bytes(32 if chr(i) in "\t\n\x0b\x0c\r" else i for i in range(256)))
+
+
+def prepared(texts: list[bytes | None]):
+    """(first, coded texts, words, how many each text has) of about ``CHUNK`` bytes of texts at a time; a longer one comes alone.
+
+    ``words``: an array of all their words in order.
+    """
+    first, held, size = 0, [], 0
+    for i, t in enumerate(texts):
+        if held and size + len(t or b"") > CHUNK:
+            yield first, *_prepared(held)
+            first, held, size = i, [], 0
+        held.append(t or b"")
+        size += len(held[-1])
+    if held:
+        yield first, *_prepared(held)
+
+
+def _prepared(texts: list[bytes]) -> tuple[list[bytes], pa.Array, np.ndarray]:
+    # in front of a text its newlines, behind it room for the space of its last word and for its end
+    whole = END * ORDER + (END * (ORDER + 2)).join(texts) + END * 2
+    buf = np.frombuffer(whole.translate(_FOLD), np.uint8).copy()
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + ORDER + 2)
+    starts = np.r_[0, ends[:-1]]
+    solid = buf != 32
+    letters = buf[solid]
+    stays = solid.copy()
+    stays[1:] |= solid[:-1]
+    for at in (*(starts + k for k in range(ORDER)), ends - 1):
+        buf[at] = END[0]
+        stays[at] = True
+    out = buf[stays]
+    bounds = np.r_[0, np.cumsum(np.add.reduceat(stays, starts, dtype=np.int64))]
+    spaces = np.flatnonzero(out == 32)
+    n_words = np.diff(np.searchsorted(spaces, bounds))
+    # a word ends where its space stands, less the spaces and newlines before
+    offsets = np.zeros(len(spaces) + 1, np.int32)
+    offsets[1:] = spaces - np.arange(len(spaces)) - ORDER - (ORDER + 1) * np.repeat(np.arange(len(texts)), n_words)
+    words = pa.Array.from_buffers(pa.binary(), len(spaces), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+    line = out.tobytes()
+    return [line[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], words, n_words
+
+
+def runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each value of a sorted array starts, and how often it stands there."""
+    at = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]][: len(ordered)])
+    return at, np.diff(np.r_[at, len(ordered)])
+
+
 def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Of every coded byte of several texts (``coded`` ones): context and byte in one integer, the most
     recent lowest; and how many each text has."""
@@ -49,8 +99,10 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     key = buf.copy()
     for k in range(1, ORDER + 1):
         key[k:] |= buf[:-k] << (8 * k)
-    place = np.arange(len(buf)) - np.repeat(np.cumsum(lens) - lens, lens)
-    return key[place >= ORDER], lens - ORDER
+    whole = np.ones(len(buf), bool)
+    for k in range(ORDER):
+        whole[np.cumsum(lens) - lens + k] = False
+    return key[whole], lens - ORDER
 
 
 def pieces(texts: list[bytes]):
@@ -68,48 +120,68 @@ def pieces(texts: list[bytes]):
         yield np.array(owners), held
 
 
-def entries(n: int, words: list[list[tuple[bytes, int]]], cold: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.ListArray:
-    """What is joined later, by text: its (word, times) and, from ``cold``, owners, grams and times; keys of grams as in ``_key``."""
-    gram = np.concatenate([np.zeros(0, np.int64), *(c[1] for c in cold)])
+def gram_keys(gram: np.ndarray) -> pa.Array:
+    """Grams as in ``_key``."""
     raw = np.full((len(gram), ORDER + 2), END[0], np.uint8)
     raw[:, 1:] = gram.astype(">i8").view(np.uint8).reshape(-1, 8)[:, 7 - ORDER :]
     starts = np.arange(len(gram) + 1, dtype=np.int32) * (ORDER + 2)
-    keys = pa.concat_arrays([pa.array([w for ws in words for w, _ in ws], pa.binary()), pa.Array.from_buffers(pa.binary(), len(gram), [None, pa.py_buffer(starts), pa.py_buffer(raw)])])
-    times = np.concatenate([np.array([k for ws in words for _, k in ws], np.int64), *(c[2] for c in cold)])
-    owner = np.concatenate([np.repeat(np.arange(n), [len(ws) for ws in words]), *(c[0] for c in cold)])
+    return pa.Array.from_buffers(pa.binary(), len(gram), [None, pa.py_buffer(starts), pa.py_buffer(raw)])
+
+
+def listed(n: int, parts: list[tuple[np.ndarray, pa.Array, np.ndarray]]) -> pa.ListArray:
+    """What is joined later, by text, from owners, keys and times."""
+    owner, times = (np.concatenate([np.zeros(0, np.int64), *(x[i] for x in parts)]) for i in (0, 2))
+    keys = pa.concat_arrays([pa.array([], pa.binary()), *(x[1] for x in parts)])
     by = np.argsort(owner, kind="stable")
     ends = np.searchsorted(owner[by], np.arange(n + 1)).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([keys.take(pa.array(by)), pa.array(times[by])], names=["key", "k"]))
 
 
+def entries(n: int, words: list[list[tuple[bytes, int]]], cold: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.ListArray:
+    """``listed`` of the (word, times) by text and, from ``cold``, owners, grams and times."""
+    owner = np.repeat(np.arange(n), [len(ws) for ws in words])
+    own = (owner, pa.array([w for ws in words for w, _ in ws], pa.binary()), np.array([k for ws in words for _, k in ws], np.int64))
+    return listed(n, [own, *((o, gram_keys(g), k) for o, g, k in cold)])
+
+
 def count_tokens(docs: DataFrame, id_col: str, text_col: str, learn) -> DataFrame:
     """``word`` (binary) and ``c``: how often it stands in rows with ``learn``; words of other rows too, with 0.
 
-    Each task adds up to ``FLUSH`` words before it hands them on, so a frequent word costs a row per
+    Each task adds up to ``2 FLUSH`` words before it hands them on, so a frequent word costs a row per
     flush, not one per place. The end token counts once per row.
     """
     src = docs.select(F.coalesce(learn, F.lit(False)).alias("learn"), F.col(text_col).cast("string").alias("t"))
 
-    def run(batches):
-        known, other = Counter(), set()
+    def merged(held):
+        whole = pa.concat_arrays([w for w, _ in held]).dictionary_encode()
+        c = np.bincount(whole.indices.to_numpy(), np.concatenate([c for _, c in held]), len(whole.dictionary))
+        return whole.dictionary, c
 
-        def flush():
-            rows = [*known.items(), *((w, 0) for w in other if w not in known)]
-            known.clear()
-            other.clear()
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64())], names=["word", "c"])
+    def flush(held):
+        word, c = merged(held)
+        return pa.RecordBatch.from_arrays([word, pa.array(c.astype(np.int64))], names=["word", "c"])
 
+    def run(batches):
+        held, size, least = [], 0, 0
         for batch in batches:
-            for learns, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
-                if learns:
-                    known.update((text or b"").lower().split())
-                    known[END] += 1
-                else:
-                    other.update((text or b"").lower().split())
-                    other.add(END)
-                if len(known) + len(other) > FLUSH:
-                    yield flush()
-        yield flush()
+            flags = batch.column(0).to_numpy(zero_copy_only=False).astype(np.float64)
+            if len(flags):
+                held.append((pa.array([END], pa.binary()), np.array([flags.sum()])))
+            for begin in range(0, batch.num_rows, SLICE):  # few texts are held at a time
+                part = batch.column(1).slice(begin, SLICE).cast(pa.binary()).to_pylist()
+                for first, _, words, n_words in prepared(part):
+                    own = words.dictionary_encode()
+                    learns = np.repeat(flags[begin + first : begin + first + len(n_words)], n_words)
+                    held.append((own.dictionary, np.bincount(own.indices.to_numpy(), learns, len(own.dictionary))))
+                    size += len(own.dictionary)
+                    if size > least + FLUSH:
+                        held = [merged(held)]
+                        size = least = len(held[0][0])
+                        if size > 2 * FLUSH:
+                            yield flush(held)
+                            held, size, least = [], 0, 0
+        if held:
+            yield flush(held)
 
     return src.mapInArrow(run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -123,24 +195,29 @@ def count_grams(docs: DataFrame, text_col: str, learn: Column) -> DataFrame:
 
         def merged():
             g, c = (np.concatenate(x) for x in zip(*held))
-            u, inv = np.unique(g, return_inverse=True)
-            return u, np.bincount(inv, c, minlength=len(u)).astype(np.int64)
+            by = np.argsort(g, kind="stable")  # quick, as it merges sorted parts
+            g = g[by]
+            at, _ = runs(g)
+            return g[at], np.add.reduceat(c[by], at)
 
         for batch in batches:
-            flags = batch.column(0).to_numpy(zero_copy_only=False).astype(np.float64)
-            for first in range(0, batch.num_rows, SLICE):  # few texts are held at a time
-                part = batch.column(1).slice(first, SLICE).cast(pa.binary()).to_pylist()
-                for owners, some in pieces([coded((t or b"").lower().split()) for t in part]):
-                    g, lens = grams(some)
-                    u, inv = np.unique(g, return_inverse=True)
-                    held.append((u, np.bincount(inv, np.repeat(flags[first + owners], lens), minlength=len(u))))
-                    size += len(u)
-                    if size > 10 * FLUSH:
-                        u, c = merged()
-                        held, size = [(u, c)], len(u)
-                        if size > 5 * FLUSH:
-                            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(c)], names=["gram", "c"])
-                            held, size = [], 0
+            flags = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for begin in range(0, batch.num_rows, SLICE):  # few texts are held at a time
+                part = batch.column(1).slice(begin, SLICE).cast(pa.binary()).to_pylist()
+                for first, texts, _, _ in prepared(part):
+                    for owners, some in pieces(texts):
+                        g, lens = grams(some)
+                        # sorting needs no way back to the places, as the flag is the lowest bit
+                        both = np.sort(g << 1 | np.repeat(flags[begin + first + owners], lens))
+                        at, times = runs(both)
+                        held.append((both[at] >> 1, times * (both[at] & 1)))
+                        size += len(at)
+                        if size > 10 * FLUSH:
+                            u, c = merged()
+                            held, size = [(u, c)], len(u)
+                            if size > 5 * FLUSH:
+                                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(c)], names=["gram", "c"])
+                                held, size = [], 0
         if held:
             u, c = merged()
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(c)], names=["gram", "c"])
@@ -244,59 +321,65 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
     words = words.select("word", "c", unit(F.log10(F.col("c") + 0.5) - low).alias("q"))
     values = materialise(gram_values(materialise(count_grams(docs, text_col, learn))))
     top = words.where(F.col("c") >= frequent_from(words, hot)).toArrow()
-    index = spark.sparkContext.broadcast({w: (q, c > 0) for w, c, q in zip(*(top.column(x).to_pylist() for x in ("word", "c", "q")), strict=True)})
+    frequent = top.column("word").combine_chunks()
+    index = spark.sparkContext.broadcast((frequent, top.column("q").to_numpy(), top.column("c").to_numpy() > 0, frequent.index(END).as_py()))
     top = values.where(F.col("c") >= frequent_from(values, hot_grams)).select("gram", "q").toArrow()
     g, q = (top.column(x).to_numpy() for x in ("gram", "q"))
     by = np.argsort(g)
     table = spark.sparkContext.broadcast((g[by], q[by]))
 
     def make():
-        known, (hot_g, hot_q) = index.value, table.value
-
-        def of_words(own):
-            counts = Counter(own)
-            counts[END] += 1
-            seen = base = 0
-            rest = []
-            for w, k in counts.items():
-                got = known.get(w)
-                if got is None:
-                    rest.append((w, k))
-                else:
-                    base += k * got[0]
-                    seen += k * got[1]
-            return counts.total(), seen, base, rest
+        (hot_words, hot_base, hot_known, end), (hot_g, hot_q) = index.value, table.value
+        place_of = dict(zip(hot_words.to_pylist(), range(len(hot_words)))).get
+
+        def of_words(words, n_words):
+            """Known words and base of each text; owners, words and times of what isn't in the table."""
+            n, own = len(n_words), words.dictionary_encode()
+            m = max(len(own.dictionary), 1)
+            key = np.sort(np.repeat(np.arange(n) * m, n_words) + own.indices.to_numpy())
+            at, times = runs(key)
+            owner, code = np.divmod(key[at], m)
+            place = np.array([place_of(w, -1) for w in own.dictionary.to_pylist()], np.int64)[code]
+            hit = place >= 0
+            ends = np.searchsorted(owner, np.arange(n + 1))
+            per_text = lambda x: np.diff(np.r_[0, np.cumsum(x)][ends])
+            seen = per_text(np.where(hit, hot_known[place], 0) * times) if len(hot_words) else np.zeros(n, np.int64)
+            base = per_text(np.where(hit, hot_base[place], 0) * times) if len(hot_words) else np.zeros(n, np.int64)
+            rest = [(owner[~hit], own.dictionary.take(pa.array(code[~hit])), times[~hit])]
+            # the end token is a word of each text
+            if end >= 0:
+                return seen + hot_known[end], base + hot_base[end], rest
+            return seen, base, [*rest, (np.arange(n), pa.array([END] * n, pa.binary()), np.ones(n, np.int64))]
 
         def of_grams(texts):
             sums, cold = np.zeros(len(texts), np.int64), []
             for owners, some in pieces(texts):
                 keys, lens = grams(some)
-                u, inv = np.unique(keys, return_inverse=True)
+                # a batch has no more than 2^15 texts, and a gram 48 bits
+                both = np.sort(keys << 15 | np.repeat(owners, lens))
+                at, times = runs(both)
+                both = both[at]
+                gram, owner = both >> 15, both & 0x7FFF
+                at, many = runs(gram)
+                u = gram[at]
                 i = np.minimum(np.searchsorted(hot_g, u), max(len(hot_g) - 1, 0))
                 hit = hot_g[i] == u if len(hot_g) else np.zeros(len(u), bool)
                 value = np.where(hit, hot_q[i], 0) if len(hot_g) else np.zeros(len(u), np.int64)
-                # no piece is empty: its text's end is coded
-                np.add.at(sums, owners, np.add.reduceat(value[inv], np.cumsum(lens) - lens))
+                np.add.at(sums, owner, np.repeat(value, many) * times)
                 if not hit.all():
-                    at = np.flatnonzero(~hit[inv])
-                    code, times = np.unique(np.repeat(owners, lens)[at] * len(u) + inv[at], return_counts=True)
-                    cold.append((code // len(u), u[code % len(u)], times))
+                    rare = np.repeat(~hit, many)
+                    cold.append((owner[rare], gram_keys(gram[rare]), times[rare]))
             return sums, cold
 
         def apply(texts):
-            told, codes = [], []
-            for t in texts:  # the words of one text are held at a time
-                own = (t or b"").lower().split()
-                told.append(of_words(own))
-                codes.append(coded(own))
-            sums, cold = of_grams(codes)
-            return {
-                "n_tokens": [x[0] for x in told],
-                "n_hot": [x[1] for x in told],
-                "base_hot": [x[2] for x in told],
-                "lp_hot": sums.tolist(),
-                "rest": entries(len(texts), [x[3] for x in told], cold),
-            }
+            told, rest = [], []
+            for first, codes, words, n_words in prepared(texts):
+                seen, base, own = of_words(words, n_words)
+                sums, cold = of_grams(codes)
+                told.append((n_words + 1, seen, base, sums))
+                rest += [(first + owner, key, times) for owner, key, times in (*own, *cold)]
+            names = ("n_tokens", "n_hot", "base_hot", "lp_hot")
+            return {c: pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for c, x in zip(names, zip(*told))} | {"rest": listed(len(texts), rest)}
 
         return apply
 

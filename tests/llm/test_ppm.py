@@ -132,3 +132,32 @@ def test_pieces_of_long_texts_have_the_grams_of_the_whole(monkeypatch):
     listed = ppm.entries(3, [[(b"w", 2)], [], []], [(np.array([2, 0]), np.array([65, 0x0102030405FF]), np.array([3, 4]))]).to_pylist()
     assert [[(e["key"], e["k"]) for e in x] for x in listed] == [[(b"w", 2), (b"\n\x01\x02\x03\x04\x05\xff", 4)], [], [(b"\n\0\0\0\0\0A", 3)]]
     assert ppm.entries(1, [[]], []).to_pylist() == [[]]
+
+
+def test_texts_prepared_at_once_are_those_of_the_definition(monkeypatch):
+    texts = [b"", None, b" \t\n ", b"One", b"\n two\x0b\x0cTHREE \r\n", "Ünï ÉTÉ\xa0x\u2028y".encode(), b"z" * 40, b"\xff\n\xff", b"the end", b""]
+    own = [(t or b"").lower().split() for t in texts]
+    for size in (1, 9, 30, 1 << 20):
+        monkeypatch.setattr(ppm, "CHUNK", size)
+        codes, words, n_words, firsts = [], [], [], []
+        for first, some, w, n in ppm.prepared(texts):
+            firsts.append(first == len(codes))
+            codes, words, n_words = codes + some, words + w.to_pylist(), n_words + n.tolist()
+        assert all(firsts) and codes == [ppm.coded(o) for o in own]
+        assert words == [w for o in own for w in o] and n_words == [len(o) for o in own]
+    assert list(ppm.prepared([])) == []
+
+
+def test_counts_hold_across_flushes(spark, monkeypatch):
+    df = frame(spark, TEXTS, SCHEMA).repartition(2)
+    learn = ppm.bucket_of(df["doc_id"], 5) != 1
+    train = [t for i, t in TEXTS if i is not None and zlib.crc32(str(i).encode()) % 5 != 1]
+    words = Counter(w for t in train for w in tokens(t))
+    streams = {t: stream(t) for _, t in TEXTS}
+    cut = lambda t: [int.from_bytes(streams[t][i - 5 : i + 1], "big") for i in range(5, len(streams[t]))]
+    grams = Counter(g for t in train for g in cut(t))
+    for flush in (1, 5, 400_000):
+        monkeypatch.setattr(ppm, "FLUSH", flush)
+        monkeypatch.setattr(ppm, "CHUNK", 40 if flush == 5 else 1 << 20)
+        assert {r["word"]: r["c"] for r in ppm.count_tokens(df, "doc_id", "text", learn).collect()} == {w: words[w] for _, t in TEXTS for w in tokens(t)}
+        assert {r["gram"]: r["c"] for r in ppm.count_grams(df, "text", learn).collect()} == {g: grams[g] for _, t in TEXTS for g in cut(t)}
