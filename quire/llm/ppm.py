@@ -191,7 +191,7 @@ def count_grams(docs: DataFrame, text_col: str, learn: Column) -> DataFrame:
     src = docs.select(F.coalesce(learn, F.lit(False)).alias("learn"), F.col(text_col).cast("string").alias("t"))
 
     def run(batches):
-        held, size = [], 0
+        held, size, least = [], 0, 0
 
         def merged():
             g, c = (np.concatenate(x) for x in zip(*held))
@@ -212,12 +212,13 @@ def count_grams(docs: DataFrame, text_col: str, learn: Column) -> DataFrame:
                         at, times = runs(both)
                         held.append((both[at] >> 1, times * (both[at] & 1)))
                         size += len(at)
-                        if size > 10 * FLUSH:
+                        if size > least + 3 * FLUSH:
                             u, c = merged()
-                            held, size = [(u, c)], len(u)
-                            if size > 5 * FLUSH:
+                            held = [(u, c)]
+                            size = least = len(u)
+                            if size > 4 * FLUSH:
                                 yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(c)], names=["gram", "c"])
-                                held, size = [], 0
+                                held, size, least = [], 0, 0
         if held:
             u, c = merged()
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(c)], names=["gram", "c"])
