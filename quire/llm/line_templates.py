@@ -221,7 +221,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # documents that certainly keep all their lines are not moved
     whole = in_bitmap(found, "r1", rows, within=False).withColumn("dropped", F.lit(None).cast(found.schema["dropped"].dataType))
     both = in_bitmap(found, "r1", rows).join(found, ["r1", "r2"], "left").unionByName(whole)
-    both = both.withColumn("lines", F.split(F.col(text), "\n"))
+    both = both.withColumn("lines", F.when(F.col("dropped").isNotNull(), F.split(F.col(text), "\n")))
 
     def edited(line, js):
         cut = F.filter(sentences(F.regexp_replace(line, r"[\x20\x09-\x0D]+$", "")), lambda _, j: ~F.array_contains(js, (j + 1).cast("bigint")))
@@ -242,7 +242,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         n_gone = F.coalesce(F.size("left") - F.size(stays), F.lit(0)).cast("bigint")
         n_cut = F.aggregate("dropped", F.lit(0), lambda n, e: n + F.when(F.get("left", number(e)).isNull(), 0).otherwise(F.size(e["js"])))
         out |= {
-            "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size("lines")).cast("bigint"),
+            "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.octet_length(F.col(text)) - F.octet_length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1).cast("bigint"),
             "n_dropped": F.when(F.col("dropped").isNull(), 0).otherwise(n_gone).cast("bigint"),
             "n_cut": F.when(F.col("dropped").isNull(), 0).otherwise(n_cut).cast("bigint"),
         }

@@ -240,3 +240,9 @@ def test_lines_are_found_again_at_their_places(spark):
     keys = lambda df: sorted(map(tuple, df.select("leaf", "s1", "s2").collect()))
     assert keys(again.toDF("kept", "line", "n", "s1", "s2", "leaf")) == keys(placed)
     assert placed.count() == 11
+
+
+def test_lines_are_counted_where_none_is_dropped(spark):
+    rows = [(1, None), (2, ""), (3, "\n"), (4, "a\nb\n"), (5, "\n\nx é\n y \n"), (6, f"{LONG}\n\nown"), (7, f"\n{LONG}\nmine\n")]
+    got = {i: (n, gone) for i, _, n, gone in texts(L.dedup_lines(frame(spark, rows, SCHEMA)))}
+    assert got == {i: (len(t.split("\n")) if t is not None else 0, int(i == 7)) for i, t in rows}
