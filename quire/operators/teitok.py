@@ -1,11 +1,14 @@
 """TEITOK XML from token rows: milestones for pages and lines, nested blocks, sentences, names and tokens.
 
-What opens and closes at a token follows from its neighbours, so boundaries are window columns; the text
-is put together per sentence and then per document, each an ordered aggregate.
+What opens and closes at a token follows from its neighbours. Tokens that come as rows have boundaries as
+window columns, and the text is put together per sentence and then per document, each an ordered
+aggregate. Documents that come whole, as arrays, are written in place: no token is shuffled or sorted.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -27,6 +30,17 @@ def _complete(df: DataFrame, fields: dict[str, str]) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast(kind) for c, kind in fields.items() if c not in df.columns})
 
 
+def _text(*parts: Column | str) -> Column:
+    """Texts one after the other; strings that meet become one literal, as each part costs time at each token."""
+    out: list[Column | str] = []
+    for part in parts:
+        if isinstance(part, str) and out and isinstance(out[-1], str):
+            out[-1] += part
+        elif not isinstance(part, str) or part:
+            out.append(part)
+    return F.concat(*(F.lit(x) if isinstance(x, str) else x for x in out))
+
+
 def _attr(name: str, value: Column, empty: Column | None = None) -> Column:
     """`` name="value"``, or nothing for null, empty and ``_``."""
     value = value.cast("string")
@@ -34,18 +48,22 @@ def _attr(name: str, value: Column, empty: Column | None = None) -> Column:
     return F.when(none, "").otherwise(F.concat(F.lit(f' {name}="'), escape_xml(value), F.lit('"')))
 
 
-def _box(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
-    """A box in image coordinates as text; null if a side is."""
-    sides = [scaled(v, F.coalesce(F.col(f"d{a}"), F.lit(0.0)), F.coalesce(F.col(f"s{a}"), F.lit(1.0))) for v, a in ((x0, "x"), (y0, "y"), (x1, "x"), (y1, "y"))]
+def _box(x0: Column, y0: Column, x1: Column, y1: Column, of: Callable[[str], Column] = F.col) -> Column:
+    """A box in image coordinates as text, by the page's scale and offset; null if a side is."""
+    sides = [scaled(v, F.coalesce(of(f"d{a}"), F.lit(0.0)), F.coalesce(of(f"s{a}"), F.lit(1.0))) for v, a in ((x0, "x"), (y0, "y"), (x1, "x"), (y1, "y"))]
     return F.concat(*(part for k, s in enumerate(sides) for part in ([F.lit(" ")] if k else []) + [s.cast("string")]))
 
 
+def _box_attr(box: Column, of: Callable[[str], Column] = F.col) -> Column:
+    return F.coalesce(_attr("bbox", _box(*(F.get(box, F.lit(k)) for k in range(4)), of)), F.lit(""))
+
+
 def _joined(entries: Column, field: str = "xml") -> Column:
     return F.array_join(F.transform(F.sort_array(entries), lambda e: e[field]), "")
 
 
 def sentence_places(tokens: DataFrame, key: str) -> DataFrame:
-    """Per sentence: its number ``n``, ``page``, ``block`` and whether they are new.
+    """Per sentence: its number ``n``, ``page``, ``block`` and whether they are new, and ``line_before``, the last line of the sentences before it.
 
     A sentence stands where its first token with a box does. Without one it is on the page before it, or
     on the next if its id is 1 or a page break stands before it, and is a block of its own.
@@ -53,36 +71,59 @@ def sentence_places(tokens: DataFrame, key: str) -> DataFrame:
     placed = F.col("page_num").isNotNull()
     first = F.min(F.when(placed, F.struct("tok", "page_num", "block_id")))
     one = lambda c: F.min_by(c, "tok")
-    sents = tokens.groupBy(key, "sent").agg(first.alias("at"), one("sent_id").alias("sent_id"), one("sent_text").alias("sent_text"), F.coalesce(F.bool_or("page_break"), F.lit(False)).alias("break"))
+    sents = tokens.groupBy(key, "sent").agg(first.alias("at"), one("sent_id").alias("sent_id"), one("sent_text").alias("sent_text"), F.coalesce(F.bool_or("page_break"), F.lit(False)).alias("break"), F.max_by("line_id", F.when(F.col("line_id").isNotNull(), F.col("tok"))).alias("line"))
     order = Window.partitionBy(key).orderBy("sent")
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
     hint = F.col("at.page_num")
+    sents = sents.withColumn("line_before", F.last("line", True).over(order.rowsBetween(Window.unboundedPreceding, -1)))
     sents = sents.withColumn("n", F.row_number().over(order)).withColumn("seg", F.count(hint).over(upto)).withColumn("base", F.coalesce(F.last(hint, True).over(upto), F.lit(0)))
     turn = F.when(hint.isNull() & ((F.col("sent_id") == "1") | F.col("break")), 1).otherwise(0)
     inside = Window.partitionBy(key, "seg").orderBy("sent").rowsBetween(Window.unboundedPreceding, 0)
     sents = sents.withColumn("page", (F.col("base") + F.sum(turn).over(inside)).cast("int"))
     sents = sents.withColumn("block", F.coalesce("at.block_id", F.concat(F.lit("block_"), F.col("n").cast("string"))))
     sents = sents.withColumn("new_page", F.col("page") != F.coalesce(F.lag("page").over(order), F.lit(0)))
-    return sents.withColumn("new_block", F.col("new_page") | ~F.col("block").eqNullSafe(F.lag("block").over(order))).drop("at", "seg", "base", "break")
+    return sents.withColumn("new_block", F.col("new_page") | ~F.col("block").eqNullSafe(F.lag("block").over(order))).drop("at", "seg", "base", "break", "line")
 
 
 def token_boundaries(tokens: DataFrame, key: str) -> DataFrame:
-    """``tokens`` with ``new_line``, ``opens`` and ``closes`` (a name), and ``code``, its entity code.
+    """``tokens``, which have ``line_before``, with ``new_line``, ``opens`` and ``closes`` (a name).
 
     A B- tag opens a name, I- tags after it go on, whatever their code; others are no part of one.
     """
-    across = Window.partitionBy(key).orderBy("sent", "tok").rowsBetween(Window.unboundedPreceding, -1)
     within = Window.partitionBy(key, "sent").orderBy("tok")
     tag = F.coalesce("ner", F.lit(""))
-    t = tokens.withColumn("new_line", F.col("line_id").isNotNull() & ~F.col("line_id").eqNullSafe(F.last("line_id", True).over(across)))
+    before = F.coalesce(F.last("line_id", True).over(within.rowsBetween(Window.unboundedPreceding, -1)), "line_before")
+    t = tokens.withColumn("new_line", F.col("line_id").isNotNull() & ~F.col("line_id").eqNullSafe(before))
     t = t.withColumn("__b", tag.startswith("B-")).withColumn("__i", tag.startswith("I-"))
     t = t.withColumn("__run", F.sum(F.when(F.col("__i"), 0).otherwise(1)).over(within.rowsBetween(Window.unboundedPreceding, 0)))
     run = Window.partitionBy(key, "sent", "__run").orderBy("tok")
     named = F.max("__b").over(run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     t = t.withColumn("__named", F.coalesce(named, F.lit(False)))
     last = F.lead("tok").over(run).isNull()
-    code = F.substring(F.split(tag, r"\|")[0], 3, 1 << 20)
-    return t.withColumn("opens", F.col("__b")).withColumn("closes", F.col("__named") & last).withColumn("code", F.when(F.col("__b"), code)).drop("__b", "__i", "__run", "__named")
+    return t.withColumn("opens", F.col("__b")).withColumn("closes", F.col("__named") & last).drop("__b", "__i", "__run", "__named")
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(items: Column, start: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """The states of a fold over an array, one for each item; ``step`` takes the last state and an item.
+
+    Arrays are copied as they grow, so the states are gathered in pieces as long as the root of the array.
+    """
+    size = F.greatest(F.ceil(F.sqrt(F.size(items))).cast("int"), F.lit(1))
+    pieces = F.transform(F.sequence(F.lit(0), size), lambda k: F.slice(items, k * size + 1, size))
+    grown = lambda states, item: F.concat(states, F.array(step(F.element_at(states, -1), item)))
+    gathered = F.aggregate(pieces, F.array(F.array(start)), lambda done, piece: F.concat(done, F.array(F.aggregate(piece, F.slice(F.element_at(done, -1), -1, 1), grown))))
+    # each piece begins with the last state of the one before
+    return F.flatten(F.transform(gathered, lambda states: F.slice(states, F.lit(2), F.size(states))))
+
+
+def _filled(values: Column, start: Column) -> Column:
+    """An array with the value before it for each null, ``start`` for those at its head."""
+    return F.when(F.exists(values, lambda v: v.isNull()), _running(values, start, lambda last, v: F.coalesce(v, last))).otherwise(values)
 
 
 def _header(key: str) -> Column:
@@ -106,6 +147,74 @@ def _header(key: str) -> Column:
     )
 
 
+def _token(of: Callable[[str], Column], given: Callable[[str], bool], scale: Callable[[str], Column], doc: Column, prefix: Column, place: Column, known: Column, new_line: Column | None, opens: Column | None, closes: Column | None) -> Column:
+    """A token with the name and the line that begin at it and the end of a name.
+
+    ``given``: whether there is such a field; ``prefix``: what the ids of its sentence's tokens begin
+    with, escaped; ``place``: its id if it has none.
+    """
+    text = lambda c: of(c).cast("string")
+    line = name = head = end = ""
+    kind: Column | str = ' type="w"'
+    own = place
+    if new_line is not None:
+        line = F.when(new_line, F.concat(F.lit("          <lb"), _attr("id", F.concat(doc, F.lit("."), of("line_id"))), _box_attr(of("line_box"), scale), F.lit("/>\n"))).otherwise("")
+    if opens is not None:
+        named = lambda code: F.concat(F.lit("          <name"), _attr("type", entity_type(code), F.lit(False)), _attr("cnec", code, F.lit(False)), F.lit(">\n"))
+        name = F.when(opens, _let(F.substring(F.substring_index(of("ner"), "|", 1), 3, 1 << 20), named)).otherwise("")
+        end = F.when(closes, "          </name>\n").otherwise("")
+    if given("id"):
+        own = F.when(text("id").isNotNull(), escape_xml(text("id"))).otherwise(place)
+    if given("head"):
+        other = text("head") != "0"
+        head = F.when(other & known, F.concat(F.lit(' head="'), prefix, escape_xml(text("head")), F.lit('"'))).when(other, _attr("head", text("head"))).otherwise("")
+    if given("upos"):
+        kind = F.when(of("upos") == "PUNCT", ' type="pc"').otherwise(' type="w"')
+    join = F.when(~F.coalesce(of("space_after"), F.lit(True)), ' join="right"').otherwise("") if given("space_after") else ""
+    box = F.coalesce(_attr("bbox", _box(*(of(c) for c in ("x0", "y0", "x1", "y1")), scale)), F.lit("")) if given("x0") else ""
+    attrs = [_attr(c, of(c)) for c in ("lemma", "upos", "xpos", "feats") if given(c)]
+    return _text(name, line, '            <tok id="', prefix, own, '"', kind, *attrs, head, _attr("deprel", of("deprel")) if given("deprel") else "", join, box, ">", escape_xml(of("form")), "</tok>\n", end)
+
+
+def _sentence_id(doc: Column, n: Column) -> Column:
+    return F.concat(escape_xml(doc), F.lit(".s"), n.cast("string"))
+
+
+def _sentence(of: Callable[[str], Column], scale: Callable[[str], Column], doc: Column, inner: Column) -> Column:
+    """A sentence around its tokens, with the page and the block that begin at it and the end of the block before."""
+    page = of("page").cast("string")
+    image = F.concat(doc, F.lit("-"), page, F.coalesce(scale("extension"), F.lit(".png")))
+    pb = F.when(of("new_page"), F.concat(F.lit("      <pb"), _attr("n", page), _attr("id", F.concat(doc, F.lit(".pb"), page)), _attr("facs", image), F.lit("/>\n"), F.coalesce(of("drawn"), F.lit("")))).otherwise("")
+    div = F.when(of("new_block"), F.concat(F.lit('      <div type="MarginTextZone-P"'), _attr("id", F.concat(doc, F.lit("."), of("block"))), _box_attr(of("box"), scale), F.lit(">\n"))).otherwise("")
+    close = F.when(of("new_block") & (of("n") > 1), "      </div>\n").otherwise("")
+    return F.concat(close, pb, div, F.lit("        <s"), _attr("id", _sentence_id(doc, of("n"))), _attr("text", of("sent_text")), F.lit(">\n"), inner, F.lit("        </s>\n"))
+
+
+def _parts(tokens: DataFrame, pages: DataFrame | None, blocks: DataFrame | None, figures: DataFrame | None, meta: DataFrame | None, key: str) -> tuple[DataFrame, ...]:
+    """Pages, their ``scale``, what is ``drawn`` on a page, boxes of blocks, meta; empty for what isn't given."""
+    # Spark sees that these are empty and plans no join with them
+    none = lambda schema: tokens.select(key, *(F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schema))).where(F.lit(False))
+    doc = F.col(key).cast("string")
+    pages = _complete(none("page_num int") if pages is None else pages, PAGE)
+    scale = pages.select(key, F.col("page_num").alias("page"), "sx", "sy", "dx", "dy", F.coalesce("extension", F.lit(".png")).alias("extension"))
+    figures = none("page_num int, id string, type string, box array<double>") if figures is None else figures
+    numbered = F.row_number().over(Window.partitionBy(key, "page_num").orderBy("id", "type"))
+    figure = F.concat(F.lit("      <figure"), _attr("type", F.col("type")), _attr("id", F.coalesce("id", F.concat(doc, F.lit(".g"), F.col("page").cast("string"), F.lit("-"), F.col("k").cast("string")))), _box_attr(F.col("box")), F.lit("/>\n"))
+    drawn = figures.withColumn("k", numbered).withColumnRenamed("page_num", "page").join(scale, [key, "page"], "left").select(key, "page", "k", figure.alias("xml"))
+    drawn = drawn.groupBy(key, "page").agg(_joined(F.collect_list(F.struct("k", "xml"))).alias("drawn"))
+    boxes = none("block string, box array<double>") if blocks is None else blocks.select(key, F.col("block_id").alias("block"), F.col("box").cast("array<double>").alias("box"))
+    return pages, scale, drawn, boxes, _complete(none("title string") if meta is None else meta, META)
+
+
+def _whole(texts: DataFrame, pages: DataFrame, meta: DataFrame, key: str) -> DataFrame:
+    """``key`` and ``xml`` of ``texts``, which have ``body``: header and page images around it."""
+    doc = F.col(key).cast("string")
+    surface = F.concat(F.lit("    <surface"), _attr("id", F.concat(doc, F.lit(".surface"), F.col("page_num").cast("string"))), _attr("lrx", F.col("width")), _attr("lry", F.col("height")), F.lit(">\n      <graphic"), _attr("url", F.concat(doc, F.lit("-"), F.col("page_num").cast("string"), F.coalesce("extension", F.lit(".png")))), F.lit("/>\n    </surface>\n"))
+    faces = pages.select(key, F.struct("page_num", surface.alias("xml")).alias("e")).groupBy(key).agg(F.concat(F.lit("  <facsimile>\n"), _joined(F.collect_list("e")), F.lit("  </facsimile>\n")).alias("faces"))
+    known = texts.join(faces, key, "left").join(meta, key, "left")
+    return known.select(key, F.concat(_header(key), F.coalesce("faces", F.lit("")), F.lit("  <text>\n    <body>\n"), F.col("body"), F.lit("      </div>\n    </body>\n  </text>\n</TEI>\n")).alias("xml"))
+
+
 def write_teitok(tokens: DataFrame, pages: DataFrame | None = None, blocks: DataFrame | None = None, figures: DataFrame | None = None, meta: DataFrame | None = None, key: str = "doc") -> DataFrame:
     """One well-formed TEITOK text per document: ``key``, ``xml``.
 
@@ -115,52 +224,112 @@ def write_teitok(tokens: DataFrame, pages: DataFrame | None = None, blocks: Data
 
     Pages and lines are milestones: a page closes the block it cuts, lines may begin inside names. A
     sentence belongs to the block of its first token with a box. Null forms are empty tokens; keys
-    without tokens have no text.
+    without tokens have no text. Tokens and sentences go through shuffles; documents that are whole
+    already go without, by ``write_documents``.
     """
-    # Spark sees that these are empty and plans no join with them
-    none = lambda schema: tokens.select(key, *(F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schema))).where(F.lit(False))
-    pages = _complete(none("page_num int") if pages is None else pages, PAGE)
-    scale = pages.select(key, F.col("page_num").alias("page"), "sx", "sy", "dx", "dy", F.coalesce("extension", F.lit(".png")).alias("extension"))
+    pages, scale, drawn, boxes, meta = _parts(tokens, pages, blocks, figures, meta, key)
     base = _complete(tokens, TOKEN)
     sents = sentence_places(base, key)
-    sid = F.concat(escape_xml(F.col(key).cast("string")), F.lit(".s"), F.col("n").cast("string"))
+    doc = F.col(key).cast("string")
 
-    here = token_boundaries(base, key).drop("sent_id", "sent_text", "page_break").join(sents.select(key, "sent", "n", "page"), [key, "sent"]).join(scale, [key, "page"], "left")
+    here = base.drop("sent_id", "sent_text", "page_break").join(sents.select(key, "sent", "n", "page", "line_before"), [key, "sent"])
+    here = token_boundaries(here, key).join(scale, [key, "page"], "left")
     heads = base.where(F.col("id").isNotNull()).select(key, "sent", F.col("id").alias("head"), F.lit(True).alias("known")).distinct()
     here = here.join(heads, [key, "sent", "head"], "left")
-    word = lambda c: F.concat(sid, F.lit(".w"), c)
-    head = F.when(F.col("head") != "0", F.when(F.col("known"), word(F.col("head"))).otherwise(F.col("head")))
-    own = F.coalesce(F.col("id"), (F.col("tok") + 1).cast("string"))
-    line = F.transform(F.col("line_box"), lambda v: v)
-    line_attr = F.coalesce(_attr("bbox", _box(*(F.get(line, F.lit(k)) for k in range(4)))), F.lit(""))
-    lb = F.when(F.col("new_line"), F.concat(F.lit("          <lb"), _attr("id", F.concat(F.col(key).cast("string"), F.lit("."), F.col("line_id"))), line_attr, F.lit("/>\n"))).otherwise("")
-    open_name = F.when(F.col("opens"), F.concat(F.lit("          <name"), _attr("type", entity_type(F.col("code")), F.lit(False)), _attr("cnec", F.col("code"), F.lit(False)), F.lit(">\n"))).otherwise("")
-    tok = F.concat(
-        F.lit("            <tok"), _attr("id", word(own)), _attr("type", F.when(F.col("upos") == "PUNCT", "pc").otherwise("w")), *(_attr(c, F.col(c)) for c in ("lemma", "upos", "xpos", "feats")),
-        _attr("head", head), _attr("deprel", F.col("deprel")), F.when(~F.coalesce("space_after", F.lit(True)), ' join="right"').otherwise(""),
-        _attr("bbox", _box(*(F.col(c) for c in ("x0", "y0", "x1", "y1")))), F.lit(">"), escape_xml(F.col("form")), F.lit("</tok>\n"),
-    )
-    xml = F.concat(open_name, lb, tok, F.when(F.col("closes"), "          </name>\n").otherwise(""))
+    prefix = escape_xml(F.concat(_sentence_id(doc, F.col("n")), F.lit(".w")))
+    xml = _token(F.col, lambda c: True, F.col, doc, prefix, (F.col("tok") + 1).cast("string"), F.col("known"), *(F.col(c) for c in ("new_line", "opens", "closes")))
     inner = here.select(key, "sent", "tok", xml.alias("xml")).groupBy(key, "sent").agg(_joined(F.collect_list(F.struct("tok", "xml"))).alias("inner"))
 
-    figures = none("page_num int, id string, type string, box array<double>") if figures is None else figures
-    numbered = F.row_number().over(Window.partitionBy(key, "page_num").orderBy("id", "type"))
-    figure = F.concat(F.lit("      <figure"), _attr("type", F.col("type")), _attr("id", F.coalesce("id", F.concat(F.col(key).cast("string"), F.lit(".g"), F.col("page").cast("string"), F.lit("-"), F.col("k").cast("string")))), F.coalesce(_attr("bbox", _box(*(F.get("box", F.lit(i)).cast("double") for i in range(4)))), F.lit("")), F.lit("/>\n"))
-    drawn = figures.withColumn("k", numbered).withColumnRenamed("page_num", "page").join(scale, [key, "page"], "left").select(key, "page", "k", figure.alias("xml"))
-    drawn = drawn.groupBy(key, "page").agg(_joined(F.collect_list(F.struct("k", "xml"))).alias("drawn"))
-    boxes = none("block string, box array<double>") if blocks is None else blocks.select(key, F.col("block_id").alias("block"), F.col("box").cast("array<double>").alias("box"))
-
     met = sents.join(scale, [key, "page"], "left").join(inner, [key, "sent"]).join(drawn, [key, "page"], "left").join(boxes, [key, "block"], "left")
+    texts = met.select(key, "n", _sentence(F.col, F.col, doc, F.col("inner")).alias("xml")).groupBy(key).agg(_joined(F.collect_list(F.struct("n", "xml"))).alias("body"))
+    return _whole(texts, pages, meta, key)
+
+
+def write_documents(docs: DataFrame, pages: DataFrame | None = None, blocks: DataFrame | None = None, figures: DataFrame | None = None, meta: DataFrame | None = None, key: str = "doc") -> DataFrame:
+    """``write_teitok`` for documents that come whole, one row each: the same texts, and no token leaves its row.
+
+    ``docs``: key and ``sents``, an array in order, of structs with ``tokens``, an array in order, of
+    structs with ``form`` and what there is of ``TOKEN``. ``sent_id``, ``sent_text`` and ``page_break``
+    stand in the sentence; so may any other field that is one for all its tokens. Sentences without
+    tokens are left out. Of pages, figures and blocks that are there twice the least row holds.
+    """
+    pages, scale, drawn, boxes, meta = _parts(docs, pages, blocks, figures, meta, key)
+    of_sent = docs.schema["sents"].dataType.elementType
+    of_tok = set(of_sent["tokens"].dataType.elementType.names)
+    ofs = lambda s, t=None: lambda c: t[c] if t is not None and c in of_tok else s[c] if c in of_sent.names else F.lit(None).cast(TOKEN[c])
+    given = lambda c: c in of_tok or c in of_sent.names
     doc = F.col(key).cast("string")
-    page = F.col("page").cast("string")
-    image = F.concat(doc, F.lit("-"), page, F.coalesce("extension", F.lit(".png")))
-    pb = F.when(F.col("new_page"), F.concat(F.lit("      <pb"), _attr("n", page), _attr("id", F.concat(doc, F.lit(".pb"), page)), _attr("facs", image), F.lit("/>\n"), F.coalesce("drawn", F.lit("")))).otherwise("")
-    div = F.when(F.col("new_block"), F.concat(F.lit('      <div type="MarginTextZone-P"'), _attr("id", F.concat(doc, F.lit("."), F.col("block"))), F.coalesce(_attr("bbox", _box(*(F.get("box", F.lit(i)) for i in range(4)))), F.lit("")), F.lit(">\n"))).otherwise("")
-    close = F.when(F.col("new_block") & (F.col("n") > 1), "      </div>\n").otherwise("")
-    body = F.concat(close, pb, div, F.lit("        <s"), _attr("id", sid), _attr("text", F.col("sent_text")), F.lit(">\n"), F.col("inner"), F.lit("        </s>\n"))
-    texts = met.select(key, "n", body.alias("xml")).groupBy(key).agg(_joined(F.collect_list(F.struct("n", "xml"))).alias("body"))
 
-    surface = F.concat(F.lit("    <surface"), _attr("id", F.concat(doc, F.lit(".surface"), F.col("page_num").cast("string"))), _attr("lrx", F.col("width")), _attr("lry", F.col("height")), F.lit(">\n      <graphic"), _attr("url", F.concat(doc, F.lit("-"), F.col("page_num").cast("string"), F.coalesce("extension", F.lit(".png")))), F.lit("/>\n    </surface>\n"))
-    faces = pages.select(key, F.struct("page_num", surface.alias("xml")).alias("e")).groupBy(key).agg(F.concat(F.lit("  <facsimile>\n"), _joined(F.collect_list("e")), F.lit("  </facsimile>\n")).alias("faces"))
-    known = texts.join(faces, key, "left").join(_complete(none("title string") if meta is None else meta, META), key, "left")
-    return known.select(key, F.concat(_header(key), F.coalesce("faces", F.lit("")), F.lit("  <text>\n    <body>\n"), F.col("body"), F.lit("      </div>\n    </body>\n  </text>\n</TEI>\n")).alias("xml"))
+    # what belongs to pages and blocks, as maps of the document
+    docs = docs.where(F.col(key).isNotNull()).select(key, "sents")
+    fields = ["sx", "sy", "dx", "dy", "extension"]
+    for name, df, by, value in (("__scale", scale, F.col("page").cast("int"), F.struct(*fields)), ("__drawn", drawn, F.col("page").cast("int"), F.col("drawn")), ("__boxes", boxes, F.col("block").cast("string"), F.col("box"))):
+        least = df.where(by.isNotNull()).groupBy(key, by.alias("by")).agg(F.min(value).alias("value"))
+        docs = docs.join(least.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("by", "value"))).alias(name)), key, "left")
+
+    def summed(s):
+        """The page and the block of a sentence's first token with a box, its last line and whether a page begins without a box."""
+        tokens = s["tokens"]
+        placed = lambda t: ofs(s, t)("page_num").isNotNull()
+        first = F.coalesce(F.when(placed(F.get(tokens, F.lit(0))), F.get(tokens, F.lit(0))), F.get(F.filter(tokens, placed), F.lit(0)))
+        line = ofs(s)("line_id").cast("string")
+        if "line_id" in of_tok:
+            line = F.coalesce(F.element_at(tokens, -1)["line_id"], F.try_element_at(F.filter(F.transform(tokens, lambda t: t["line_id"]), lambda v: v.isNotNull()), F.lit(-1))).cast("string")
+        turn = F.when((ofs(s)("sent_id").cast("string") == "1") | F.coalesce(ofs(s)("page_break"), F.lit(False)), 1).otherwise(0)
+        return _let(first, lambda f: F.struct(ofs(s, f)("page_num").cast("int").alias("hint"), F.when(placed(f), ofs(s, f)("block_id").cast("string")).alias("block"), turn.alias("turn"), line.alias("line")))
+
+    def tokens_of(s, n, line, scaled_by):
+        """The tokens of a sentence, one after the other; ``line``: the last line before it."""
+        tokens, nothing = s["tokens"], F.lit(None).cast("string")
+        tag = lambda t: F.coalesce(ofs(s, t)("ner"), F.lit(""))
+        tags = F.transform(tokens, lambda t: F.when(tag(t).startswith("B-"), "B").when(tag(t).startswith("I-"), "I").otherwise("O")) if given("ner") else nothing
+        lines = F.transform(tokens, lambda t: t["line_id"].cast("string")) if "line_id" in of_tok else nothing
+        ids = F.transform(tokens, lambda t: ofs(s, t)("id").cast("string")) if given("id") and given("head") else nothing
+        new = ofs(s)("line_id").isNotNull() & ~ofs(s)("line_id").cast("string").eqNullSafe(line)
+
+        def written(a, run, t, j):
+            opens = closes = new_line = None
+            known = F.lit(False)
+            if given("ner"):
+                mine = F.get(a["tags"], j)
+                opens = mine == "B"
+                # the text of tags up to here, without the I- at its end, ends with what they follow
+                goes_on = (mine == "I") & F.rtrim(F.substring(run["tags"], F.lit(1), j + 1), F.lit("I")).endswith("B")
+                closes = (mine != "O") & ~F.coalesce(F.get(a["tags"], j + 1) == "I", F.lit(False)) & (opens | goes_on)
+            if "line_id" in of_tok:
+                before = F.when(j == 0, line).otherwise(F.get(run["lines"], j - 1))
+                new_line = F.get(a["lines"], j).isNotNull() & ~F.get(a["lines"], j).eqNullSafe(before)
+            elif given("line_id"):
+                new_line = (j == 0) & a["new"]
+            if given("id") and given("head"):
+                head = ofs(s, t)("head").cast("string")
+                known = F.coalesce(F.get(a["ids"], head.try_cast("int") - 1).eqNullSafe(head) | F.array_contains(a["ids"], head), F.lit(False))
+            return _token(ofs(s, t), given, scaled_by, doc, a["prefix"], (j + 1).cast("string"), known, new_line, opens, closes)
+
+        prefix = escape_xml(F.concat(_sentence_id(doc, n), F.lit(".w")))
+        runs = lambda a: F.struct((F.array_join(a["tags"], "") if given("ner") else nothing).alias("tags"), (_filled(a["lines"], line) if "line_id" in of_tok else nothing).alias("lines"))
+        joined = lambda a, run: F.array_join(F.transform(tokens, lambda t, j: written(a, run, t, j)), "")
+        return _let(F.struct(prefix.alias("prefix"), tags.alias("tags"), lines.alias("lines"), ids.alias("ids"), new.alias("new")), lambda a: _let(runs(a), lambda run: joined(a, run)))
+
+    def sentence(s, i):
+        state, before, x = F.get("__states", i), F.get("__states", i - 1), F.get("__sums", i)
+        block = lambda x, n: F.coalesce(x["block"], F.concat(F.lit("block_"), n.cast("string")))
+        new_page = state["page"] != F.coalesce(before["page"], F.lit(0))
+        new_block = new_page | (i == 0) | (block(x, i + 1) != block(F.get("__sums", i - 1), i))
+        at = F.struct(
+            (i + 1).alias("n"), state["page"].alias("page"), block(x, i + 1).alias("block"), new_page.alias("new_page"), new_block.alias("new_block"), ofs(s)("sent_text").alias("sent_text"),
+            F.element_at("__scale", state["page"]).alias("scale"), F.element_at("__drawn", state["page"]).alias("drawn"), F.element_at("__boxes", block(x, i + 1)).alias("box"),
+        )
+        scaled_by = lambda m: lambda c: m["scale"][c]
+        return _let(at, lambda m: _sentence(lambda c: m[c], scaled_by(m), doc, tokens_of(s, m["n"], before["line"], scaled_by(m))))
+
+    # a step is a column of its own, so it is computed once
+    texts = docs.withColumn("__sents", F.coalesce(F.filter("sents", lambda s: F.size(s["tokens"]) > 0), F.array()))
+    texts = texts.withColumn("__sums", F.transform("__sents", summed))
+    start = F.struct(F.lit(0).alias("page"), F.lit(None).cast("string").alias("line"))
+    step = lambda last, x: F.struct(F.coalesce(x["hint"], last["page"] + x["turn"]).alias("page"), F.coalesce(x["line"], last["line"]).alias("line"))
+    texts = texts.withColumn("__states", _running(F.col("__sums"), start, step))
+    body = F.array_join(F.transform("__sents", sentence), "")
+    # a filter would be pushed down and compute all of it twice
+    texts = texts.select(key, F.explode(F.filter(F.array(body), lambda b: b != "")).alias("body"))
+    return _whole(texts, pages, meta, key)

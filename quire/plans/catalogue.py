@@ -826,16 +826,16 @@ o AS (SELECT *, lag(page, 1, 0) OVER (PARTITION BY doc_id ORDER BY sent) AS befo
 )
 def teitok_documents(spark, sf_dir):
     """Documents written as TEITOK XML and read back: a sentence a line, five to a page, a name of up to two words in every four."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), F.posexplode(F.split("text", "\n")).alias("sent", "line"))
-    words = F.filter(F.split("line", " "), lambda w: w != "")
-    k = F.col("tok") % 4
-    tokens = docs.select("doc", "sent", (F.floor(F.col("sent") / 5) + 1).cast("int").alias("page_num"), F.concat(F.lit("b"), F.floor(F.col("sent") / 2).cast("string")).alias("block_id"), F.concat(F.lit("l"), F.col("sent").cast("string")).alias("line_id"), F.posexplode(words).alias("tok", "form"))
-    xml = teitok.write_teitok(tokens.withColumn("ner", F.when(k == 0, "B-gu").when(k == 1, "I-gu").otherwise("O")))
-    n = lambda tag: F.regexp_count("xml", F.lit(f"<{tag}[ >]")).cast("bigint").alias(f"n_{tag}")
-    forms = F.regexp_extract_all("xml", F.lit("<tok[^>]*>([^<]*)</tok>"), F.lit(1))
-    plain = lambda f: F.replace(F.replace(F.replace(F.replace(f, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&quot;"), F.lit('"')), F.lit("&amp;"), F.lit("&"))
-    chars = F.aggregate(forms, F.lit(0).cast("bigint"), lambda a, f: a + F.length(plain(f)))
-    return xml.select(F.col("doc").alias("doc_id"), *map(n, ("tok", "s", "lb", "pb", "div", "name")), chars.alias("n_form_chars"))
+    words = lambda line: F.filter(F.split(line, " "), lambda w: w != "")
+    token = lambda w, k: F.struct(w.alias("form"), F.when(k % 4 == 0, "B-gu").when(k % 4 == 1, "I-gu").otherwise("O").alias("ner"))
+    place = lambda i: ((F.floor(i / 5) + 1).cast("int").alias("page_num"), F.concat(F.lit("b"), F.floor(i / 2).cast("string")).alias("block_id"), F.concat(F.lit("l"), i.cast("string")).alias("line_id"))
+    sents = F.transform(F.split("text", "\n"), lambda line, i: F.struct(F.transform(words(line), token).alias("tokens"), *place(i)))
+    xml = teitok.write_documents(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), sents.alias("sents")))
+    # all tags in one pass; a tag is a word of its own, so texts can be joined before entities are read
+    read = xml.select(F.col("doc").alias("doc_id"), F.regexp_extract_all("xml", F.lit("<([a-z]+)[ >]"), F.lit(1)).alias("tags"), F.array_join(F.regexp_extract_all("xml", F.lit("<tok[^>]*>([^<]*)</tok>"), F.lit(1)), "").alias("forms"))
+    n = lambda tag: F.size(F.filter("tags", lambda t: t == tag)).cast("bigint").alias(f"n_{tag}")
+    plain = F.replace(F.replace(F.replace(F.replace("forms", F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&quot;"), F.lit('"')), F.lit("&amp;"), F.lit("&"))
+    return read.select("doc_id", *map(n, ("tok", "s", "lb", "pb", "div", "name")), F.length(plain).cast("bigint").alias("n_form_chars"))
 
 
 @query(

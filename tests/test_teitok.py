@@ -1,6 +1,10 @@
+import random
 import xml.etree.ElementTree as ET
 
+from pyspark.sql import functions as F
+
 from quire.operators import teitok
+from quire.plans import catalogue
 from quire.sources import markup
 from tests.conftest import frame
 
@@ -56,6 +60,53 @@ def test_what_is_not_given_is_not_joined(spark):
     assert plan.count("Join ") == 2
 
 
+def whole(tokens):
+    """Token rows as documents with arrays."""
+    fields = [c for c in tokens.columns if c not in ("doc", "sent", "sent_id", "sent_text", "page_break")]
+    toks = tokens.groupBy("doc", "sent").agg(F.sort_array(F.collect_list(F.struct("tok", *fields))).alias("tokens"), *(F.min_by(c, "tok").alias(c) for c in ("sent_id", "sent_text")), F.bool_or("page_break").alias("page_break"))
+    return toks.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("sent", "sent_id", "sent_text", "page_break", "tokens"))).alias("sents"))
+
+
+def test_whole_documents_read_as_their_tokens(spark):
+    draw, rows = random.Random(5), []
+    for d in range(12):
+        for sent in range(draw.choice([1, 3, 40])):
+            page, brk = draw.choice([None, None, 1 + sent // 4]), draw.random() < 0.1
+            for tok in range(draw.choice([1, 4, 30])):
+                ner = draw.choice(["O", "B-gu", "I-gu", "I-x", "B-pf|B-ps", None])
+                box = (1.0, 2.0, 3.0, 4.0) if draw.random() < 0.6 else (None, 1.0, None, 2.0)
+                at = page if draw.random() < 0.5 else None
+                line = draw.choice([None, f"l{tok // 5}", f"l{sent}"])
+                rows.append(token(f"d&{d}" if d % 3 else f"d{d}", sent, tok, draw.choice(["a", "<b>", '"&', "ž", None]), str(draw.choice([1, 2, sent])), ner, at, draw.choice(["b1", "b2", None]) if at else None, line, box, draw.choice(["NOUN", "PUNCT"]), draw.choice(["0", "1", "3", "99", "_"]), draw.random() < 0.5, brk))
+    tokens = frame(spark, rows, TOKENS)
+    pages = frame(spark, [(f"d{d}", p, 0.5, 2.0, 1.0, 0.0, 800, 600, ".jpg") for d in range(0, 12, 3) for p in (1, 2, 4)], "doc string, page_num int, sx double, sy double, dx double, dy double, width int, height int, extension string")
+    blocks = frame(spark, [(f"d{d}", b, [10.0, 20.0, 30.0, 40.0]) for d in range(0, 12, 3) for b in ("b1", "block_2")], "doc string, block_id string, box array<double>")
+    figures = frame(spark, [("d3", 2, None, "image", [1.0, 2.0, 3.0, 4.0]), ("d3", 2, "f", "map", None), ("d6", 1, None, "image", None)], "doc string, page_num int, id string, type string, box array<double>")
+    meta = frame(spark, [("d0", "T")], "doc string, title string")
+    few = tokens.select("doc", "sent", "tok", "form")
+    for given in ((pages, blocks, figures, meta), ()):
+        rows, docs = ({r["doc"]: r["xml"] for r in df.collect()} for df in (teitok.write_teitok(tokens, *given), teitok.write_documents(whole(tokens), *given)))
+        assert len(rows) == 12 and docs == rows
+    plain = few.groupBy("doc", "sent").agg(F.sort_array(F.collect_list(F.struct("tok", "form"))).alias("tokens")).groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("sent", "tokens"))).alias("sents"))
+    assert {tuple(r) for r in teitok.write_documents(plain).collect()} == {tuple(r) for r in teitok.write_teitok(few).collect()}
+
+
+def test_whole_documents_stay_where_they_are(spark, tmp_path):
+    frame(spark, [(1, "a b\n\n <c> d e f g"), (2, " \n"), (3, None), (4, "x")], "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = catalogue.QUERIES["teitok_documents"](spark, str(tmp_path))
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.collect())) == [(1, 7, 2, 2, 1, 2, 3, 9), (4, 1, 1, 1, 1, 1, 1, 1)]
+
+
+def test_long_names_and_lines_with_gaps(spark):
+    long = [(f"t{k}", "B-gu" if k == 0 else "I-gu" if k < 40 else "O", f"l{k // 10}" if k % 3 == 0 else None) for k in range(50)]
+    docs = frame(spark, [("d", [(long,), ([],), ([("u", "I-gu", "l4"), ("v", None, "l5")],)])], "doc string, sents array<struct<tokens: array<struct<form: string, ner: string, line_id: string>>>>")
+    root = parse(teitok.write_documents(docs))["d"]
+    assert [len(n.findall("tok")) for n in root.iter("name")] == [40]
+    assert [b.get("id") for b in root.iter("lb")] == ["d.l0", "d.l1", "d.l2", "d.l3", "d.l4", "d.l5"]
+    assert len(root.findall(".//s")) == 2 and len(root.findall(".//tok")) == 52
+
+
 def test_conllu_to_teitok_and_back(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "out").mkdir()
