@@ -147,22 +147,18 @@ def _header(key: str) -> Column:
     )
 
 
-def _token(of: Callable[[str], Column], given: Callable[[str], bool], scale: Callable[[str], Column], doc: Column, prefix: Column, place: Column, known: Column, new_line: Column | None, opens: Column | None, closes: Column | None) -> Column:
+def _token(of: Callable[[str], Column], given: Callable[[str], bool], scale: Callable[[str], Column], doc: Column, prefix: Column, place: Column, known: Column, new_line: Column | None, named: Column | None, opens: Column | None, closes: Column | None) -> Column:
     """A token with the name and the line that begin at it and the end of a name.
 
     ``given``: whether there is such a field; ``prefix``: what the ids of its sentence's tokens begin
-    with, escaped; ``place``: its id if it has none.
+    with, escaped; ``place``: its id if it has none; ``named``: false if no name opens or closes.
     """
     text = lambda c: of(c).cast("string")
-    line = name = head = end = ""
+    line = head = ""
     kind: Column | str = ' type="w"'
     own = place
     if new_line is not None:
         line = F.when(new_line, F.concat(F.lit("          <lb"), _attr("id", F.concat(doc, F.lit("."), of("line_id"))), _box_attr(of("line_box"), scale), F.lit("/>\n"))).otherwise("")
-    if opens is not None:
-        named = lambda code: F.concat(F.lit("          <name"), _attr("type", entity_type(code), F.lit(False)), _attr("cnec", code, F.lit(False)), F.lit(">\n"))
-        name = F.when(opens, _let(F.substring(F.substring_index(of("ner"), "|", 1), 3, 1 << 20), named)).otherwise("")
-        end = F.when(closes, "          </name>\n").otherwise("")
     if given("id"):
         own = F.when(text("id").isNotNull(), escape_xml(text("id"))).otherwise(place)
     if given("head"):
@@ -173,7 +169,12 @@ def _token(of: Callable[[str], Column], given: Callable[[str], bool], scale: Cal
     join = F.when(~F.coalesce(of("space_after"), F.lit(True)), ' join="right"').otherwise("") if given("space_after") else ""
     box = F.coalesce(_attr("bbox", _box(*(of(c) for c in ("x0", "y0", "x1", "y1")), scale)), F.lit("")) if given("x0") else ""
     attrs = [_attr(c, of(c)) for c in ("lemma", "upos", "xpos", "feats") if given(c)]
-    return _text(name, line, '            <tok id="', prefix, own, '"', kind, *attrs, head, _attr("deprel", of("deprel")) if given("deprel") else "", join, box, ">", escape_xml(of("form")), "</tok>\n", end)
+    parts = (line, '            <tok id="', prefix, own, '"', kind, *attrs, head, _attr("deprel", of("deprel")) if given("deprel") else "", join, box, ">", escape_xml(of("form")), "</tok>\n")
+    if named is None:
+        return _text(*parts)
+    begin = lambda code: _text('          <name type="', entity_type(code), '"', _attr("cnec", code, F.lit(False)), ">\n")
+    name = F.when(opens, _let(F.substring(F.substring_index(of("ner"), "|", 1), 3, 1 << 20), begin)).otherwise("")
+    return F.when(named, _text(name, *parts, F.when(closes, "          </name>\n").otherwise(""))).otherwise(_text(*parts))
 
 
 def _sentence_id(doc: Column, n: Column) -> Column:
@@ -237,7 +238,7 @@ def write_teitok(tokens: DataFrame, pages: DataFrame | None = None, blocks: Data
     heads = base.where(F.col("id").isNotNull()).select(key, "sent", F.col("id").alias("head"), F.lit(True).alias("known")).distinct()
     here = here.join(heads, [key, "sent", "head"], "left")
     prefix = escape_xml(F.concat(_sentence_id(doc, F.col("n")), F.lit(".w")))
-    xml = _token(F.col, lambda c: True, F.col, doc, prefix, (F.col("tok") + 1).cast("string"), F.col("known"), *(F.col(c) for c in ("new_line", "opens", "closes")))
+    xml = _token(F.col, lambda c: True, F.col, doc, prefix, (F.col("tok") + 1).cast("string"), F.col("known"), F.col("new_line"), F.col("opens") | F.col("closes"), F.col("opens"), F.col("closes"))
     inner = here.select(key, "sent", "tok", xml.alias("xml")).groupBy(key, "sent").agg(_joined(F.collect_list(F.struct("tok", "xml"))).alias("inner"))
 
     met = sents.join(scale, [key, "page"], "left").join(inner, [key, "sent"]).join(drawn, [key, "page"], "left").join(boxes, [key, "block"], "left")
@@ -281,21 +282,21 @@ def write_documents(docs: DataFrame, pages: DataFrame | None = None, blocks: Dat
     def tokens_of(s, n, line, scaled_by):
         """The tokens of a sentence, one after the other; ``line``: the last line before it."""
         tokens, nothing = s["tokens"], F.lit(None).cast("string")
-        tag = lambda t: F.coalesce(ofs(s, t)("ner"), F.lit(""))
-        tags = F.transform(tokens, lambda t: F.when(tag(t).startswith("B-"), "B").when(tag(t).startswith("I-"), "I").otherwise("O")) if given("ner") else nothing
+        tag = lambda t: F.when(ofs(s, t)("ner").startswith("B-"), "B").when(ofs(s, t)("ner").startswith("I-"), "I").otherwise("O")
+        tags = F.transform(tokens, tag) if given("ner") else nothing
         lines = F.transform(tokens, lambda t: t["line_id"].cast("string")) if "line_id" in of_tok else nothing
         ids = F.transform(tokens, lambda t: ofs(s, t)("id").cast("string")) if given("id") and given("head") else nothing
         new = ofs(s)("line_id").isNotNull() & ~ofs(s)("line_id").cast("string").eqNullSafe(line)
 
         def written(a, run, t, j):
-            opens = closes = new_line = None
+            named = opens = closes = new_line = None
             known = F.lit(False)
             if given("ner"):
                 mine = F.get(a["tags"], j)
-                opens = mine == "B"
+                named, opens = mine != "O", mine == "B"
                 # the text of tags up to here, without the I- at its end, ends with what they follow
                 goes_on = (mine == "I") & F.rtrim(F.substring(run["tags"], F.lit(1), j + 1), F.lit("I")).endswith("B")
-                closes = (mine != "O") & ~F.coalesce(F.get(a["tags"], j + 1) == "I", F.lit(False)) & (opens | goes_on)
+                closes = ~F.coalesce(F.get(a["tags"], j + 1) == "I", F.lit(False)) & (opens | goes_on)
             if "line_id" in of_tok:
                 before = F.when(j == 0, line).otherwise(F.get(run["lines"], j - 1))
                 new_line = F.get(a["lines"], j).isNotNull() & ~F.get(a["lines"], j).eqNullSafe(before)
@@ -304,18 +305,18 @@ def write_documents(docs: DataFrame, pages: DataFrame | None = None, blocks: Dat
             if given("id") and given("head"):
                 head = ofs(s, t)("head").cast("string")
                 known = F.coalesce(F.get(a["ids"], head.try_cast("int") - 1).eqNullSafe(head) | F.array_contains(a["ids"], head), F.lit(False))
-            return _token(ofs(s, t), given, scaled_by, doc, a["prefix"], (j + 1).cast("string"), known, new_line, opens, closes)
+            return _token(ofs(s, t), given, scaled_by, doc, a["prefix"], (j + 1).cast("string"), known, new_line, named, opens, closes)
 
         prefix = escape_xml(F.concat(_sentence_id(doc, n), F.lit(".w")))
         runs = lambda a: F.struct((F.array_join(a["tags"], "") if given("ner") else nothing).alias("tags"), (_filled(a["lines"], line) if "line_id" in of_tok else nothing).alias("lines"))
         joined = lambda a, run: F.array_join(F.transform(tokens, lambda t, j: written(a, run, t, j)), "")
         return _let(F.struct(prefix.alias("prefix"), tags.alias("tags"), lines.alias("lines"), ids.alias("ids"), new.alias("new")), lambda a: _let(runs(a), lambda run: joined(a, run)))
 
-    def sentence(s, i):
-        state, before, x = F.get("__states", i), F.get("__states", i - 1), F.get("__sums", i)
+    def sentence(sums, states, s, i):
+        state, before, x = F.get(states, i), F.get(states, i - 1), F.get(sums, i)
         block = lambda x, n: F.coalesce(x["block"], F.concat(F.lit("block_"), n.cast("string")))
         new_page = state["page"] != F.coalesce(before["page"], F.lit(0))
-        new_block = new_page | (i == 0) | (block(x, i + 1) != block(F.get("__sums", i - 1), i))
+        new_block = new_page | (i == 0) | (block(x, i + 1) != block(F.get(sums, i - 1), i))
         at = F.struct(
             (i + 1).alias("n"), state["page"].alias("page"), block(x, i + 1).alias("block"), new_page.alias("new_page"), new_block.alias("new_block"), ofs(s)("sent_text").alias("sent_text"),
             F.element_at("__scale", state["page"]).alias("scale"), F.element_at("__drawn", state["page"]).alias("drawn"), F.element_at("__boxes", block(x, i + 1)).alias("box"),
@@ -323,13 +324,12 @@ def write_documents(docs: DataFrame, pages: DataFrame | None = None, blocks: Dat
         scaled_by = lambda m: lambda c: m["scale"][c]
         return _let(at, lambda m: _sentence(lambda c: m[c], scaled_by(m), doc, tokens_of(s, m["n"], before["line"], scaled_by(m))))
 
-    # a step is a column of its own, so it is computed once
-    texts = docs.withColumn("__sents", F.coalesce(F.filter("sents", lambda s: F.size(s["tokens"]) > 0), F.array()))
-    texts = texts.withColumn("__sums", F.transform("__sents", summed))
     start = F.struct(F.lit(0).alias("page"), F.lit(None).cast("string").alias("line"))
     step = lambda last, x: F.struct(F.coalesce(x["hint"], last["page"] + x["turn"]).alias("page"), F.coalesce(x["line"], last["line"]).alias("line"))
-    texts = texts.withColumn("__states", _running(F.col("__sums"), start, step))
-    body = F.array_join(F.transform("__sents", sentence), "")
+    joined = lambda sents, sums, states: F.array_join(F.transform(sents, lambda s, i: sentence(sums, states, s, i)), "")
+    # one expression, so that arrays of tokens aren't copied into rows between its steps
+    sents = F.coalesce(F.filter("sents", lambda s: F.size(s["tokens"]) > 0), F.array())
+    texts = docs.withColumn("body", _let(sents, lambda sents: _let(F.transform(sents, summed), lambda sums: _let(_running(sums, start, step), lambda states: joined(sents, sums, states)))))
     # a filter would be pushed down and compute all of it twice
-    texts = texts.select(key, F.explode(F.filter(F.array(body), lambda b: b != "")).alias("body"))
+    texts = texts.select(key, F.explode(F.filter(F.array("body"), lambda b: b != "")).alias("body"))
     return _whole(texts, pages, meta, key)

@@ -831,11 +831,14 @@ def teitok_documents(spark, sf_dir):
     place = lambda i: ((F.floor(i / 5) + 1).cast("int").alias("page_num"), F.concat(F.lit("b"), F.floor(i / 2).cast("string")).alias("block_id"), F.concat(F.lit("l"), i.cast("string")).alias("line_id"))
     sents = F.transform(F.split("text", "\n"), lambda line, i: F.struct(F.transform(words(line), token).alias("tokens"), *place(i)))
     xml = teitok.write_documents(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), sents.alias("sents")))
-    # all tags in one pass; a tag is a word of its own, so texts can be joined before entities are read
-    read = xml.select(F.col("doc").alias("doc_id"), F.regexp_extract_all("xml", F.lit("<([a-z]+)[ >]"), F.lit(1)).alias("tags"), F.array_join(F.regexp_extract_all("xml", F.lit("<tok[^>]*>([^<]*)</tok>"), F.lit(1)), "").alias("forms"))
+    # two passes over a text; every & begins an entity, so forms can be joined before entities are read
+    found = lambda pattern: F.regexp_extract_all("xml", F.lit(pattern), F.lit(1))
+    read = xml.select(F.col("doc").alias("doc_id"), found("<tok[^>]*>([^<]*)</tok>").alias("forms"), found("<(s|lb|pb|div|name)[ >]").alias("tags"))
     n = lambda tag: F.size(F.filter("tags", lambda t: t == tag)).cast("bigint").alias(f"n_{tag}")
-    plain = F.replace(F.replace(F.replace(F.replace("forms", F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&quot;"), F.lit('"')), F.lit("&amp;"), F.lit("&"))
-    return read.select("doc_id", *map(n, ("tok", "s", "lb", "pb", "div", "name")), F.length(plain).cast("bigint").alias("n_form_chars"))
+    plain = F.array_join("forms", "")
+    for entity, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+        plain = F.replace(plain, F.lit(entity), F.lit(sign))
+    return read.select("doc_id", F.size("forms").cast("bigint").alias("n_tok"), *map(n, ("s", "lb", "pb", "div", "name")), F.length(plain).cast("bigint").alias("n_form_chars"))
 
 
 @query(
